@@ -65,8 +65,8 @@ def filter_by_question(df: DataFrame, col: str, question: str, scorer: Callable[
 
 
 def keyword_answer(texts: pd.Series, question: str) -> pd.Series:
-    """Offline scorer: every word of five letters or more of the question must occur."""
-    asked = {w for w in _WORD.findall(question.lower()) if len(w) >= 5}
+    """Offline scorer: every word of six letters or more of the question must occur."""
+    asked = {w for w in _WORD.findall(question.lower()) if len(w) >= 6}
     return texts.map(lambda t: bool(asked) and asked <= set(_WORD.findall((t or "").lower())))
 
 
