@@ -90,7 +90,7 @@ def compare_windows(
     kept = df.filter(F.col(ts) > ref - F.expr(f"INTERVAL {history}")).withColumn(
         "__w", F.when(F.col(ts) > ref - F.expr(f"INTERVAL {current}"), "current").otherwise("prior")
     )
-    aggs = [F.avg(m).alias(f"avg_{m}") for m in measures] + [F.count("*").alias("rows")]
+    aggs = [F.avg(m).alias(f"avg_{m}") for m in measures] + [F.count(F.lit(1)).alias("rows")]
     wide = pivot(kept, keys, "__w", ["current", "prior"], aggs)
     return wide.withColumns({f"{m}_trend": trend_label(F.col(f"current_avg_{m}"), F.col(f"prior_avg_{m}")) for m in measures})
 
@@ -133,7 +133,7 @@ def envelope(df: DataFrame, keys: list[str], ts: str, maxes: list[str]) -> DataF
     return spans.withColumn("minutes", F.timestamp_diff("MINUTE", "started", "ended"))
 
 
-def customer_profile(lines: DataFrame, customer: str, amount: Column, product: str, category: str) -> DataFrame:
+def customer_profile(lines: DataFrame, customer: str, amount: Column, product: str, category: str, digits: int = 2) -> DataFrame:
     """Spend, average ticket, count, and favourite product and category per customer.
 
     Lines are read once into customer and product counts; the three answers roll up from those.
@@ -141,7 +141,7 @@ def customer_profile(lines: DataFrame, customer: str, amount: Column, product: s
     base = lines.groupBy(customer, product, category).agg(F.sum(amount).alias("spend"), F.count("*").alias("n"))
     spend = base.groupBy(customer).agg(
         F.round(F.sum("spend"), 2).alias("total_spend"),
-        F.round(F.sum("spend") / F.sum("n"), 2).alias("average_ticket"),
+        F.round(F.sum("spend") / F.sum("n"), digits).alias("average_ticket"),
         F.sum("n").alias("transactions"),
     )
 

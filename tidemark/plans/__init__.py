@@ -1,6 +1,6 @@
 """Registered queries, one module per family."""
 
 from tidemark.plans.registry import ORACLES, QUERIES
-from tidemark.plans import aggregates, joins, projections, scans, sinks  # noqa: F401
+from tidemark.plans import aggregates, joins, projections, scalars, scans, sinks  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

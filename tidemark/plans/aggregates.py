@@ -121,7 +121,7 @@ SELECT event_type, ROUND(AVG(value) FILTER (ts >= '2024-01-16'), 6) AS late_aver
 def pivot_many(t):
     half = F.when(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"), "late").otherwise("early")
     return ag.pivot(t.events.withColumn("half", half), ["event_type"], "half", ["late", "early"], [
-        F.round(F.avg("value"), 6).alias("average"), F.count("*").alias("n")])
+        F.round(F.avg("value"), 6).alias("average"), F.count(F.lit(1)).alias("n")])
 
 
 def trend_sql(cur, prior):
@@ -184,7 +184,7 @@ def envelope(t):
 
 @query("ag18_customer_profile", """
 WITH l AS (SELECT o_custkey, l_extendedprice * l_quantity AS amount, l_partkey, p_type FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey),
-a AS (SELECT o_custkey, ROUND(SUM(amount), 2) AS total_spend, ROUND(AVG(amount), 2) AS average_ticket, COUNT(*) AS transactions FROM l GROUP BY 1),
+a AS (SELECT o_custkey, ROUND(SUM(amount), 2) AS total_spend, ROUND(AVG(amount), 8) AS average_ticket, COUNT(*) AS transactions FROM l GROUP BY 1),
 p AS (SELECT o_custkey, l_partkey FROM l GROUP BY 1, 2 QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY COUNT(*) DESC, l_partkey) = 1),
 c AS (SELECT o_custkey, p_type FROM l GROUP BY 1, 2 QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY COUNT(*) DESC, p_type) = 1)
 SELECT c_custkey, c_name, total_spend, average_ticket, transactions, p.l_partkey AS favorite_product, c.p_type AS favorite_category
@@ -192,7 +192,7 @@ FROM customer LEFT JOIN a ON a.o_custkey = c_custkey LEFT JOIN p ON p.o_custkey
 """)
 def customer_profile(t):
     lines = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    prof = ag.customer_profile(lines.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", F.col("l_extendedprice") * F.col("l_quantity"), "l_partkey", "p_type")
+    prof = ag.customer_profile(lines.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", F.col("l_extendedprice") * F.col("l_quantity"), "l_partkey", "p_type", digits=8)
     return t.customer.select("c_custkey", "c_name").join(prof, "c_custkey", "left")
 
 

@@ -82,7 +82,7 @@ def dimension_twice(t):
 
 
 @query("jn06_interval_load", """
-WITH job AS (SELECT event_type, event_id, epoch(ts)::BIGINT // 60 AS lo, epoch(ts)::BIGINT // 60 + 5 + (value::BIGINT % 60) AS hi, value FROM events)
+WITH job AS (SELECT event_type, event_id, epoch(ts)::BIGINT // 60 AS lo, epoch(ts)::BIGINT // 60 + 5 + (floor(value + 0.5)::BIGINT % 60) AS hi, value FROM events)
 SELECT event_type, m.minute AS minute, COUNT(*)::BIGINT AS active, SUM(value::DECIMAL(28,6))::DOUBLE AS load
 FROM job, (SELECT unnest(generate_series(epoch((SELECT MIN(ts) FROM events))::BIGINT // 60, epoch((SELECT MAX(ts) FROM events))::BIGINT // 60 + 100)) AS minute) m
 WHERE m.minute BETWEEN lo AND hi GROUP BY 1, 2
