@@ -82,9 +82,9 @@ def dimension_twice(t):
 
 
 @query("jn06_interval_load", """
-WITH job AS (SELECT event_type, event_id, epoch(ts)::BIGINT // 60 AS lo, epoch(ts)::BIGINT // 60 + 5 + (floor(value + 0.5)::BIGINT % 60) AS hi, value FROM events)
+WITH job AS (SELECT event_type, event_id, epoch_us(ts) // 60000000 AS lo, epoch_us(ts) // 60000000 + 5 + (floor(value + 0.5)::BIGINT % 60) AS hi, value FROM events)
 SELECT event_type, m.minute AS minute, COUNT(*)::BIGINT AS active, SUM(value::DECIMAL(28,6))::DOUBLE AS load
-FROM job, (SELECT unnest(generate_series(epoch((SELECT MIN(ts) FROM events))::BIGINT // 60, epoch((SELECT MAX(ts) FROM events))::BIGINT // 60 + 100)) AS minute) m
+FROM job, (SELECT unnest(generate_series(epoch_us((SELECT MIN(ts) FROM events)) // 60000000, epoch_us((SELECT MAX(ts) FROM events)) // 60000000 + 100)) AS minute) m
 WHERE m.minute BETWEEN lo AND hi GROUP BY 1, 2
 """)
 def interval_load(t):
@@ -146,10 +146,10 @@ def supply_gap(t):
     return j.supply_gap(demand, supply, ["center", "product"], "day", "qty", 20)
 
 
-POINT_SQL = "30 + (user_id % 97) * 0.17 AS lat, -100 + (user_id % 89) * 0.23 AS lon"
+POINT_SQL = "30 + (user_id % 97) * 0.17::DOUBLE AS lat, -100 + (user_id % 89) * 0.23::DOUBLE AS lon"
 NEAREST_SQL = f"""
 WITH l AS (SELECT event_id, {POINT_SQL} FROM events),
-r AS (SELECT s_suppkey, 29.5 + (s_suppkey % 31) * 0.61 AS rlat, -101 + (s_suppkey % 37) * 0.67 AS rlon FROM supplier),
+r AS (SELECT s_suppkey, 29.5::DOUBLE + (s_suppkey % 31) * 0.61::DOUBLE AS rlat, -101 + (s_suppkey % 37) * 0.67::DOUBLE AS rlon FROM supplier),
 p AS (SELECT lat, lon, s_suppkey, 2 * 6371010.0 * asin(least(1, sqrt(pow(sin(radians(rlat - lat) / 2), 2) + cos(radians(lat)) * cos(radians(rlat)) * pow(sin(radians(rlon - lon) / 2), 2)))) AS m
       FROM (SELECT DISTINCT lat, lon FROM l), r),
 b AS (SELECT lat, lon, s_suppkey, m FROM p WHERE m <= 100000 QUALIFY ROW_NUMBER() OVER (PARTITION BY lat, lon ORDER BY m, s_suppkey) = 1)

@@ -64,7 +64,7 @@ def s8(t):
 
 @query("fn_s9_money_text", "SELECT o_orderkey, '$' || format('{:,}', floor(o_totalprice)::BIGINT) AS money FROM orders")
 def s9(t):
-    return t.orders.select("o_orderkey", F.trim(F.to_char(F.floor("o_totalprice"), F.lit("$9,999,999,999"))).alias("money"))
+    return t.orders.select("o_orderkey", F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0)).alias("money"))
 
 
 @query("fn_s10_repeat_join", "SELECT n_regionkey, repeat('=', COUNT(*)::INT) AS bar, array_to_string(list_sort(list(n_name)), ', ') AS names FROM nation GROUP BY 1")

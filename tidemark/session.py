@@ -35,6 +35,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self._folder}/{name}.parquet"
 
+    def stream_path(self, name: str) -> str:
+        """The same path as a pattern: a stream source takes a folder or a pattern, not one file."""
+        return f"{self._folder}/{name}.parque[t]"
+
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(self.path(name))
 

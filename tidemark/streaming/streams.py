@@ -46,10 +46,11 @@ def tumble(
     """Aggregates per fixed time bucket. On a stream a watermark bounds the state; rows later than it are dropped."""
     if watermark is None and not df.isStreaming:
         return df.groupBy(bucket_start(F.col(ts), seconds, zone).alias("bucket"), *keys).agg(*aggs)
-    src = df.withWatermark(ts, watermark or "0 seconds")
-    w = F.window(ts, f"{seconds} seconds")
-    out = src.groupBy(w.alias("__w"), *keys).agg(*aggs)
-    local = F.col("__w.start") if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("__w.start"))
+    # event time must be a TIMESTAMP; zone-less times are cast there and back in the session's zone
+    src = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark or "0 seconds")
+    out = src.groupBy(F.window(ts, f"{seconds} seconds").alias("__w"), *keys).agg(*aggs)
+    start = F.col("__w.start").cast("timestamp_ntz")
+    local = start if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), start)
     return out.withColumn("bucket", local).select("bucket", *[c for c in out.columns if c != "__w"])
 
 
