@@ -77,12 +77,12 @@ def previous_value(df: DataFrame, keys: list[str], order_by: str, name: str) ->
     cut = _blocks(df, [F.col(c) for c in [*keys, order_by]], "lagged")
     last = cut.groupBy(_BLOCK, *keys).agg(F.max(order_by).alias("__last"))
     by_key = Window.partitionBy(*keys).orderBy(_BLOCK)
-    carried = last.select(_BLOCK, *keys, F.lag("__last").over(by_key).alias("__prev")).filter("__prev IS NOT NULL")
+    carried = last.select(_BLOCK, *keys, F.lag("__last").over(by_key).alias("__carry")).filter("__carry IS NOT NULL")
     inside = Window.partitionBy(_BLOCK, *keys).orderBy(order_by)
     lagged = cut.withColumn(name, F.lag(order_by).over(inside))
     joined = lagged.join(F.broadcast(carried), _same(lagged, carried, [_BLOCK, *keys]), "left")
     return joined.select(
-        *[lagged[c] for c in df.columns], F.coalesce(lagged[name], F.col("__prev")).alias(name)
+        *[lagged[c] for c in df.columns], F.coalesce(lagged[name], F.col("__carry")).alias(name)
     )
 
 

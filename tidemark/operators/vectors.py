@@ -142,7 +142,7 @@ def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec, n_queries: i
     q = (
         queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv")).filter("__qv IS NOT NULL")
         .withColumn("__s", F.pmod(F.xxhash64("__qid"), F.lit(shares)).cast("int"))
-        .withColumn("__p", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("long"))
+        .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
     )
     return _meet(b, q, ["__p", "__s"], k, kind, _schema(queries, q_id, base, b_id), ("__bid", "__bv", "__qid", "__qv"))
 
@@ -178,7 +178,7 @@ def probe_search(
         "__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
     q = (
         queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"), F.explode(nearest).alias("list_id"))
-        .withColumn("__p", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).cast("long"))
+        .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
     )
     near = _meet(b, q, ["list_id", "__p"], k, kind, _schema(queries, q_id, indexed, b_id), ("__bid", "__bv", "__qid", "__qv"))
     return top_per_group(near, ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
@@ -193,7 +193,7 @@ def match_top(near: DataFrame, left_key: str, name: str) -> DataFrame:
 def similar_split(base: DataFrame, vec: str, query: list[float], threshold: float, labels: tuple[str, str], kind: str = "cosine") -> DataFrame:
     """Label rows by whether they are nearer to one query vector than a threshold."""
     gap = distance(F.col(vec), F.array(*[F.lit(float(x)) for x in query]), kind)
-    return base.withColumn("distance", gap).withColumn("similar", F.when(gap < threshold, labels[0]).otherwise(labels[1]))
+    return base.withColumn("distance", gap).withColumn("side", F.when(gap < threshold, labels[0]).otherwise(labels[1]))
 
 
 def fit_embedder(df: DataFrame, col: str, size: int = 256) -> PipelineModel:

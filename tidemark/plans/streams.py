@@ -130,9 +130,9 @@ def streamed_trips(t):
     return trips.withColumns({"start_zone": F.col("start_event_id") % 25, "end_zone": F.col("end_event_id") % 25})
 
 
-@query("st08_trip_columns", f"SELECT user_id, day, start_ts, end_ts, minutes, amount, ROUND(distance, 4) AS distance FROM ({TRIPS_SQL})")
+@query("st08_trip_columns", f"SELECT user_id, day, start_ts, end_ts, minutes, amount, distance FROM ({TRIPS_SQL})")
 def trip_columns(t):
-    return streamed_trips(t).select("user_id", "day", "start_ts", "end_ts", "minutes", "amount", F.round("distance", 4).alias("distance"))
+    return streamed_trips(t).select("user_id", "day", "start_ts", "end_ts", "minutes", "amount", "distance")
 
 
 @query("st09_dashboard", f"""
