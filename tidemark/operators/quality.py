@@ -185,14 +185,14 @@ def luhn_ok(number: Column) -> Column:
 
 def scan_sensitive(df: DataFrame, key: str, cols: list[str], kinds: list[str]) -> DataFrame:
     """One row per finding: column, kind and quote. Card numbers must pass their checksum."""
-    found = []
-    for c in cols:
-        for kind in kinds:
-            hits = F.regexp_extract_all(F.col(c), F.lit(SENSITIVE[kind]), F.lit(0))
-            if kind == "CREDIT_CARD_NUMBER":
-                hits = F.filter(hits, luhn_ok)
-            found.append(F.transform(hits, lambda q, c=c, kind=kind: F.struct(
-                F.lit(c).alias("column_name"), F.lit(kind).alias("info_type"), q.alias("quote"))))
+    def findings(c: str, kind: str) -> Column:
+        hits = F.regexp_extract_all(F.col(c), F.lit(SENSITIVE[kind]), F.lit(0))
+        if kind == "CREDIT_CARD_NUMBER":
+            hits = F.filter(hits, luhn_ok)
+        named = [F.lit(c).alias("column_name"), F.lit(kind).alias("info_type")]
+        return F.transform(hits, lambda q: F.struct(*named, q.alias("quote")))
+
+    found = [findings(c, kind) for c in cols for kind in kinds]
     empty = F.array().cast("array<struct<column_name:string,info_type:string,quote:string>>")
     rows = F.flatten(F.array(*[F.coalesce(f, empty) for f in found]))
     return df.select(key, F.explode(rows).alias("f")).select(key, "f.*")
