@@ -156,16 +156,38 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: str = "
 
 
 def build_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Inverted index as rows ``(token, key)``, not as one list per token: a common token then
-    spreads over many files. Write it with ``write_clustered(index, path, ["token", key])``."""
-    words = F.array_distinct(F.flatten(F.array(*[F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")) for c in cols])))
+    """Inverted index as rows ``(token, key)``, not as one list per token, so a common token may
+    spread over many tasks and files."""
+    empty = F.array().cast("array<string>")
+    words = F.array_distinct(F.flatten(F.array(*[F.coalesce(tokens(F.col(c)), empty) for c in cols])))
     return df.select(F.explode(words).alias("token"), F.col(key))
 
 
-def index_lookup(index: DataFrame, key: str, term: str) -> DataFrame:
-    """Keys of the rows that hold every token of ``term``; the token filter reaches the index scan."""
-    words = sorted(set(_terms(term)))
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def write_index(index: DataFrame, path: str, buckets: int) -> str:
+    """Write an index into token buckets, sorted by token inside each file.
+
+    Rows are gathered by bucket; AQE cuts the bucket of a common token into several files.
+    """
+    tagged = index.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
+    tagged.sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(path)
+    return path
+
+
+def index_lookup(index: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
+    """Keys of the rows that hold every token of ``term``.
+
+    With ``buckets`` only the folders of the words are read; inside them the token filter skips
+    row groups.
+    """
+    spark, words = index.sparkSession, sorted(set(_terms(term)))
     hits = index.filter(F.col("token").isin(words))
+    if buckets:
+        at = spark.createDataFrame([(w,) for w in words], "w string").select(_bucket(F.col("w"), buckets)).collect()
+        hits = hits.filter(F.col("bucket").isin([r[0] for r in at]))
     if len(words) == 1:
         return hits.select(key)
     return hits.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") == len(words)).select(key)

@@ -100,12 +100,12 @@ def explain(model: PipelineModel, df: DataFrame, key: str, top_n: int) -> DataFr
     meta = out.schema["features"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in meta.values() for a in group}
     coefs = learner.coefficients.toArray()
+    # the leading field sorts the largest share first without a comparator function
     parts = F.array(*[
-        F.struct(F.lit(names[i]).alias("feature"), (F.col("__f")[i] * F.lit(float(coefs[i]))).alias("attribution"))
-        for i in range(len(coefs))
+        F.struct((-F.abs(share)).alias("order"), F.lit(names[i]).alias("feature"), share.alias("attribution"))
+        for i, share in ((i, F.col("__f")[i] * F.lit(float(c))) for i, c in enumerate(coefs))
     ])
-    ranked = F.slice(F.array_sort(parts, lambda a, b: F.when(F.abs(a["attribution"]) > F.abs(b["attribution"]), -1)
-                                  .when(F.abs(a["attribution"]) < F.abs(b["attribution"]), 1).otherwise(0)), 1, top_n)
+    ranked = F.slice(F.array_sort(parts), 1, top_n)
     rows = out.withColumn("__f", vector_to_array("features")).select(key, F.posexplode(ranked).alias("rank", "p"))
     return rows.select(key, (F.col("rank") + 1).alias("rank"), "p.feature", "p.attribution")
 

@@ -229,8 +229,10 @@ def distinct_values(tables: dict[str, DataFrame]) -> DataFrame:
     return out.filter("text_content IS NOT NULL").distinct()
 
 
-def best_column(meta: DataFrame, vec: str, query: list[float], k: int = 1) -> DataFrame:
-    """The ``k`` column values nearest to a search text's embedding."""
-    gap = distance(F.col(vec), F.array(*[F.lit(float(x)) for x in query]), "cosine")
-    scored = meta.select("table_name", "column_name", "text_content", F.round(gap, 6).alias("distance"))
-    return scored.orderBy("distance", "table_name", "column_name", "text_content").limit(k)
+def best_column(meta: DataFrame, probe: DataFrame, vec: str, k: int = 1) -> DataFrame:
+    """The ``k`` column values nearest to a search text; ``probe`` is its one embedded row."""
+    place = F.to_json(F.struct("table_name", "column_name", "text_content"))
+    named = meta.select(place.alias("base_id"), vec)
+    near = vector_search(named, probe.select(F.lit(0).alias("query_id"), F.col(vec).alias("q")), k, "cosine", b_vec=vec, q_vec="q")
+    back = F.from_json("base_id", "table_name string, column_name string, text_content string")
+    return near.select(back.alias("m"), F.round("distance", 6).alias("distance"), "rank").select("m.*", "distance", "rank")

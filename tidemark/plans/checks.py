@@ -23,14 +23,14 @@ def _num(table, cols, other=()):
     ["l_returnflag", "l_linestatus", "l_shipdate"]))
 def column_profile(t):
     """The exact part of the profile; its estimates are tested for their error bounds."""
-    prof = q.profile(t.lineitem)
+    prof = q.profile(t.split("lineitem"))
     return prof.select("column_name", "row_count", "null_count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
                        F.col("min_value").try_cast("double").alias("lowest"), F.col("max_value").try_cast("double").alias("highest"))
 
 
 @query("dq01_estimates")
 def profile_estimates(t):
-    return q.profile(t.orders).select("column_name", "distinct_estimate", "quartiles")
+    return q.profile(t.split("orders")).select("column_name", "distinct_estimate", "quartiles")
 
 
 _TOP_COLS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
@@ -176,7 +176,7 @@ def table_condition(t):
 
 @query("dq12_recommend_rules")
 def recommend_rules(t):
-    return q.recommend_rules(q.profile(t.orders))
+    return q.recommend_rules(q.profile(t.split("orders")))
 
 
 @query("dq13_quarantine_repair", """
@@ -204,7 +204,7 @@ FINDINGS_SQL = " UNION ALL ".join(_found(k, f"WHERE {_luhn('quote')}" if k == "C
 
 @query("dq14_sensitive_scan", FINDINGS_SQL)
 def sensitive_scan(t):
-    return q.scan_sensitive(t.documents, "doc_id", ["text"], _KINDS)
+    return q.scan_sensitive(t.split("documents"), "doc_id", ["text"], _KINDS)
 
 
 @query("dq14_name_scan", r"""
@@ -215,7 +215,7 @@ SELECT doc_id, 'text' AS column_name, 'PERSON_NAME' AS info_type, name AS quote
 def name_scan(t):
     """Dictionary words: here the first words of the benchmark texts."""
     names = t.benchmark.select(F.regexp_extract("text", r"^\p{L}+", 0).alias("name"))
-    return q.scan_names(t.documents, "doc_id", "text", names, "name")
+    return q.scan_names(t.split("documents"), "doc_id", "text", names, "name")
 
 
 def people(t):
@@ -311,5 +311,5 @@ def anonymize_table(t):
 SELECT column_name, info_type, MAX(doc_id) AS doc_id FROM ({FINDINGS_SQL}) GROUP BY 1, 2
 """)
 def latest_findings(t):
-    found = q.scan_sensitive(t.documents, "doc_id", ["text"], _KINDS)
+    found = q.scan_sensitive(t.split("documents"), "doc_id", ["text"], _KINDS)
     return q.latest_findings(found, ["column_name", "info_type"], [F.desc("doc_id"), F.asc("quote")]).select("column_name", "info_type", "doc_id")

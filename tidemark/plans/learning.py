@@ -11,7 +11,7 @@ from tidemark.sources.readers import latest_by
 
 
 def priced_lines(t):
-    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return t.split("lineitem").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", "l_returnflag", "p_type", "l_quantity", "p_retailprice", "l_extendedprice")
 
 
@@ -81,7 +81,7 @@ def roc_auc(t):
 @query("ml03_kmeans")
 def kmeans(t):
     features = ["l_quantity", "price"]
-    rows = t.lineitem.select("l_orderkey", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
+    rows = t.split("lineitem").select("l_orderkey", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
     model = m.train_kmeans(rows, features, 5)
     centroids = [c.tolist() for c in model.stages[-1].clusterCenters()]
     near = m.nearest_centroid(rows, centroids, features)
@@ -290,7 +290,7 @@ def distinct_values(t):
 
 @query("vs08_text_embedding")
 def text_embedding(t):
-    docs = t.documents.select("doc_id", "text")
+    docs = t.split("documents").select("doc_id", "text")
     return v.embed(docs, "text", v.fit_embedder(docs, "text")).select("doc_id", "embedding")
 
 
@@ -298,10 +298,9 @@ def text_embedding(t):
 def best_column(t):
     """The column that holds the value nearest to a search text."""
     values = v.distinct_values(named_tables(t))
-    model = v.fit_embedder(values, "text_content", 4096)
-    meta = v.embed(values, "text_content", model)
-    probe = v.embed(spark_of(t).createDataFrame([("machinery",)], "text string"), "text", model).first()["embedding"]
-    return v.best_column(meta, "embedding", probe, 3)
+    model = v.fit_embedder(values, "text_content")
+    probe = v.embed(spark_of(t).createDataFrame([("machinery",)], "text string"), "text", model)
+    return v.best_column(v.embed(values, "text_content", model), probe, "embedding", 3)
 
 
 # --- text ------------------------------------------------------------------------------------
@@ -323,8 +322,8 @@ WITH d AS (SELECT lang, {SENTIMENT_SQL} AS sentiment FROM documents) SELECT lang
 def text_inference(t):
     """Scored in two runs; the second takes only what the first left, and answers stay raw JSON until counted."""
     scorer = tx.lexicon_scorer(set(POSITIVE), set(NEGATIVE))
-    first = materialize(tx.infer_text(t.documents.filter("lang = 'en'"), "doc_id", "text", scorer), "scored")
-    rest = tx.infer_text(t.documents, "doc_id", "text", scorer, done=first)
+    first = materialize(tx.infer_text(t.split("documents").filter("lang = 'en'"), "doc_id", "text", scorer), "scored")
+    rest = tx.infer_text(t.split("documents"), "doc_id", "text", scorer, done=first)
     answers = first.unionByName(rest).withColumn("sentiment", F.get_json_object("raw", "$.sentiment"))
     return answers.join(t.documents.select("doc_id", "lang"), "doc_id").groupBy("lang", "sentiment").agg(F.count("*").alias("n"))
 
@@ -332,7 +331,7 @@ def text_inference(t):
 @query("tx02_classify")
 def classify(t):
     scorer = tx.keyword_scorer({"legal": {"license", "copyright"}, "contact": {"example", "mail"}, "plain": {"the", "de", "la", "der"}}, "other")
-    return tx.classify(t.documents, "text", scorer).groupBy("category", "lang").agg(F.count("*").alias("n"))
+    return tx.classify(t.split("documents"), "text", scorer).groupBy("category", "lang").agg(F.count("*").alias("n"))
 
 
 @query("tx03_build_prompt", """
@@ -353,7 +352,7 @@ c AS (SELECT doc_id, w, unnest(range(0, len(w), 100)) AS pos FROM w)
 SELECT doc_id, (pos // 100)::INT AS chunk_id, array_to_string(w[pos + 1 : pos + 100], ' ') AS content FROM c
 """)
 def chunk_documents(t):
-    return tx.chunk(t.documents, "doc_id", "text", 100)
+    return tx.chunk(t.split("documents"), "doc_id", "text", 100)
 
 
 @query("tx05_label_rollup", f"""

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import semantics as sem
 from tidemark.functions.search import search_columns
 from tidemark.operators import aggregates as ag, relational as rel
-from tidemark.operators.joins import build_index, index_lookup
+from tidemark.operators.joins import build_index, index_lookup, write_index
 from tidemark.operators.ordered import batch_slice
 from tidemark.operators.text import filter_by_question, keyword_answer
 from tidemark.plans.registry import query, spark_of
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_table
-from tidemark.sources.tables import write_clustered, write_table
+from tidemark.sources.tables import write_table
 
 
 @query("prj01_cast_rename", """
@@ -206,7 +206,7 @@ UNION ALL SELECT 'whole_row', COUNT(*) FROM documents WHERE list_contains({_TOKE
 """)
 def token_search(t):
     """Six forms of search, counted in one scan."""
-    d = t.documents
+    d = t.split("documents")
     modes = {
         "log": search_columns(d, ["text"], "license"), "all_words": search_columns(d, ["text"], "the with"),
         "phrase": search_columns(d, ["text"], "`of the`"), "exact": search_columns(d, ["source"], "src7", "no_op"),
@@ -220,10 +220,10 @@ def token_search(t):
 SELECT doc_id, lang, source FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'the') AND list_contains({_TOKENS.format(c='text')}, 'with')
 """)
 def index_search(t):
-    """Index written sorted by token; the lookup reads a few row groups, then semi-joins the documents."""
+    """The index is written in token buckets; the lookup reads the buckets of its words, then semi-joins the documents."""
     spark = spark_of(t)
-    path = write_clustered(build_index(t.documents, "doc_id", ["text"]), scratch_path(spark, "index"), ["token", "doc_id"])
-    hits = index_lookup(read_table(spark, path), "doc_id", "the with")
+    path = write_index(build_index(t.split("documents"), "doc_id", ["text"]), scratch_path(spark, "index"), 32)
+    hits = index_lookup(read_table(spark, path), "doc_id", "the with", 32)
     return t.documents.join(hits, "doc_id", "left_semi").select("doc_id", "lang", "source")
 
 
@@ -234,7 +234,7 @@ def regex_match(t):
 
 @query("flt08_question_filter")
 def question_filter(t):
-    return filter_by_question(t.documents, "text", "Is it about a license?", keyword_answer)
+    return filter_by_question(t.split("documents"), "text", "Is it about a license?", keyword_answer)
 
 
 @query("flt09_partition_lookup", """
