@@ -35,7 +35,7 @@ def profile(df: DataFrame, sample_pct: float = 100.0, seed: int = 42) -> DataFra
         num = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
         aggs += [
             F.count_if(F.col(c).isNull()).alias(f"{c}__null_count"),
-            F.approx_count_distinct(c).alias(f"{c}__distinct_estimate"),
+            F.approx_count_distinct(c, 0.02).alias(f"{c}__distinct_estimate"),
             F.min(c).cast("string").alias(f"{c}__min_value"),
             F.max(c).cast("string").alias(f"{c}__max_value"),
             F.avg(num).alias(f"{c}__mean"),
@@ -64,7 +64,7 @@ def recommend_rules(prof: DataFrame) -> DataFrame:
     """Rules a profile supports: not-null, unique and range."""
     rules = F.array_compact(F.array(
         F.when(F.col("null_count") == 0, F.concat(F.col("column_name"), F.lit(" IS NOT NULL"))),
-        F.when(F.col("distinct_estimate") >= F.col("row_count") * 0.95, F.concat(F.lit("unique("), "column_name", F.lit(")"))),
+        F.when(F.col("distinct_estimate") >= F.col("row_count") * 0.94, F.concat(F.lit("unique("), "column_name", F.lit(")"))),
         F.when(F.col("mean").isNotNull(), F.concat_ws("", "column_name", F.lit(" BETWEEN "), "min_value", F.lit(" AND "), "max_value")),
     ))
     return prof.select("column_name", F.explode(rules).alias("rule"))
