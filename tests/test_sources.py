@@ -40,7 +40,11 @@ def test_failed_transaction_is_never_visible(spark, t):
 def test_incremental_run_checks_and_is_idempotent(spark, t):
     src = t.events.select("event_id", "ts", "value")
     first = ch.run_incremental(src, None, ["event_id"], "ts", "1 hour", {"positive": "value >= 0"})
-    assert ch.run_incremental(src, first, ["event_id"], "ts", "1 hour", {}).count() == src.count()
+    assert first.count() == src.count()
+    assert ch.run_incremental(src, first, ["event_id"], "ts", "1 hour", {}).count() == 0
+    half = src.filter("ts < TIMESTAMP_NTZ'2024-01-15'")
+    more = ch.run_incremental(src, half, ["event_id"], "ts", "1 hour", {})
+    assert half.count() + more.count() == src.count() and more.join(half, "event_id").count() == 0
     with pytest.raises(ValueError, match="small"):
         ch.run_incremental(src, None, ["event_id"], "ts", "1 hour", {"small": "value < 1"})
 

@@ -33,11 +33,13 @@ def matches(col: Column, term: str, analyzer: str = "log") -> Column:
     words = _terms(term.strip("`"))
     if not words:
         return F.lit(False)
-    found = tokens(col)
+    # a plain substring test first: only texts that pass it are cut into tokens
+    low, found = F.lower(col), tokens(col)
+    likely = reduce(lambda a, b: a & b, (F.contains(low, F.lit(w)) for w in words))
     if phrase:
         glued = F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
-        return F.contains(glued, F.lit(" " + " ".join(words) + " "))
-    return reduce(lambda a, b: a & b, (F.array_contains(found, w) for w in words))
+        return likely & F.contains(glued, F.lit(" " + " ".join(words) + " "))
+    return likely & reduce(lambda a, b: a & b, (F.array_contains(found, w) for w in words))
 
 
 def search_columns(df: DataFrame, cols: list[str] | None, term: str, analyzer: str = "log") -> Column:

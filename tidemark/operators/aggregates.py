@@ -91,7 +91,8 @@ def compare_windows(
         "__w", F.when(F.col(ts) > ref - F.expr(f"INTERVAL {current}"), "current").otherwise("prior")
     )
     aggs = [F.avg(m).alias(f"avg_{m}") for m in measures] + [F.count(F.lit(1)).alias("rows")]
-    wide = pivot(kept, keys, "__w", ["current", "prior"], aggs)
+    # a window without rows counts zero, not NULL
+    wide = pivot(kept, keys, "__w", ["current", "prior"], aggs).fillna(0, ["current_rows", "prior_rows"])
     return wide.withColumns({f"{m}_trend": trend_label(F.col(f"current_avg_{m}"), F.col(f"prior_avg_{m}")) for m in measures})
 
 

@@ -145,14 +145,21 @@ def nearest_centroid(df: DataFrame, centroids: list[list[float]], features: list
 def detect_anomalies(df: DataFrame, centroids: list[list[float]], features: list[str], contamination: float, key: str) -> DataFrame:
     """Distance over the mean distance of its cluster; the top ``contamination`` share is flagged.
 
-    The cut is exact: rows are ranked by a distributed range sort, equal distances by key.
+    The cut is exact, equal distances going by key. An approximate quantile with a known rank
+    error sets a bar safely below it, and only the rows above that bar are ranked.
     """
     near = nearest_centroid(df, centroids, features)
     means = near.groupBy("centroid_id").agg(F.avg("distance").alias("__mean"))
     norm = near.join(F.broadcast(means), "centroid_id").withColumn("normalized_distance", F.col("distance") / F.col("__mean"))
-    ranked = number_rows(norm.drop("__mean"), [F.desc("normalized_distance"), F.asc(key)], "__rank")
-    cut = F.floor(df.agg(F.count("*")).scalar() * F.lit(contamination))
-    return ranked.withColumn("is_anomaly", F.col("__rank") <= cut).drop("__rank")
+    norm = norm.drop("__mean")
+    # the estimate may be off by 1/10000 of the rows; the bar lies ten times that below the cut
+    quantile = F.percentile_approx("normalized_distance", max(0.0, 1 - contamination - 0.001), 10000)
+    total, bar = norm.agg(F.count("*"), quantile).first()
+    cut = int(total * contamination)
+    above = F.coalesce(F.col("normalized_distance") >= F.lit(bar), F.lit(False))
+    ranked = number_rows(norm.filter(above), [F.desc("normalized_distance"), F.asc(key)], "__rank")
+    flagged = ranked.withColumn("is_anomaly", F.col("__rank") <= cut).drop("__rank")
+    return flagged.unionByName(norm.filter(~above).withColumn("is_anomaly", F.lit(False)))
 
 
 def touch_features(events: DataFrame, user: str, ts: str, horizon: str = "24 HOURS", bounce: str = "10 MINUTES") -> DataFrame:

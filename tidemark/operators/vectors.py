@@ -19,6 +19,8 @@ from tidemark.operators.aggregates import top_per_group
 QUERY_BYTES = 32 << 20
 # Rows of either side one block holds in memory.
 BLOCK_ROWS = 100_000
+# Distances one step computes at a time.
+MATRIX_CELLS = 10_000_000
 _DIGITS = 9
 
 
@@ -62,7 +64,13 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
 
 
 def _best(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
-    """The ``k`` nearest base rows per query; equal distances go to the smaller id."""
+    """The ``k`` nearest base rows per query, a slice of queries at a time to bound the distance matrix."""
+    step = max(1, MATRIX_CELLS // max(len(bid), 1))
+    return pd.concat([_best_slice(qid[i:i + step], q[i:i + step], bid, b, k, kind) for i in range(0, len(qid), step)])
+
+
+def _best_slice(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
+    """One slice; equal distances go to the smaller id."""
     d = np.round(_gaps(q, b, kind), _DIGITS)
     take = min(k, d.shape[1])
     if take < d.shape[1]:
@@ -119,14 +127,7 @@ def _meet(base: DataFrame, queries: DataFrame, groups: list[str], k: int, kind:
     def block(_key, b: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(b) or not len(q):
             return pd.DataFrame({"query_id": [], "base_id": [], "distance": []})
-        parts = []
-        # a slice of queries at a time bounds the distance matrix
-        step = max(1, 20_000_000 // len(b))
-        bm, bid = _matrix(b[b_vec]), b[b_id].to_numpy()
-        for i in range(0, len(q), step):
-            s = q.iloc[i:i + step]
-            parts.append(_best(s[q_id].to_numpy(), _matrix(s[q_vec]), bid, bm, k, kind))
-        return pd.concat(parts)
+        return _best(q[q_id].to_numpy(), _matrix(q[q_vec]), b[b_id].to_numpy(), _matrix(b[b_vec]), k, kind)
 
     return base.groupBy(*groups).cogroup(queries.groupBy(*groups)).applyInPandas(block, schema)
 

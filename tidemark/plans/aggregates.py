@@ -121,7 +121,7 @@ SELECT event_type, ROUND(AVG(value) FILTER (ts >= '2024-01-16'), 6) AS late_aver
 def pivot_many(t):
     half = F.when(F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"), "late").otherwise("early")
     return ag.pivot(t.events.withColumn("half", half), ["event_type"], "half", ["late", "early"], [
-        F.round(F.avg("value"), 6).alias("average"), F.count(F.lit(1)).alias("n")])
+        F.round(F.avg("value"), 6).alias("average"), F.count(F.lit(1)).alias("n")]).fillna(0, ["late_n", "early_n"])
 
 
 def trend_sql(cur, prior):
@@ -206,37 +206,31 @@ def value_counts(t):
     return t.documents.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
 
 
-JOBS_SQL = """
-SELECT o_orderkey AS job_id, o_orderstatus AS project_id, o_orderdate AS started, CASE WHEN o_orderpriority = '1-URGENT' THEN 'reserved' END AS reservation_id,
-       o_totalprice AS bytes_gb, COUNT(*) AS stages, SUM(l_quantity) * 1000 AS slot_ms, MAX(l_quantity * 1000 / (l_linenumber * 100)) AS max_stage_slots, MAX(l_linenumber) AS runnable_units
-FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
-"""
-
-
 def job_log(t):
-    """Orders as jobs with their lines (at most seven numbers) as stages."""
-    stage = F.struct((F.col("l_quantity") * 1000).alias("slot_ms"), F.lit(0).alias("start_ms"), (F.col("l_linenumber") * 100).alias("end_ms"))
-    lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.collect_list(stage).alias("stages"), F.collect_list(F.struct(F.col("l_linenumber").alias("runnable_units"))).alias("timeline"),
-        (F.sum("l_quantity") * 1000).alias("slot_ms"))
-    return t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_orderkey").alias("job_id"), F.col("o_orderstatus").alias("project_id"), F.col("o_orderdate").alias("started"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "reserved").alias("reservation_id"),
-        (F.round("o_totalprice").cast("long") * 1000000000).alias("bytes_billed"), "stages", "timeline", "slot_ms",
-        (F.size("stages") * 60000).alias("duration_ms"))
-
-
-@query("ag21_job_cost", f"""
-SELECT project_id, year(started)::INT AS year, month(started)::INT AS month, COUNT(*) AS jobs,
-       ROUND(SUM(CASE WHEN reservation_id IS NULL THEN floor(bytes_gb + 0.5) * 1000000000 * 0.00000000000568434188608080::DOUBLE ELSE 0 END), 4) AS cost,
-       ROUND(AVG(slot_ms / (stages * 60000)), 6) AS avg_slots, MAX(max_stage_slots) AS max_stage_slots, MAX(runnable_units) AS runnable_units
-FROM ({JOBS_SQL}) GROUP BY 1, 2, 3
+    """Lines as jobs: two stages and two timeline points each, as arrays in the row."""
+    q, n = F.col("l_quantity"), F.col("l_linenumber")
+    stages = F.array(
+        F.struct((q * 1000).alias("slot_ms"), F.lit(0).alias("start_ms"), (n * 100).alias("end_ms")),
+        F.struct((q * 500).alias("slot_ms"), F.lit(100).alias("start_ms"), (F.lit(100) + (F.col("l_partkey") % 50).cast("int")).alias("end_ms")))
+    timeline = F.array(F.struct(n.cast("long").alias("runnable_units")), F.struct((F.col("l_suppkey") % 13).alias("runnable_units")))
+    return t.lineitem.select(
+        F.col("l_returnflag").alias("project_id"), F.col("l_shipdate").alias("started"),
+        F.when(F.col("l_linestatus") == "F", "reserved").alias("reservation_id"),
+        (F.floor("l_extendedprice") * 1000000000).alias("bytes_billed"), (q * 1500).alias("slot_ms"), (n * 60000).alias("duration_ms"),
+        stages.alias("stages"), timeline.alias("timeline"))
+
+
+@query("ag21_job_cost", """
+WITH j AS (SELECT l_returnflag AS project_id, l_shipdate AS started, l_linestatus, floor(l_extendedprice) * 1000000000 * 0.00000000000568434188608080::DOUBLE AS cost,
+  l_quantity * 1500 / (l_linenumber * 60000) AS slots, unnest([{'s': l_quantity * 1000 / (l_linenumber * 100), 'u': l_linenumber::BIGINT}, {'s': l_quantity * 500 / nullif(l_partkey % 50, 0), 'u': l_suppkey % 13}]) AS x FROM lineitem)
+SELECT project_id, year(started)::INT AS year, month(started)::INT AS month, COUNT(*) // 2 AS jobs, ROUND(SUM(CASE WHEN l_linestatus = 'F' THEN 0 ELSE cost END) / 2, 4) AS cost,
+ ROUND(AVG(slots), 10) AS avg_slots, ROUND(MAX(x.s), 6) AS max_stage_slots, MAX(x.u) AS runnable_units FROM j GROUP BY 1, 2, 3
 """)
 def job_cost(t):
     costs = ag.job_cost(job_log(t), "stages", "timeline", "duration_ms")
     return costs.groupBy("project_id", F.year("started").alias("year"), F.month("started").alias("month")).agg(
-        F.count("*").alias("jobs"), F.round(F.sum("cost"), 4).alias("cost"), F.round(F.avg("avg_slots"), 6).alias("avg_slots"),
-        F.max("max_stage_slots").alias("max_stage_slots"), F.max("runnable_units").alias("runnable_units"))
+        F.count("*").alias("jobs"), F.round(F.sum("cost"), 4).alias("cost"), F.round(F.avg("avg_slots"), 10).alias("avg_slots"),
+        F.round(F.max("max_stage_slots"), 6).alias("max_stage_slots"), F.max("runnable_units").alias("runnable_units"))
 
 
 @query("ag22_bar_text", "SELECT o_orderpriority, repeat('$', (COUNT(*) // 1000)::INT + 1) AS bar FROM orders GROUP BY 1")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import Tables
+from tidemark.session import Tables, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query name {name}")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(spark, folder))
+            return fn(Tables(prepare(spark), folder))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

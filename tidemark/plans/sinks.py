@@ -219,9 +219,11 @@ def incremental_model(t):
     spark = spark_of(t)
     src = t.events.select("event_id", "ts", "user_id", "event_type", "value")
     checks = {"value_positive": "value >= 0", "user_known": "user_id IS NOT NULL"}
-    first = ch.run_incremental(src.filter("ts < TIMESTAMP_NTZ'2024-01-15'"), None, ["event_id"], "ts", "2 hours", checks)
-    target = read_table(spark, w.write_table(first, _new(t, "inc")))
-    return ch.run_incremental(src, target, ["event_id"], "ts", "2 hours", checks)
+    path = _new(t, "inc")
+    w.write_table(ch.run_incremental(src.filter("ts < TIMESTAMP_NTZ'2024-01-15'"), None, ["event_id"], "ts", "2 hours", checks), path)
+    more = ch.run_incremental(src, read_table(spark, path), ["event_id"], "ts", "2 hours", checks)
+    w.write_table(more, path, mode="append")
+    return read_table(spark, path)
 
 
 @query("snk17_copy_table", "SELECT * FROM supplier")

@@ -26,11 +26,19 @@ def local_session(cores: str = "8", app: str = "tidemark") -> SparkSession:
     )
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Runtime settings the operators count on: joins split hot keys even where the aggregate after
+    them would reuse their partitioning and keep such a key in one task."""
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, "true")
+    return spark
+
+
 class Tables:
     """Attribute access to the parquet tables of one folder: ``Tables(spark, d).orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder.rstrip("/")
+        self._spark, self._folder, self._read = spark, folder.rstrip("/"), {}
 
     def path(self, name: str) -> str:
         return f"{self._folder}/{name}.parquet"
@@ -44,12 +52,15 @@ class Tables:
 
         Large tables have more tasks than cores and are read as they are, without a shuffle.
         """
-        df = self._spark.read.parquet(self.path(name))
+        df = getattr(self, name)
         cores = self._spark.sparkContext.defaultParallelism
         return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(self.path(name))
+        # one file listing per table and query
+        if name not in self._read:
+            self._read[name] = self._spark.read.parquet(self.path(name))
+        return self._read[name]
 
 
 def scratch_root(spark: SparkSession) -> str:
