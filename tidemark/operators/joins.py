@@ -97,6 +97,18 @@ def match_on(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]
     return a.join(b, names, how).drop(*names)
 
 
+def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """``key NOT IN (SELECT other_key ...)`` with its NULL rules, as a plain anti-join.
+
+    The SQL form always broadcasts the subquery, whatever its size. Here two scalar facts settle
+    the NULL cases and the rest is an equi-join that can shuffle.
+    """
+    facts = other.agg((F.count("*") == 0).alias("empty"), (F.count_if(F.col(other_key).isNull()) > 0).alias("has_null"))
+    empty, has_null = facts.select("empty").scalar(), facts.select("has_null").scalar()
+    known = other.select(F.col(other_key).alias(key)).filter(F.col(key).isNotNull())
+    return df.join(known, key, "left_anti").filter(empty | (F.col(key).isNotNull() & ~has_null))
+
+
 def supply_gap(demand: DataFrame, supply: DataFrame, keys: list[str], day: str, qty: str, max_gap: float) -> DataFrame:
     """Days on which running supply exceeds running demand by at most ``max_gap``."""
     need = running_sum(demand, keys, [day], {qty: "required"}).drop(qty)

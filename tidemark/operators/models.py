@@ -164,8 +164,12 @@ def detect_anomalies(df: DataFrame, centroids: list[list[float]], features: list
 
 def touch_features(events: DataFrame, user: str, ts: str, horizon: str = "24 HOURS", bounce: str = "10 MINUTES") -> DataFrame:
     """First and last touch per user with churn (no touch after the horizon) and bounce labels."""
+    return _touch_labels(events.groupBy(user).agg(F.min(ts).alias("first_touch"), F.max(ts).alias("last_touch")), horizon, bounce)
+
+
+def _touch_labels(touch: DataFrame, horizon: str, bounce: str) -> DataFrame:
     first, last = F.col("first_touch"), F.col("last_touch")
-    return events.groupBy(user).agg(F.min(ts).alias("first_touch"), F.max(ts).alias("last_touch")).withColumns({
+    return touch.withColumns({
         "month": F.month(first), "julianday": F.dayofyear(first), "dayofweek": F.dayofweek(first),
         "horizon_end": first + F.expr(f"INTERVAL {horizon}"),
         "churned": (last < first + F.expr(f"INTERVAL {horizon}")).cast("int"),
@@ -175,12 +179,12 @@ def touch_features(events: DataFrame, user: str, ts: str, horizon: str = "24 HOU
 
 def churn_features(events: DataFrame, user: str, ts: str, event: str, kinds: list[str], demographics: list[str]) -> DataFrame:
     """Training rows: latest demographics, event counts within the first day, and the labels."""
-    touch = touch_features(events, user, ts)
-    early = events.join(touch.select(user, "horizon_end"), user).filter(F.col(ts) <= F.col("horizon_end"))
+    latest = F.max(F.struct(ts, *demographics)).alias("__latest")
+    touch = events.groupBy(user).agg(F.min(ts).alias("first_touch"), F.max(ts).alias("last_touch"), latest)
+    touch = _touch_labels(touch, "24 HOURS", "10 MINUTES").withColumns({c: F.col("__latest")[c] for c in demographics}).drop("__latest")
+    early = events.select(user, ts, event).join(touch.select(user, "horizon_end"), user).filter(F.col(ts) <= F.col("horizon_end"))
     counts = early.groupBy(user).agg(*[F.count_if(F.col(event) == k).alias(f"cnt_{k}") for k in kinds])
-    latest = events.groupBy(user).agg(*[F.max_by(c, ts).alias(c) for c in demographics])
-    joined = touch.join(latest, user).join(counts, user, "left")
-    return joined.fillna(0, [f"cnt_{k}" for k in kinds])
+    return touch.join(counts, user, "left").fillna(0, [f"cnt_{k}" for k in kinds])
 
 
 def infer_granularity(df: DataFrame, ts: str, keys: list[str] = ()) -> DataFrame:

@@ -16,13 +16,13 @@ from tidemark.session import materialize
 _BLOCK = "__block"
 
 
-def _block_count(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _blocks(df: DataFrame, order_by: list[Column], label: str) -> DataFrame:
-    """Range partition id stored with each row; written, so that later passes see the same cut."""
-    ranged = df.repartitionByRange(_block_count(df), *order_by)
+    """Range partition id stored with each row; written, so that later passes see the same cut.
+
+    No count is given: AQE joins neighbouring small ranges, so blocks fit the data, and there are
+    never more of them than shuffle partitions.
+    """
+    ranged = df.repartitionByRange(*order_by)
     return materialize(ranged.withColumn(_BLOCK, F.spark_partition_id()), label)
 
 

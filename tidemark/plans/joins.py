@@ -193,10 +193,9 @@ SELECT 'not_exists' AS form, COUNT(*) AS n FROM customer c WHERE NOT EXISTS (SEL
 UNION ALL SELECT 'not_in', COUNT(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)
 """)
 def anti_join(t):
-    spark = spark_of(t)
     big = t.orders.filter("o_totalprice > 400000")
     not_exists = t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left_anti").agg(F.count("*").alias("n"))
-    not_in = spark.sql("SELECT COUNT(*) AS n FROM {c} WHERE c_custkey NOT IN (SELECT o_custkey FROM {b})", c=t.customer, b=big)
+    not_in = j.not_in(t.customer, "c_custkey", big, "o_custkey").agg(F.count("*").alias("n"))
     return not_exists.withColumn("form", F.lit("not_exists")).unionByName(not_in.withColumn("form", F.lit("not_in")))
 
 

@@ -328,9 +328,15 @@ def text_inference(t):
     return answers.join(t.documents.select("doc_id", "lang"), "doc_id").groupBy("lang", "sentiment").agg(F.count("*").alias("n"))
 
 
-@query("tx02_classify")
+CATEGORIES = {"legal": ["license", "copyright"], "contact": ["example", "mail"], "plain": ["the", "de", "la", "der"]}
+
+
+@query("tx02_classify", f"""
+WITH d AS (SELECT lang, {_hits(CATEGORIES['legal'])} AS a, {_hits(CATEGORIES['contact'])} AS b, {_hits(CATEGORIES['plain'])} AS c FROM documents)
+SELECT lang, CASE WHEN a + b + c = 0 THEN 'other' WHEN a >= b AND a >= c THEN 'legal' WHEN b >= c THEN 'contact' ELSE 'plain' END AS category, COUNT(*) AS n FROM d GROUP BY 1, 2
+""")
 def classify(t):
-    scorer = tx.keyword_scorer({"legal": {"license", "copyright"}, "contact": {"example", "mail"}, "plain": {"the", "de", "la", "der"}}, "other")
+    scorer = tx.keyword_scorer({c: set(w) for c, w in CATEGORIES.items()}, "other")
     return tx.classify(t.split("documents"), "text", scorer).groupBy("category", "lang").agg(F.count("*").alias("n"))
 
 

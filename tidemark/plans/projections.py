@@ -232,9 +232,10 @@ def regex_match(t):
     return t.documents.filter(F.col("text").rlike(r"(?i)(\b|_)license(\b|_)")).select("doc_id")
 
 
-@query("flt08_question_filter")
+@query("flt08_question_filter", f"SELECT doc_id, lang FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'license')")
 def question_filter(t):
-    return filter_by_question(t.split("documents"), "text", "Is it about a license?", keyword_answer)
+    """The offline scorer says yes if the question's long words occur."""
+    return filter_by_question(t.split("documents"), "text", "Is it about a license?", keyword_answer).select("doc_id", "lang")
 
 
 @query("flt09_partition_lookup", """

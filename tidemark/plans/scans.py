@@ -206,15 +206,26 @@ def sample_scan(t):
     return r.sample_rows(t.orders, 10, "o_orderkey").unionByName(r.sample_rows(t.orders, 1))
 
 
-@query("src16_discover_tables")
+_FOUND = [
+    ("customer", "csv", "", 1, "c_custkey", "int"), ("customer", "csv", "", 2, "c_name", "string"), ("customer", "csv", "", 3, "c_nationkey", "int"),
+    ("customer", "csv", "", 4, "c_acctbal", "double"), ("customer", "csv", "", 5, "c_mktsegment", "string"),
+    ("orders", "parquet", "o_orderstatus", 1, "o_orderkey", "bigint"), ("orders", "parquet", "o_orderstatus", 2, "o_custkey", "bigint"),
+    ("orders", "parquet", "o_orderstatus", 3, "o_totalprice", "double"), ("orders", "parquet", "o_orderstatus", 4, "o_orderdate", "timestamp_ntz"),
+    ("orders", "parquet", "o_orderstatus", 5, "o_orderpriority", "string"), ("orders", "parquet", "o_orderstatus", 6, "o_orderstatus", "string"),
+]
+
+
+@query("src16_discover_tables", f"SELECT * FROM (VALUES {', '.join(str(r) for r in _FOUND)}) v(name, format, partition_keys, ordinal, column_name, data_type)")
 def discover(t):
+    """Two folders are written, found again, and described by what the readers infer."""
     spark = spark_of(t)
     root = scratch_path(spark, "lake")
     write_table(t.orders, f"{root}/orders", partition_by=["o_orderstatus"])
     write_table(t.customer, f"{root}/customer", "csv", options={"header": "true"})
     found = r.discover_tables(spark, root)
     pairs = [(x["location"], x["format"]) for x in found.collect()]
-    return found.join(r.infer_catalog(spark, pairs), "location")
+    name = F.regexp_extract("location", "([^/]+)$", 1).alias("name")
+    return found.join(r.infer_catalog(spark, pairs), "location").select(name, "format", "partition_keys", "ordinal", "column_name", "data_type")
 
 
 @query("src17_column_catalog", """

@@ -36,9 +36,12 @@ def compact(spark: SparkSession, src: str, dst: str, files: int) -> str:
 
 
 def write_clustered(df: DataFrame, path: str, cols: list[str], files: int | None = None) -> str:
-    """Write sorted by ``cols`` in ranges, so row-group statistics can skip blocks."""
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return write_table(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols), path)
+    """Write sorted by ``cols`` in ranges, so row-group statistics can skip blocks.
+
+    Without a file count AQE sizes the ranges by the data.
+    """
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    return write_table(ranged.sortWithinPartitions(*cols), path)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
