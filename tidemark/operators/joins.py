@@ -110,11 +110,21 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
 
 
 def supply_gap(demand: DataFrame, supply: DataFrame, keys: list[str], day: str, qty: str, max_gap: float) -> DataFrame:
-    """Days on which running supply exceeds running demand by at most ``max_gap``."""
-    need = running_sum(demand, keys, [day], {qty: "required"}).drop(qty)
-    have = running_sum(supply, keys, [day], {qty: "available"}).drop(qty)
+    """Days with demand and supply on which running supply exceeds running demand by at most ``max_gap``.
+
+    Both sides go through one running sum as two measures, so no join on the day is needed.
+    """
+    def side(df: DataFrame, need: bool) -> DataFrame:
+        amount, zero = F.col(qty), F.lit(0).cast(dict(df.dtypes)[qty])
+        return df.dropna(subset=keys).select(
+            *keys, day, (amount if need else zero).alias("__need"), (zero if need else amount).alias("__have"),
+            F.lit(int(need)).alias("__needs"), F.lit(int(not need)).alias("__haves"))
+
+    measures = {"__need": "required", "__have": "available", "__needs": "__n", "__haves": "__h"}
+    totals = running_sum(side(demand, True).unionByName(side(supply, False)), keys, [day], measures)
     gap = F.col("available") - F.col("required")
-    return need.join(have, [*keys, day]).filter(gap <= max_gap).withColumn("in_stock", gap)
+    both = totals.filter("__needs > 0 AND __haves > 0").filter(gap <= max_gap)
+    return both.select(*keys, day, "required", "available", gap.alias("in_stock"))
 
 
 def nearest(

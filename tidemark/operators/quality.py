@@ -35,7 +35,7 @@ def profile(df: DataFrame, sample_pct: float = 100.0, seed: int = 42) -> DataFra
         num = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
         aggs += [
             F.count_if(F.col(c).isNull()).alias(f"{c}__null_count"),
-            F.approx_count_distinct(c, 0.02).alias(f"{c}__distinct_estimate"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(12))).alias(f"{c}__distinct_estimate"),
             F.min(c).cast("string").alias(f"{c}__min_value"),
             F.max(c).cast("string").alias(f"{c}__max_value"),
             F.avg(num).alias(f"{c}__mean"),

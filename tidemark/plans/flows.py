@@ -82,7 +82,7 @@ FROM h JOIN p USING (l_suppkey) LEFT JOIN s USING (l_suppkey)
 def behaviour_profile(t):
     """Suppliers as drivers, lines as trips: where, when and how steadily they work."""
     trips = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.split("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select(F.col("l_suppkey").alias("driver"), F.timestamp_add("MINUTE", F.col("l_partkey") % 1440, "l_shipdate").cast("timestamp_ntz").alias("ts"),
                 F.col("c_nationkey").alias("pickup"), F.col("p_type").alias("dropoff"), F.col("l_extendedprice").alias("amount"), "n_regionkey")
