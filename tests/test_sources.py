@@ -92,3 +92,15 @@ def test_discovery(spark, t):
     w.write_table(t.nation, f"{root}/nation", "json")
     found = {x.location.rsplit("/", 1)[1]: (x.format, x.partition_keys) for x in r.discover_tables(spark, root).collect()}
     assert found == {"orders": ("parquet", "o_orderstatus"), "nation": ("json", "")}
+
+
+def test_partition_upsert_leaves_other_folders_alone(spark, t):
+    df = t.orders.select("o_orderkey", "o_totalprice", F.lit(1).alias("seq"), "o_orderstatus")
+    path = w.write_table(df, scratch_path(spark, "upsert"), partition_by=["o_orderstatus"])
+    before = set(spark.read.parquet(path).inputFiles())
+    new = df.filter("o_orderstatus = 'F'").limit(5).withColumns({"seq": F.lit(2), "o_totalprice": F.lit(0.0)})
+    new = spark.createDataFrame(new.collect(), new.schema)
+    ch.upsert_partitions(path, new, ["o_orderkey"], ["seq"], "o_orderstatus")
+    after = spark.read.parquet(path)
+    assert {f for f in before if "=F/" not in f} == {f for f in after.inputFiles() if "=F/" not in f}
+    assert after.count() == df.count() and after.filter("seq = 2 AND o_totalprice = 0").count() == 5

@@ -166,19 +166,23 @@ def probe_search(
 
     A long list is cut into pieces that run as tasks of their own.
     """
-    centers = [c.tolist() for c in model.clusterCenters()]
+    centers = np.array(model.clusterCenters())
     probes = max(1, int(round(len(centers) * fraction)))
-    gaps = F.array(*[
-        F.struct(distance(F.col(q_vec), F.array(*[F.lit(x) for x in c]), "euclidean").alias("g"), F.lit(i).alias("list_id"))
-        for i, c in enumerate(centers)
-    ])
-    nearest = F.transform(F.slice(F.array_sort(gaps), 1, probes), lambda s: s["list_id"])
+    types = dict(queries.dtypes)
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf):
+                near = np.argsort(_gaps(_matrix(pdf["__qv"]), centers, "euclidean"), axis=1, kind="stable")[:, :probes]
+                yield pdf.loc[pdf.index.repeat(probes)].assign(list_id=near.ravel().astype("int32"))
+
     longest = indexed.groupBy("list_id").count().agg(F.max("count")).first()[0] or 1
     pieces = max(1, -(-longest // BLOCK_ROWS))
     b = indexed.select("list_id", F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv")).withColumn(
         "__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
     q = (
-        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"), F.explode(nearest).alias("list_id"))
+        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"))
+        .mapInPandas(route, f"__qid {types[q_id]}, __qv {types[q_vec]}, list_id int")
         .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
     )
     near = _meet(b, q, ["list_id", "__p"], k, kind, _schema(queries, q_id, indexed, b_id), ("__bid", "__bv", "__qid", "__qv"))

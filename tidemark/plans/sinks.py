@@ -240,6 +240,19 @@ def keyed_upsert(t):
     return ch.keyed_upsert(current, df.filter("ts >= TIMESTAMP_NTZ'2024-01-10'"), ["user_id"], ["ts", "event_id"])
 
 
+@query("snk18_partition_upsert", """
+SELECT event_id, CASE WHEN event_type = 'error' AND ts >= '2024-01-20' THEN value + 1 ELSE value END AS value, event_type, ts::DATE AS day,
+ CASE WHEN event_type = 'error' AND ts >= '2024-01-20' THEN 2 ELSE 1 END AS seq FROM events
+""")
+def partition_upsert(t):
+    """Corrections of the last days go into a table by day; the folders of earlier days stay as they are."""
+    df = t.events.select("event_id", "value", "event_type", F.lit(1).alias("seq"), F.to_date("ts").alias("day"))
+    path = w.write_table(df, _new(t, "byday"), partition_by=["day"])
+    fixes = df.filter("event_type = 'error' AND day >= DATE'2024-01-20'").withColumns({"value": F.col("value") + 1, "seq": F.lit(2)})
+    ch.upsert_partitions(path, fixes, ["event_id"], ["seq"], "day")
+    return read_table(spark_of(t), path, schema=df.schema)
+
+
 def order_changes(t):
     """Change log on orders: closes finished ones, raises pending ones, drops the urgent, adds copies of the low."""
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]

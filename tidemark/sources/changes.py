@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import materialize
 from tidemark.sources.readers import latest_by
+from tidemark.sources.tables import write_table
 
 
 def keyed_upsert(current: DataFrame, new: DataFrame, keys: list[str], precombine: list[str]) -> DataFrame:
@@ -13,6 +15,19 @@ def keyed_upsert(current: DataFrame, new: DataFrame, keys: list[str], precombine
     return latest_by(both, keys, [F.desc(c) for c in precombine])
 
 
+def upsert_partitions(path: str, new: DataFrame, keys: list[str], precombine: list[str], partition: str) -> None:
+    """Keyed upsert into a hive-partitioned table that rewrites only the partitions ``new`` touches.
+
+    A key stays in its partition. The merged rows are written aside first, as a table cannot be
+    read while its folders are replaced.
+    """
+    spark = new.sparkSession
+    current = spark.read.schema(new.schema).parquet(path)
+    touched = current.join(new.select(partition).distinct(), partition, "left_semi").select(*new.columns)
+    merged = materialize(keyed_upsert(touched, new, keys, precombine), "upsert")
+    write_table(merged, path, partition_by=[partition], options={"partitionOverwriteMode": "dynamic"})
+
+
 def last_change(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Last entry per key of a change log."""
     return latest_by(log, keys, [F.desc(c) for c in order])
