@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-_UNIT_SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
-
 
 def round_to_long(x: Column) -> Column:
     """Float to integer cast that rounds half away from zero (Spark's own cast truncates)."""
@@ -17,11 +15,6 @@ def half_even(x: Column, scale: int) -> Column:
     return F.bround(x.cast("decimal(38,9)"), scale).cast("double")
 
 
-def positive_zero(x: Column) -> Column:
-    """Turn -0.0 into 0.0."""
-    return x + F.lit(0.0)
-
-
 def week_number(ts: Column) -> Column:
     """Week of year counted from the first Sunday, 0 to 53."""
     return F.floor((F.dayofyear(ts) + 7 - F.dayofweek(ts)) / 7).cast("int")
@@ -63,7 +56,3 @@ def round_up_step(x: Column, step: float) -> Column:
     """Round up to the next multiple of ``step``, on exact decimals."""
     per = F.lit(1 / step).cast("decimal(18,6)")
     return (F.ceil(x.cast("decimal(18,6)") * per) / per).cast("double")
-
-
-def unit_seconds(unit: str) -> int:
-    return _UNIT_SECONDS[unit.upper()]

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ordered import number_rows, previous_value
+from tidemark.operators.ordered import number_rows, previous_value, running_sum
 from tidemark.sources.readers import latest_by
 
 
@@ -85,8 +85,6 @@ def evaluate(scored: DataFrame, label: str, probability: str, threshold: float =
 
 def roc_auc(scored: DataFrame, label: str, probability: str) -> DataFrame:
     """Area under the ROC curve from ranks; equal scores count half."""
-    from tidemark.operators.ordered import running_sum
-
     steps = scored.select(F.col(probability).alias("p"), F.col(label).cast("long").alias("pos"), (1 - F.col(label)).cast("long").alias("neg"))
     below = running_sum(steps, [], ["p"], {"neg": "neg_upto", "pos": "pos_upto"})
     wins = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
