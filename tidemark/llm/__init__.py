@@ -1,6 +1,6 @@
 """Operators for large-scale training-data pipelines, with their queries and the SQL they are checked against."""
 
 from tidemark.llm.registry import ORACLES, QUERIES
-from tidemark.llm import quality_rules, sharding, url_filters  # noqa: F401
+from tidemark.llm import packing, quality_rules, sharding, url_filters  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
