@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.arrays import LOWER, U64, mix, prefix_hash, row_of, shingles, signed, span_hash, text_runs, word_spans
+from tidemark.llm.bitmap import bitmap, may_hold
 from tidemark.llm.components import components
 from tidemark.llm.registry import query, task_count
 from tidemark.session import Tables, materialize
@@ -221,7 +222,8 @@ def _set_blobs(width: int):
         for part, data, offsets in text_runs(batches):
             hashes, before = _sets(data, offsets, width)
             blobs = [hashes[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
-            yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(blobs, pa.binary())], names=["h", "items"])
+            found = pa.array(signed(_set_ids(hashes, before)))
+            yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(blobs, pa.binary()), found], names=["h", "items", "found"])
 
     return run
 
@@ -240,8 +242,21 @@ def _verified(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links, by their whole sets."""
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs that are links, by the whole sets of the classes in them; ``pairs`` is read several times."""
+    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+    wanted = materialize(ends.join(classes.select("h", "rep"), "h").withColumn("hash", F.xxhash64("rep")), "pair-ends")
+    bits = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, "hash"))
+
+    def likely(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(bits.value, batch.column("hash").to_numpy())))
+
+    texts = rows.withColumn("hash", F.xxhash64("doc_id"))
+    texts = texts.mapInArrow(likely, texts.schema).join(wanted.select(F.col("rep").alias("doc_id"), "h"), "doc_id").select("h", "text")
+    # rows of one id may hold other texts
+    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary, found long").filter("h = found").groupBy("h").agg(F.min("items").alias("items"))
+    sets = materialize(sets, "pair-sets")
     right = pairs.join(sets.select(F.col("h").alias("b"), F.col("items").alias("right")), "b")
     both = right.join(sets.select(F.col("h").alias("a"), F.col("items").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInArrow(_verified(percent), "a long, b long")
@@ -256,10 +271,14 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     levels = spark.sparkContext.broadcast(_frequencies(described))  # one byte per counter
     owners = described.filter("slice IS NULL")
     classes = owners.filter("n > 0").groupBy("h").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("vector").alias("vector"))
+    classes = materialize(classes, "classes")
     shared = first_shingles(rows.select("text"), width, percent, levels, buckets).groupBy("bucket").applyInArrow(_shared, "key long, h long")
     shared = materialize(shared, "shared-shingles")
+    # shingles that the same classes share make one block
+    content = shared.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
+    shared = materialize(shared.join(content.groupBy("n", "x", "y").agg(F.min("key").alias("key")), "key").select("key", "h"), "blocks")
 
-    # the class that shares most first shingles stands for its block
+    # the class that shares most stands for its block
     degree = shared.groupBy("h").agg(F.count("*").alias("degree"))
     members = materialize(degree.join(classes, "h"), "block-members")
     ranked = shared.join(members.select("h", "degree"), "h")
@@ -267,17 +286,16 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     star = shared.join(centre, "key").filter("h <> centre").select(F.least("h", "centre").alias("a"), F.greatest("h", "centre").alias("b")).distinct()
     points = members.select("h", "n", "vector")
     sides = star.join(points.toDF("a", "n_a", "v_a"), "a").join(points.toDF("b", "n_b", "v_b"), "b")
-    texts = rows.join(members.select(F.col("rep").alias("doc_id"), "h"), "doc_id").select("h", "text")
-    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary").groupBy("h").agg(F.min("items").alias("items"))
-    sets = materialize(sets, "verified-sets")
-    allowed = sides.mapInArrow(_bounded(percent), "a long, b long")
-    links = materialize(_links(allowed, sets, percent), "links")
+    allowed = materialize(sides.mapInArrow(_bounded(percent), "a long, b long"), "star-pairs")
+    links = materialize(_links(allowed, rows, members, width, percent), "star-links")
 
     labels = materialize(components(links, "a", "b"), "labels")
     labelled = members.join(labels, F.col("h") == F.col("node"), "left").withColumn("label", F.coalesce("component", "h"))
-    placed = shared.join(labelled.select("h", "n", "vector", "label"), "h")
+    placed = shared.join(labelled.select("h", "n", "label"), "h")
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    links = links.unionByName(_links(materialize(_cross_pairs(placed.join(mixed, "key"), percent, buckets), "cross-pairs"), sets, percent))
+    crossing = placed.join(mixed, "key").join(points.select("h", "vector"), "h")
+    left = materialize(_cross_pairs(crossing, percent, buckets).join(allowed, ["a", "b"], "left_anti"), "cross-pairs")
+    links = links.unionByName(_links(left, rows, members, width, percent))
 
     groups = components(materialize(links, "all-links"), "a", "b")
     joined = classes.select("h", "rep").join(groups, F.col("h") == F.col("node"), "left").withColumn("component", F.coalesce("component", "h"))
