@@ -13,7 +13,7 @@ import sys
 import time
 
 HEADLINE = """
-src01_parquet_scan src05_hive_partition_scan src06_json_text_scan src10_log_replay snk05_compact_files snk13_time_travel
+src01_parquet_scan src05_hive_partition_scan src06_json_text_scan snk05_compact_files
 snk15_materialized_view snk18_keyed_upsert snk19_apply_changes prj09_feels_like prj12_surrogate_key flt05_token_search
 flt06_index_search flt09_partition_lookup jn01_star_join jn04_pair_events jn05_dimension_twice jn06_interval_load
 jn06_count_in_intervals jn08_supply_gap jn09_nearest_point jn13_aggregate_then_join ag01_group_by ag04_count_distinct
@@ -49,7 +49,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
 
     keys, sums = [F.col("l_returnflag"), F.to_date("l_shipdate").alias("day")], {"q": F.col("l_quantity"), "p": F.col("l_extendedprice")}
     view = materialize(ch.create_mv(t.lineitem, keys, sums), "view")
-    index = spark.read.parquet(j.write_index(j.build_index(t.split("documents"), "doc_id", ["text"]), scratch_path(spark, "index"), 32))
+    index = spark.read.parquet(j.write_index(j.build_index(t.documents, "doc_id", ["text"]), scratch_path(spark, "index"), 32))
     small, few = scratch_path(spark, "small"), scratch_path(spark, "few")
     w.write_table(t.lineitem.repartition(400), small)
     w.compact(spark, small, few, 8)

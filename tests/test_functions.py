@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import jsons, search, semantics as sem
 from tidemark.operators import aggregates as ag, relational as rel
-from tidemark.operators.joins import build_index, index_lookup, pair_events
+from tidemark.operators.joins import build_index, count_in_intervals, index_lookup, indexed_search, interval_load, pair_events
 
 
 def one(spark, *cols, data=None, schema=None):
@@ -67,12 +67,11 @@ def test_exact_search(spark):
 
 def test_index_gives_the_same_rows(spark, t):
     index = build_index(t.documents, "doc_id", ["text", "lang"])
-    for term in ("the with", "license", "nosuchword"):
+    for term in ("the with", "license", "nosuchword", "the en", "`of the`"):
         direct = {r.doc_id for r in rel.search(t.documents, ["text", "lang"], term).collect()}
-        by_column = {r.doc_id for r in index_lookup(index, "doc_id", term).collect()}
-        assert direct <= by_column
-        if " " not in term:
-            assert direct == by_column
+        assert direct == {r.doc_id for r in indexed_search(t.documents, index, "doc_id", ["text", "lang"], term).collect()}
+    found = {r.doc_id for r in index_lookup(index, "doc_id", "the en").collect()}
+    assert found == {r.doc_id for r in rel.search(t.documents, ["text", "lang"], "the en").collect()}
 
 
 def test_private_aggregates_refuse_plain_columns(spark, t):
@@ -81,8 +80,16 @@ def test_private_aggregates_refuse_plain_columns(spark, t):
     assert ag.private_agg(t.events, [F.col("event_id")], "user_id", [], 2).count() == 0
 
 
+def test_intervals_without_a_bound(spark):
+    spans = spark.createDataFrame([(1, 1, 3), (2, 2, None), (3, None, 5)], "k int, lo long, hi long")
+    points = spark.createDataFrame([(1,), (2,), (3,), (4,)], "p long")
+    assert {(r.k, r.points) for r in count_in_intervals(spans, "k", "lo", "hi", points, "p").collect()} == {(1, 3), (2, 0), (3, 0)}
+    load = interval_load(spans.withColumn("g", F.lit("x")), ["g"], "lo", "hi", "k").collect()
+    assert sorted((r.point, float(r.total), r.active) for r in load) == [(1, 1.0, 1), (2, 1.0, 1), (3, 1.0, 1)]
+
+
 def test_pairs_need_both_ends(spark):
-    rows = [(1, 1, "a"), (1, 5, "b"), (1, 3, "b"), (2, 1, "a"), (3, 2, "b"), (4, 9, "a"), (4, 2, "a"), (4, 3, "b")]
+    rows = [(5, 5, "a"), (5, 2, "b"), (1, 1, "a"), (1, 5, "b"), (1, 3, "b"), (2, 1, "a"), (3, 2, "b"), (4, 9, "a"), (4, 2, "a"), (4, 3, "b")]
     df = spark.createDataFrame(rows, "k int, ts int, s string")
     assert {tuple(r) for r in pair_events(df, ["k"], "ts", "s", "a", "b", []).collect()} == {(1, 1, 5), (4, 2, 3)}
 

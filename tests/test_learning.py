@@ -58,11 +58,10 @@ def _found(df):
 
 
 @pytest.mark.parametrize("kind", ["cosine", "euclidean", "dot"])
-def test_block_search_equals_direct_search(spark, t, kind, monkeypatch):
+def test_block_size_does_not_matter(spark, t, kind, monkeypatch):
     args = dict(b_id="vec_id", q_vec="q")
     direct = _found(v.vector_search(t.embeddings, label_queries(t), 7, kind, **args))
-    monkeypatch.setattr(v, "QUERY_BYTES", 0)
-    monkeypatch.setattr(v, "BLOCK_ROWS", 120)
+    monkeypatch.setattr(v, "BLOCK_BYTES", 120 * 64 * 8)
     queries = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
     blocks = v.vector_search(t.embeddings, label_queries(t), 7, kind, **args)
     assert _found(blocks) == direct
@@ -70,6 +69,20 @@ def test_block_search_equals_direct_search(spark, t, kind, monkeypatch):
     assert every.count() == t.embeddings.count() and every.filter("query_id <> base_id AND distance > 1e-6").count() == 0
 
 
+def test_vectors_without_a_distance_are_no_match(spark):
+    zero, one = [0.0, 0.0], [1.0, 0.5]
+    base = spark.createDataFrame([(k, zero) for k in range(8)] + [(9, one), (10, [1.0]), (11, None)], "base_id long, embedding array<double>")
+    query = spark.createDataFrame([(0, [1.0, 0.5]), (1, None)], "query_id long, embedding array<double>")
+    assert [r.base_id for r in v.vector_search(base, query, 3, "cosine").collect()] == [9]
+    assert v.vector_search(base.limit(0), query, 3).count() == v.vector_search(base, query.limit(0), 3).count() == 0
+
+
+def test_scoring_keeps_rows_with_missing_numbers(spark):
+    rows = [(float(k), "a" if k % 2 else None, 2.0 * k) for k in range(20)] + [(None, "b", 7.0)]
+    df = spark.createDataFrame(rows, "x double, c string, y double")
+    assert m.predict(m.train_linear(df, "y", ["c"], ["x"]), df).filter("predicted IS NOT NULL").count() == 21
+
+
 def test_numpy_and_column_distances_agree(spark, t):
     near = v.vector_search(t.embeddings, label_queries(t), 3, "euclidean", b_id="vec_id", q_vec="q").select("query_id", "base_id", "distance")
     j = near.join(label_queries(t), "query_id").join(t.embeddings.withColumnRenamed("vec_id", "base_id"), "base_id")
@@ -103,14 +116,14 @@ def test_embedder_may_be_any_function(spark, t):
 
 
 def test_inference_is_idempotent(spark, t):
-    scorer = tx.lexicon_scorer({"the"}, {"not"})
+    scorer = tx.lexicon_scorer(["the"], ["not"])
     done = tx.infer_text(t.documents, "doc_id", "text", scorer)
     assert done.count() == t.documents.count()
     assert tx.infer_text(t.documents, "doc_id", "text", scorer, done=done).count() == 0
 
 
 def test_native_and_batch_sentiment_agree(spark, t):
-    scorer = tx.lexicon_scorer({"the", "with"}, {"not", "to"})
+    scorer = tx.lexicon_scorer(["the", "with"], ["not", "to"])
     raw = tx.infer_text(t.documents, "doc_id", "text", scorer).withColumn("a", F.get_json_object("raw", "$.sentiment"))
     native = t.documents.select("doc_id", tx.sentiment(F.col("text"), ["the", "with"], ["not", "to"]).alias("b"))
     assert raw.join(native, "doc_id").filter("a <> b").count() == 0

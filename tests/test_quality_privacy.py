@@ -38,6 +38,17 @@ def test_cipher_is_bound_to_its_entity(spark):
     assert [tuple(r) for r in pv.decrypt(sealed, left, "id", ["s"]).collect()] == [(2, "y")]
 
 
+def test_encryption_never_loses_a_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, s string")
+    keys = pv.make_keys(df.filter("id IS NOT NULL"), "id", "secret")
+    assert pv.encrypt(df.filter("id IS NOT NULL"), keys, "id", ["s"]).count() == 2
+    for rows in (df, df.limit(2)):
+        known = keys if rows is df else pv.shred(keys, "id", df.filter("id = 2"))
+        with pytest.raises(PySparkException, match="no enabled key"):
+            pv.encrypt(rows, known, "id", ["s"]).collect()
+    assert pv.shred(keys, "id", df.filter("id = 2")).filter("disabled AND data_key IS NULL").count() == 1
+
+
 def test_findings(spark):
     text = "Mail a.b@example.com or 10.0.0.255, card 4539 1488 0343 6467 not 4539 1488 0343 6468, born 1990-01-31, 999.1.1.1"
     df = spark.createDataFrame([(1, text), (2, None)], "id int, s string")
@@ -48,7 +59,7 @@ def test_findings(spark):
 
 def test_rule_counts_add_up(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (-3, "b"), (None, "c")], "x int, s string")
-    rules = {"pos": ("d", "$column >= 0"), "set": ("d", "$column IN ('a')"), "present": ("d", "$column IS NOT NULL")}
+    rules = {"pos": ("d", "$column >= 0"), "set": ("d", "$column IN ('a')"), "present": ("d", "$column IS NOT NULL", True)}
     res = q.run_rules(df, rules, [("pos", "x", "ALL"), ("set", "s", "ALL"), ("present", "s", "ALL")], {"ALL": "true"})
     rows = {r.rule_id: (r.success_count, r.failed_count, r.null_count) for r in res.collect()}
     assert rows == {"pos": (2, 1, 1), "set": (1, 2, 1), "present": (3, 1, 0)}
@@ -64,9 +75,10 @@ def test_profile_estimates_are_close(spark, t):
 
 
 def test_recommended_rules(spark, t):
-    rules = {r.rule for r in q.recommend_rules(q.profile(t.orders)).collect()}
+    rules = {r.rule for r in q.recommend_rules(t.orders, q.profile(t.orders)).collect()}
     assert {"o_orderkey IS NOT NULL", "unique(o_orderkey)"} <= rules
-    assert "unique(o_orderstatus)" not in rules
+    assert "unique(o_orderstatus)" not in rules and "unique(o_custkey)" not in rules
+    assert "o_orderstatus IN ('F', 'O', 'P')" in rules
 
 
 def test_quarantine_parts_the_table(spark, t):

@@ -1,11 +1,11 @@
-"""Readers, writers, versions and change feeds: identities and failure cases."""
+"""Readers, writers and change feeds: identities and failure cases."""
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path, scratch_root
-from tidemark.sources import changes as ch, readers as r, tables as w, versions as v
+from tidemark.sources import changes as ch, readers as r, tables as w
 
 
 def test_scratch_follows_the_session(spark):
@@ -26,17 +26,6 @@ def test_update_from_rejects_ambiguous_source(spark):
     assert {(x.k, x.a) for x in one.collect()} == {(1, 5), (2, 0)}
 
 
-def test_failed_transaction_is_never_visible(spark, t):
-    table = scratch_path(spark, "txn")
-    v.commit(t.nation, table)
-    with pytest.raises(PySparkException):
-        v.transaction(spark, table, [lambda d: d.withColumn("n_name", F.raise_error(F.lit("no")).cast("string"))])
-    assert v.read_as_of(spark, table).count() == 25
-    v.transaction(spark, table, [lambda d: w.delete_where(d, F.col("n_regionkey") == 0)])
-    assert v.read_as_of(spark, table).count() == 20
-    assert v.read_as_of(spark, table, version=1).count() == 25
-
-
 def test_incremental_run_checks_and_is_idempotent(spark, t):
     src = t.events.select("event_id", "ts", "value")
     first = ch.run_incremental(src, None, ["event_id"], "ts", "1 hour", {"positive": "value >= 0"})

@@ -24,40 +24,21 @@ def _sum(cols: list[str]) -> Column:
     return reduce(lambda a, b: a + b, (F.col(c) for c in cols))
 
 
-WEEKEND = [1, 7]
-NIGHT_HOURS = [0, 1, 2, 3, 4, 22, 23]
-RUSH_HOURS = [7, 8, 9, 16, 17, 18, 19]
-
-
-def classify_habits(hist: DataFrame, who: str, share: float = 0.8) -> DataFrame:
-    """Day and hour habit labels from a time histogram; the share of the total is rounded to whole rows."""
-    bar = round_to_long(F.col("total") * F.lit(share))
-    weekend = _sum([f"dow_{d}" for d in WEEKEND])
-    weekday = _sum([f"dow_{d}" for d in range(1, 8) if d not in WEEKEND])
-    night, rush = _sum([f"hour_{h}" for h in NIGHT_HOURS]), _sum([f"hour_{h}" for h in RUSH_HOURS])
-    return hist.withColumns({
-        "day_of_week": F.when(weekend > bar, f"weekend-{who}").when(weekday > bar, f"weekday-{who}").otherwise(f"any-day-{who}"),
-        "hour_of_day": F.when(night > bar, f"night-hour-{who}").when(rush > bar, f"rush-hour-{who}").otherwise(f"any-hour-{who}"),
-    })
-
+def leading_group(groups: dict[str, list[str]], total: Column, share: float, otherwise: str) -> Column:
+    """Name of the first group of count columns that holds more than ``share`` of the total (rounded to whole rows)."""
+    bar = round_to_long(total * F.lit(share))
+    picked = F.lit(otherwise)
+    for name, cols in reversed(groups.items()):
+        picked = F.when(_sum(cols) > bar, name).otherwise(picked)
+    return picked
 
-def share_label(part: Column, total: Column, high: float, low: float, names: tuple[str, str, str]) -> Column:
-    """Label by whether ``part`` is above a high or below a low share of ``total``."""
-    return (
-        F.when(part > round_to_long(total * F.lit(high)), names[0])
-        .when(part < round_to_long(total * F.lit(low)), names[1])
-        .otherwise(names[2])
-    )
 
-
-def few_many_label(n: Column, what: str) -> Column:
-    """Habit label of a distinct count in steps of three."""
-    return (
-        F.when(n.between(1, 3), f"few-1-3-{what}")
-        .when(n.between(4, 6), f"average-4-6-{what}")
-        .when(n.between(7, 9), f"many-7-9-{what}")
-        .otherwise(f"any-{what}")
-    )
+def band_label(value: Column, bands: list[tuple[float, str]], above: str) -> Column:
+    """Name of the first band (upper bound included, ascending) that holds the value."""
+    picked = F.lit(above)
+    for bound, name in reversed(bands):
+        picked = F.when(value <= bound, name).otherwise(picked)
+    return picked
 
 
 def daily_spread(df: DataFrame, key: str, day: Column, amount: Column) -> DataFrame:
@@ -76,16 +57,16 @@ def pivot(df: DataFrame, keys: list[str], col: str, values: list, aggs: list[Col
     return df.groupBy(*keys).pivot(col, values).agg(*aggs)
 
 
-def trend_label(current: Column, prior: Column, steps: tuple[float, float, float] = (0.15, 0.10, 0.05)) -> Column:
-    """How far the current value is above the prior one."""
-    start = F.when(current > prior + prior * steps[0], "High")
-    return start.when(current > prior + prior * steps[1], "Med").when(current > prior + prior * steps[2], "Low").otherwise("Normal")
+def trend_label(current: Column, prior: Column, bands: list[tuple[float, str]], above: str) -> Column:
+    """Band of the relative change from the prior value; no prior value falls into the last band."""
+    return band_label(F.try_divide(current - prior, prior), bands, above)
 
 
 def compare_windows(
-    df: DataFrame, keys: list[str], ts: str, measures: list[str], current: str, history: str, as_of: Column | None = None
+    df: DataFrame, keys: list[str], ts: str, measures: list[str], current: str, history: str,
+    bands: list[tuple[float, str]], above: str, as_of: Column | None = None
 ) -> DataFrame:
-    """Averages of each measure in the newest window against the history before it, with a trend."""
+    """Averages of each measure in the newest window against the history before it, with the band of its change."""
     ref = as_of if as_of is not None else df.agg(F.max(ts)).scalar()
     kept = df.filter(F.col(ts) > ref - F.expr(f"INTERVAL {history}")).withColumn(
         "__w", F.when(F.col(ts) > ref - F.expr(f"INTERVAL {current}"), "current").otherwise("prior")
@@ -93,7 +74,7 @@ def compare_windows(
     aggs = [F.avg(m).alias(f"avg_{m}") for m in measures] + [F.count(F.lit(1)).alias("rows")]
     # a window without rows counts zero, not NULL
     wide = pivot(kept, keys, "__w", ["current", "prior"], aggs).fillna(0, ["current_rows", "prior_rows"])
-    return wide.withColumns({f"{m}_trend": trend_label(F.col(f"current_avg_{m}"), F.col(f"prior_avg_{m}")) for m in measures})
+    return wide.withColumns({f"{m}_trend": trend_label(F.col(f"current_avg_{m}"), F.col(f"prior_avg_{m}"), bands, above) for m in measures})
 
 
 def top_per_group(df: DataFrame, keys: list[str], order_by: list[Column], n: int, ties: bool = False) -> DataFrame:

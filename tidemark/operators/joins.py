@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.geo import distance_m
-from tidemark.functions.search import _terms, tokens
-from tidemark.operators.ordered import running_sum
+from tidemark.functions.search import _terms, search_columns, tokens
+from tidemark.operators.ordered import previous_value, running_sum
 from tidemark.sources.readers import latest_by
 
 _KM_PER_DEGREE = 111.19
@@ -18,13 +18,14 @@ def pair_events(
     """First ``start`` event and last ``end`` event per key, side by side.
 
     One pass of min/max aggregates with map-side combine: no self-join, and a key with many
-    events costs no more than its partial aggregates. Keys without both events drop out.
+    events costs no more than its partial aggregates. Keys without both events drop out, and so
+    do keys whose last end lies before their first start.
     """
     at_start = F.struct(ts, *carry)
     first = F.min(F.when(F.col(status) == start, at_start))
     last = F.max(F.when(F.col(status) == end, at_start))
     paired = df.filter(F.col(status).isin(start, end)).groupBy(*keys).agg(first.alias("__a"), last.alias("__b"))
-    return paired.filter("__a IS NOT NULL AND __b IS NOT NULL").select(
+    return paired.filter(F.col("__b")[ts] >= F.col("__a")[ts]).select(
         *keys,
         *[F.col("__a")[c].alias(f"start_{c}") for c in [ts, *carry]],
         *[F.col("__b")[c].alias(f"end_{c}") for c in [ts, *carry]],
@@ -45,10 +46,11 @@ def interval_load(df: DataFrame, keys: list[str], lo: str, hi: str, weight: str)
     """Total ``weight`` of the closed intervals that cover each point, for integer bounds.
 
     A sweep: each interval adds its weight at ``lo`` and takes it back after ``hi``. Those steps
-    are summed per point first, so what is sorted per key is at most one row per point.
+    are summed per point first, and the running totals and next points are taken in blocks of the
+    order, so no key has to fit in one task. Intervals without both bounds cover nothing.
     """
     w = F.col(weight).cast("decimal(28,6)")
-    steps = df.select(
+    steps = df.dropna(subset=[lo, hi]).select(
         *keys,
         F.explode(F.array(
             F.struct(F.col(lo).alias("point"), w.alias("d"), F.lit(1).alias("n")),
@@ -56,21 +58,16 @@ def interval_load(df: DataFrame, keys: list[str], lo: str, hi: str, weight: str)
         )).alias("s"),
     )
     deltas = steps.groupBy(*keys, "s.point").agg(F.sum("s.d").alias("d"), F.sum("s.n").alias("n"))
-    w_key = Window.partitionBy(*keys).orderBy("point")
-    levels = deltas.select(
-        *keys,
-        "point",
-        F.sum("d").over(w_key).alias("total"),
-        F.sum("n").over(w_key).alias("active"),
-        F.lead("point").over(w_key).alias("until"),
-    )
+    levels = running_sum(deltas, keys, ["point"], {"d": "total", "n": "active"})
+    # the next point is the previous one of the reversed order
+    levels = previous_value(levels.withColumn("__back", -F.col("point")), keys, "__back", "__next").withColumn("until", -F.col("__next"))
     return levels.filter("active > 0").select(
         *keys, F.explode(F.sequence("point", F.col("until") - 1)).alias("point"), "total", "active"
     )
 
 
 def count_in_intervals(intervals: DataFrame, key: str, lo: str, hi: str, points: DataFrame, p: str) -> DataFrame:
-    """Number of points in each closed interval, without building the matching pairs.
+    """Number of points in each closed interval, without building the matching pairs; 0 if a bound is missing.
 
     Points and interval ends are put in one order and counted from the left; the answer is the
     count at the right end minus the count before the left end.
@@ -83,9 +80,9 @@ def count_in_intervals(intervals: DataFrame, key: str, lo: str, hi: str, points:
     after = seen.filter("step = 2").select(F.col("at").alias(hi), F.col("seen").alias("__after"))
     return (
         intervals.select(key, lo, hi)
-        .join(before, lo)
-        .join(after, hi)
-        .select(key, lo, hi, (F.col("__after") - F.col("__before")).alias("points"))
+        .join(before, lo, "left")
+        .join(after, hi, "left")
+        .select(key, lo, hi, F.coalesce(F.col("__after") - F.col("__before"), F.lit(0)).alias("points"))
     )
 
 
@@ -109,19 +106,18 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFra
     return df.join(known, key, "left_anti").filter(empty | (F.col(key).isNotNull() & ~has_null))
 
 
-def supply_gap(demand: DataFrame, supply: DataFrame, keys: list[str], day: str, qty: str, max_gap: float) -> DataFrame:
+def supply_gap(moves: DataFrame, needed: Column, keys: list[str], day: str, qty: str, max_gap: float) -> DataFrame:
     """Days with demand and supply on which running supply exceeds running demand by at most ``max_gap``.
 
-    Both sides go through one running sum as two measures, so no join on the day is needed.
+    ``needed`` tells demand from supply; other values than true and false are neither. One pass over the
+    rows feeds one running sum with both as measures.
     """
-    def side(df: DataFrame, need: bool) -> DataFrame:
-        amount, zero = F.col(qty), F.lit(0).cast(dict(df.dtypes)[qty])
-        return df.dropna(subset=keys).select(
-            *keys, day, (amount if need else zero).alias("__need"), (zero if need else amount).alias("__have"),
-            F.lit(int(need)).alias("__needs"), F.lit(int(not need)).alias("__haves"))
-
+    zero = F.lit(0).cast(dict(moves.dtypes)[qty])
+    sides = moves.filter(needed.isNotNull()).dropna(subset=keys).select(
+        *keys, day, F.when(needed, F.col(qty)).otherwise(zero).alias("__need"), F.when(~needed, F.col(qty)).otherwise(zero).alias("__have"),
+        needed.cast("int").alias("__needs"), (~needed).cast("int").alias("__haves"))
     measures = {"__need": "required", "__have": "available", "__needs": "__n", "__haves": "__h"}
-    totals = running_sum(side(demand, True).unionByName(side(supply, False)), keys, [day], measures)
+    totals = running_sum(sides, keys, [day], measures)
     gap = F.col("available") - F.col("required")
     both = totals.filter("__needs > 0 AND __haves > 0").filter(gap <= max_gap)
     return both.select(*keys, day, "required", "available", gap.alias("in_stock"))
@@ -178,11 +174,14 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: str = "
 
 
 def build_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Inverted index as rows ``(token, key)``, not as one list per token, so a common token may
+    """Inverted index as rows ``(token, column, key)``, not as one list per token, so a common token may
     spread over many tasks and files."""
-    empty = F.array().cast("array<string>")
-    words = F.array_distinct(F.flatten(F.array(*[F.coalesce(tokens(F.col(c)), empty) for c in cols])))
-    return df.select(F.explode(words).alias("token"), F.col(key))
+    def found(c: str) -> Column:
+        words = F.array_distinct(F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")))
+        return F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(c).alias("column")))
+
+    words = F.flatten(F.array(*[found(c) for c in cols]))
+    return df.select(F.explode(words).alias("w"), F.col(key)).select("w.token", "w.column", key)
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -200,16 +199,21 @@ def write_index(index: DataFrame, path: str, buckets: int) -> str:
 
 
 def index_lookup(index: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
-    """Keys of the rows that hold every token of ``term``.
+    """Keys of the rows that hold every token of ``term`` in one column.
 
     With ``buckets`` only the folders of the words are read; inside them the token filter skips
     row groups.
     """
-    spark, words = index.sparkSession, sorted(set(_terms(term)))
+    words = sorted(set(_terms(term.strip("`"))))
     hits = index.filter(F.col("token").isin(words))
-    if buckets:
-        at = spark.createDataFrame([(w,) for w in words], "w string").select(_bucket(F.col("w"), buckets)).collect()
-        hits = hits.filter(F.col("bucket").isin([r[0] for r in at]))
-    if len(words) == 1:
-        return hits.select(key)
-    return hits.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") == len(words)).select(key)
+    if buckets and words:
+        hits = hits.filter(F.col("bucket").isin([_bucket(F.lit(w), buckets) for w in words]))
+    if len(words) > 1:
+        hits = hits.groupBy(key, "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(words))
+    return hits.select(key).distinct()
+
+
+def indexed_search(df: DataFrame, index: DataFrame, key: str, cols: list[str], term: str, buckets: int | None = None) -> DataFrame:
+    """Rows a search for ``term`` in ``cols`` finds: the index names the rows that can match, the search decides on them."""
+    found = df.join(index_lookup(index, key, term, buckets), key, "left_semi")
+    return found.filter(search_columns(found, cols, term))

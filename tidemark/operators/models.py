@@ -8,7 +8,7 @@ from statistics import NormalDist
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,7 +25,10 @@ def _features(cat: list[str], num: list[str]) -> list:
             StringIndexer(inputCols=cat, outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=hot),
         ]
-    return [*stages, VectorAssembler(inputCols=[*num, *hot], outputCol="features", handleInvalid="skip")]
+    filled = [f"{c}__filled" for c in num]
+    if num:  # the mean of training stands in for a missing number, so that no row is lost
+        stages.append(Imputer(inputCols=num, outputCols=filled))
+    return [*stages, VectorAssembler(inputCols=[*filled, *hot], outputCol="features")]
 
 
 def train_linear(df: DataFrame, label: str, cat: list[str], num: list[str]) -> PipelineModel:
@@ -40,8 +43,7 @@ def train_logistic(df: DataFrame, label: str, cat: list[str], num: list[str], re
 
 def train_kmeans(df: DataFrame, features: list[str], k: int, seed: int = 42) -> PipelineModel:
     """K-means with the parallel form of k-means++ seeding."""
-    stages = [VectorAssembler(inputCols=features, outputCol="features"), KMeans(k=k, seed=seed, featuresCol="features")]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=[*_features([], features), KMeans(k=k, seed=seed, featuresCol="features")]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str = "predicted") -> DataFrame:
@@ -165,21 +167,23 @@ def touch_features(events: DataFrame, user: str, ts: str, horizon: str = "24 HOU
     return _touch_labels(events.groupBy(user).agg(F.min(ts).alias("first_touch"), F.max(ts).alias("last_touch")), horizon, bounce)
 
 
-def _touch_labels(touch: DataFrame, horizon: str, bounce: str) -> DataFrame:
+def _touch_labels(touch: DataFrame, horizon: str, bounce: str) -> DataFrame:  # both are the caller's choice
     first, last = F.col("first_touch"), F.col("last_touch")
     return touch.withColumns({
-        "month": F.month(first), "julianday": F.dayofyear(first), "dayofweek": F.dayofweek(first),
+        "month": F.month(first), "day_of_year": F.dayofyear(first), "dayofweek": F.dayofweek(first),
         "horizon_end": first + F.expr(f"INTERVAL {horizon}"),
         "churned": (last < first + F.expr(f"INTERVAL {horizon}")).cast("int"),
         "bounced": (last <= first + F.expr(f"INTERVAL {bounce}")).cast("int"),
     })
 
 
-def churn_features(events: DataFrame, user: str, ts: str, event: str, kinds: list[str], demographics: list[str]) -> DataFrame:
-    """Training rows: latest demographics, event counts within the first day, and the labels."""
+def churn_features(
+    events: DataFrame, user: str, ts: str, event: str, kinds: list[str], demographics: list[str], horizon: str = "24 HOURS", bounce: str = "10 MINUTES"
+) -> DataFrame:
+    """Training rows: latest demographics, event counts within the horizon, and the labels."""
     latest = F.max(F.struct(ts, *demographics)).alias("__latest")
     touch = events.groupBy(user).agg(F.min(ts).alias("first_touch"), F.max(ts).alias("last_touch"), latest)
-    touch = _touch_labels(touch, "24 HOURS", "10 MINUTES").withColumns({c: F.col("__latest")[c] for c in demographics}).drop("__latest")
+    touch = _touch_labels(touch, horizon, bounce).withColumns({c: F.col("__latest")[c] for c in demographics}).drop("__latest")
     early = events.select(user, ts, event).join(touch.select(user, "horizon_end"), user).filter(F.col(ts) <= F.col("horizon_end"))
     counts = early.groupBy(user).agg(*[F.count_if(F.col(event) == k).alias(f"cnt_{k}") for k in kinds])
     return touch.join(counts, user, "left").fillna(0, [f"cnt_{k}" for k in kinds])

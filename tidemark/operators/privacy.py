@@ -64,7 +64,7 @@ def anonymize(df: DataFrame, plan: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c) if plan[c] == "KEEP" else mask(F.col(c), plan[c], types[c]).alias(c) for c in kept])
 
 
-def plan_from_findings(df: DataFrame, findings: DataFrame, default: str = "KEEP") -> dict[str, str]:
+def plan_from_findings(df: DataFrame, findings: DataFrame, default: str = "DROP") -> dict[str, str]:
     """Anonymisation plan from per-column findings (a handful of rows)."""
     # Fixed choice: how each kind of data is hidden.
     how = {"EMAIL_ADDRESS": "EMAIL_MASK", "IP_ADDRESS": "SHA256", "CREDIT_CARD_NUMBER": "LAST_FOUR"}
@@ -81,9 +81,14 @@ def make_keys(df: DataFrame, key: str, secret: str) -> DataFrame:
 
 
 def encrypt(df: DataFrame, keys: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """AES-GCM per row with the entity's key; the entity id is the additional data."""
+    """AES-GCM per row with the entity's key; the entity id is the additional data.
+
+    A row whose entity has no enabled key fails the job: it must neither vanish nor stay in clear.
+    """
     aad = F.col(key).cast("string")
-    joined = df.join(keys.filter(~F.col("disabled")).select(key, "data_key"), key)
+    joined = df.join(keys.filter(~F.col("disabled")).select(key, "data_key"), key, "left")
+    missing = F.raise_error(F.concat(F.lit("no enabled key for "), F.coalesce(F.col(key).cast("string"), F.lit("a row without id"))))
+    joined = joined.withColumn("data_key", F.when(F.col("data_key").isNull(), missing.cast("binary")).otherwise(F.col("data_key")))
     sealed = {c: F.aes_encrypt(F.col(c).cast("string"), F.col("data_key"), F.lit("GCM"), F.lit("DEFAULT"), F.lit(""), aad) for c in cols}
     return joined.withColumns(sealed).select(*df.columns)
 
@@ -97,7 +102,10 @@ def decrypt(df: DataFrame, keys: DataFrame, key: str, cols: list[str]) -> DataFr
 
 
 def shred(keys: DataFrame, key: str, forget: DataFrame) -> DataFrame:
-    """Disable the keys of the entities to forget."""
+    """Disable and erase the keys of the entities to forget."""
     gone = forget.select(key).distinct().withColumn("__gone", F.lit(True))
     joined = keys.join(gone, key, "left")
-    return joined.withColumn("disabled", F.col("disabled") | F.coalesce("__gone", F.lit(False))).drop("__gone")
+    gone = F.coalesce("__gone", F.lit(False))
+    return joined.withColumns({
+        "disabled": F.col("disabled") | gone, "data_key": F.when(~gone, F.col("data_key")),
+    }).drop("__gone")

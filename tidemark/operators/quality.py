@@ -60,32 +60,46 @@ def top_values(df: DataFrame, cols: list[str], n: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def recommend_rules(prof: DataFrame) -> DataFrame:
-    """Rules a profile supports: not-null, unique and range."""
+def recommend_rules(df: DataFrame, prof: DataFrame, most_values: int = 10) -> DataFrame:
+    """Rules the rows support: not null, unique, range, and a value list for text columns of few values.
+
+    Estimates only choose the columns to look at; uniqueness and value lists are counted exactly.
+    """
+    names = [c for c in df.columns if not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))]
+    texts = [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names]))
+    counts = df.select(cells.alias("c")).select("c.*").filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    ranked = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
+    sizes = counts.groupBy("column_name").agg(F.max("n").alias("most_often"), F.count("*").alias("values"))
+    few = counts.join(sizes.filter(F.col("values") <= most_values), "column_name").filter(F.col("column_name").isin(texts))
+    lists = few.withColumn("at", ranked).groupBy("column_name").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "value"))), lambda x: F.concat(F.lit("'"), x["value"], F.lit("'"))), ", ").alias("listed"))
+    known = prof.join(sizes, "column_name", "left").join(lists, "column_name", "left")
     rules = F.array_compact(F.array(
         F.when(F.col("null_count") == 0, F.concat(F.col("column_name"), F.lit(" IS NOT NULL"))),
-        F.when(F.col("distinct_estimate") >= F.col("row_count") * 0.94, F.concat(F.lit("unique("), "column_name", F.lit(")"))),
+        F.when((F.col("most_often") == 1) & (F.col("null_count") == 0), F.concat(F.lit("unique("), "column_name", F.lit(")"))),
         F.when(F.col("mean").isNotNull(), F.concat_ws("", "column_name", F.lit(" BETWEEN "), "min_value", F.lit(" AND "), "max_value")),
+        F.when(F.col("listed").isNotNull(), F.concat("column_name", F.lit(" IN ("), "listed", F.lit(")"))),
     ))
-    return prof.select("column_name", F.explode(rules).alias("rule"))
+    return known.select("column_name", F.explode(rules).alias("rule"))
 
 
 def run_rules(
     df: DataFrame,
-    rules: dict[str, tuple[str, str]],
+    rules: dict[str, tuple],
     bindings: list[tuple[str, str, str]],
     row_filters: dict[str, str],
 ) -> DataFrame:
     """Check every (rule, column, row filter) binding in one pass over the table.
 
-    ``rules`` maps an id to ``(dimension, SQL predicate with $column)``. A row whose checked column
-    is NULL counts as a null, neither success nor failure, unless the rule is about NULL itself.
+    ``rules`` maps an id to ``(dimension, SQL predicate with $column)`` or ``(dimension, predicate, True)``. A row
+    whose checked column is NULL counts as a null, neither success nor failure; with True the predicate judges it too.
     """
     def parts(rule: str, col: str, flt: str) -> tuple[Column, Column, Column]:
         text = rules[rule][1].replace("$column", f"`{col}`")
         in_scope = F.expr(row_filters[flt])
-        own_null = "null" in rules[rule][1].lower()
-        is_null = F.lit(False) if own_null else F.col(col).isNull()
+        judges_null = len(rules[rule]) > 2 and rules[rule][2]
+        is_null = F.lit(False) if judges_null else F.col(col).isNull()
         ok = F.coalesce(F.expr(text), F.lit(False)) & ~is_null
         return in_scope, ok, is_null
 

@@ -2,45 +2,49 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions.search import tokens
+from tidemark.functions.search import _terms, tokens
+from tidemark.operators.aggregates import top_per_group
 from tidemark.sources.readers import latest_by
 
-Scorer = Callable[[pd.Series], pd.Series]
-_WORD = re.compile(r"[^\W_]+")
+#: A scorer maps a text column to an answer column; ``batch_fn`` makes one of code that is no column expression.
+Scorer = Callable[[Column], Column]
 
 
-def lexicon_scorer(positive: set[str], negative: set[str]) -> Scorer:
+def _count(words: Column, listed: list[str]) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(sorted(listed))))
+
+
+def lexicon_scorer(positive: list[str], negative: list[str]) -> Scorer:
     """Sentiment by counting listed words; the answer is the JSON text a remote model would send."""
 
-    def one(text: str) -> str:
-        words = _WORD.findall((text or "").lower())
-        up, down = sum(w in positive for w in words), sum(w in negative for w in words)
-        label = "positive" if up > down else "negative" if down > up else "neutral"
-        return json.dumps({"sentiment": label, "score": up - down})
+    def answer(text: Column) -> Column:
+        words = tokens(F.coalesce(text, F.lit("")))
+        score = _count(words, positive) - _count(words, negative)
+        label = F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral")
+        return F.to_json(F.struct(label.alias("sentiment"), score.alias("score")))
 
-    return lambda texts: texts.map(one)
+    return answer
 
 
-def keyword_scorer(table: dict[str, set[str]], default: str) -> Scorer:
+def keyword_scorer(table: dict[str, list[str]], default: str) -> Scorer:
     """Category with the most listed words; the first one wins a tie."""
 
-    def one(text: str) -> str:
-        words = _WORD.findall((text or "").lower())
-        hits = {c: sum(w in kw for w in words) for c, kw in table.items()}
-        best = max(hits, key=hits.get)
-        return best if hits[best] else default
+    def answer(text: Column) -> Column:
+        words = tokens(F.coalesce(text, F.lit("")))
+        hits = F.array(*[F.struct(_count(words, w).alias("n"), F.lit(-i).alias("first"), F.lit(c).alias("name")) for i, (c, w) in enumerate(table.items())])
+        best = F.array_max(hits)
+        return F.when(best["n"] > 0, best["name"]).otherwise(default)
 
-    return lambda texts: texts.map(one)
+    return answer
 
 
-def batch_fn(name: str, fn: Scorer, max_rows: int = 1000, returns: str = "string"):
+def batch_fn(name: str, fn: Callable[[pd.Series], pd.Series], max_rows: int = 1000, returns: str = "string"):
     """Column function over Arrow batches, calling ``fn`` with at most ``max_rows`` texts at a time."""
 
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -53,38 +57,36 @@ def batch_fn(name: str, fn: Scorer, max_rows: int = 1000, returns: str = "string
     return F.pandas_udf(call, returns)
 
 
-def infer_text(df: DataFrame, key: str, col: str, scorer: Scorer, done: DataFrame | None = None, max_rows: int = 1000) -> DataFrame:
+def infer_text(df: DataFrame, key: str, col: str, scorer: Scorer, done: DataFrame | None = None) -> DataFrame:
     """Raw answer for each row not scored yet. Running it again over its own output adds nothing."""
     todo = df if done is None else df.join(done.select(key), key, "left_anti")
-    return todo.select(key, batch_fn("infer", scorer, max_rows)(F.col(col)).alias("raw"))
+    return todo.select(key, scorer(F.col(col)).alias("raw"))
 
 
-def filter_by_question(df: DataFrame, col: str, question: str, scorer: Callable[[pd.Series, str], pd.Series]) -> DataFrame:
+def filter_by_question(df: DataFrame, col: str, question: str, scorer: Callable[[Column, str], Column]) -> DataFrame:
     """Rows for which the scorer answers the question with yes."""
-    yes = batch_fn("answer", lambda texts: scorer(texts, question), returns="boolean")
-    return df.filter(yes(F.col(col)))
+    return df.filter(scorer(F.col(col), question))
 
 
-def keyword_answer(texts: pd.Series, question: str) -> pd.Series:
+def keyword_answer(text: Column, question: str) -> Column:
     """Offline scorer: every word of six letters or more of the question must occur."""
-    asked = {w for w in _WORD.findall(question.lower()) if len(w) >= 6}
-    return texts.map(lambda t: bool(asked) and asked <= set(_WORD.findall((t or "").lower())))
+    asked = sorted({w for w in _terms(question) if len(w) >= 6})
+    words = tokens(F.coalesce(text, F.lit("")))
+    return reduce(lambda a, b: a & b, [F.array_contains(words, w) for w in asked]) if asked else F.lit(False)
 
 
 def classify(df: DataFrame, col: str, scorer: Scorer, name: str = "category") -> DataFrame:
     """Zero-shot label per text."""
-    return df.withColumn(name, batch_fn("classify", scorer)(F.col(col)))
-
+    return df.withColumn(name, scorer(F.col(col)))
 
-def build_prompt(rows: DataFrame, keys: list[str], template: str, token: str, order_by: str) -> DataFrame:
-    """Template with its token replaced by the group's rows as JSON lines, in order.
 
-    Context rows are meant to be few per prompt; aggregate first.
-    """
+def build_prompt(rows: DataFrame, keys: list[str], template: str, token: str, order_by: str, most: int = 100) -> DataFrame:
+    """Template with its token replaced by the group's first ``most`` rows as JSON lines, in order."""
+    few = top_per_group(rows, keys, [F.asc(order_by)], most)
     body = F.to_json(F.struct(*[c for c in rows.columns if c not in keys]))
-    lines = F.array_sort(F.collect_list(F.struct(F.col(order_by).alias("o"), body.alias("j"))))
+    lines = F.array_sort(F.collect_list(F.struct("rank", body.alias("j"))))
     text = F.array_join(F.transform(lines, lambda x: x["j"]), "\n")
-    return rows.groupBy(*keys).agg(text.alias("__ctx")).select(
+    return few.groupBy(*keys).agg(text.alias("__ctx")).select(
         *keys, F.replace(F.lit(template), F.lit(token), F.col("__ctx")).alias("prompt")
     )
 
@@ -113,6 +115,5 @@ def rank_attributes(df: DataFrame, entity: str, group: str, attribute: str, min_
 def sentiment(col: Column, positive: list[str], negative: list[str]) -> Column:
     """Native form of :func:`lexicon_scorer` for labels only."""
     words = tokens(col)
-    up = F.size(F.filter(words, lambda w: w.isin(positive)))
-    down = F.size(F.filter(words, lambda w: w.isin(negative)))
+    up, down = _count(words, positive), _count(words, negative)
     return F.when(up > down, "positive").when(down > up, "negative").otherwise("neutral")

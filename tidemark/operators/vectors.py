@@ -15,10 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.search import tokens
 from tidemark.operators.aggregates import top_per_group
 
-# Query vectors up to this many bytes travel inside the task closure; more are searched in blocks.
-QUERY_BYTES = 32 << 20
-# Rows of either side one block holds in memory.
-BLOCK_ROWS = 100_000
+# Bytes of vectors of either side one block holds in memory.
+BLOCK_BYTES = 32 << 20
 # Distances one step computes at a time.
 MATRIX_CELLS = 10_000_000
 _DIGITS = 9
@@ -70,14 +68,12 @@ def _best(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int
 
 
 def _best_slice(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
-    """One slice; equal distances go to the smaller id."""
+    """One slice; equal distances go to the smaller id, and a distance that is no number is no match."""
     d = np.round(_gaps(q, b, kind), _DIGITS)
+    d[np.isnan(d)] = np.inf
     take = min(k, d.shape[1])
-    if take < d.shape[1]:
-        bar = np.partition(d, take - 1, axis=1)[:, take - 1]
-        rows, cols = np.nonzero(d <= bar[:, None])
-    else:
-        rows, cols = np.nonzero(~np.isnan(d))
+    bar = np.partition(d, take - 1, axis=1)[:, take - 1] if take else np.zeros(len(d))
+    rows, cols = np.nonzero((d <= bar[:, None]) & np.isfinite(d))
     out = pd.DataFrame({"query_id": qid[rows], "base_id": bid[cols], "distance": d[rows, cols]})
     out = out.sort_values(["query_id", "distance", "base_id"], kind="stable")
     return out.groupby("query_id", sort=False).head(k)
@@ -93,33 +89,20 @@ def vector_search(
 ) -> DataFrame:
     """Exact top ``k`` base vectors per query, as (query_id, base_id, distance, rank).
 
-    Each task keeps only its own best ``k`` per query, so what is shuffled does not grow with the
-    base. Few queries are shipped to the tasks; many are cut into blocks that meet base blocks.
+    Both sides are cut into blocks of bounded size, and every pair of blocks keeps only its own best ``k`` per query.
+    Vectors without the length of the longest query match nothing, and neither do distances that are no number.
     """
-    shape = queries.agg(F.count("*").alias("n"), F.max(F.size(q_vec)).alias("d")).first()
-    if (shape["n"] or 0) * (shape["d"] or 0) * 8 > QUERY_BYTES:
-        near = _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec, shape["n"])
-    else:
-        rows = queries.select(q_id, q_vec).filter(F.col(q_vec).isNotNull()).collect()
-        qid = np.array([r[0] for r in rows])
-        q = np.array([r[1] for r in rows], dtype=np.float64)
-
-        def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            kept = None
-            for pdf in batches:
-                if not len(pdf) or not len(qid):
-                    continue
-                part = _best(qid, q, pdf[b_id].to_numpy(), _matrix(pdf[b_vec]), k, kind)
-                kept = part if kept is None else pd.concat([kept, part]).sort_values(
-                    ["query_id", "distance", "base_id"], kind="stable").groupby("query_id", sort=False).head(k)
-            if kept is not None:
-                yield kept
-
-        src = base.select(b_id, b_vec).filter(F.col(b_vec).isNotNull())
-        near = src.mapInPandas(local, _schema(queries, q_id, base, b_id))
+    size = queries.agg(F.max(F.size(q_vec))).first()[0] or 0
+    near = _block_search(
+        base.filter(has_length(F.col(b_vec), size)), queries.filter(has_length(F.col(q_vec), size)), k, kind, b_id, b_vec, q_id, q_vec, size)
     return top_per_group(near, ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
 
 
+def _blocks(rows: int, size: int) -> int:
+    """Blocks that hold so many vectors of ``size`` doubles."""
+    return max(1, -(-rows * max(size, 1) * 8 // BLOCK_BYTES))
+
+
 def _meet(base: DataFrame, queries: DataFrame, groups: list[str], k: int, kind: str, schema: str, names: tuple) -> DataFrame:
     """Top ``k`` inside each pair of co-grouped blocks."""
     b_id, b_vec, q_id, q_vec = names
@@ -132,27 +115,26 @@ def _meet(base: DataFrame, queries: DataFrame, groups: list[str], k: int, kind:
     return base.groupBy(*groups).cogroup(queries.groupBy(*groups)).applyInPandas(block, schema)
 
 
-def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec, n_queries: int) -> DataFrame:
-    pieces = max(1, -(-base.count() // BLOCK_ROWS))
-    shares = max(1, -(-n_queries // BLOCK_ROWS))
+def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec, size: int) -> DataFrame:
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = max(tasks, _blocks(base.count(), size))
+    shares = _blocks(queries.count(), size)
     b = (
-        base.select(F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv")).filter("__bv IS NOT NULL")
+        base.select(F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv"))
         .withColumn("__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
         .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
     q = (
-        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv")).filter("__qv IS NOT NULL")
+        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"))
         .withColumn("__s", F.pmod(F.xxhash64("__qid"), F.lit(shares)).cast("int"))
         .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
     )
     return _meet(b, q, ["__p", "__s"], k, kind, _schema(queries, q_id, base, b_id), ("__bid", "__bv", "__qid", "__qv"))
 
 
-def build_lists(base: DataFrame, vec: str, lists: int, seed: int = 42) -> tuple[DataFrame, KMeansModel]:
-    """Inverted lists: k-means cells trained on at most about 256 vectors per list."""
-    total = base.count()
-    share = min(1.0, lists * 256 / max(total, 1))
-    train = base.sample(fraction=share, seed=seed) if share < 1 else base
+def build_lists(base: DataFrame, vec: str, lists: int, seed: int = 42, share: float = 1.0) -> tuple[DataFrame, KMeansModel]:
+    """Inverted lists: k-means cells trained on a ``share`` of the vectors, all unless the caller says less."""
+    train = base.sample(fraction=share, seed=seed)
     as_vector = array_to_vector(F.col(vec).cast("array<double>"))
     model = KMeans(k=lists, seed=seed, featuresCol="__v", predictionCol="list_id").fit(train.select(as_vector.alias("__v")))
     return model.transform(base.withColumn("__v", as_vector)).drop("__v"), model
@@ -177,7 +159,7 @@ def probe_search(
                 yield pdf.loc[pdf.index.repeat(probes)].assign(list_id=near.ravel().astype("int32"))
 
     longest = indexed.groupBy("list_id").count().agg(F.max("count")).first()[0] or 1
-    pieces = max(1, -(-longest // BLOCK_ROWS))
+    pieces = _blocks(longest, centers.shape[1])
     b = indexed.select("list_id", F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv")).withColumn(
         "__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
     q = (

@@ -59,17 +59,30 @@ def _plus(prefix, numbers):
     return " + ".join(f"{prefix}_{n}" for n in numbers)
 
 
-def habits_sql(who):
-    bar = "floor(total * 0.8 + 0.5)"
-    return f"""
-CASE WHEN dow_1 + dow_7 > {bar} THEN 'weekend-{who}' WHEN {_plus('dow', range(2, 7))} > {bar} THEN 'weekday-{who}' ELSE 'any-day-{who}' END AS day_of_week,
-CASE WHEN {_plus('hour', ag.NIGHT_HOURS)} > {bar} THEN 'night-hour-{who}' WHEN {_plus('hour', ag.RUSH_HOURS)} > {bar} THEN 'rush-hour-{who}' ELSE 'any-hour-{who}' END AS hour_of_day"""
+# Own choice of parts of the week and of the day, by count columns of the histogram.
+WEEK_PARTS = {"midweek": ["dow_3", "dow_4", "dow_5"], "edges": ["dow_1", "dow_2", "dow_6", "dow_7"]}
+DAY_PARTS = {"morning": [f"hour_{h}" for h in range(5, 13)], "evening": [f"hour_{h}" for h in range(13, 22)]}
+LEAD_SHARE = 0.55
 
 
-@query("ag06_classify_habits", f"SELECT user_id, event_type, {habits_sql('customer')} FROM ({HIST_SQL.replace('SELECT user_id,', 'SELECT user_id, event_type,').replace('GROUP BY 1', 'GROUP BY 1, 2')})")
+def habits_sql():
+    def case(parts):
+        return "CASE " + " ".join(f"WHEN {' + '.join(cols)} > floor(total * {LEAD_SHARE} + 0.5) THEN '{name}'" for name, cols in parts.items()) + " ELSE 'mixed' END"
+
+    return f"{case(WEEK_PARTS)} AS week_part, {case(DAY_PARTS)} AS day_part"
+
+
+def with_habits(hist):
+    """The part of the week and of the day that leads in each row of a time histogram."""
+    total = F.col("total")
+    return hist.withColumns({
+        "week_part": ag.leading_group(WEEK_PARTS, total, LEAD_SHARE, "mixed"), "day_part": ag.leading_group(DAY_PARTS, total, LEAD_SHARE, "mixed")})
+
+
+@query("ag06_classify_habits", f"SELECT user_id, event_type, {habits_sql()} FROM ({HIST_SQL.replace('SELECT user_id,', 'SELECT user_id, event_type,').replace('GROUP BY 1', 'GROUP BY 1, 2')})")
 def classify_habits(t):
     hist = ag.time_histogram(t.events, ["user_id", "event_type"], "ts")
-    return ag.classify_habits(hist, "customer").select("user_id", "event_type", "day_of_week", "hour_of_day")
+    return with_habits(hist).select("user_id", "event_type", "week_part", "day_part")
 
 
 @query("ag07_array_agg", """
@@ -124,8 +137,12 @@ def pivot_many(t):
         F.round(F.avg("value"), 6).alias("average"), F.count(F.lit(1)).alias("n")]).fillna(0, ["late_n", "early_n"])
 
 
+TREND, TREND_ABOVE = [(-0.25, "falling"), (0.25, "level")], "rising"  # own bands of relative change
+
+
 def trend_sql(cur, prior):
-    return f"CASE WHEN {cur} > {prior} * 1.15 THEN 'High' WHEN {cur} > {prior} * 1.10 THEN 'Med' WHEN {cur} > {prior} * 1.05 THEN 'Low' ELSE 'Normal' END"
+    change = f"({cur} - {prior}) / nullif({prior}, 0)"
+    return "CASE " + " ".join(f"WHEN {change} <= {bound} THEN '{name}'" for bound, name in TREND) + f" ELSE '{TREND_ABOVE}' END"
 
 
 WINDOWS_SQL = f"""
@@ -139,7 +156,7 @@ SELECT event_type, current_rows, prior_rows, ROUND(cv, 4) AS value_current, ROUN
 
 def window_report(events):
     src = events.withColumn("size", F.length("props").cast("double"))
-    wide = ag.compare_windows(src, ["event_type"], "ts", ["value", "size"], "6 HOURS", "5 DAYS")
+    wide = ag.compare_windows(src, ["event_type"], "ts", ["value", "size"], "6 HOURS", "5 DAYS", TREND, TREND_ABOVE)
     return wide.select(
         "event_type", "current_rows", "prior_rows",
         F.round("current_avg_value", 4).alias("value_current"), F.round("prior_avg_value", 4).alias("value_prior"), "value_trend",

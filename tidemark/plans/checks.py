@@ -23,14 +23,14 @@ def _num(table, cols, other=()):
     ["l_returnflag", "l_linestatus", "l_shipdate"]))
 def column_profile(t):
     """The exact part of the profile; its estimates are tested for their error bounds."""
-    prof = q.profile(t.split("lineitem"))
+    prof = q.profile(t.lineitem)
     return prof.select("column_name", "row_count", "null_count", F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"),
                        F.col("min_value").try_cast("double").alias("lowest"), F.col("max_value").try_cast("double").alias("highest"))
 
 
 @query("dq01_estimates")
 def profile_estimates(t):
-    return q.profile(t.split("orders")).select("column_name", "distinct_estimate", "quartiles")
+    return q.profile(t.orders).select("column_name", "distinct_estimate", "quartiles")
 
 
 _TOP_COLS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
@@ -53,20 +53,20 @@ def profilable(t):
 
 
 RULES = {
-    "VALUE_ZERO_OR_POSITIVE": ("correctness", "$column >= 0"),
-    "VALID_STATUS": ("conformance", "$column IN ('F', 'O')"),
-    "VALID_NOT_NULL": ("completeness", "$column IS NOT NULL"),
-    "VALID_KEY": ("integrity", "$column BETWEEN 1 AND 1200"),
-    "VALID_DATE": ("integrity", "$column < TIMESTAMP_NTZ'2001-01-01'"),
-    "VALID_PRIORITY": ("integrity", "$column RLIKE '^[1-5]-[A-Z ]+$'"),
-    "VALID_LENGTH": ("conformance", "LENGTH($column) = 5"),
+    "amount_not_negative": ("correctness", "$column >= 0"),
+    "status_listed": ("conformance", "$column IN ('F', 'O')"),
+    "value_present": ("completeness", "$column IS NOT NULL", True),
+    "key_in_range": ("integrity", "$column BETWEEN 1 AND 1200"),
+    "before_cutoff": ("integrity", "$column < TIMESTAMP_NTZ'2001-01-01'"),
+    "priority_shape": ("integrity", "$column RLIKE '^[1-5]-[A-Z ]+$'"),
+    "five_letters": ("conformance", "LENGTH($column) = 5"),
 }
 FILTERS = {"NONE": "true", "URGENT": "o_orderpriority = '1-URGENT'", "LARGE": "o_totalprice > 300000"}
-_SQL_RULES = {**{k: r[1] for k, r in RULES.items()}, "VALID_DATE": "$column < '2001-01-01'", "VALID_PRIORITY": "regexp_matches($column, '^[1-5]-[A-Z ]+$')"}
+_SQL_RULES = {**{k: r[1] for k, r in RULES.items()}, "before_cutoff": "$column < '2001-01-01'", "priority_shape": "regexp_matches($column, '^[1-5]-[A-Z ]+$')"}
 BINDINGS = [
-    ("VALUE_ZERO_OR_POSITIVE", "o_totalprice", "NONE"), ("VALID_STATUS", "o_orderstatus", "NONE"), ("VALID_STATUS", "o_orderstatus", "URGENT"),
-    ("VALID_NOT_NULL", "o_custkey", "NONE"), ("VALID_KEY", "o_custkey", "LARGE"), ("VALID_DATE", "o_orderdate", "NONE"),
-    ("VALID_PRIORITY", "o_orderpriority", "NONE"), ("VALID_LENGTH", "o_orderpriority", "NONE"),
+    ("amount_not_negative", "o_totalprice", "NONE"), ("status_listed", "o_orderstatus", "NONE"), ("status_listed", "o_orderstatus", "URGENT"),
+    ("value_present", "o_custkey", "NONE"), ("key_in_range", "o_custkey", "LARGE"), ("before_cutoff", "o_orderdate", "NONE"),
+    ("priority_shape", "o_orderpriority", "NONE"), ("five_letters", "o_orderpriority", "NONE"),
 ]
 
 
@@ -81,15 +81,15 @@ SELECT '{rule}' AS rule_id, '{RULES[rule][0]}' AS dimension, '{col}' AS column_i
     return " UNION ALL ".join(out)
 
 
-@query("dq03_row_rules", _rules_sql([b for b in BINDINGS if b[0] in ("VALUE_ZERO_OR_POSITIVE", "VALID_KEY", "VALID_DATE", "VALID_LENGTH")]))
+@query("dq03_row_rules", _rules_sql([b for b in BINDINGS if b[0] in ("amount_not_negative", "key_in_range", "before_cutoff", "five_letters")]))
 def row_rules(t):
-    picked = [b for b in BINDINGS if b[0] in ("VALUE_ZERO_OR_POSITIVE", "VALID_KEY", "VALID_DATE", "VALID_LENGTH")]
+    picked = [b for b in BINDINGS if b[0] in ("amount_not_negative", "key_in_range", "before_cutoff", "five_letters")]
     return q.run_rules(t.orders, RULES, picked, FILTERS)
 
 
-@query("dq04_regex_rule", _rules_sql([b for b in BINDINGS if b[0] == "VALID_PRIORITY"]))
+@query("dq04_regex_rule", _rules_sql([b for b in BINDINGS if b[0] == "priority_shape"]))
 def regex_rule(t):
-    return q.run_rules(t.orders, RULES, [b for b in BINDINGS if b[0] == "VALID_PRIORITY"], FILTERS)
+    return q.run_rules(t.orders, RULES, [b for b in BINDINGS if b[0] == "priority_shape"], FILTERS)
 
 
 @query("dq05_set_range_null_rules", """
@@ -99,7 +99,7 @@ UNION ALL SELECT 'not_null', COUNT(o_orderkey) / COUNT(*) >= 1 FROM orders
 """)
 def set_range_null(t):
     """Rules with a threshold on the share of rows that must pass."""
-    rules = {"set": ("", "$column IN ('F', 'O')"), "strict_min": ("", "$column > 1000"), "not_null": ("", "$column IS NOT NULL")}
+    rules = {"set": ("", "$column IN ('F', 'O')"), "strict_min": ("", "$column > 1000"), "not_null": ("", "$column IS NOT NULL", True)}
     bars = inline_rows(spark_of(t), [("set", 0.6), ("strict_min", 0.999), ("not_null", 1.0)], "rule_id string, bar double")
     found = q.run_rules(t.orders, rules, [("set", "o_orderstatus", "ALL"), ("strict_min", "o_totalprice", "ALL"), ("not_null", "o_orderkey", "ALL")], {"ALL": "true"})
     return found.join(bars, "rule_id").select(F.col("rule_id").alias("rule"), (F.col("success_percentage") >= F.col("bar")).alias("passed"))
@@ -176,7 +176,7 @@ def table_condition(t):
 
 @query("dq12_recommend_rules")
 def recommend_rules(t):
-    return q.recommend_rules(q.profile(t.split("orders")))
+    return q.recommend_rules(t.orders, q.profile(t.orders))
 
 
 @query("dq13_quarantine_repair", """
@@ -204,7 +204,7 @@ FINDINGS_SQL = " UNION ALL ".join(_found(k, f"WHERE {_luhn('quote')}" if k == "C
 
 @query("dq14_sensitive_scan", FINDINGS_SQL)
 def sensitive_scan(t):
-    return q.scan_sensitive(t.split("documents"), "doc_id", ["text"], _KINDS)
+    return q.scan_sensitive(t.documents, "doc_id", ["text"], _KINDS)
 
 
 @query("dq14_name_scan", r"""
@@ -215,7 +215,7 @@ SELECT doc_id, 'text' AS column_name, 'PERSON_NAME' AS info_type, name AS quote
 def name_scan(t):
     """Dictionary words: here the first words of the benchmark texts."""
     names = t.benchmark.select(F.regexp_extract("text", r"^\p{L}+", 0).alias("name"))
-    return q.scan_names(t.split("documents"), "doc_id", "text", names, "name")
+    return q.scan_names(t.documents, "doc_id", "text", names, "name")
 
 
 def people(t):
@@ -303,7 +303,7 @@ def anonymize_table(t):
     """Findings per column choose the mask."""
     rows = people(t).withColumn("card", F.concat(F.lit("4539-1488-0343-6467 "), F.col("card")))
     found = q.scan_sensitive(rows, "c_custkey", ["c_name", "c_mktsegment", "email", "card", "ip"], _KINDS)
-    out = pv.anonymize(rows, pv.plan_from_findings(rows, found))
+    out = pv.anonymize(rows, pv.plan_from_findings(rows, found, "KEEP"))
     return out.withColumn("card", F.right("card", F.lit(19)))
 
 
@@ -311,5 +311,5 @@ def anonymize_table(t):
 SELECT column_name, info_type, MAX(doc_id) AS doc_id FROM ({FINDINGS_SQL}) GROUP BY 1, 2
 """)
 def latest_findings(t):
-    found = q.scan_sensitive(t.split("documents"), "doc_id", ["text"], _KINDS)
+    found = q.scan_sensitive(t.documents, "doc_id", ["text"], _KINDS)
     return q.latest_findings(found, ["column_name", "info_type"], [F.desc("doc_id"), F.asc("quote")]).select("column_name", "info_type", "doc_id")

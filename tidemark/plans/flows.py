@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import semantics as sem
 from tidemark.operators import aggregates as ag, joins as j, quality as q, relational as rel, text as tx
-from tidemark.plans.aggregates import HIST_SQL, _WEEK_SQL, habits_sql
-from tidemark.plans.joins import NEAREST_SQL, demand_and_supply, event_points, supplier_points
+from tidemark.plans.aggregates import HIST_SQL, _WEEK_SQL, habits_sql, with_habits
+from tidemark.plans.joins import NEAREST_SQL, event_points, is_demand, stock_moves, supplier_points
 from tidemark.plans.learning import NEGATIVE, POSITIVE, SENTIMENT_SQL
 from tidemark.plans.projections import DETECTIONS_SQL, detections
 from tidemark.plans.registry import query, spark_of
@@ -63,7 +63,14 @@ def weekly_report(t):
         **{f"change_{m}": F.round(f"change_{m}", 6) for m in _MEASURES}})
 
 
-_FEW = "CASE WHEN {n} BETWEEN 1 AND 3 THEN 'few-1-3-{w}' WHEN {n} BETWEEN 4 AND 6 THEN 'average-4-6-{w}' WHEN {n} BETWEEN 7 AND 9 THEN 'many-7-9-{w}' ELSE 'any-{w}' END"
+SPREAD, SPREAD_ABOVE = [(2, "focused"), (12, "varied")], "broad"  # own bands of how many places
+HOME_SHARE = [(0.1, "rare"), (0.3, "some")]  # own bands of the share of trips in one region
+
+
+def spread_sql(n):
+    return "CASE " + " ".join(f"WHEN {n} <= {bound} THEN '{name}'" for bound, name in SPREAD) + f" ELSE '{SPREAD_ABOVE}' END"
+
+
 _SUPPLIER_HIST = HIST_SQL.replace("user_id", "l_suppkey").replace("FROM events", "FROM trips").replace("(ts)", "(ts)")
 
 
@@ -71,35 +78,35 @@ _SUPPLIER_HIST = HIST_SQL.replace("user_id", "l_suppkey").replace("FROM events",
 WITH trips AS (SELECT l_suppkey, l_shipdate + to_minutes(l_partkey % 1440) AS ts, c_nationkey AS pickup, p_type AS dropoff, l_extendedprice AS amount, n_regionkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN part ON p_partkey = l_partkey),
 h AS ({_SUPPLIER_HIST}),
-p AS (SELECT l_suppkey, COUNT(DISTINCT pickup) AS pickups, COUNT(DISTINCT dropoff) AS dropoffs, string_agg(DISTINCT dropoff, ', ' ORDER BY dropoff) AS zones, COUNT(*) FILTER (n_regionkey = 1) AS abroad FROM trips GROUP BY 1),
+p AS (SELECT l_suppkey, COUNT(DISTINCT pickup) AS pickups, COUNT(DISTINCT dropoff) AS dropoffs, COUNT(*) FILTER (n_regionkey = 1) AS region_trips FROM trips GROUP BY 1),
+z AS (SELECT l_suppkey, string_agg(dropoff, ', ' ORDER BY n DESC, dropoff) AS top_zones FROM (SELECT l_suppkey, dropoff, COUNT(*) AS n FROM trips GROUP BY 1, 2 QUALIFY ROW_NUMBER() OVER (PARTITION BY l_suppkey ORDER BY COUNT(*) DESC, dropoff) <= 5) GROUP BY 1),
 s AS (SELECT l_suppkey, AVG(d) AS average_daily, stddev_samp(d) AS stddev_daily FROM (SELECT l_suppkey, ts::DATE AS day, SUM(amount) AS d FROM trips GROUP BY 1, 2) GROUP BY 1 HAVING stddev_samp(d) < 37000)
-SELECT h.l_suppkey AS driver, pickups, dropoffs, {_FEW.format(n='pickups', w='pickup-locations')} AS pickup_habit, {_FEW.format(n='dropoffs', w='dropoff-locations')} AS dropoff_habit,
- CASE WHEN dropoffs BETWEEN 1 AND 9 THEN zones ELSE 'too-many-to-list' END AS zone_habit,
- CASE WHEN abroad > floor(total * 0.2 + 0.5) THEN 'crosses-line' WHEN abroad < floor(total * 0.05 + 0.5) THEN 'stays-inside' ELSE 'any-line' END AS line_habit,
- {habits_sql('driver')}, ROUND(average_daily, 4) AS average_daily, ROUND(stddev_daily, 4) AS stddev_daily
-FROM h JOIN p USING (l_suppkey) LEFT JOIN s USING (l_suppkey)
+SELECT h.l_suppkey AS driver, pickups, dropoffs, {spread_sql('pickups')} AS pickup_spread, {spread_sql('dropoffs')} AS dropoff_spread, top_zones,
+ CASE WHEN region_trips / total <= 0.1 THEN 'rare' WHEN region_trips / total <= 0.3 THEN 'some' ELSE 'often' END AS region_habit,
+ {habits_sql()}, ROUND(average_daily, 4) AS average_daily, ROUND(stddev_daily, 4) AS stddev_daily
+FROM h JOIN p USING (l_suppkey) JOIN z USING (l_suppkey) LEFT JOIN s USING (l_suppkey)
 """)
 def behaviour_profile(t):
     """Suppliers as drivers, lines as trips: where, when and how steadily they work."""
     trips = (
-        t.split("lineitem").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select(F.col("l_suppkey").alias("driver"), F.timestamp_add("MINUTE", F.col("l_partkey") % 1440, "l_shipdate").cast("timestamp_ntz").alias("ts"),
                 F.col("c_nationkey").alias("pickup"), F.col("p_type").alias("dropoff"), F.col("l_extendedprice").alias("amount"), "n_regionkey")
     )
     # four roll-ups share one join, so it is written once
     trips = materialize(trips, "trips")
-    habits = ag.classify_habits(ag.time_histogram(trips, ["driver"], "ts"), "driver").select("driver", "total", "day_of_week", "hour_of_day")
+    habits = with_habits(ag.time_histogram(trips, ["driver"], "ts")).select("driver", "total", "week_part", "day_part")
     places = trips.groupBy("driver").agg(
-        F.count_distinct("pickup").alias("pickups"), F.count_distinct("dropoff").alias("dropoffs"),
-        F.array_join(F.array_sort(F.collect_set("dropoff")), ", ").alias("zones"), F.count_if(F.col("n_regionkey") == 1).alias("abroad"))
+        F.count_distinct("pickup").alias("pickups"), F.count_distinct("dropoff").alias("dropoffs"), F.count_if(F.col("n_regionkey") == 1).alias("region_trips"))
+    often = ag.top_per_group(trips.groupBy("driver", "dropoff").agg(F.count("*").alias("n")), ["driver"], [F.desc("n"), F.asc("dropoff")], 5)
+    zones = often.groupBy("driver").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "dropoff"))), lambda x: x["dropoff"]), ", ").alias("top_zones"))
     steady = ag.steady_entities(trips, "driver", F.to_date("ts"), F.col("amount"), 37000)
-    return habits.join(places, "driver").join(steady, "driver", "left").select(
-        "driver", "pickups", "dropoffs", ag.few_many_label(F.col("pickups"), "pickup-locations").alias("pickup_habit"),
-        ag.few_many_label(F.col("dropoffs"), "dropoff-locations").alias("dropoff_habit"),
-        F.when(F.col("dropoffs").between(1, 9), F.col("zones")).otherwise("too-many-to-list").alias("zone_habit"),
-        ag.share_label(F.col("abroad"), F.col("total"), 0.2, 0.05, ("crosses-line", "stays-inside", "any-line")).alias("line_habit"),
-        "day_of_week", "hour_of_day", F.round("average_daily", 4).alias("average_daily"), F.round("stddev_daily", 4).alias("stddev_daily"))
+    return habits.join(places, "driver").join(zones, "driver").join(steady, "driver", "left").select(
+        "driver", "pickups", "dropoffs", ag.band_label(F.col("pickups"), SPREAD, SPREAD_ABOVE).alias("pickup_spread"),
+        ag.band_label(F.col("dropoffs"), SPREAD, SPREAD_ABOVE).alias("dropoff_spread"), "top_zones",
+        ag.band_label(F.col("region_trips") / F.col("total"), HOME_SHARE, "often").alias("region_habit"),
+        "week_part", "day_part", F.round("average_daily", 4).alias("average_daily"), F.round("stddev_daily", 4).alias("stddev_daily"))
 
 
 @query("pl04_delivery_shortage", """
@@ -108,14 +115,13 @@ d AS (SELECT center, product, day, SUM(qty) OVER (PARTITION BY center, product O
 s AS (SELECT center, product, day, SUM(qty) OVER (PARTITION BY center, product ORDER BY day) AS available FROM l WHERE l_linestatus = 'F')
 SELECT day, n_name AS distribution_center, CASE WHEN length(product || ' of ' || n_name) > 12 THEN left(product || ' of ' || n_name, 12) || '...' ELSE product || ' of ' || n_name END AS product_name,
  required AS quantity_required, available AS quantity_available, available - required AS in_stock_qty,
- CASE WHEN available - required <= 0 THEN 'Out of Stock' WHEN available - required <= 10 THEN 'Low' WHEN available - required <= 20 THEN 'Medium' ELSE 'Ok' END AS stock_status
+ CASE WHEN available < required THEN 'short' WHEN available - required <= 15 THEN 'tight' ELSE 'covered' END AS stock_status
 FROM d JOIN s USING (center, product, day) JOIN nation ON n_nationkey = center WHERE available - required <= 20
 """)
 def delivery_shortage(t):
-    demand, supply = demand_and_supply(t)
-    gaps = j.supply_gap(demand, supply, ["center", "product"], "day", "qty", 20).join(t.nation, F.col("center") == F.col("n_nationkey"))
+    gaps = j.supply_gap(stock_moves(t), is_demand(), ["center", "product"], "day", "qty", 20).join(t.nation, F.col("center") == F.col("n_nationkey"))
     stock = F.col("in_stock")
-    status = rel.score_rules([(stock <= 0, "Out of Stock"), (stock <= 10, "Low"), (stock <= 20, "Medium")], "Ok")
+    status = rel.score_rules([(stock < 0, "short"), (stock <= 15, "tight")], "covered")
     return gaps.select(
         "day", F.col("n_name").alias("distribution_center"), rel.shorten(F.concat("product", F.lit(" of "), "n_name"), 12).alias("product_name"),
         F.col("required").alias("quantity_required"), F.col("available").alias("quantity_available"), stock.alias("in_stock_qty"), status.alias("stock_status"))
@@ -201,7 +207,7 @@ WITH n AS ({NEAREST_SQL.strip()}),
 o AS (SELECT n.s_suppkey, e.ts, e.event_id, {_WEATHER} FROM n JOIN events e USING (event_id)),
 k AS (SELECT *, c * 9 / 5 + 32 AS f FROM o QUALIFY ROW_NUMBER() OVER (PARTITION BY s_suppkey, date_trunc('hour', ts) ORDER BY ts, event_id) = 1)
 SELECT s_suppkey, date_trunc('hour', ts) AS hour, ROUND(f, 4) AS temperature_f, ROUND(w, 4) AS wind_mph,
- CASE WHEN w > 25 THEN 'Windy' WHEN h > 80 THEN 'Overcast' WHEN h > 50 THEN 'Cloudy' ELSE 'Clear' END AS description,
+ CASE WHEN f > 80 AND h > 60 THEN 'sultry' WHEN w > 12 THEN 'breezy' ELSE 'calm' END AS description,
  ROUND(CASE WHEN f < 50 AND w > 3 THEN 35.74 + 0.6215 * f - 35.75 * pow(w, 0.16) + 0.4275 * f * pow(w, 0.16)
   WHEN f > 80 AND h > 40 THEN -42.379 + 2.04901523 * f + 10.14333127 * h - 0.22475541 * f * h - 0.00683783 * f * f - 0.05481717 * h * h + 0.00122874 * f * f * h + 0.00085282 * f * h * h - 0.00000199 * f * f * h * h
   ELSE f END, 4) AS feels_like_f, hour(ts) BETWEEN 7 AND 19 AS is_day FROM k
@@ -213,7 +219,7 @@ def nearest_weather(t):
     first = latest_by(near.withColumn("hour", hour), ["s_suppkey", "hour"], [F.asc("ts"), F.asc("event_id")])
     wind = rel.wind_speed_mph((F.col("event_id") % 17).cast("double"), (F.col("event_id") % 11).cast("double"))
     temp, humid = rel.fahrenheit(F.col("value") / 5 - 20), 30 + (F.col("user_id") % 60).cast("double")
-    text = rel.score_rules([(wind > 25, "Windy"), (humid > 80, "Overcast"), (humid > 50, "Cloudy")], "Clear")
+    text = rel.score_rules([((temp > 80) & (humid > 60), "sultry"), (wind > 12, "breezy")], "calm")
     return first.select("s_suppkey", "hour", F.round(temp, 4).alias("temperature_f"), F.round(wind, 4).alias("wind_mph"), text.alias("description"),
                         F.round(rel.feels_like(temp, wind, humid), 4).alias("feels_like_f"), F.hour("ts").between(7, 19).alias("is_day"))
 

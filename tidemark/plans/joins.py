@@ -57,7 +57,7 @@ def one_row_and_grid(t):
 PAIRS_SQL = """
 SELECT a.user_id, a.started AS start_ts, b.ended AS end_ts, datediff('second', a.started, b.ended) // 60 AS minutes, b.value AS amount
 FROM (SELECT user_id, MIN(ts) AS started FROM events WHERE event_type = 'view' GROUP BY 1) a
-JOIN (SELECT user_id, MAX(ts) AS ended, arg_max(value, ts) AS value FROM events WHERE event_type = 'purchase' GROUP BY 1) b USING (user_id)
+JOIN (SELECT user_id, MAX(ts) AS ended, arg_max(value, ts) AS value FROM events WHERE event_type = 'purchase' GROUP BY 1) b USING (user_id) WHERE ended >= started
 """
 
 
@@ -131,20 +131,22 @@ SELECT center, product, day, required, available, available - required AS in_sto
 """
 
 
-def demand_and_supply(t):
-    """Open lines are demand, finished ones supply, per supplier nation, part type and day."""
-    lines = (
+def stock_moves(t):
+    """Lines by supplier nation, part type and day; open ones are demand, finished ones supply."""
+    return (
         t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .select("l_linestatus", F.col("s_nationkey").alias("center"), F.col("p_type").alias("product"),
                 F.to_date("l_shipdate").alias("day"), F.col("l_quantity").alias("qty"))
     )
-    return lines.filter("l_linestatus = 'O'"), lines.filter("l_linestatus = 'F'")
+
+
+def is_demand():
+    return F.when(F.col("l_linestatus") == "O", True).when(F.col("l_linestatus") == "F", False)
 
 
 @query("jn08_supply_gap", GAP_SQL)
 def supply_gap(t):
-    demand, supply = demand_and_supply(t)
-    return j.supply_gap(demand, supply, ["center", "product"], "day", "qty", 20)
+    return j.supply_gap(stock_moves(t), is_demand(), ["center", "product"], "day", "qty", 20)
 
 
 POINT_SQL = "30 + (user_id % 97) * 0.17::DOUBLE AS lat, -100 + (user_id % 89) * 0.23::DOUBLE AS lon"

@@ -11,7 +11,7 @@ from tidemark.sources.readers import latest_by
 
 
 def priced_lines(t):
-    return t.split("lineitem").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey", "l_linenumber", "l_returnflag", "p_type", "l_quantity", "p_retailprice", "l_extendedprice")
 
 
@@ -25,29 +25,29 @@ def linear_regression(t):
 def returning(t):
     """Many small pseudo users out of the event log: a user and a band of the JSON counter."""
     band = F.floor(F.get_json_object("props", "$.k").cast("int") / 4).cast("int")
-    return t.events.select(F.concat_ws("-", "user_id", band).alias("pseudo_id"), "ts", "event_type", "props", "value")
+    return t.events.select(F.concat_ws("-", "user_id", band).alias("visitor"), "ts", "event_type", "props", "value")
 
 
 KINDS = ["click", "error", "purchase", "signup", "view"]
-_PSEUDO = "SELECT user_id || '-' || (json_extract_string(props, '$.k')::INT // 4) AS pseudo_id, ts, event_type, props FROM events"
+_PSEUDO = "SELECT user_id || '-' || (json_extract_string(props, '$.k')::INT // 4) AS visitor, ts, event_type, props FROM events"
 _COUNTS = ", ".join(f"COUNT(*) FILTER (e.event_type = '{k}') AS cnt_{k}" for k in KINDS)
 CHURN_SQL = f"""
-WITH e AS ({_PSEUDO}), f AS (SELECT pseudo_id, MIN(ts) AS first_touch, MAX(ts) AS last_touch, arg_max(event_type, ts) AS event_type, arg_max(props, ts) AS props FROM e GROUP BY 1),
-c AS (SELECT e.pseudo_id, {_COUNTS} FROM e JOIN f USING (pseudo_id) WHERE e.ts <= first_touch + INTERVAL 24 HOUR GROUP BY 1)
-SELECT f.*, month(first_touch)::INT AS month, dayofyear(first_touch)::INT AS julianday, (dayofweek(first_touch) + 1)::INT AS dayofweek, first_touch + INTERVAL 24 HOUR AS horizon_end,
+WITH e AS ({_PSEUDO}), f AS (SELECT visitor, MIN(ts) AS first_touch, MAX(ts) AS last_touch, arg_max(event_type, ts) AS event_type, arg_max(props, ts) AS props FROM e GROUP BY 1),
+c AS (SELECT e.visitor, {_COUNTS} FROM e JOIN f USING (visitor) WHERE e.ts <= first_touch + INTERVAL 24 HOUR GROUP BY 1)
+SELECT f.*, month(first_touch)::INT AS month, dayofyear(first_touch)::INT AS day_of_year, (dayofweek(first_touch) + 1)::INT AS dayofweek, first_touch + INTERVAL 24 HOUR AS horizon_end,
  (last_touch < first_touch + INTERVAL 24 HOUR)::INT AS churned, (last_touch <= first_touch + INTERVAL 10 MINUTE)::INT AS bounced, {', '.join('cnt_' + k for k in KINDS)}
-FROM f JOIN c USING (pseudo_id)
+FROM f JOIN c USING (visitor)
 """
 
 
 def churn(t):
-    return m.churn_features(returning(t), "pseudo_id", "ts", "event_type", KINDS, ["event_type", "props"])
+    return m.churn_features(returning(t), "visitor", "ts", "event_type", KINDS, ["event_type", "props"])
 
 
 @query("ml02_logistic_classifier")
 def logistic_classifier(t):
     rows = materialize(churn(t), "churn")
-    model = m.train_logistic(rows, "churned", ["event_type"], [f"cnt_{k}" for k in KINDS] + ["julianday", "dayofweek"], reg=0.01)
+    model = m.train_logistic(rows, "churned", ["event_type"], [f"cnt_{k}" for k in KINDS] + ["day_of_year", "dayofweek"], reg=0.01)
     scored = m.predict(model, rows)
     return m.evaluate(scored, "churned", "probability")
 
@@ -81,7 +81,7 @@ def roc_auc(t):
 @query("ml03_kmeans")
 def kmeans(t):
     features = ["l_quantity", "price"]
-    rows = t.split("lineitem").select("l_orderkey", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
+    rows = t.lineitem.select("l_orderkey", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price"))
     model = m.train_kmeans(rows, features, 5)
     centroids = [c.tolist() for c in model.stages[-1].clusterCenters()]
     near = m.nearest_centroid(rows, centroids, features)
@@ -115,7 +115,7 @@ def churn_rows(t):
 SELECT bounced, COUNT(*) AS users, COUNT(*) FILTER (churned = 1) AS churned_users, ROUND(COUNT(*) FILTER (churned = 1) / COUNT(*), 6) AS churn_rate FROM ({CHURN_SQL}) GROUP BY 1
 """)
 def churn_rate(t):
-    touch = m.touch_features(returning(t), "pseudo_id", "ts")
+    touch = m.touch_features(returning(t), "visitor", "ts")
     return touch.groupBy("bounced").agg(
         F.count("*").alias("users"), F.count_if(F.col("churned") == 1).alias("churned_users"),
         F.round(F.count_if(F.col("churned") == 1) / F.count("*"), 6).alias("churn_rate"))
@@ -268,29 +268,29 @@ def similarity_split(t):
     return split.groupBy("side").agg(F.count("*").alias("n"), F.round(F.avg("label"), 6).alias("mean_label"))
 
 
+_TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
 def named_tables(t):
-    return {n: getattr(t, n) for n in ("region", "nation", "customer", "supplier", "part", "orders")}
-
-
-@query("vs07_distinct_values", """
-SELECT 'region' AS table_name, 'r_name' AS column_name, r_name AS text_content FROM region GROUP BY ALL
-UNION ALL SELECT 'nation', 'n_name', n_name FROM nation GROUP BY ALL
-UNION ALL SELECT 'customer', 'c_name', c_name FROM customer GROUP BY ALL
-UNION ALL SELECT 'customer', 'c_mktsegment', c_mktsegment FROM customer GROUP BY ALL
-UNION ALL SELECT 'supplier', 's_name', s_name FROM supplier GROUP BY ALL
-UNION ALL SELECT 'part', 'p_name', p_name FROM part GROUP BY ALL
-UNION ALL SELECT 'part', 'p_brand', p_brand FROM part GROUP BY ALL
-UNION ALL SELECT 'part', 'p_type', p_type FROM part GROUP BY ALL
-UNION ALL SELECT 'orders', 'o_orderstatus', o_orderstatus FROM orders GROUP BY ALL
-UNION ALL SELECT 'orders', 'o_orderpriority', o_orderpriority FROM orders GROUP BY ALL
-""")
+    return {n: getattr(t, n) for n in _TABLES}
+
+
+# The text columns of the tables that are not ids.
+_TEXTS = [tuple(x.split(".")) for x in (
+    "region.r_name nation.n_name customer.c_name customer.c_mktsegment supplier.s_name part.p_name part.p_brand part.p_type orders.o_orderstatus "
+    "orders.o_orderpriority lineitem.l_returnflag lineitem.l_linestatus events.event_type events.props documents.text documents.lang documents.source "
+    "pages.url pages.html benchmark.text conversations.role conversations.text").split()]
+
+
+@query("vs07_distinct_values", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, {c} AS text_content FROM {n} WHERE {c} IS NOT NULL GROUP BY ALL" for n, c in _TEXTS))
 def distinct_values(t):
     return v.distinct_values(named_tables(t))
 
 
 @query("vs08_text_embedding")
 def text_embedding(t):
-    docs = t.split("documents").select("doc_id", "text")
+    docs = t.documents.select("doc_id", "text")
     return v.embed(docs, "text", v.fit_embedder(docs, "text")).select("doc_id", "embedding")
 
 
@@ -321,9 +321,9 @@ WITH d AS (SELECT lang, {SENTIMENT_SQL} AS sentiment FROM documents) SELECT lang
 """)
 def text_inference(t):
     """Scored in two runs; the second takes only what the first left, and answers stay raw JSON until counted."""
-    scorer = tx.lexicon_scorer(set(POSITIVE), set(NEGATIVE))
-    first = materialize(tx.infer_text(t.split("documents").filter("lang = 'en'"), "doc_id", "text", scorer), "scored")
-    rest = tx.infer_text(t.split("documents"), "doc_id", "text", scorer, done=first)
+    scorer = tx.lexicon_scorer(POSITIVE, NEGATIVE)
+    first = materialize(tx.infer_text(t.documents.filter("lang = 'en'"), "doc_id", "text", scorer), "scored")
+    rest = tx.infer_text(t.documents, "doc_id", "text", scorer, done=first)
     answers = first.unionByName(rest).withColumn("sentiment", F.get_json_object("raw", "$.sentiment"))
     return answers.join(t.documents.select("doc_id", "lang"), "doc_id").groupBy("lang", "sentiment").agg(F.count("*").alias("n"))
 
@@ -336,8 +336,8 @@ WITH d AS (SELECT lang, {_hits(CATEGORIES['legal'])} AS a, {_hits(CATEGORIES['co
 SELECT lang, CASE WHEN a + b + c = 0 THEN 'other' WHEN a >= b AND a >= c THEN 'legal' WHEN b >= c THEN 'contact' ELSE 'plain' END AS category, COUNT(*) AS n FROM d GROUP BY 1, 2
 """)
 def classify(t):
-    scorer = tx.keyword_scorer({c: set(w) for c, w in CATEGORIES.items()}, "other")
-    return tx.classify(t.split("documents"), "text", scorer).groupBy("category", "lang").agg(F.count("*").alias("n"))
+    scorer = tx.keyword_scorer(CATEGORIES, "other")
+    return tx.classify(t.documents, "text", scorer).groupBy("category", "lang").agg(F.count("*").alias("n"))
 
 
 @query("tx03_build_prompt", """
@@ -358,7 +358,7 @@ c AS (SELECT doc_id, w, unnest(range(0, len(w), 100)) AS pos FROM w)
 SELECT doc_id, (pos // 100)::INT AS chunk_id, array_to_string(w[pos + 1 : pos + 100], ' ') AS content FROM c
 """)
 def chunk_documents(t):
-    return tx.chunk(t.split("documents"), "doc_id", "text", 100)
+    return tx.chunk(t.documents, "doc_id", "text", 100)
 
 
 @query("tx05_label_rollup", f"""
@@ -408,12 +408,8 @@ def table_function(t):
 
 @query("ud04_row_function", "SELECT event_id, value, 1 + (event_id * 7919) % 29120 AS product_id FROM events")
 def row_function(t):
-    """The row function of the stream job as Arrow batches, for code that is no column expression."""
-    def enrich(batches):
-        for pdf in batches:
-            yield pdf.assign(product_id=1 + (pdf["event_id"] * 7919) % 29120)
-
-    return t.events.select("event_id", "value").mapInPandas(enrich, "event_id bigint, value double, product_id bigint")
+    """The row function of the stream job: arithmetic, so a column expression."""
+    return t.events.select("event_id", "value", (1 + (F.col("event_id") * 7919) % 29120).alias("product_id"))
 
 
 @query("ud05_until_done", "SELECT doc_id, length(text)::VARCHAR AS raw FROM documents")
@@ -427,10 +423,7 @@ def until_done(t):
     return both.unionByName(tx.infer_text(t.documents, "doc_id", "text", size, done=both))
 
 
-@query("ud06_per_table_loop", """
-SELECT 'region' AS table_name, COUNT(*) AS n FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation UNION ALL SELECT 'customer', COUNT(*) FROM customer
-UNION ALL SELECT 'supplier', COUNT(*) FROM supplier UNION ALL SELECT 'part', COUNT(*) FROM part UNION ALL SELECT 'orders', COUNT(*) FROM orders
-""")
+@query("ud06_per_table_loop", " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS n FROM {n}" for n in _TABLES))
 def per_table_loop(t):
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in named_tables(t).items()]
     out = parts[0]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import semantics as sem
 from tidemark.functions.search import search_columns
 from tidemark.operators import aggregates as ag, relational as rel
-from tidemark.operators.joins import build_index, index_lookup, write_index
+from tidemark.operators.joins import build_index, indexed_search, write_index
 from tidemark.operators.ordered import batch_slice
 from tidemark.operators.text import filter_by_question, keyword_answer
 from tidemark.plans.registry import query, spark_of
@@ -206,7 +206,7 @@ UNION ALL SELECT 'whole_row', COUNT(*) FROM documents WHERE list_contains({_TOKE
 """)
 def token_search(t):
     """Six forms of search, counted in one scan."""
-    d = t.split("documents")
+    d = t.documents
     modes = {
         "log": search_columns(d, ["text"], "license"), "all_words": search_columns(d, ["text"], "the with"),
         "phrase": search_columns(d, ["text"], "`of the`"), "exact": search_columns(d, ["source"], "src7", "no_op"),
@@ -220,11 +220,11 @@ def token_search(t):
 SELECT doc_id, lang, source FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'the') AND list_contains({_TOKENS.format(c='text')}, 'with')
 """)
 def index_search(t):
-    """The index is written in token buckets; the lookup reads the buckets of its words, then semi-joins the documents."""
+    """The index is written in token buckets; the lookup reads the buckets of its words, and the search runs on the hits."""
     spark = spark_of(t)
-    path = write_index(build_index(t.split("documents"), "doc_id", ["text"]), scratch_path(spark, "index"), 32)
-    hits = index_lookup(read_table(spark, path), "doc_id", "the with", 32)
-    return t.documents.join(hits, "doc_id", "left_semi").select("doc_id", "lang", "source")
+    path = write_index(build_index(t.documents, "doc_id", ["text"]), scratch_path(spark, "index"), 32)
+    found = indexed_search(t.documents, read_table(spark, path), "doc_id", ["text"], "the with", 32)
+    return found.select("doc_id", "lang", "source")
 
 
 @query("flt07_regex_match", r"SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)(\b|_)license(\b|_)')")
@@ -235,7 +235,7 @@ def regex_match(t):
 @query("flt08_question_filter", f"SELECT doc_id, lang FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'license')")
 def question_filter(t):
     """The offline scorer says yes if the question's long words occur."""
-    return filter_by_question(t.split("documents"), "text", "Is it about a license?", keyword_answer).select("doc_id", "lang")
+    return filter_by_question(t.documents, "text", "Is it about a license?", keyword_answer).select("doc_id", "lang")
 
 
 @query("flt09_partition_lookup", """

@@ -124,53 +124,13 @@ def manifest_scan(t):
     spark = spark_of(t)
     path = write_table(t.orders, scratch_path(spark, "live"), partition_by=["o_orderstatus"])
     df = r.read_table(spark, path)
-    scheme = df.inputFiles()[0].split(":", 1)[0]
+    scheme = df.select("_metadata.file_path").first()[0].split(":", 1)[0]
     listed = df.filter("o_orderstatus IN ('F', 'O')").select(F.col("_metadata.file_path").alias("path")).distinct()
     manifest = listed.withColumn("path", F.replace("path", F.lit(f"{scheme}:"), F.lit("store:")))
     live = r.filter_live_files(df, manifest, ("store:", f"{scheme}:"))
     return live.groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("src10_log_replay", """
-SELECT 0 AS version, o_orderstatus, COUNT(*) AS orders FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL
-UNION ALL SELECT 1, o_orderstatus, COUNT(*) FROM orders GROUP BY ALL
-UNION ALL SELECT 2, o_orderstatus, COUNT(*) FROM orders WHERE o_orderstatus <> 'F' OR o_totalprice >= 100000 GROUP BY ALL
-""")
-def log_replay(t):
-    """Version 0 adds one status, 1 adds the others, 2 replaces the first files by a smaller rewrite."""
-    spark, root = spark_of(t), scratch_path(spark_of(t), "log")
-
-    def files():
-        found = r.list_objects(spark, f"{root}/data").filter("content_type = 'parquet'")
-        return found.select(F.regexp_extract("uri", r"/data/(.*)$", 1).alias("path"), "size")
-
-    def log(version, *actions):
-        both = actions[0] if len(actions) == 1 else actions[0].union(actions[1])
-        write_table(both, f"{root}/log/{version:020d}.json", "text")
-
-    def add(df):
-        return df.select(F.to_json(F.struct(F.struct("path", "size").alias("add"))).alias("value"))
-
-    def remove(df):
-        return df.select(F.to_json(F.struct(F.struct("path").alias("remove"))).alias("value"))
-
-    def save(condition, mode="append"):
-        write_table(t.orders.filter(condition), f"{root}/data", mode=mode, partition_by=["o_orderstatus"])
-
-    save("o_orderstatus = 'F'")
-    log(0, add(files()))
-    save("o_orderstatus <> 'F'")
-    log(1, add(files().filter("path NOT LIKE '%=F/%'")))
-    old = r.live_files(spark, root, 1).filter("path LIKE '%=F/%'")
-    save("o_orderstatus = 'F' AND o_totalprice >= 100000")
-    log(2, remove(old), add(files().join(r.live_files(spark, root, 1), "path", "left_anti")))
-    parts = [
-        r.replay_log(spark, root, v).groupBy("o_orderstatus").agg(F.count("*").alias("orders")).select(F.lit(v).alias("version"), "o_orderstatus", "orders")
-        for v in (0, 1, None)
-    ]
-    return parts[0].union(parts[1]).union(parts[2].withColumn("version", F.lit(2)))
-
-
 @query("src11_object_table")
 def object_table(t):
     return r.list_objects(spark_of(t), t.path("*"), recursive=False)

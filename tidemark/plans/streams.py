@@ -9,7 +9,7 @@ from tidemark.plans.aggregates import WINDOWS_SQL, window_report
 from tidemark.plans.joins import PAIRS_SQL
 from tidemark.plans.registry import query, spark_of
 from tidemark.plans.sinks import ORDER_STATE_SQL, order_changes
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.readers import read_table
 from tidemark.sources.tables import write_table
 from tidemark.streaming import streams as s, trips as tr
@@ -117,7 +117,7 @@ SELECT a.user_id, a.day, a.ts AS start_ts, b.ts AS end_ts, a.id % 25 AS start_zo
 FROM (SELECT user_id, ts::DATE AS day, MIN(ts) AS ts, arg_min(event_id, ts) AS id, 30 + (arg_min(event_id, ts) % 97) * 0.17::DOUBLE AS alat, -100 + (arg_min(event_id, ts) % 89) * 0.23::DOUBLE AS alon
       FROM events WHERE event_type = 'view' GROUP BY 1, 2) a
 JOIN (SELECT user_id, ts::DATE AS day, MAX(ts) AS ts, arg_max(event_id, ts) AS id, arg_max(value, ts) AS value, 30 + (arg_max(event_id, ts) % 97) * 0.17::DOUBLE AS blat, -100 + (arg_max(event_id, ts) % 89) * 0.23::DOUBLE AS blon
-      FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b USING (user_id, day)
+      FROM events WHERE event_type = 'purchase' GROUP BY 1, 2) b USING (user_id, day) WHERE b.ts >= a.ts
 """
 
 
@@ -126,7 +126,7 @@ def streamed_trips(t):
     src = _stream(t).withColumns({
         "day": F.to_date("ts"), "lat": 30 + (F.col("event_id") % 97) * 0.17, "lon": -100 + (F.col("event_id") % 89) * 0.23})
     pairs = tr.pair_stream(src, ["user_id", "day"], "ts", "event_type", "view", "purchase", ["event_id", "lat", "lon", "value"], _new(t, "trips"), _new(t, "ckpt"))
-    trips = tr.trip_columns(pairs, "ts", "lat", "lon", "value")
+    trips = tr.trip_columns(materialize(pairs, "merged-trips"), "ts", "lat", "lon", "value")
     return trips.withColumns({"start_zone": F.col("start_event_id") % 25, "end_zone": F.col("end_event_id") % 25})
 
 

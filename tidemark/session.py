@@ -47,15 +47,6 @@ class Tables:
         """The same path as a pattern: a stream source takes a folder or a pattern, not one file."""
         return f"{self._folder}/{name}.parque[t]"
 
-    def split(self, name: str) -> DataFrame:
-        """A table for heavy work per row: dealt out to all cores if its files give fewer scan tasks.
-
-        Large tables have more tasks than cores and are read as they are, without a shuffle.
-        """
-        df = getattr(self, name)
-        cores = self._spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
     def __getattr__(self, name: str) -> DataFrame:
         # one file listing per table and query
         if name not in self._read:

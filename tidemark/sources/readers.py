@@ -72,34 +72,6 @@ def filter_live_files(df: DataFrame, manifest: DataFrame, rewrite: tuple[str, st
     return tagged.join(live, "__file", "left_semi").drop("__file")
 
 
-LOG_SCHEMA = "add struct<path string, size bigint>, remove struct<path string>"
-
-
-def live_files(spark: SparkSession, table_dir: str, version: int | None = None) -> DataFrame:
-    """Paths (relative to the table) left alive by a log of add and remove actions."""
-    files = spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true")
-    log = files.json(f"{table_dir}/log").withColumn(
-        "version", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d+)\.json", 1).cast("int")
-    )
-    if version is not None:
-        log = log.filter(F.col("version") <= version)
-    actions = log.select(
-        "version",
-        F.coalesce("add.path", "remove.path").alias("path"),
-        F.col("add").isNotNull().alias("is_add"),
-    ).filter("path IS NOT NULL")
-    last = actions.groupBy("path").agg(F.max_by("is_add", F.struct("version", "is_add")).alias("is_add"))
-    return last.filter("is_add").select("path")
-
-
-def replay_log(spark: SparkSession, table_dir: str, version: int | None = None) -> DataFrame:
-    """Table state of a version: all data files joined to the live list of that version."""
-    data = spark.read.option("basePath", f"{table_dir}/data").parquet(f"{table_dir}/data")
-    rel = F.regexp_extract(F.col("_metadata.file_path"), r"/data/(.*)$", 1)
-    tagged = data.withColumn("path", rel)
-    return tagged.join(live_files(spark, table_dir, version), "path", "left_semi").drop("path")
-
-
 def list_objects(spark: SparkSession, glob: str, recursive: bool = True) -> DataFrame:
     """One row per file: uri, size, type and update time. File bodies are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(glob)

@@ -37,9 +37,9 @@ def pair_stream(
 
 
 def read_pairs(spark: SparkSession, path: str, keys: list[str], ts: str, carry: list[str]) -> DataFrame:
-    """Merge the partial aggregates of all batches."""
+    """Merge the partial aggregates of all batches; an end before its start makes no trip."""
     merged = spark.read.parquet(path).groupBy(*keys).agg(F.min("first_start").alias("__a"), F.max("last_end").alias("__b"))
-    return merged.filter("__a IS NOT NULL AND __b IS NOT NULL").select(
+    return merged.filter(F.col("__b")[ts] >= F.col("__a")[ts]).select(
         *keys,
         *[F.col("__a")[c].alias(f"start_{c}") for c in [ts, *carry]],
         *[F.col("__b")[c].alias(f"end_{c}") for c in [ts, *carry]],
