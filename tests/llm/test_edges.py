@@ -151,17 +151,17 @@ def test_repeats_are_cut(spark, edge, length):
 
 def test_leaks(spark, edge):
     got = {(r["doc_id"], r["item_id"]): r["n_changed"] for r in QUERIES["op6_decontamination"](spark, edge).collect()}
-    assert got == {(13, 2): 4, (10, 3): 0, (11, 3): 0, (12, 3): 0}
+    assert got == {(13, 2): 3, (10, 3): 0, (11, 3): 0, (12, 3): 0}  # the first name stands in no window with enough plain words
 
 
 def test_changed_values_have_to_agree(spark):
     from tidemark.llm.decontamination import find_leaks
 
-    items = spark.createDataFrame([(1, "mix 5 kg of sand with 7 kg of lime then add 5 kg of water slowly")], "item_id long, text string")
+    text = "please mix {} kg of the fine sand with {} kg of white lime and then slowly add {} kg of cold water"
+    items = spark.createDataFrame([(1, text.format(5, 7, 5))], "item_id long, text string")
     docs = spark.createDataFrame(
-        [(1, "mix 8 kg of sand with 2 kg of lime then add 8 kg of water slowly"), (2, "mix 8 kg of sand with 2 kg of lime then add 9 kg of water slowly"),
-         (3, "mix 8 pounds of sand with 2 kg of lime"), (4, "nothing of the kind is said here at all")], "doc_id long, text string",
-    )
+        [(1, text.format(8, 2, 8)), (2, text.format(8, 2, 9)), (3, text.format(8, 8, 8)), (4, "nothing of the kind is said here at all")], "doc_id long, text string"
+    )
     assert [(r["doc_id"], r["n_changed"]) for r in find_leaks(docs, items).collect()] == [(1, 2)]
 
 

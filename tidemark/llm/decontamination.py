@@ -166,7 +166,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WIDTH, doc_id: st
     leaks = along.filter(F.col("plain") | one_to_one)
     return leaks.groupBy("doc_id", "item_id").agg(
         F.max(F.size("places")).cast("long").alias("n_windows"),
-        F.min(F.expr("size(filter(pairs, p -> p.doc_id_slots <> p.item_id_slots))")).cast("long").alias("n_changed"),
+        F.max(F.expr("size(filter(pairs, p -> p.doc_id_slots <> p.item_id_slots))")).cast("long").alias("n_changed"),
     )
 
 
