@@ -54,7 +54,7 @@ def test_findings(spark):
     df = spark.createDataFrame([(1, text), (2, None)], "id int, s string")
     found = {(r.info_type, r.quote) for r in q.scan_sensitive(df, "id", ["s"], list(q.SENSITIVE)).collect()}
     assert found == {("EMAIL_ADDRESS", "a.b@example.com"), ("IP_ADDRESS", "10.0.0.255"),
-                     ("CREDIT_CARD_NUMBER", "4539 1488 0343 6467"), ("DATE", "1990-01-31")}
+                     ("CREDIT_CARD_NUMBER", "4539 1488 0343 6467"), ("DATE", "1990-01-31"), ("DATE_OF_BIRTH", "born 1990-01-31")}
 
 
 def test_rule_counts_add_up(spark):

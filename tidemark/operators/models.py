@@ -232,6 +232,22 @@ def forecast(
     )
 
 
+def forecast_by_time(
+    df: DataFrame, data_col: str, timestamp_col: str, horizon: int, confidence_level: float = 0.95, id_cols: list[str] = ()
+) -> DataFrame:
+    """Forecast over a timestamp column: the usual gap of each series is its step, and the answer has timestamps."""
+    keys = list(id_cols)
+    first = df.groupBy(*keys).agg(F.min(timestamp_col).alias("__first"))
+    gaps = infer_granularity(df.filter(F.col(timestamp_col).isNotNull()), timestamp_col, keys).select(*keys, "gap_seconds")
+    scale = first.join(gaps, keys) if keys else first.withColumn("gap_seconds", gaps.select("gap_seconds").scalar())
+    rows = df.join(scale, keys) if keys else df.withColumns({c: scale.select(c).scalar() for c in ("__first", "gap_seconds")})
+    step = F.round(F.timestamp_diff("SECOND", "__first", timestamp_col) / F.col("gap_seconds")).cast("long")
+    ahead = forecast(rows.withColumn("__step", step), data_col, "__step", horizon, confidence_level, keys)
+    timed = ahead.join(scale, keys) if keys else ahead.withColumns({c: scale.select(c).scalar() for c in ("__first", "gap_seconds")})
+    at = F.timestamp_add("SECOND", F.col("forecast_step") * F.col("gap_seconds"), "__first")
+    return timed.select(*keys, at.alias("forecast_timestamp"), "forecast_value", "interval_lower", "interval_upper", "confidence_level")
+
+
 def first_crossing(fc: DataFrame, id_cols: list[str], limit: float) -> DataFrame:
     """First forecast step at or below the limit."""
     return fc.filter(F.col("forecast_value") <= limit).groupBy(*id_cols).agg(F.min("forecast_step").alias("crossing_step"))

@@ -185,6 +185,7 @@ SENSITIVE = {
     "CREDIT_CARD_NUMBER": r"\b[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}\b",
     "US_SOCIAL_SECURITY_NUMBER": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
     "DATE": r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
+    "DATE_OF_BIRTH": r"(?i)\b(?:born|birth|birthday|birthdate|dob)\b\W{0,3}(?:on )?[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
     "GENDER": r"\b(?:male|female|Male|Female)\b",
 }
 

@@ -179,6 +179,16 @@ def forecast(t):
     return fc.select("event_type", "forecast_step", *[F.round(c, 4).alias(c) for c in ("forecast_value", "interval_lower", "interval_upper")])
 
 
+@query("ml10_forecast_by_time", f"""
+SELECT event_type, (DATE '2024-01-01' + forecast_step::INT)::TIMESTAMP AS forecast_timestamp, forecast_value, interval_lower, interval_upper FROM ({FIT_SQL})
+""")
+def forecast_by_time(t):
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    daily = t.events.groupBy("event_type", day).agg(F.sum("value").alias("y"))
+    fc = m.forecast_by_time(daily, "y", "day", 7, 0.95, ["event_type"])
+    return fc.select("event_type", "forecast_timestamp", *[F.round(c, 4).alias(c) for c in ("forecast_value", "interval_lower", "interval_upper")])
+
+
 @query("ml11_granularity", """
 WITH p AS (SELECT DISTINCT event_type, date_trunc('minute', ts + INTERVAL 30 SECOND) AS mi FROM events),
 g AS (SELECT event_type, datediff('second', LAG(mi) OVER (PARTITION BY event_type ORDER BY mi), mi) AS gap FROM p),

@@ -242,10 +242,10 @@ def question_filter(t):
 SELECT event_id, value FROM events WHERE month(ts) = 1 AND day(ts) = 17 AND hour(ts) = 9
 """)
 def partition_lookup(t):
-    """Only one day's folder is listed and read; the hour is a filter on its rows."""
-    parts = {"month": F.month("ts"), "day": F.dayofmonth("ts")}
-    path = write_table(t.events.withColumns({**parts, "hour": F.hour("ts")}), scratch_path(spark_of(t), "lookup"), partition_by=list(parts))
-    scan = read_table(spark_of(t), path, schema="event_id bigint, value double, hour int, month int, day int")
+    """Only one hour's folder is listed and read."""
+    parts = {"month": F.month("ts"), "day": F.dayofmonth("ts"), "hour": F.hour("ts")}
+    path = write_table(t.events.withColumns(parts), scratch_path(spark_of(t), "lookup"), partition_by=list(parts))
+    scan = read_table(spark_of(t), path, schema="event_id bigint, value double, month int, day int, hour int")
     return scan.filter("month = 1 AND day = 17 AND hour = 9").select("event_id", "value")
 
 

@@ -48,12 +48,12 @@ def export_formats(t):
 
 
 @query("snk04_partitioned_write", """
-SELECT year(ts)::INT AS year, month(ts)::INT AS month, day(ts)::INT AS day, COUNT(*) AS events, ROUND(SUM(value), 2) AS total FROM events GROUP BY 1, 2, 3
+SELECT year(ts)::INT AS year, month(ts)::INT AS month, day(ts)::INT AS day, hour(ts)::INT AS hour, COUNT(*) AS events, ROUND(SUM(value), 2) AS total FROM events GROUP BY 1, 2, 3, 4
 """)
 def partitioned_write(t):
-    parts = {"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")}
+    parts = {"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts"), "hour": F.hour("ts")}
     path = w.write_table(t.events.withColumns(parts), _new(t, "parts"), partition_by=list(parts))
-    scan = read_table(spark_of(t), path, schema="value double, year int, month int, day int")
+    scan = read_table(spark_of(t), path, schema="value double, year int, month int, day int, hour int")
     return scan.groupBy(*parts).agg(F.count("*").alias("events"), F.round(F.sum("value"), 2).alias("total"))
 
 
@@ -163,6 +163,23 @@ def materialized_view(t):
     )
 
 
+@query("snk15_join_view", """
+SELECT p_brand, s_nationkey, year(l_shipdate)::INT AS year, SUM(l_quantity) AS quantity, COUNT(*) AS row_count
+FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1, 2, 3
+""")
+def join_view(t):
+    """A view over a join: only new lines are joined when it is refreshed."""
+    spark, keys, sums = spark_of(t), [F.col("p_brand"), F.col("s_nationkey"), F.year("l_shipdate").alias("year")], {"quantity": F.col("l_quantity")}
+
+    def joined(lines):
+        return lines.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
+
+    split = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    view = read_table(spark, w.write_table(ch.create_mv(joined(t.lineitem.filter(split)), keys, sums), _new(t, "mv")))
+    fresh = ch.create_mv(joined(t.lineitem.filter(~split)), keys, sums)
+    return read_table(spark, w.write_table(ch.refresh_mv(view, fresh, ["p_brand", "s_nationkey", "year"]), _new(t, "mv")))
+
+
 @query("snk16_incremental_model", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def incremental_model(t):
     """First run loads the first half of the month; the second only what is newer than a two-hour lookback."""

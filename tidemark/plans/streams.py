@@ -65,8 +65,8 @@ def raw_landing(t):
     out = _stream(t).select(
         F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("data"),
         F.hour("ts").alias("arrival_hour"), F.to_date("ts").alias("arrival_day"))
-    s.write_stream(out, sink, _new(t, "ckpt"), ["arrival_day"])
-    landed = read_table(spark_of(t), sink, schema="data string, arrival_hour int, arrival_day date")
+    s.write_stream(out, sink, _new(t, "ckpt"), ["arrival_day", "arrival_hour"])
+    landed = read_table(spark_of(t), sink, schema="data string, arrival_day date, arrival_hour int")
     return landed.filter("data IS NOT NULL").groupBy("arrival_day", "arrival_hour").agg(F.count("*").alias("messages"))
 
 

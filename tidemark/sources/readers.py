@@ -72,14 +72,26 @@ def filter_live_files(df: DataFrame, manifest: DataFrame, rewrite: tuple[str, st
     return tagged.join(live, "__file", "left_semi").drop("__file")
 
 
+# Media types by file suffix.
+CONTENT_TYPES = {
+    "parquet": "application/vnd.apache.parquet", "json": "application/json", "csv": "text/csv", "txt": "text/plain", "html": "text/html",
+    "pdf": "application/pdf", "jpg": "image/jpeg", "jpeg": "image/jpeg", "png": "image/png", "avro": "application/avro", "orc": "application/orc",
+}
+
+
 def list_objects(spark: SparkSession, glob: str, recursive: bool = True) -> DataFrame:
-    """One row per file: uri, size, type and update time. File bodies are not read."""
+    """One row per file: uri, size, format, content type, metadata and update time. File bodies are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(glob)
     suffix = F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1)
     return files.select(
         F.col("path").alias("uri"),
         F.col("length").alias("size"),
-        F.lower(suffix).alias("content_type"),
+        F.lower(suffix).alias("format"),
+        F.coalesce(F.create_map(*[F.lit(x) for pair in CONTENT_TYPES.items() for x in pair])[F.lower(suffix)], F.lit("application/octet-stream")).alias("content_type"),
+        F.array(
+            F.struct(F.lit("name").alias("name"), F.regexp_extract("path", r"([^/]*)$", 1).alias("value")),
+            F.struct(F.lit("folder").alias("name"), F.regexp_extract("path", r"([^/]*)/[^/]*$", 1).alias("value")),
+        ).alias("metadata"),
         F.col("modificationTime").alias("updated"),
     )
 
@@ -91,8 +103,8 @@ def discover_tables(spark: SparkSession, root: str) -> DataFrame:
     table = F.regexp_replace(folder, r"(/[^/=]+=[^/]*)+$", "")
     keys = F.array_join(F.transform(F.regexp_extract_all(folder, F.lit(r"/([^/=]+)=[^/]*"), F.lit(1)), lambda k: k), ",")
     return (
-        files.filter("content_type IN ('parquet', 'csv', 'json', 'avro', 'orc', 'txt')")
-        .groupBy(table.alias("location"), F.col("content_type").alias("format"), keys.alias("partition_keys"))
+        files.filter("format IN ('parquet', 'csv', 'json', 'avro', 'orc', 'txt')")
+        .groupBy(table.alias("location"), "format", keys.alias("partition_keys"))
         .agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
     )
 
