@@ -29,7 +29,7 @@ from tidemark.llm.registry import query, task_count
 from tidemark.session import Tables, materialize
 
 WIDTH, PERCENT = 4, 85
-GROUPS = 32
+GROUPS, FINE = 32, 256  # coordinates of a point, and of the finer one a pair is held to before its sets are fetched
 COUNTERS, SLICES = 1 << 18, 64  # frequency table, and the parts it is added up in
 SEGMENT = 4096  # classes of a block compared at once
 LEAF = 16
@@ -223,7 +223,10 @@ def _set_blobs(width: int):
             hashes, before = _sets(data, offsets, width)
             blobs = [hashes[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
             found = pa.array(signed(_set_ids(hashes, before)))
-            yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(blobs, pa.binary()), found], names=["h", "items", "found"])
+            cell = row_of(before) * FINE + ((hashes >> U64(8)) % U64(FINE)).astype(np.int64)
+            fine = np.bincount(cell, minlength=part.num_rows * FINE).astype("<u4").reshape(-1, FINE)
+            columns = [part.column("h"), pa.array(blobs, pa.binary()), pa.array([v.tobytes() for v in fine], pa.binary()), found]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "items", "fine", "found"])
 
     return run
 
@@ -255,8 +258,11 @@ def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, pe
     texts = rows.withColumn("hash", F.xxhash64("doc_id"))
     texts = texts.mapInArrow(likely, texts.schema).join(wanted.select(F.col("rep").alias("doc_id"), "h"), "doc_id").select("h", "text")
     # rows of one id may hold other texts
-    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary, found long").filter("h = found").groupBy("h").agg(F.min("items").alias("items"))
-    sets = materialize(sets, "pair-sets")
+    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary, fine binary, found long").filter("h = found")
+    sets = materialize(sets.groupBy("h").agg(F.min("items").alias("items"), F.min("fine").alias("fine")), "pair-sets")
+    fine = sets.select("h", (F.octet_length("items") / 8).cast("long").alias("n"), "fine")
+    sides = pairs.join(fine.toDF("a", "n_a", "v_a"), "a").join(fine.toDF("b", "n_b", "v_b"), "b")
+    pairs = materialize(sides.mapInArrow(_bounded(percent, FINE), "a long, b long"), "close-pairs")
     right = pairs.join(sets.select(F.col("h").alias("b"), F.col("items").alias("right")), "b")
     both = right.join(sets.select(F.col("h").alias("a"), F.col("items").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInArrow(_verified(percent), "a long, b long")
@@ -286,7 +292,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     star = shared.join(centre, "key").filter("h <> centre").select(F.least("h", "centre").alias("a"), F.greatest("h", "centre").alias("b")).distinct()
     points = members.select("h", "n", "vector")
     sides = star.join(points.toDF("a", "n_a", "v_a"), "a").join(points.toDF("b", "n_b", "v_b"), "b")
-    allowed = materialize(sides.mapInArrow(_bounded(percent), "a long, b long"), "star-pairs")
+    allowed = materialize(sides.mapInArrow(_bounded(percent, GROUPS), "a long, b long"), "star-pairs")
     links = materialize(_links(allowed, rows, members, width, percent), "star-links")
 
     labels = materialize(components(links, "a", "b"), "labels")
@@ -306,12 +312,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     )
 
 
-def _bounded(percent: int):
+def _bounded(percent: int, groups: int):
     """Pairs whose summed coordinate minima allow a link."""
 
     def run(batches):
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(-1, GROUPS) for c in ("v_a", "v_b"))
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u4").reshape(-1, groups) for c in ("v_a", "v_b"))
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             keep = pa.array(_enough(np.minimum(a, b).sum(axis=1, dtype=np.int64), n_a, n_b, percent))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
