@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-RUN_BYTES = 1 << 21  # text handled at once
+RUN_BYTES = 1 << 20  # text handled at once
 _ODD = U64(0x9E3779B97F4A7C15)
 
 LOWER = np.arange(256, dtype=np.uint8)

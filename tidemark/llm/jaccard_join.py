@@ -131,7 +131,7 @@ def first_shingles(docs: DataFrame, width: int, percent: int, levels, buckets: i
             taken = order[place < prefix[rows]]
             held.append((hashes[taken], _set_ids(hashes, before)[rows[taken]]))
             size += len(taken)
-            if size > 1 << 21:
+            if size > 1 << 19:
                 yield flush()
                 size = 0
         if held:

@@ -12,12 +12,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Session settings of these operators: rows may hold long texts, so few of them go to a Python worker at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return prepare(spark)
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name``."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(prepare(spark), folder))
+            return fn(Tables(bounded_batches(spark), folder))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
