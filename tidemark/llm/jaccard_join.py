@@ -175,7 +175,7 @@ def box_pairs(n: np.ndarray, vectors: np.ndarray, left: np.ndarray, right: np.nd
         corners.append(np.maximum.reduceat(corners[-1], starts, axis=0))
         least.append(np.minimum.reduceat(least[-1], starts))
     found = []
-    for some in np.array_split(left, -(-len(left) // 1024)):
+    for some in np.array_split(left, -(-len(left) // 256)):
         queries = np.repeat(some, len(least[-1]))
         nodes = np.tile(np.arange(len(least[-1])), len(some))
         for level in range(len(least) - 1, -1, -1):
