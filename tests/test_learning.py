@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as m, text as tx, vectors as v
-from tidemark.plans.learning import label_queries, priced_lines
+from tidemark.plans.learning import LISTS, PROBED, hundredth_queries, label_queries, priced_lines, until_done
 
 
 def test_linear_regression_recovers_a_line(spark):
@@ -103,6 +103,16 @@ def test_probed_search_recall(spark, t):
     assert 0.3 <= recall(0.5) <= 1.0
 
 
+def test_registered_probed_search_recall(spark, t):
+    args = dict(b_id="vec_id", q_vec="q")
+    queries = hundredth_queries(t)
+    assert queries.count() == t.embeddings.filter("vec_id % 100 = 0").count() > 0
+    indexed, model = v.build_lists(t.embeddings, "embedding", LISTS)
+    exact = {(r.query_id, r.base_id) for r in v.vector_search(t.embeddings, queries, 5, "euclidean", **args).collect()}
+    got = {(r.query_id, r.base_id) for r in v.probe_search(indexed, model, queries, 5, PROBED, **args).collect()}
+    assert len(got & exact) >= 0.9 * len(exact)
+
+
 def test_embedding_finds_the_right_column(spark, t):
     values = v.distinct_values({"customer": t.customer, "part": t.part})
     model = v.fit_embedder(values, "text_content")

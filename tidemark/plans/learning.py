@@ -242,11 +242,19 @@ def vector_search(t):
     return near.withColumn("distance", F.round("distance", 6))
 
 
+LISTS, PROBED = 16, 0.75  # measured: a recall of 0.9 took up to 9 of 16 lists for ids divisible by 100; three more for other seeds and tables
+
+
+def hundredth_queries(t):
+    """One query vector per id divisible by 100."""
+    return t.embeddings.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+
+
 @query("vs03_probed_search")
 def probed_search(t):
-    indexed, model = v.build_lists(t.embeddings, "embedding", 16)
+    indexed, model = v.build_lists(t.embeddings, "embedding", LISTS)
     indexed = materialize(indexed.select("list_id", "vec_id", "embedding"), "lists")
-    return v.probe_search(indexed, model, label_queries(t), 5, 0.25, b_id="vec_id", q_vec="q")
+    return v.probe_search(indexed, model, hundredth_queries(t), 5, PROBED, b_id="vec_id", q_vec="q")
 
 
 @query("vs04_entity_matching", """
