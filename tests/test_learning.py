@@ -132,6 +132,12 @@ def test_inference_is_idempotent(spark, t):
     assert tx.infer_text(t.documents, "doc_id", "text", scorer, done=done).count() == 0
 
 
+def test_loop_until_done_scores_every_row_once(spark, t):
+    got = until_done(t)
+    assert got.count() == got.select("doc_id").distinct().count() == t.documents.count()
+    assert got.join(t.documents, "doc_id").filter("raw <> length(text)").count() == 0
+
+
 def test_native_and_batch_sentiment_agree(spark, t):
     scorer = tx.lexicon_scorer(["the", "with"], ["not", "to"])
     raw = tx.infer_text(t.documents, "doc_id", "text", scorer).withColumn("a", F.get_json_object("raw", "$.sentiment"))

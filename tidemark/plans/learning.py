@@ -433,8 +433,8 @@ def row_function(t):
 @query("ud05_until_done", "SELECT doc_id, length(text)::VARCHAR AS raw FROM documents")
 def until_done(t):
     """A loop over unprocessed rows becomes one anti-join and one pass; a further run has nothing to do."""
-    def size(texts):
-        return texts.str.len().astype(str)
+    def size(text):
+        return F.char_length(text).cast("string")
 
     first = materialize(tx.infer_text(t.documents.filter("n_chars < 2000"), "doc_id", "text", size), "done")
     both = materialize(first.unionByName(tx.infer_text(t.documents, "doc_id", "text", size, done=first)), "done")
