@@ -77,6 +77,14 @@ def test_vectors_without_a_distance_are_no_match(spark):
     assert v.vector_search(base.limit(0), query, 3).count() == v.vector_search(base, query.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["cosine", "euclidean"])
+def test_vectors_meet_those_of_their_length(spark, kind):
+    base = spark.createDataFrame([(1, [1.0, 0.5]), (2, [0.5, 1.0]), (3, [1.0, 2.0, 3.0])], "base_id long, embedding array<double>")
+    query = spark.createDataFrame([(0, [1.0, 0.5]), (1, [1.0, 2.0, 3.0]), (2, [1.0] * 9)], "query_id long, embedding array<double>")
+    got = v.vector_search(base, query, 2, kind).collect()
+    assert sorted((r.query_id, r.base_id, r["rank"]) for r in got) == [(0, 1, 1), (0, 2, 2), (1, 3, 1)]
+
+
 def test_scoring_keeps_rows_with_missing_numbers(spark):
     rows = [(float(k), "a" if k % 2 else None, 2.0 * k) for k in range(20)] + [(None, "b", 7.0)]
     df = spark.createDataFrame(rows, "x double, c string, y double")

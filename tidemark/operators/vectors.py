@@ -90,11 +90,11 @@ def vector_search(
     """Exact top ``k`` base vectors per query, as (query_id, base_id, distance, rank).
 
     Both sides are cut into blocks of bounded size, and every pair of blocks keeps only its own best ``k`` per query.
-    Vectors without the length of the longest query match nothing, and neither do distances that are no number.
+    Only vectors of equal length meet, whatever other lengths there are. Missing vectors match nothing, and neither do
+    distances that are no number.
     """
-    size = queries.agg(F.max(F.size(q_vec))).first()[0] or 0
     near = _block_search(
-        base.filter(has_length(F.col(b_vec), size)), queries.filter(has_length(F.col(q_vec), size)), k, kind, b_id, b_vec, q_id, q_vec, size)
+        base.filter(F.col(b_vec).isNotNull()), queries.filter(F.col(q_vec).isNotNull()), k, kind, b_id, b_vec, q_id, q_vec)
     return top_per_group(near, ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
 
 
@@ -115,21 +115,26 @@ def _meet(base: DataFrame, queries: DataFrame, groups: list[str], k: int, kind:
     return base.groupBy(*groups).cogroup(queries.groupBy(*groups)).applyInPandas(block, schema)
 
 
-def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec, size: int) -> DataFrame:
+def _values(df: DataFrame, vec: str) -> int:
+    """Numbers in all vectors of a column."""
+    return df.agg(F.sum(F.size(vec))).first()[0] or 0
+
+
+def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec) -> DataFrame:
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = max(tasks, _blocks(base.count(), size))
-    shares = _blocks(queries.count(), size)
+    pieces = max(tasks, _blocks(_values(base, b_vec), 1))
+    shares = _blocks(_values(queries, q_vec), 1)
     b = (
-        base.select(F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv"))
+        base.select(F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv"), F.size(b_vec).alias("__n"))
         .withColumn("__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
         .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     )
     q = (
-        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"))
+        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"), F.size(q_vec).alias("__n"))
         .withColumn("__s", F.pmod(F.xxhash64("__qid"), F.lit(shares)).cast("int"))
         .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
     )
-    return _meet(b, q, ["__p", "__s"], k, kind, _schema(queries, q_id, base, b_id), ("__bid", "__bv", "__qid", "__qv"))
+    return _meet(b, q, ["__p", "__s", "__n"], k, kind, _schema(queries, q_id, base, b_id), ("__bid", "__bv", "__qid", "__qv"))
 
 
 def build_lists(base: DataFrame, vec: str, lists: int, seed: int = 42, share: float = 1.0) -> tuple[DataFrame, KMeansModel]:
