@@ -178,6 +178,18 @@ def test_quotes(spark, edge):
     assert sorted(r["position"] for r in got if r["conv_id"] == 2) == [0, 1, 2]
 
 
+def test_short_quotes_of_longer_messages(spark):
+    from tidemark.llm.quotation import link_quotes
+
+    rows = [
+        (1, 0, "user", "Well that all sounds good to me so let us meet"), (1, 1, "user", "something else is what I would rather do today"),
+        (1, 2, "user", "> sounds good to me\nglad to hear"), (1, 3, "user", "> rather do\nwhy"), (1, 4, "user", "> good sounds\nno"),
+        (1, 5, "user", "> glad\nyes"), (2, 0, "user", "sounds good to me"), (2, 1, "user", "> never said here at all\nx"),
+    ]
+    got = link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["turn"]): r["reply_to"] for r in got if r["reply_to"] is not None} == {(1, 2): 0, (1, 3): 1, (1, 5): 2}
+
+
 def test_toxicity_scores(spark, edge):
     got = QUERIES["op9_toxicity"](spark, edge).collect()
     assert len(got) == len(documents())

@@ -2,7 +2,8 @@
 
 Lines that begin with ``>`` are quoted, as deep as there are marks; neighbouring lines of one depth are a passage. A passage is
 normalised (marks, case, signs and white space do not matter) and its runs of ``RUN`` words are hashed; so are those of the own words
-of every message of the conversations that quote. A passage goes back to the earlier message that shares most of its
+of every message of the conversations that quote. A passage of fewer words is one run, and is looked for among the runs of as many
+words of the messages of its conversation. A passage goes back to the earlier message that shares most of its
 runs, if that is at least ``SHARE`` per cent of them; of several the latest. A message replies to the original of its first passage of the least
 depth that has one. Conversations are then ordered by reply: a message is followed by its replies, earliest first.
 
@@ -29,10 +30,10 @@ def _words(text: str) -> str:
     return f"filter(split(lower({text}), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w <> '')"
 
 
-def _runs(words: str) -> str:
-    """Hashes of the runs of words; fewer words are one run."""
-    long = f"transform(sequence(0, size({words}) - {RUN}), i -> xxhash64(slice({words}, i + 1, {RUN})))"
-    return f"array_distinct(CASE WHEN size({words}) = 0 THEN array() WHEN size({words}) < {RUN} THEN array(xxhash64({words})) ELSE {long} END)"
+def _runs(words: str, width: str) -> str:
+    """Hashes of the runs of ``width`` words; fewer words have none."""
+    all_runs = f"transform(sequence(0, size({words}) - {width}), i -> xxhash64({width}, slice({words}, i + 1, {width})))"
+    return f"array_distinct(CASE WHEN {width} = 0 OR size({words}) < {width} THEN CAST(array() AS array<bigint>) ELSE {all_runs} END)"
 
 
 def parse(messages: DataFrame) -> DataFrame:
@@ -61,11 +62,13 @@ def reply_links(parsed: DataFrame) -> DataFrame:
     """``conv_id``, ``turn`` and ``reply_to`` (turn of the original) of the messages whose quotes have one."""
     quoting = parsed.filter("size(passages) > 0 AND conv_id IS NOT NULL AND turn IS NOT NULL")
     passages = quoting.select("conv_id", "turn", F.posexplode("passages").alias("at", "p")).select("conv_id", "turn", "at", "p.depth", F.expr(_words("p.text")).alias("w"))
-    passages = passages.select("conv_id", "turn", "at", "depth", F.expr(_runs("w")).alias("runs")).withColumn("n", F.size("runs"))
+    passages = passages.withColumn("width", F.least(F.size("w"), F.lit(RUN)))
+    passages = passages.select("conv_id", "turn", "at", "depth", "width", F.expr(_runs("w", "width")).alias("runs")).withColumn("n", F.size("runs"))
     asked = passages.select("conv_id", "turn", "at", "depth", "n", F.explode("runs").alias("run")).distinct()
     inside = parsed.join(quoting.select("conv_id").distinct(), "conv_id", "left_semi")
     one = inside.groupBy("conv_id", "turn").agg(F.min("own_text").alias("own_text")).select("conv_id", "turn", F.expr(_words("own_text")).alias("w"))
-    said = one.select("conv_id", F.col("turn").alias("original"), F.explode(F.expr(_runs("w"))).alias("run"))
+    one = one.join(passages.select("conv_id", "width").distinct(), "conv_id")  # at most ``RUN`` widths each
+    said = one.select("conv_id", F.col("turn").alias("original"), F.explode(F.expr(_runs("w", "width"))).alias("run"))
     shared = asked.join(said, ["conv_id", "run"]).filter("original < turn")
     counted = shared.groupBy("conv_id", "turn", "at", "depth", "n", "original").agg(F.count("*").alias("hits")).filter(f"100 * hits >= {SHARE} * n")
     best = counted.groupBy("conv_id", "turn", "at", "depth").agg(F.max(F.struct("hits", "original")).alias("best"))
