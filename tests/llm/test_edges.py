@@ -165,6 +165,16 @@ def test_changed_values_have_to_agree(spark):
     assert [(r["doc_id"], r["n_changed"]) for r in find_leaks(docs, items).collect()] == [(1, 2)]
 
 
+def test_verbatim_copies_of_any_item_are_found(spark):
+    from tidemark.llm.decontamination import find_leaks
+
+    texts = ["What is 12 + 30 - 7 * 4 / 2?", "Add 3 to 4 and halve it", "Name Paris", "1 2 3 4 5 6 7 8 9 10", "days pass by in 3 hours"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    copies = [(k, f"Some words come 5 {text} then others follow") for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(copies + [(9, "what is 12 + 30 - 7 * 4 / 5? add 3 to 5 and cut it, 1 2 3 4 5 6 7 9 8 10")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"], r["n_changed"]) for r in find_leaks(docs, items).collect()) == [(k, k, 0) for k in range(5)]
+
+
 def test_quotes(spark, edge):
     got = QUERIES["op8_quotation"](spark, edge).collect()
     assert len(got) == len(CONVERSATIONS)
