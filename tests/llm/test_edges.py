@@ -7,8 +7,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tests.llm.conftest import CONVERSATIONS, documents, rows_of
+from tests.llm.conftest import CONVERSATIONS, documents, prose, rows_of
 from tests.oracle import compare
 from tidemark.llm import ORACLES, QUERIES
 
@@ -247,5 +248,29 @@ def test_pipeline(spark, edge, empty):
     assert all(tuple(stage(spark, docs, edge).columns) == tuple(corpus_pipeline.COLUMNS) for _, stage in corpus_pipeline.STAGES[:-1])
 
 
+def test_pipeline_judges_each_text_of_an_id(spark, edge):
+    import corpus_pipeline as cp
+
+    a, b, c, d = (prose(seed, 120) for seed in (20, 21, 22, 23))
+    leak = d + " If Carol buys 7 apples for 9 dollars each then how much does she pay to Dave in total."
+    rows = [(1, a), (1, "junk"), (2, b), (2, a + " stone"), (2, b), (3, c), (4, c + " river"), (4, d), (5, leak), (5, b + " " + c)]
+    table = spark.createDataFrame([(i, t, "en", s, len(t)) for i, t in rows for s in ("one", "two")], "doc_id long, text string, lang string, source string, n_chars long")
+
+    def left(df):
+        return sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in df.collect())
+
+    def want(*pairs):
+        return sorted((i is None, i, t) for i, t in pairs)
+
+    assert left(cp.good_quality(spark, table, edge)) == want(*[r for r in rows if r[1] != "junk" for _ in range(2)])
+    single = cp.one_of_each(spark, table.filter("text <> 'junk' AND doc_id < 5"), edge)
+    assert left(single) == want((1, a), (2, b), (3, c), (4, d)) and {r["source"] for r in single.collect()} == {"one"}
+    some = table.filter("doc_id = 5 AND source = 'one'")
+    assert left(cp.without_leaks(spark, some, edge)) == want((5, b + " " + c))
+    nameless = some.withColumn("doc_id", F.lit(None).cast("long"))
+    assert left(cp.without_leaks(spark, nameless, edge)) == want((None, b + " " + c))
+    assert len(left(cp.one_of_each(spark, nameless, edge))) == 2
+
+
 def test_rows_of_tables():
     assert len(rows_of("documents")) == len(documents())
