@@ -3,6 +3,8 @@
 from tidemark.llm.registry import ORACLES, QUERIES
 from tidemark.llm import (  # noqa: F401
     decontamination,
+    filter_audit,
+    infill,
     jaccard_join,
     lm_scoring,
     packing,
