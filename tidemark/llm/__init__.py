@@ -8,6 +8,7 @@ from tidemark.llm import (  # noqa: F401
     jaccard_join,
     lm_scoring,
     packing,
+    quality_neighbors,
     quality_rules,
     quotation,
     sharding,
