@@ -32,7 +32,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
 
     from tidemark.functions.search import search_columns
     from tidemark.operators import joins as j, vectors as v
-    from tidemark.plans.learning import label_queries
+    from tidemark.plans.learning import PROBED, hundredth_queries, vector_index
     from tidemark.session import Tables, materialize, scratch_path
     from tidemark.sources import changes as ch, tables as w
 
@@ -54,9 +54,8 @@ def ratios(spark, folder: str) -> dict[str, float]:
     w.write_table(t.lineitem.repartition(400), small)
     w.compact(spark, small, few, 8)
     spans = materialize(t.events.select("event_type", F.floor(F.unix_timestamp("ts") / 60).alias("lo"), "value").withColumn("hi", F.col("lo") + 720), "spans")
-    lists, model = v.build_lists(t.embeddings, "embedding", 16)
-    lists = materialize(lists.select("list_id", "vec_id", "embedding"), "lists")
-    queries = materialize(label_queries(t), "queries")
+    codebook, lists = vector_index(t)
+    queries = materialize(hundredth_queries(t), "queries")
     pairs = {
         "view": (lambda: t.lineitem.groupBy("l_returnflag", F.year("l_shipdate")).agg(F.sum("l_quantity"), F.sum("l_extendedprice")),
                  lambda: view.groupBy("l_returnflag", F.year("day")).agg(F.sum("q"), F.sum("p"))),
@@ -67,7 +66,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
         "interval_sweep": (lambda: spans.withColumn("m", F.explode(F.sequence("lo", "hi"))).groupBy("event_type", "m").agg(F.sum("value")),
                            lambda: j.interval_load(spans, ["event_type"], "lo", "hi", "value")),
         "probed_vectors": (lambda: v.vector_search(t.embeddings, queries, 5, "euclidean", b_id="vec_id", q_vec="q"),
-                           lambda: v.probe_search(lists, model, queries, 5, 0.25, b_id="vec_id", q_vec="q")),
+                           lambda: v.search_index(lists, codebook, queries, 5, PROBED, q_vec="q")),
     }
     return {name: round(spent(plain) / spent(prepared), 2) for name, (plain, prepared) in pairs.items()}
 

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as m, text as tx, vectors as v
-from tidemark.plans.learning import LISTS, PROBED, hundredth_queries, label_queries, priced_lines, until_done
+from tidemark.plans.learning import COPIES, LISTS, PROBED, hundredth_queries, label_queries, priced_lines, until_done, vector_index
+from tidemark.session import Tables
 
 
 def test_linear_regression_recovers_a_line(spark):
@@ -98,27 +99,56 @@ def test_numpy_and_column_distances_agree(spark, t):
     assert worst < 1e-6
 
 
-def test_probed_search_recall(spark, t):
-    args = dict(b_id="vec_id", q_vec="q")
-    indexed, model = v.build_lists(t.embeddings, "embedding", 8)
-    exact = {(r.query_id, r.base_id) for r in v.vector_search(t.embeddings, label_queries(t), 5, "euclidean", **args).collect()}
+def _pairs(near):
+    return {(r.query_id, r.base_id) for r in near.collect()}
 
-    def recall(fraction):
-        got = {(r.query_id, r.base_id) for r in v.probe_search(indexed, model, label_queries(t), 5, fraction, **args).collect()}
-        return len(got & exact) / len(exact)
 
-    assert recall(1.0) == 1.0
-    assert 0.3 <= recall(0.5) <= 1.0
+def test_index_search_is_exact_with_all_lists(spark, t, monkeypatch):
+    monkeypatch.setattr(v, "BLOCK_BYTES", 20 * 64 * 8)
+    codebook = v.train_codebook(t.embeddings, "embedding", 8, sample=300)
+    index = v.build_index(t.embeddings, codebook, "vec_id", copies=2)
+    assert index.groupBy("list_id").count().agg(F.max("count")).first()[0] > 1  # several blocks a list
+    assert index.agg(F.sum(F.size("ids"))).first()[0] == 2 * t.embeddings.count()
+    exact = v.vector_search(t.embeddings, label_queries(t), 5, "euclidean", b_id="vec_id", q_vec="q")
+    got = v.search_index(index, codebook, label_queries(t), 5, 1.0, rerank=10**6, q_vec="q")
+    assert _found(got) == _found(exact)
+    share = v.recall(v.search_index(index, codebook, label_queries(t), 5, 0.5, q_vec="q"), exact).first()
+    assert share.queries == 10 and 0.5 <= share.recall <= 1
 
 
-def test_registered_probed_search_recall(spark, t):
-    args = dict(b_id="vec_id", q_vec="q")
+def test_index_ignores_vectors_of_other_lengths(spark):
+    rows = [(k, [float(k), 1.0, -float(k), 0.5]) for k in range(40)] + [(90, None), (91, [1.0, 2.0]), (92, [])]
+    base = spark.createDataFrame(rows, "base_id long, embedding array<double>")
+    codebook = v.train_codebook(base, "embedding", 4)
+    queries = spark.createDataFrame([("a", [3.0, 1.0, -3.0, 0.5]), ("b", [1.0]), ("c", None)], "query_id string, embedding array<double>")
+    index = v.build_index(base, codebook)
+    assert [(r.query_id, r.base_id, r.distance) for r in v.search_index(index, codebook, queries, 1, 1.0).collect()] == [("a", 3, 0.0)]
+    with pytest.raises(ValueError):
+        v.train_codebook(base.filter("base_id = 91"), "embedding", 4)
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.1"])
+def test_registered_index_recall(spark, scale):
+    t = Tables(spark, f"/root/testdata/sf{scale}")
     queries = hundredth_queries(t)
-    assert queries.count() == t.embeddings.filter("vec_id % 100 = 0").count() > 0
-    indexed, model = v.build_lists(t.embeddings, "embedding", LISTS)
-    exact = {(r.query_id, r.base_id) for r in v.vector_search(t.embeddings, queries, 5, "euclidean", **args).collect()}
-    got = {(r.query_id, r.base_id) for r in v.probe_search(indexed, model, queries, 5, PROBED, **args).collect()}
-    assert len(got & exact) >= 0.9 * len(exact)
+    assert PROBED <= 0.25 and queries.count() == t.embeddings.filter("vec_id % 100 = 0").count() > 0
+    codebook, index = vector_index(t)
+    exact = v.vector_search(t.embeddings, queries, 5, "euclidean", b_id="vec_id", q_vec="q")
+    assert v.recall(v.search_index(index, codebook, queries, 5, PROBED, q_vec="q"), exact).first().recall >= 0.9
+    assert len(codebook.lists) == LISTS and index.agg(F.sum(F.size("ids"))).first()[0] == COPIES * t.embeddings.count()
+
+
+def test_rows_out_of_blocks_do_not_grow_with_partitions(spark, t, monkeypatch):
+    monkeypatch.setattr(v, "top_per_group", lambda near, *_: near)
+    monkeypatch.setattr(v, "BLOCK_BYTES", 50 * 64 * 8)
+    every = t.embeddings.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"))
+    try:
+        for partitions in ("8", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert v.vector_search(t.embeddings, every, 3, "euclidean", b_id="vec_id", q_vec="q").count() == 3 * every.count()
+            assert v.vector_search(t.embeddings, label_queries(t), 3, "euclidean", b_id="vec_id", q_vec="q").count() == 3 * 10 * -(-t.embeddings.count() // 50)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_embedding_finds_the_right_column(spark, t):

@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.functions.search import tokens
 from tidemark.operators.aggregates import top_per_group
+from tidemark.session import materialize
 
-# Bytes of vectors of either side one block holds in memory.
-BLOCK_BYTES = 32 << 20
+# Bytes of vectors one block holds in memory.
+BLOCK_BYTES = 2 << 20
+# Vectors an index is fitted on at most, and codes of a block whose vectors are measured exactly.
+TRAIN_ROWS, RERANK = 16_384, 64
 # Distances one step computes at a time.
 MATRIX_CELLS = 10_000_000
 _DIGITS = 9
@@ -57,30 +64,84 @@ def _gaps(q: np.ndarray, b: np.ndarray, kind: str) -> np.ndarray:
         return 1 - dot / np.sqrt(qq[:, None] * bb[None, :])
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.stack(vectors.to_numpy()).astype(np.float64) if len(vectors) else np.zeros((0, 0))
+def _vectors(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Rows of an Arrow list column by length of their vectors: places, and one matrix per length."""
+    sizes = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    out = {}
+    for n in np.unique(sizes[sizes > 0]):
+        at = np.flatnonzero(sizes == n)
+        flat = column.take(pa.array(at)).flatten().cast(pa.float64())
+        out[int(n)] = at, flat.to_numpy(zero_copy_only=False).reshape(len(at), int(n))
+    return out
 
 
-def _best(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
+def _nearest(places: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
     """The ``k`` nearest base rows per query, a slice of queries at a time to bound the distance matrix."""
     step = max(1, MATRIX_CELLS // max(len(bid), 1))
-    return pd.concat([_best_slice(qid[i:i + step], q[i:i + step], bid, b, k, kind) for i in range(0, len(qid), step)])
+    return pd.concat([_nearest_slice(places[i:i + step], q[i:i + step], bid, b, k, kind) for i in range(0, len(places), step)])
 
 
-def _best_slice(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
-    """One slice; equal distances go to the smaller id, and a distance that is no number is no match."""
+def _nearest_slice(places: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
+    """One slice; a distance that is no number is no match. Rows at the last distance are all kept: the id decides later."""
     d = np.round(_gaps(q, b, kind), _DIGITS)
     d[np.isnan(d)] = np.inf
     take = min(k, d.shape[1])
     bar = np.partition(d, take - 1, axis=1)[:, take - 1] if take else np.zeros(len(d))
     rows, cols = np.nonzero((d <= bar[:, None]) & np.isfinite(d))
-    out = pd.DataFrame({"query_id": qid[rows], "base_id": bid[cols], "distance": d[rows, cols]})
-    out = out.sort_values(["query_id", "distance", "base_id"], kind="stable")
-    return out.groupby("query_id", sort=False).head(k)
+    return pd.DataFrame({"place": places[rows], "distance": d[rows, cols], "base_id": bid[cols]})
 
 
-def _schema(queries: DataFrame, q_id: str, base: DataFrame, b_id: str) -> str:
-    return f"query_id {dict(queries.dtypes)[q_id]}, base_id {dict(base.dtypes)[b_id]}, distance double"
+def _first(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The ``k`` nearest per query of several finds; equal distances go to the smaller id."""
+    every = pd.concat(found).sort_values(["place", "distance", "base_id"], kind="stable")
+    return every.groupby("place", sort=False).head(k)
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
+
+
+class _Queries:
+    """Queries of one block, and the nearest base rows seen so far."""
+
+    def __init__(self, k: int, kind: str):
+        self.k, self.kind = k, kind
+        self.parts: list[pa.RecordBatch] = []
+        self.ids, self.by_size, self.best = None, {}, []
+
+    def meet(self, batch: pa.RecordBatch) -> None:
+        if self.ids is None:
+            whole = pa.Table.from_batches(self.parts).combine_chunks() if self.parts else None
+            self.ids = whole.column("query_id").combine_chunks() if whole else pa.array([])
+            self.by_size = _vectors(whole.column("vec").combine_chunks()) if whole else {}
+        base_ids = _ids(batch.column("base_id"))
+        for size, (at, b) in _vectors(batch.column("vec")).items():
+            if size in self.by_size:
+                places, q = self.by_size[size]
+                self.best = [_first([*self.best, _nearest(places, q, base_ids[at], b, self.k, self.kind)], self.k)]
+
+    def found(self, base_type: pa.DataType) -> pa.RecordBatch | None:
+        if not self.best or not len(self.best[0]):
+            return None
+        best = self.best[0]
+        return pa.RecordBatch.from_arrays(
+            [self.ids.take(pa.array(best["place"].to_numpy())), pa.array(best["base_id"], base_type), pa.array(best["distance"].to_numpy())],
+            names=["query_id", "base_id", "distance"],
+        )
+
+
+def _runs(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """Slices of sorted batches whose integer ``columns`` do not change, with their values."""
+    for batch in batches:
+        if len(batch):
+            keys = np.column_stack([batch.column(c).to_numpy() for c in columns])
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for a, b in zip(edges[:-1], edges[1:]):
+                yield tuple(keys[a].tolist()), batch.slice(a, b - a)
+
+
+def _as_list(vec: str) -> Column:
+    return F.col(vec).cast("array<double>")
 
 
 def vector_search(
@@ -89,91 +150,227 @@ def vector_search(
 ) -> DataFrame:
     """Exact top ``k`` base vectors per query, as (query_id, base_id, distance, rank).
 
-    Both sides are cut into blocks of bounded size, and every pair of blocks keeps only its own best ``k`` per query.
-    Only vectors of equal length meet, whatever other lengths there are. Missing vectors match nothing, and neither do
-    distances that are no number.
+    Queries are cut into blocks of bounded bytes; a task holds one block, and base vectors stream past it, so it gives ``k``
+    rows a query however many there are. Where there are few blocks of queries, the base is cut as well, so that tasks read
+    about as many base vectors as there are queries to share them. Only vectors of equal length meet, whatever other lengths
+    there are. Missing vectors match nothing, and neither do distances that are no number.
     """
-    near = _block_search(
-        base.filter(F.col(b_vec).isNotNull()), queries.filter(F.col(q_vec).isNotNull()), k, kind, b_id, b_vec, q_id, q_vec)
+    shares = _blocks(_values(queries, q_vec))
+    pieces = max(1, -(-_blocks(_values(base, b_vec)) // shares))
+    base_type, query_type = dict(base.dtypes)[b_id], dict(queries.dtypes)[q_id]
+    spread = F.pmod(F.xxhash64("base_id"), F.lit(pieces)) * shares
+    b = base.filter(F.col(b_vec).isNotNull()).select(F.col(b_id).alias("base_id"), _as_list(b_vec).alias("vec"))
+    b = b.select(F.explode(F.sequence(spread, spread + (shares - 1))).alias("block"), F.lit(1).alias("side"), F.lit(None).cast(query_type).alias("query_id"), "base_id", "vec")
+    share = F.pmod(F.xxhash64("query_id"), F.lit(shares))
+    q = queries.filter(F.col(q_vec).isNotNull()).select(F.col(q_id).alias("query_id"), _as_list(q_vec).alias("vec"))
+    q = q.select(F.explode(F.sequence(share, share + (pieces - 1) * shares, F.lit(shares).cast("long"))).alias("block"), F.lit(0).alias("side"), "query_id", F.lit(None).cast(base_type).alias("base_id"), "vec")
+    dealt = q.unionByName(b).repartition(pieces * shares, "block").sortWithinPartitions("block", "side")
+    arrow_type = to_arrow_type(base.schema[b_id].dataType)
+
+    def work(batches):
+        block, held = None, None
+        for (at, side), rows in _runs(batches, "block", "side"):
+            if at != block:
+                if held and (done := held.found(arrow_type)):
+                    yield done
+                block, held = at, _Queries(k, kind)
+            if side:
+                held.meet(rows)
+            else:
+                held.parts.append(rows)
+        if held and (done := held.found(arrow_type)):
+            yield done
+
+    near = dealt.mapInArrow(work, f"query_id {query_type}, base_id {base_type}, distance double")
     return top_per_group(near, ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
 
 
-def _blocks(rows: int, size: int) -> int:
-    """Blocks that hold so many vectors of ``size`` doubles."""
-    return max(1, -(-rows * max(size, 1) * 8 // BLOCK_BYTES))
+def _blocks(values: int) -> int:
+    """Blocks that hold so many doubles."""
+    return max(1, -(-values * 8 // BLOCK_BYTES))
 
 
-def _meet(base: DataFrame, queries: DataFrame, groups: list[str], k: int, kind: str, schema: str, names: tuple) -> DataFrame:
-    """Top ``k`` inside each pair of co-grouped blocks."""
-    b_id, b_vec, q_id, q_vec = names
+def _values(df: DataFrame, vec: str) -> int:
+    """Numbers in all vectors of a column."""
+    return df.agg(F.sum(F.size(vec))).first()[0] or 0
 
-    def block(_key, b: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(b) or not len(q):
-            return pd.DataFrame({"query_id": [], "base_id": [], "distance": []})
-        return _best(q[q_id].to_numpy(), _matrix(q[q_vec]), b[b_id].to_numpy(), _matrix(b[b_vec]), k, kind)
 
-    return base.groupBy(*groups).cogroup(queries.groupBy(*groups)).applyInPandas(block, schema)
+# --- an index for approximate search -----------------------------------------------------------
 
 
-def _values(df: DataFrame, vec: str) -> int:
-    """Numbers in all vectors of a column."""
-    return df.agg(F.sum(F.size(vec))).first()[0] or 0
+class Codebook(NamedTuple):
+    """Centres of the lists, and of each stretch of the residuals (stretches by centres by width)."""
 
+    lists: np.ndarray
+    words: np.ndarray
 
-def _block_search(base, queries, k, kind, b_id, b_vec, q_id, q_vec) -> DataFrame:
-    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = max(tasks, _blocks(_values(base, b_vec), 1))
-    shares = _blocks(_values(queries, q_vec), 1)
-    b = (
-        base.select(F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv"), F.size(b_vec).alias("__n"))
-        .withColumn("__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
-        .withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    )
-    q = (
-        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"), F.size(q_vec).alias("__n"))
-        .withColumn("__s", F.pmod(F.xxhash64("__qid"), F.lit(shares)).cast("int"))
-        .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
-    )
-    return _meet(b, q, ["__p", "__s", "__n"], k, kind, _schema(queries, q_id, base, b_id), ("__bid", "__bv", "__qid", "__qv"))
+    def codes(self, residuals: np.ndarray) -> np.ndarray:
+        """Nearest word of each stretch, one byte each."""
+        out = np.empty((len(residuals), len(self.words)), np.uint8)
+        for m, (part, words) in enumerate(zip(np.split(residuals, len(self.words), axis=1), self.words)):
+            out[:, m] = ((words * words).sum(1) - 2 * part @ words.T).argmin(1)
+        return out
 
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """Residuals the codes stand for."""
+        return np.concatenate([words[codes[:, m]] for m, words in enumerate(self.words)], axis=1)
 
-def build_lists(base: DataFrame, vec: str, lists: int, seed: int = 42, share: float = 1.0) -> tuple[DataFrame, KMeansModel]:
-    """Inverted lists: k-means cells trained on a ``share`` of the vectors, all unless the caller says less."""
-    train = base.sample(fraction=share, seed=seed)
-    as_vector = array_to_vector(F.col(vec).cast("array<double>"))
-    model = KMeans(k=lists, seed=seed, featuresCol="__v", predictionCol="list_id").fit(train.select(as_vector.alias("__v")))
-    return model.transform(base.withColumn("__v", as_vector)).drop("__v"), model
 
+def _lloyd(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+    """``k`` centres by Lloyd's rounds from evenly spaced points; empty cells keep their centre."""
+    order = np.lexsort(points.T)
+    centres = points[order[np.linspace(0, len(points) - 1, k).astype(int)]].copy() if len(points) else np.zeros((k, points.shape[1]))
+    for _ in range(rounds if len(points) else 0):
+        cell = ((centres * centres).sum(1) - 2 * points @ centres.T).argmin(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, points)
+        n = np.bincount(cell, minlength=k)
+        centres[n > 0] = sums[n > 0] / n[n > 0, None]
+    return centres
 
-def probe_search(
-    indexed: DataFrame, model: KMeansModel, queries: DataFrame, k: int, fraction: float, kind: str = "euclidean",
-    b_id: str = "base_id", b_vec: str = "embedding", q_id: str = "query_id", q_vec: str = "embedding",
+
+def train_codebook(base: DataFrame, vec: str, lists: int, width: int = 4, sample: int = TRAIN_ROWS, seed: int = 42) -> Codebook:
+    """Codebook of an index, fitted on at most ``sample`` vectors (chosen by a hash); each stretch has ``width`` numbers.
+
+    Lists come from k-means; one task per stretch then finds 256 words for the residuals of the sample.
+    """
+    fixed = base.filter(F.col(vec).isNotNull()).select(_as_list(vec).alias("vec"))
+    size = fixed.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    if size is None or size["n"] % width:
+        raise ValueError("an index needs vectors whose length is a multiple of the width")
+    few = materialize(fixed.filter(F.size("vec") == size["n"]).orderBy(F.xxhash64("vec", F.lit(seed))).limit(sample), "index-sample")
+    model = KMeans(k=lists, seed=seed, featuresCol="v").fit(few.select(array_to_vector("vec").alias("v")))
+    centres = np.array(model.clusterCenters())
+    stretches = size["n"] // width
+
+    def cut(batches):
+        for batch in batches:
+            for _, x in _vectors(batch.column("vec")).values():
+                parts = (x - centres[_gaps(x, centres, "euclidean").argmin(1)]).reshape(-1, width)
+                at = np.tile(np.arange(stretches, dtype=np.int32), len(x))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.FixedSizeListArray.from_arrays(pa.array(parts.ravel()), width).cast(pa.list_(pa.float64()))], names=["stretch", "part"])
+
+    def words(table: pa.Table) -> pa.Table:
+        points = table.column("part").combine_chunks().flatten().to_numpy().reshape(-1, width)
+        return pa.table({"stretch": table.column("stretch")[:1], "words": pa.array([_lloyd(points, 256).tobytes()], pa.binary())})
+
+    parts = few.mapInArrow(cut, "stretch int, part array<double>").groupBy("stretch").applyInArrow(words, "stretch int, words binary")
+    found = {r["stretch"]: np.frombuffer(r["words"]).reshape(256, width) for r in parts.collect()}  # 256 * length numbers
+    return Codebook(centres, np.stack([found[m] for m in range(stretches)]))
+
+
+def build_index(base: DataFrame, codebook: Codebook, b_id: str = "base_id", b_vec: str = "embedding", copies: int = 1) -> DataFrame:
+    """The index of every vector of the codebook's length: blocks of the lists, as (list_id, piece, ids, codes, vectors).
+
+    A vector lies in its ``copies`` nearest lists, coded by the residual to each. Vectors without near neighbours, where cells say
+    little, need several copies to be met in few lists. A long list is cut into blocks of bounded bytes, one row each. Write the
+    result where it is used again.
+    """
+    lists, words = codebook
+    size, copies = lists.shape[1], min(copies, len(lists))
+    id_type = dict(base.dtypes)[b_id]
+    arrow_type = to_arrow_type(base.schema[b_id].dataType)
+    stored = np.float32 if dict(base.dtypes)[b_vec] == "array<float>" else np.float64
+    rows = base.filter(F.size(b_vec) == size).select(F.col(b_id).alias("base_id"), _as_list(b_vec).alias("vec"))
+    pieces = max(1, 2 * copies * _blocks(rows.count() * size) // len(lists))  # twice the mean, as lists are uneven
+
+    def place(batches):
+        for batch in batches:
+            for at, x in _vectors(batch.column("vec")).values():
+                near = np.argsort(_gaps(x, lists, "euclidean"), axis=1, kind="stable")[:, :copies]
+                who, where = np.repeat(np.arange(len(x)), copies), near.ravel()
+                codes = codebook.codes(x[who] - lists[where])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(where.astype(np.int32)), batch.column("base_id").take(pa.array(at[who])),
+                     pa.array([c.tobytes() for c in codes], pa.binary()), pa.array([v.tobytes() for v in x[who].astype(stored)], pa.binary())],
+                    names=["list_id", "base_id", "codes", "vector"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        whole = {c: pa.array([b"".join(table.column(c).to_pylist())], pa.binary()) for c in ("codes", "vector")}
+        ids = pa.ListArray.from_arrays(pa.array([0, len(table)], pa.int32()), table.column("base_id").combine_chunks().cast(arrow_type))
+        return pa.table({"list_id": table.column("list_id")[:1], "piece": table.column("piece")[:1], "ids": ids, **whole})
+
+    placed = rows.mapInArrow(place, f"list_id int, base_id {id_type}, codes binary, vector binary")
+    dealt = placed.withColumn("piece", F.pmod(F.xxhash64("base_id"), F.lit(pieces)).cast("int"))
+    return dealt.groupBy("list_id", "piece").applyInArrow(pack, f"list_id int, piece int, ids array<{id_type}>, codes binary, vector binary")
+
+
+def search_index(
+    index: DataFrame, codebook: Codebook, queries: DataFrame, k: int, fraction: float, rerank: int = RERANK,
+    q_id: str = "query_id", q_vec: str = "embedding",
 ) -> DataFrame:
-    """Approximate top ``k``: each query looks into the nearest ``fraction`` of the lists.
+    """Approximate top ``k`` by Euclidean distance: each query looks into the nearest ``fraction`` of the lists.
 
-    A long list is cut into pieces that run as tasks of their own.
+    In each block of a list the codes are rated by the distance of the query to what they stand for, a matrix product for many
+    queries at once, which costs less than to add up tables code by code; the ``rerank`` best are measured exactly. A task holds one block, and the queries that probe it stream past. With ``fraction`` 1 and ``rerank`` no
+    less than a block holds, the result is exact, as is ``vector_search``.
     """
-    centers = np.array(model.clusterCenters())
-    probes = max(1, int(round(len(centers) * fraction)))
-    types = dict(queries.dtypes)
-
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                near = np.argsort(_gaps(_matrix(pdf["__qv"]), centers, "euclidean"), axis=1, kind="stable")[:, :probes]
-                yield pdf.loc[pdf.index.repeat(probes)].assign(list_id=near.ravel().astype("int32"))
-
-    longest = indexed.groupBy("list_id").count().agg(F.max("count")).first()[0] or 1
-    pieces = _blocks(longest, centers.shape[1])
-    b = indexed.select("list_id", F.col(b_id).alias("__bid"), F.col(b_vec).alias("__bv")).withColumn(
-        "__p", F.pmod(F.xxhash64("__bid"), F.lit(pieces)))
-    q = (
-        queries.select(F.col(q_id).alias("__qid"), F.col(q_vec).alias("__qv"))
-        .mapInPandas(route, f"__qid {types[q_id]}, __qv {types[q_vec]}, list_id int")
-        .withColumn("__p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long"))))
+    lists, words = codebook
+    size, probes = lists.shape[1], max(1, int(len(lists) * fraction))
+    id_type, query_type = dict(index.dtypes)["ids"][len("array<"):-1], dict(queries.dtypes)[q_id]
+    arrow_type = to_arrow_type(index.schema["ids"].dataType.elementType)
+
+    def route(batches):
+        for batch in batches:
+            for at, x in _vectors(batch.column("vec")).values():
+                near = np.argsort(_gaps(x, lists, "euclidean"), axis=1, kind="stable")[:, :probes]
+                who = np.repeat(np.arange(len(x)), probes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near.ravel().astype(np.int32)), batch.column("query_id").take(pa.array(at[who])), pa.array([v.tobytes() for v in x[who]], pa.binary())],
+                    names=["list_id", "query_id", "vector"])
+
+    def measure(held: pa.RecordBatch, asked: pa.RecordBatch) -> pa.RecordBatch | None:
+        ids = held.column("ids")[0].values
+        codes = np.frombuffer(held.column("codes")[0].as_buffer(), np.uint8).reshape(len(ids), len(words))
+        raw = held.column("vector")[0].as_buffer()
+        known = np.frombuffer(raw, np.float32 if raw.size == 4 * len(ids) * size else np.float64).reshape(len(ids), size)
+        q = np.frombuffer(b"".join(asked.column("vector").to_pylist())).reshape(-1, size)
+        coded = (lists[held.column("list_id")[0].as_py()] + codebook.decoded(codes)).astype(np.float32)
+        half = (coded * coded).sum(1) / 2
+        who, which, gaps = [], [], []
+        step = max(1, MATRIX_CELLS // len(ids))
+        for a in range(0, len(q), step):
+            rated = half - q[a:a + step].astype(np.float32) @ coded.T  # order of the distances to the decoded vectors
+            best = np.argpartition(rated, rerank - 1, axis=1)[:, :rerank] if len(ids) > rerank else np.tile(np.arange(len(ids)), (len(rated), 1))
+            for j, near in enumerate(best, a):
+                exact = np.round(np.sqrt(((known[near].astype(np.float64) - q[j]) ** 2).sum(1)), _DIGITS)
+                kept = exact <= np.partition(exact, min(k, len(exact)) - 1)[min(k, len(exact)) - 1]
+                who.append(np.full(int(kept.sum()), j))
+                which.append(near[kept])
+                gaps.append(exact[kept])
+        place, base = np.concatenate(who), np.concatenate(which)
+        return pa.RecordBatch.from_arrays(
+            [asked.column("query_id").take(pa.array(place)), ids.take(pa.array(base)).cast(arrow_type), pa.array(np.concatenate(gaps))], names=["query_id", "base_id", "distance"])
+
+    def work(batches):
+        key, held = None, None
+        for (list_id, piece, side), rows in _runs(batches, "list_id", "piece", "side"):
+            if (list_id, piece) != key:
+                key, held = (list_id, piece), None
+            if not side:
+                held = rows.slice(0, 1)
+            elif held is not None:
+                yield measure(held, rows)
+
+    pieces = [r["piece"] for r in index.select("piece").distinct().collect()]  # as many as one list has blocks
+    nothing = {"ids": f"array<{id_type}>", "codes": "binary", "query_id": query_type}
+    blocks = index.select("list_id", "piece", F.lit(0).alias("side"), "ids", "codes", "vector", F.lit(None).cast(query_type).alias("query_id"))
+    asked = (
+        queries.filter(F.size(q_vec) == size).select(F.col(q_id).alias("query_id"), _as_list(q_vec).alias("vec"))
+        .mapInArrow(route, f"list_id int, query_id {query_type}, vector binary")
+        .select("list_id", F.explode(F.array(*[F.lit(p) for p in sorted(pieces)] or [F.lit(0)])).alias("piece"), F.lit(1).alias("side"),
+                *[F.lit(None).cast(nothing[c]).alias(c) for c in ("ids", "codes")], "vector", "query_id")
     )
-    near = _meet(b, q, ["list_id", "__p"], k, kind, _schema(queries, q_id, indexed, b_id), ("__bid", "__bv", "__qid", "__qv"))
-    return top_per_group(near, ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
+    dealt = blocks.unionByName(asked).repartition("list_id", "piece").sortWithinPartitions("list_id", "piece", "side")
+    near = dealt.mapInArrow(work, f"query_id {query_type}, base_id {id_type}, distance double")
+    # a vector may be met in several lists, at the same exact distance
+    return top_per_group(near.repartition("query_id").distinct(), ["query_id"], [F.asc("distance"), F.asc("base_id")], k)
+
+
+def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
+    """Share of the exact (query_id, base_id) pairs that were found, over all queries."""
+    hits = exact.select("query_id", "base_id").join(found.select("query_id", "base_id", F.lit(1).alias("hit")), ["query_id", "base_id"], "left")
+    return hits.agg(F.countDistinct("query_id").alias("queries"), F.avg(F.coalesce("hit", F.lit(0))).alias("recall"))
 
 
 def match_top(near: DataFrame, left_key: str, name: str) -> DataFrame:
