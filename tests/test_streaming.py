@@ -23,22 +23,50 @@ def _shuffled_files(t, spark):
     return path
 
 
-def test_pairs_do_not_depend_on_batches_or_order(spark, t):
-    args = (["user_id"], "ts", "event_type", "view", "purchase", ["value"])
-    path, ckpt = scratch_path(spark, "pairs"), scratch_path(spark, "ckpt")
-    stream = s.read_stream(spark, _shuffled_files(t, spark), EVENT_SCHEMA, options=ONE_FILE)
-    got = tr.pair_stream(stream, *args, path, ckpt)
-    assert len([f for f in {r.batch for r in spark.read.parquet(path).select("batch").distinct().collect()}]) > 1
-    assert _rows(got) == _rows(pair_events(t.events, *args))
+PAIRS = (["user_id"], "ts", "event_type", "view", "purchase", ["value"])
 
 
-def test_a_batch_that_runs_again_changes_nothing(spark, t):
-    args = (["user_id"], "ts", "event_type", "view", "purchase", ["value"])
+def test_pairs_do_not_depend_on_batches_or_order(spark, t):
     path = scratch_path(spark, "pairs")
-    files = _shuffled_files(t, spark)
-    for _ in range(2):  # a lost checkpoint replays all batches into the same folders
-        got = tr.pair_stream(s.read_stream(spark, files, EVENT_SCHEMA, options=ONE_FILE), *args, path, scratch_path(spark, "ckpt"))
-    assert _rows(got) == _rows(pair_events(t.events, *args))
+    stream = s.read_stream(spark, _shuffled_files(t, spark), EVENT_SCHEMA, options=ONE_FILE)
+    got = tr.pair_stream(stream, *PAIRS, path, scratch_path(spark, "ckpt"))
+    want = _rows(pair_events(t.events, *PAIRS))
+    assert _rows(got) == want
+    rows, keys = spark.read.parquet(path).count(), t.events.select("user_id").distinct().count()
+    assert keys <= rows < 8 * keys  # only changes reach the sink
+
+
+def test_a_restart_goes_on_with_the_same_state(spark, t):
+    landing, path, ckpt = (scratch_path(spark, x) for x in ("landing", "pairs", "ckpt"))
+    parts = [t.events.filter("event_type = 'purchase'"), t.events.filter("event_type <> 'purchase' AND user_id % 2 = 0"), t.events.filter("event_type <> 'purchase' AND user_id % 2 = 1")]
+    sizes = []
+    for part in parts:  # ends come first, so every trip is a correction
+        part.write.mode("append").parquet(landing)
+        for _ in range(2):  # the second run finds nothing new
+            got = tr.pair_stream(s.read_stream(spark, landing, EVENT_SCHEMA), *PAIRS, path, ckpt)
+            sizes.append(spark.read.parquet(path).count())
+    assert _rows(got) == _rows(pair_events(t.events, *PAIRS))
+    assert sizes[0::2] == sizes[1::2]
+
+
+def test_forgotten_keys_are_corrected_by_late_events(spark, t):
+    """Without any idle time every key is forgotten between two runs; late starts and ends still count."""
+    landing, path, ckpt = (scratch_path(spark, x) for x in ("landing", "pairs", "ckpt"))
+    for keep in ("event_id % 3 = 2", "event_id % 3 = 0", "event_id % 3 = 1"):
+        t.events.filter(keep).write.mode("append").parquet(landing)
+        got = tr.pair_stream(s.read_stream(spark, landing, EVENT_SCHEMA), *PAIRS, path, ckpt, idle="0 SECONDS")
+    assert _rows(got) == _rows(pair_events(t.events, *PAIRS))
+    held = spark.read.format("statestore").option("path", ckpt).option("stateVarName", "pair").load()
+    assert held.count() < t.events.select("user_id").distinct().count()
+
+
+def test_pairs_of_null_times_and_values(spark):
+    rows = [(1, 1, "view", 5.0), (1, None, "view", 1.0), (1, 9, "purchase", None), (1, 9, "purchase", 2.0), (2, 3, "view", 1.0), (3, 4, "purchase", 1.0), (4, 9, "view", 1.0), (4, 2, "purchase", 1.0), (None, 1, "view", 0.0), (None, 2, "purchase", 7.0)]
+    schema = "user_id long, ts long, event_type string, value double"
+    path = scratch_path(spark, "rows")
+    spark.createDataFrame(rows, schema).write.parquet(path)
+    got = tr.pair_stream(s.read_stream(spark, path, schema), *PAIRS, scratch_path(spark, "pairs"), scratch_path(spark, "ckpt"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 1, 5.0, 9, 2.0), (None, 1, 0.0, 2, 7.0)], key=str)
 
 
 def test_change_feed_in_batches(spark, t):

@@ -2,47 +2,112 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidemark.functions.geo import distance_miles
 from tidemark.functions.semantics import half_even
 from tidemark.sources.changes import apply_changes, last_change
-from tidemark.streaming.streams import for_each_batch
+from tidemark.streaming.streams import for_each_batch, write_stream
 
 
-def _partials(df: DataFrame, keys: list[str], ts: str, status: str, start: str, end: str, carry: list[str]) -> DataFrame:
-    """First start and last end seen so far per key; merging partials of partials gives the same answer."""
-    at = F.struct(ts, *carry)
-    return df.filter(F.col(status).isin(start, end)).groupBy(*keys).agg(
-        F.min(F.when(F.col(status) == start, at)).alias("first_start"),
-        F.max(F.when(F.col(status) == end, at)).alias("last_end"),
-    )
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _order(values: tuple) -> tuple:
+    """Sort key of a row as Spark orders structs: nulls first, NaN last."""
+    return tuple((0, 0) if x is None else (2, 0) if x != x else (1, x) for x in values)
+
+
+class _Pairing(StatefulProcessor):
+    """State of one key: its first start and last end so far. A batch that changes either gives the pair as it is now.
+
+    A key that stays idle is forgotten by a timer, so the state holds open keys only. An event that comes later begins anew;
+    its row corrects the sink, as pairs of one key merge by the least start and the greatest end.
+    """
+
+    def __init__(self, keys: list[str], status: str, start: str, fields: list[str], state: str, idle_ms: int):
+        self.keys, self.status, self.start, self.fields, self.state, self.idle_ms = keys, status, start, fields, state, idle_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("pair", self.state)
+
+    def handleInputRows(self, key, rows, timerValues):
+        known, n = self.held.get(), len(self.fields)
+        first, last = (known[:n] if known and known[2 * n] else None, known[n:2 * n] if known and known[2 * n + 1] else None)
+        before = first, last
+        for row in rows:
+            seen = tuple(row[f] for f in self.fields)
+            if row[self.status] == self.start:
+                first = seen if first is None else min(first, seen, key=_order)
+            else:
+                last = seen if last is None else max(last, seen, key=_order)
+        now = timerValues.getCurrentWatermarkInMs()
+        nothing = (None,) * n
+        pair = (*(first or nothing), *(last or nothing), first is not None, last is not None)
+        self.held.update((*pair, now))
+        if known is None:
+            self.handle.registerTimer(now + self.idle_ms)
+        if (first, last) != before:
+            yield Row(**dict(zip(self.keys, key)), **dict(zip([f"start_{f}" for f in self.fields] + [f"end_{f}" for f in self.fields] + ["has_start", "has_end"], pair)))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        known = self.held.get()
+        due = known[-1] + self.idle_ms if known else 0
+        if due > expiredTimerInfo.getExpiryTimeInMs():
+            self.handle.registerTimer(due)
+        else:
+            self.held.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def pair_stream(
     stream: DataFrame, keys: list[str], ts: str, status: str, start: str, end: str, carry: list[str],
-    path: str, checkpoint: str,
+    path: str, checkpoint: str, idle: str = "1 DAY",
 ) -> DataFrame:
-    """Trips of a stream of start and end events, read from its partial aggregates.
+    """Trips of a stream of start and end events: state per key, and a sink of the pairs that changed.
 
-    Each micro-batch is reduced to one row per key and written to a folder named after the batch.
-    A batch that runs again overwrites its own folder, and late events still count, which a
-    watermark join would drop. Nothing is kept in task memory between batches.
+    The clock of the timers is the time of arrival, not that of the events, so no event is too late: one that comes after its
+    key was forgotten (``idle`` without any event) still corrects the trip. The sink is written exactly once, and a restart
+    goes on from the checkpoint with the same state. Events without a time pair with nothing.
     """
-    def save(batch: DataFrame, batch_id: int) -> None:
-        _partials(batch, keys, ts, status, start, end, carry).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    for_each_batch(stream, save, checkpoint)
-    return read_pairs(stream.sparkSession, path, keys, ts, carry)
+    fields = [ts, *carry]
+    types = {f.name: f.dataType.simpleString() for f in stream.schema}
+    sides = [f"`{side}_{f}` {types[f]}" for side in ("start", "end") for f in fields] + ["has_start boolean", "has_end boolean"]
+    spark = stream.sparkSession
+    idle_ms = int(spark.range(1).select(F.expr(f"unix_millis(timestamp'1970-01-01 00:00:00' + INTERVAL {idle}) - unix_millis(timestamp'1970-01-01 00:00:00')")).first()[0])
+    rows = (
+        stream.filter(F.col(status).isin(start, end) & F.col(ts).isNotNull()).select(*keys, status, *[f for f in fields if f not in keys])
+        .withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", "0 seconds")
+    )
+    processor = _Pairing(keys, status, start, fields, ", ".join([*sides, "seen long"]), idle_ms)
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], *sides])
+    before = spark.conf.get(_STATE_STORE, None)
+    spark.conf.set(_STATE_STORE, _ROCKSDB)  # keyed state with timers lives there only
+    try:
+        write_stream(rows.groupBy(*keys).transformWithState(processor, schema, "append", "eventTime"), path, checkpoint)
+    finally:
+        spark.conf.set(_STATE_STORE, before) if before else spark.conf.unset(_STATE_STORE)
+    return read_pairs(spark, path, keys, ts, carry)
 
 
 def read_pairs(spark: SparkSession, path: str, keys: list[str], ts: str, carry: list[str]) -> DataFrame:
-    """Merge the partial aggregates of all batches; an end before its start makes no trip."""
-    merged = spark.read.parquet(path).groupBy(*keys).agg(F.min("first_start").alias("__a"), F.max("last_end").alias("__b"))
+    """The trips of the sink of ``pair_stream``, each from the rows in which its key changed; an end before its start makes no trip."""
+    fields = [ts, *carry]
+
+    def side(name: str) -> Column:
+        return F.when(F.col(f"has_{name}"), F.struct(*[F.col(f"{name}_{f}").alias(f) for f in fields]))
+
+    merged = spark.read.parquet(path).groupBy(*keys).agg(F.min(side("start")).alias("__a"), F.max(side("end")).alias("__b"))
     return merged.filter(F.col("__b")[ts] >= F.col("__a")[ts]).select(
         *keys,
-        *[F.col("__a")[c].alias(f"start_{c}") for c in [ts, *carry]],
-        *[F.col("__b")[c].alias(f"end_{c}") for c in [ts, *carry]],
+        *[F.col("__a")[c].alias(f"start_{c}") for c in fields],
+        *[F.col("__b")[c].alias(f"end_{c}") for c in fields],
     )
 
 
@@ -56,27 +121,38 @@ def trip_columns(pairs: DataFrame, ts: str, lat: str, lon: str, amount: str) ->
     })
 
 
-def _top_zone(trips: DataFrame, zone: str, ts: str, since: Column, until: Column) -> DataFrame:
-    counts = trips.filter(F.col(ts).between(since, until)).groupBy(zone).agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), F.asc(zone)).limit(1)
-
-
 def dashboard(trips: DataFrame, zones: DataFrame, zone_key: str, zone_name: str, interval: str, as_of: Column) -> DataFrame:
-    """One row of live figures: ride count, averages, and the busiest start and end zone with their counts."""
-    since = as_of - F.expr(f"INTERVAL {interval}")
-    figures = trips.filter(F.col("start_ts").between(since, as_of)).agg(
-        F.count("*").alias("ride_count"),
-        half_even(F.coalesce(F.avg("minutes"), F.lit(0)), 2).alias("average_minutes"),
-        half_even(F.coalesce(F.avg("amount"), F.lit(0)), 2).alias("average_amount"),
-        half_even(F.coalesce(F.avg("distance"), F.lit(0)), 2).alias("average_distance"),
-    )
-
-    def named(zone: str, ts: str, prefix: str) -> dict[str, Column]:
-        top = _top_zone(trips, zone, ts, since, as_of).join(
-            zones.select(F.col(zone_key).alias(zone), F.col(zone_name).alias("name")), zone)
-        return {f"{prefix}_zone": top.select("name").scalar(), f"{prefix}_rides": top.select("n").scalar()}
+    """One row of live figures: ride count, averages, and the busiest start and end zone with their counts.
 
-    return figures.withColumns(named("start_zone", "start_ts", "pickup") | named("end_zone", "end_ts", "dropoff"))
+    One pass: each trip counts for itself, for its start zone and for its end zone; equal counts go to the smaller zone.
+    """
+    since = as_of - F.expr(f"INTERVAL {interval}")
+    rides, pickup, dropoff = 0, 1, 2
+
+    def entry(side: int, zone: Column, ts: str) -> Column:
+        return F.when(F.col(ts).between(since, as_of), F.struct(F.lit(side).alias("side"), zone.alias("zone")))
+
+    kind = trips.schema["start_zone"].dataType
+    seen = F.explode(F.array(entry(rides, F.lit(None).cast(kind), "start_ts"), entry(pickup, F.col("start_zone"), "start_ts"), entry(dropoff, F.col("end_zone"), "end_ts")))
+    measures = ["minutes", "amount", "distance"]
+    sums = trips.select(seen.alias("at"), *measures).filter("at IS NOT NULL").groupBy("at.side", "at.zone").agg(
+        F.count("*").alias("n"), *[F.sum(c).alias(c) for c in measures], *[F.count(c).alias(f"n_{c}") for c in measures])
+
+    def mean(c: str) -> Column:
+        share = F.try_divide(F.sum(F.when(F.col("side") == rides, F.col(c))).cast("double"), F.sum(F.when(F.col("side") == rides, F.col(f"n_{c}"))))
+        return half_even(F.coalesce(share, F.lit(0)), 2).alias(f"average_{c}")
+
+    def top(side: int) -> Column:
+        busy = (F.col("side") == side) & F.col("zone").isNotNull()
+        return F.min(F.when(busy, F.struct((-F.col("n")).alias("less"), "zone")))
+
+    figures = sums.agg(
+        F.coalesce(F.sum(F.when(F.col("side") == rides, F.col("n"))), F.lit(0)).alias("ride_count"), *[mean(c) for c in measures],
+        top(pickup).alias("__pickup"), top(dropoff).alias("__dropoff"))
+    for side in ("pickup", "dropoff"):
+        names = zones.select(F.col(zone_key).alias("__zone"), F.col(zone_name).alias(f"{side}_zone"))
+        figures = figures.join(names, F.col(f"__{side}.zone") == F.col("__zone"), "left").drop("__zone").withColumn(f"{side}_rides", -F.col(f"__{side}.less"))
+    return figures.drop("__pickup", "__dropoff")
 
 
 def apply_changes_stream(stream: DataFrame, base: DataFrame, keys: list[str], op: str, order: list[str], path: str, checkpoint: str) -> DataFrame:
