@@ -190,15 +190,14 @@ def churn_features(
 
 
 def infer_granularity(df: DataFrame, ts: str, keys: list[str] = ()) -> DataFrame:
-    """Most common gap in seconds between consecutive times, and its share of all gaps."""
+    """Most common gap in seconds between consecutive times (the least of equally common ones), and its share of all gaps."""
     points = df.select(*keys, ts).distinct()
     gaps = previous_value(points, list(keys), ts, "__prev").filter("__prev IS NOT NULL")
     gap = F.timestamp_diff("SECOND", "__prev", ts)
     counts = gaps.groupBy(*keys, gap.alias("gap_seconds")).agg(F.count("*").alias("n"))
-    total = counts.groupBy(*keys).agg(F.sum("n").alias("gaps"))
-    mode = latest_by(counts.withColumn("__all", F.lit(1)), [*keys] or ["__all"], [F.desc("n"), F.asc("gap_seconds")]).drop("__all")
-    joined = mode.join(total, list(keys)) if keys else mode.withColumn("gaps", total.select("gaps").scalar())
-    return joined.select(*keys, "gap_seconds", "gaps", F.round(F.col("n") / F.col("gaps"), 6).alias("confidence"))
+    best = counts.groupBy(*keys).agg(F.max(F.struct("n", (-F.col("gap_seconds")).alias("less"))).alias("__best"), F.sum("n").alias("gaps"))
+    share = F.round(F.col("__best.n") / F.col("gaps"), 6)
+    return best.filter("gaps IS NOT NULL").select(*keys, (-F.col("__best.less")).alias("gap_seconds"), "gaps", share.alias("confidence"))
 
 
 def horizon_steps(duration_seconds: Column, gap_seconds: Column) -> Column:

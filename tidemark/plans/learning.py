@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates as ag, models as m, text as tx, vectors as v
+from tidemark.operators import aggregates as ag, models as m, seasonal as se, text as tx, vectors as v
 from tidemark.plans.registry import query, spark_of
 from tidemark.session import materialize
 from tidemark.sources.readers import latest_by
@@ -189,6 +189,39 @@ def forecast_by_time(t):
     return fc.select("event_type", "forecast_timestamp", *[F.round(c, 4).alias(c) for c in ("forecast_value", "interval_lower", "interval_upper")])
 
 
+_WEEK, _WEIGHTS = 7, se.GRID
+SEASONAL_SQL = f"""
+WITH RECURSIVE d AS (SELECT event_type, datediff('day', MIN(ts::DATE) OVER (PARTITION BY event_type), ts::DATE) AS i, MIN(ts::DATE) OVER (PARTITION BY event_type) AS began, value FROM events),
+s AS (SELECT event_type, began, i, SUM(value) AS y, MAX(i) OVER (PARTITION BY event_type) AS last FROM d GROUP BY event_type, began, i),
+w AS (SELECT * FROM (VALUES {", ".join(f"({k}, {a}, {b}, {c})" for k, (a, b, c) in enumerate(_WEIGHTS))}) v(k, a, b, c)),
+f AS (SELECT event_type, began, last, AVG(y) FILTER (i < {_WEEK}) AS level, coalesce((AVG(y) FILTER (i >= {_WEEK} AND i < {2 * _WEEK}) - AVG(y) FILTER (i < {_WEEK})) / {_WEEK}, 0) AS trend,
+  map_from_entries(list((i, y)) FILTER (i < {_WEEK})) AS seen FROM s GROUP BY 1, 2, 3),
+r AS (SELECT event_type, began, last, k, a, b, c, {_WEEK - 1}::BIGINT AS i, level::DOUBLE AS level, trend::DOUBLE AS trend,
+    list_transform(range({_WEEK}), lambda q: coalesce(seen[q] - level, 0))::DOUBLE[] AS season, 0::DOUBLE AS sse, 0 AS n FROM f, w
+  UNION ALL
+  SELECT event_type, began, last, k, a, b, c, i, level + trend + a * e, trend + a * b * e,
+    list_transform(range({_WEEK}), lambda q: season[q + 1] + CASE WHEN q = i % {_WEEK} THEN c * (1 - a) * e ELSE 0 END), sse + e * e, n + seen
+  FROM (SELECT r.event_type, r.began, r.last, k, a, b, c, r.i + 1 AS i, level, trend, season, sse, n, (y IS NOT NULL)::INT AS seen,
+    coalesce(y - (level + trend + season[(r.i + 1) % {_WEEK} + 1]), 0) AS e FROM r LEFT JOIN s ON s.event_type = r.event_type AND s.i = r.i + 1 WHERE r.i < r.last)),
+e AS (SELECT * FROM r WHERE i = last AND n > 0 QUALIFY ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY sse, k) = 1),
+h AS (SELECT *, unnest(range(1, 8)) AS h, sqrt(sse / n) AS rmse FROM e),
+p AS (SELECT *, level + h * trend + season[(last + h) % {_WEEK} + 1] AS v, 1.959963984540054 * rmse * sqrt(1 + coalesce(list_sum(list_transform(range(1, h),
+  lambda j: pow(a + a * b * j + CASE WHEN j % {_WEEK} = 0 THEN c * (1 - a) ELSE 0 END, 2))), 0)) AS e FROM h)
+SELECT event_type, (began + (last + h)::INT)::TIMESTAMP AS forecast_timestamp, ROUND(v, 4) AS forecast_value, ROUND(v - e, 4) AS interval_lower, ROUND(v + e, 4) AS interval_upper,
+ ROUND(rmse, 4) AS backtest_rmse, a::DOUBLE AS level_weight, b::DOUBLE AS trend_weight, c::DOUBLE AS season_weight FROM p
+"""
+
+
+@query("ml10_seasonal_forecast", SEASONAL_SQL)
+def seasonal_forecast(t):
+    """A week ahead with a season of a week, in steps of the gap found."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")
+    daily = t.events.groupBy("event_type", day).agg(F.sum("value").alias("y"))
+    fc = se.seasonal_forecast_by_time(daily, "y", "day", "7 DAYS", "7 DAYS", 0.95, ["event_type"])
+    rounded = ("forecast_value", "interval_lower", "interval_upper", "backtest_rmse")
+    return fc.select("event_type", "forecast_timestamp", *[F.round(c, 4).alias(c) for c in rounded], "level_weight", "trend_weight", "season_weight")
+
+
 @query("ml11_granularity", """
 WITH p AS (SELECT DISTINCT event_type, date_trunc('minute', ts + INTERVAL 30 SECOND) AS mi FROM events),
 g AS (SELECT event_type, datediff('second', LAG(mi) OVER (PARTITION BY event_type ORDER BY mi), mi) AS gap FROM p),
