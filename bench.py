@@ -31,7 +31,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
     from pyspark.sql import functions as F
 
     from tidemark.functions.search import search_columns
-    from tidemark.operators import joins as j, vectors as v
+    from tidemark.operators import joins as j, text_index as x, vectors as v
     from tidemark.plans.learning import PROBED, hundredth_queries, vector_index
     from tidemark.session import Tables, materialize, scratch_path
     from tidemark.sources import changes as ch, tables as w
@@ -49,7 +49,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
 
     keys, sums = [F.col("l_returnflag"), F.to_date("l_shipdate").alias("day")], {"q": F.col("l_quantity"), "p": F.col("l_extendedprice")}
     view = materialize(ch.create_mv(t.lineitem, keys, sums), "view")
-    index = spark.read.parquet(j.write_index(j.build_index(t.documents, "doc_id", ["text"]), scratch_path(spark, "index"), 32))
+    index = x.kept_index(t.documents, ["text"])
     small, few = scratch_path(spark, "small"), scratch_path(spark, "few")
     w.write_table(t.lineitem.repartition(400), small)
     w.compact(spark, small, few, 8)
@@ -60,7 +60,7 @@ def ratios(spark, folder: str) -> dict[str, float]:
         "view": (lambda: t.lineitem.groupBy("l_returnflag", F.year("l_shipdate")).agg(F.sum("l_quantity"), F.sum("l_extendedprice")),
                  lambda: view.groupBy("l_returnflag", F.year("day")).agg(F.sum("q"), F.sum("p"))),
         "index_needle": (lambda: t.documents.filter(search_columns(t.documents, ["text"], "license")).select("doc_id"),
-                         lambda: j.index_lookup(index, "doc_id", "license", 32)),
+                         lambda: x.find_rows(index, "license")),
         "compaction": (lambda: spark.read.parquet(small).groupBy("l_returnflag").sum("l_quantity"),
                        lambda: spark.read.parquet(few).groupBy("l_returnflag").sum("l_quantity")),
         "interval_sweep": (lambda: spans.withColumn("m", F.explode(F.sequence("lo", "hi"))).groupBy("event_type", "m").agg(F.sum("value")),

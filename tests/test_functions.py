@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import jsons, search, semantics as sem
 from tidemark.operators import aggregates as ag, relational as rel
-from tidemark.operators.joins import build_index, count_in_intervals, index_lookup, indexed_search, interval_load, pair_events
+from tidemark.operators.joins import count_in_intervals, interval_load, pair_events
 
 
 def one(spark, *cols, data=None, schema=None):
@@ -65,19 +65,17 @@ def test_exact_search(spark):
     assert one(spark, search.matches(F.lit("a b"), "a b", "no_op"), search.matches(F.lit("a b"), "a", "no_op")) == (True, False)
 
 
-def test_index_gives_the_same_rows(spark, t):
-    index = build_index(t.documents, "doc_id", ["text", "lang"])
-    for term in ("the with", "license", "nosuchword", "the en", "`of the`"):
-        direct = {r.doc_id for r in rel.search(t.documents, ["text", "lang"], term).collect()}
-        assert direct == {r.doc_id for r in indexed_search(t.documents, index, "doc_id", ["text", "lang"], term).collect()}
-    found = {r.doc_id for r in index_lookup(index, "doc_id", "the en").collect()}
-    assert found == {r.doc_id for r in rel.search(t.documents, ["text", "lang"], "the en").collect()}
+@pytest.mark.parametrize("fn", ["max", "min", "collect_list", "first", "any_value"])
+def test_private_aggregates_refuse_what_gives_rows_back(t, fn):
+    with pytest.raises(ValueError):
+        ag.private_agg(t.events, [F.col("event_type")], "user_id", {"x": (fn, "value")}, 2)
 
 
-def test_private_aggregates_refuse_plain_columns(spark, t):
-    with pytest.raises(PySparkException):
-        ag.private_agg(t.events, [F.col("event_type")], "user_id", [F.col("value")], 2)
-    assert ag.private_agg(t.events, [F.col("event_id")], "user_id", [], 2).count() == 0
+def test_small_groups_stay_private(spark, t):
+    assert ag.private_agg(t.events, [F.col("event_id")], "user_id", {}, 2).count() == 0
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 2, 4.0), ("b", 3, 1.0), ("b", None, 1.0), (None, 1, 1.0), (None, 2, None)], "g string, u int, x double")
+    got = {r.g: (r.entities, r.x) for r in ag.private_agg(df, [F.col("g")], "u", {"x": ("avg", "x")}, 2).collect()}
+    assert got == {"a": (2, 3.0), None: (2, 1.0)}
 
 
 def test_intervals_without_a_bound(spark):

@@ -93,3 +93,57 @@ def test_partition_upsert_leaves_other_folders_alone(spark, t):
     after = spark.read.parquet(path)
     assert {f for f in before if "=F/" not in f} == {f for f in after.inputFiles() if "=F/" not in f}
     assert after.count() == df.count() and after.filter("seq = 2 AND o_totalprice = 0").count() == 5
+
+
+def test_any_clustered_column_skips_row_groups(spark, t):
+    """Row-group statistics of the written files, read from their footers."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    cols = {"l_shipdate": 0.1, "l_suppkey": 0.1, "l_extendedprice": 0.1}
+    path = w.write_clustered(t.lineitem, scratch_path(spark, "curve"), list(cols), 32, options={"parquet.block.size": "65536"})
+    groups = []
+    for file in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        names = [meta.schema.column(k).path for k in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            groups.append({c: meta.row_group(g).column(names.index(c)).statistics for c in cols})
+    assert len(groups) >= 32
+    back = spark.read.parquet(path)
+    assert back.columns == t.lineitem.columns and back.count() == t.lineitem.count()
+    assert back.exceptAll(t.lineitem).count() == 0
+    for c, share in cols.items():
+        bar = t.lineitem.agg(F.percentile_approx(c, share)).first()[0]
+        read = sum(g[c].min <= bar for g in groups)
+        assert read < 0.6 * len(groups), (c, read, len(groups))
+
+
+def test_curve_places(spark):
+    rows = [(a, b) for a in range(4) for b in range(4)]
+    df = spark.createDataFrame(rows, "a long, b long")
+    got = {(r.a, r.b): r.p for r in df.withColumn("p", w.curve([F.col("a"), F.col("b")], 2)).collect()}
+    assert sorted(got.values()) == list(range(16))
+    assert [got[1, 1], got[0, 2], got[2, 0], got[3, 3]] == [3, 8, 4, 15]
+    ranked = spark.createDataFrame([(None,), (1.0,), (2.0,), (9.0,)], "x double").select(w.range_rank(F.col("x"), [1.0, 5.0]).alias("r"))
+    assert sorted(r.r for r in ranked.collect()) == [0, 0, 1, 2]
+
+
+def test_clustered_layout_of_awkward_columns(spark):
+    rows = [(None, None, [k]) for k in range(20)] + [("same", 1, [k]) for k in range(200)] + [(f"é{k}", k, None) for k in range(30)]
+    df = spark.createDataFrame(rows, "name string, n int, list array<int>")
+    path = w.write_clustered(df, scratch_path(spark, "odd"), ["name", "n"], 4)
+    back = spark.read.parquet(path)
+    assert back.count() == 250 and back.filter("name = 'same'").count() == 200
+    assert w.file_bounds(back, ["n"]).agg(F.sum("rows")).first()[0] == 250
+    empty = w.write_clustered(df.limit(0), scratch_path(spark, "none"), ["name"], 2)
+    assert spark.read.schema(df.schema).parquet(empty).count() == 0
+    with pytest.raises(ValueError):
+        w.write_clustered(df, path, ["name"] * 7, bits=10)
+
+
+def test_partitioned_writes_give_one_file_a_folder(spark, t):
+    path = w.write_table(t.events.withColumn("day", F.to_date("ts")), scratch_path(spark, "days"), partition_by=["day"])
+    files = spark.read.parquet(path).select("day", F.input_file_name().alias("f")).distinct()
+    assert files.count() == files.select("day").distinct().count()
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"

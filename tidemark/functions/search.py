@@ -21,6 +21,16 @@ def _terms(term: str) -> list[str]:
     return [w for w in regex.split(TOKEN_BREAK, term.lower()) if w]
 
 
+def phrase_words(term: str) -> tuple[list[str], bool]:
+    """Tokens of a search term, and whether it stands in backticks."""
+    return _terms(term.strip("`")), term.startswith("`") and term.endswith("`") and len(term) > 1
+
+
+def _run(words: list[str]) -> str:
+    """Pattern of tokens one after the other, in lower-cased text."""
+    return r"(?<![\p{L}\p{N}])" + TOKEN_BREAK.join(words) + r"(?![\p{L}\p{N}])"
+
+
 def matches(col: Column, term: str, analyzer: str = "log") -> Column:
     """Whether a text holds ``term``.
 
@@ -29,17 +39,13 @@ def matches(col: Column, term: str, analyzer: str = "log") -> Column:
     """
     if analyzer == "no_op":
         return col == F.lit(term)
-    phrase = term.startswith("`") and term.endswith("`") and len(term) > 1
-    words = _terms(term.strip("`"))
+    words, phrase = phrase_words(term)
     if not words:
         return F.lit(False)
-    # a plain substring test first: only texts that pass it are cut into tokens
-    low, found = F.lower(col), tokens(col)
+    # a plain substring test first; then the text is searched for whole tokens, up to the first, without cutting it up
+    low = F.lower(col)
     likely = reduce(lambda a, b: a & b, (F.contains(low, F.lit(w)) for w in words))
-    if phrase:
-        glued = F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
-        return likely & F.contains(glued, F.lit(" " + " ".join(words) + " "))
-    return likely & reduce(lambda a, b: a & b, (F.array_contains(found, w) for w in words))
+    return likely & reduce(lambda a, b: a & b, (low.rlike(p) for p in ([_run(words)] if phrase else [_run([w]) for w in words])))
 
 
 def search_columns(df: DataFrame, cols: list[str] | None, term: str, analyzer: str = "log") -> Column:

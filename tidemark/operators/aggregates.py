@@ -93,11 +93,20 @@ def mode_per_key(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return latest_by(counts, keys, [F.desc("n"), F.asc(value)])
 
 
-def private_agg(df: DataFrame, keys: list[Column], entity: str, aggs: list[Column], min_entities: int) -> DataFrame:
+# Aggregates of which no result is a value of one row.
+PRIVATE_AGGREGATES = {"avg": F.avg, "sum": F.sum, "count": F.count, "count_distinct": F.count_distinct, "stddev": F.stddev_samp, "variance": F.var_samp}
+
+
+def private_agg(df: DataFrame, keys: list[Column], entity: str, measures: dict[str, tuple[str, str]], min_entities: int) -> DataFrame:
     """Aggregates of groups that hold at least ``min_entities`` distinct entities.
 
-    Only aggregates may come out; a column that is not one fails when the plan is analysed.
+    ``measures`` names a function of ``PRIVATE_AGGREGATES`` and a column for each result. Others are refused: a minimum, a maximum
+    or a list would hand rows back. A missing entity counts as none.
     """
+    refused = sorted({fn for fn, _ in measures.values()} - set(PRIVATE_AGGREGATES))
+    if refused:
+        raise ValueError(f"not allowed on private rows: {', '.join(refused)}")
+    aggs = [PRIVATE_AGGREGATES[fn](F.col(c)).alias(name) for name, (fn, c) in measures.items()]
     grouped = df.groupBy(*keys).agg(F.count_distinct(entity).alias("entities"), *aggs)
     return grouped.filter(F.col("entities") >= min_entities)
 

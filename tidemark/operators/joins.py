@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.geo import distance_m
-from tidemark.functions.search import _terms, search_columns, tokens
 from tidemark.operators.ordered import previous_value, running_sum
 from tidemark.sources.readers import latest_by
 
@@ -171,49 +170,3 @@ def left_join_ranked(left: DataFrame, right: DataFrame, keys: list[str], order_b
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: str = "(unknown)") -> DataFrame:
     """Dictionary lookup with a default for unknown keys."""
     return df.join(dim.select(key, value), key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
-
-
-def build_index(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """Inverted index as rows ``(token, column, key)``, not as one list per token, so a common token may
-    spread over many tasks and files."""
-    def found(c: str) -> Column:
-        words = F.array_distinct(F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")))
-        return F.transform(words, lambda w: F.struct(w.alias("token"), F.lit(c).alias("column")))
-
-    words = F.flatten(F.array(*[found(c) for c in cols]))
-    return df.select(F.explode(words).alias("w"), F.col(key)).select("w.token", "w.column", key)
-
-
-def _bucket(token: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
-
-
-def write_index(index: DataFrame, path: str, buckets: int) -> str:
-    """Write an index into token buckets, sorted by token inside each file.
-
-    Rows are gathered by bucket; AQE cuts the bucket of a common token into several files.
-    """
-    tagged = index.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
-    tagged.sortWithinPartitions("bucket", "token").write.partitionBy("bucket").parquet(path)
-    return path
-
-
-def index_lookup(index: DataFrame, key: str, term: str, buckets: int | None = None) -> DataFrame:
-    """Keys of the rows that hold every token of ``term`` in one column.
-
-    With ``buckets`` only the folders of the words are read; inside them the token filter skips
-    row groups.
-    """
-    words = sorted(set(_terms(term.strip("`"))))
-    hits = index.filter(F.col("token").isin(words))
-    if buckets and words:
-        hits = hits.filter(F.col("bucket").isin([_bucket(F.lit(w), buckets) for w in words]))
-    if len(words) > 1:
-        hits = hits.groupBy(key, "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(words))
-    return hits.select(key).distinct()
-
-
-def indexed_search(df: DataFrame, index: DataFrame, key: str, cols: list[str], term: str, buckets: int | None = None) -> DataFrame:
-    """Rows a search for ``term`` in ``cols`` finds: the index names the rows that can match, the search decides on them."""
-    found = df.join(index_lookup(index, key, term, buckets), key, "left_semi")
-    return found.filter(search_columns(found, cols, term))

@@ -179,12 +179,13 @@ def aggregate_twice(t):
 
 
 @query("ag15_private_aggregate", """
-SELECT date_trunc('hour', ts) AS hour, event_type, COUNT(DISTINCT user_id) AS entities, ROUND(AVG(value), 6) AS average
-FROM events GROUP BY 1, 2 HAVING COUNT(DISTINCT user_id) >= 4
+SELECT hour(ts)::INT AS hour, event_type, COUNT(DISTINCT user_id) AS entities, ROUND(AVG(value), 6) AS average, COUNT(value) AS n
+FROM events GROUP BY 1, 2 HAVING COUNT(DISTINCT user_id) >= 5
 """)
 def private_aggregate(t):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")
-    return ag.private_agg(t.events, [hour, F.col("event_type")], "user_id", [F.round(F.avg("value"), 6).alias("average")], 4)
+    measures = {"average": ("avg", "value"), "n": ("count", "value")}
+    shown = ag.private_agg(t.events, [F.hour("ts").alias("hour"), F.col("event_type")], "user_id", measures, 5)
+    return shown.withColumn("average", F.round("average", 6))
 
 
 @query("ag16_first_per_group", "SELECT o_custkey, MIN(o_orderkey) AS first_order, arg_min(o_orderstatus, o_orderkey) AS first_status FROM orders GROUP BY 1")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import semantics as sem
 from tidemark.functions.search import search_columns
 from tidemark.operators import aggregates as ag, relational as rel
-from tidemark.operators.joins import build_index, indexed_search, write_index
 from tidemark.operators.ordered import batch_slice
 from tidemark.operators.text import filter_by_question, keyword_answer
+from tidemark.operators.text_index import files_opened, find_rows, indexed_search, kept_index, open_index, write_index
 from tidemark.plans.registry import query, spark_of
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_table
@@ -220,11 +222,40 @@ def token_search(t):
 SELECT doc_id, lang, source FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'the') AND list_contains({_TOKENS.format(c='text')}, 'with')
 """)
 def index_search(t):
-    """The index is written in token buckets; the lookup reads the buckets of its words, and the search runs on the hits."""
+    """The index is written once for the files of the table; the lookup reads the buckets of its words."""
+    index = kept_index(t.documents, ["text", "lang", "source"])
+    return indexed_search(t.documents, index, "the with", ["text"]).select("doc_id", "lang", "source")
+
+
+_SEARCHES = {"word": ("license", ["text"]), "phrase": ("`of the`", ["text"]), "two_columns": ("en", ["lang", "source"]), "whole_row": ("de", None), "nowhere": ("the `quite absent` words", None)}
+
+
+@query("flt06_index_modes", f"""
+SELECT 'word' AS mode, COUNT(*) AS n FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'license')
+UNION ALL SELECT 'phrase', COUNT(*) FROM documents WHERE contains(' ' || array_to_string({_TOKENS.format(c='text')}, ' ') || ' ', ' of the ')
+UNION ALL SELECT 'two_columns', COUNT(*) FROM documents WHERE list_contains({_TOKENS.format(c='lang')}, 'en') OR list_contains({_TOKENS.format(c='source')}, 'en')
+UNION ALL SELECT 'whole_row', COUNT(*) FROM documents WHERE list_contains({_TOKENS.format(c='text')}, 'de') OR list_contains({_TOKENS.format(c='lang')}, 'de') OR list_contains({_TOKENS.format(c='source')}, 'de')
+UNION ALL SELECT 'nowhere', 0
+""")
+def index_modes(t):
+    """The forms of token search, answered by the index alone."""
+    index = kept_index(t.documents, ["text", "lang", "source"])
+    counts = [find_rows(index, term, cols).agg(F.lit(mode).alias("mode"), F.count("*").alias("n")) for mode, (term, cols) in _SEARCHES.items()]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+@query("flt06_files_opened", f"""
+WITH d AS (SELECT source, list_contains({_TOKENS.format(c='text')}, 'src7') OR list_contains({_TOKENS.format(c='source')}, 'src7') AS hit FROM documents)
+SELECT COUNT(DISTINCT source) AS files, COUNT(DISTINCT source) FILTER (hit) AS opened, COUNT(*) FILTER (hit) AS found FROM d
+""")
+def opened_files(t):
+    """Documents in one file a source: the search opens those that hold a hit."""
     spark = spark_of(t)
-    path = write_index(build_index(t.documents, "doc_id", ["text"]), scratch_path(spark, "index"), 32)
-    found = indexed_search(t.documents, read_table(spark, path), "doc_id", ["text"], "the with", 32)
-    return found.select("doc_id", "lang", "source")
+    path = write_table(t.documents.withColumn("part", F.col("source")).repartition("part"), scratch_path(spark, "by-source"), partition_by=["part"])
+    table = spark.read.schema("doc_id long, text string, source string").parquet(path)
+    index = open_index(spark, write_index(table, ["text", "source"], scratch_path(spark, "source-index")))
+    found = indexed_search(table, index, "src7").agg(F.count("*").alias("found"))
+    return files_opened(index, "src7").withColumn("found", found.scalar())
 
 
 @query("flt07_regex_match", r"SELECT doc_id FROM documents WHERE regexp_matches(text, '(?i)(\b|_)license(\b|_)')")

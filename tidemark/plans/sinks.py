@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.plans.registry import query, spark_of
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import changes as ch, tables as w
 from tidemark.sources.readers import read_table
 
@@ -84,6 +86,26 @@ def clustered_layout(t):
     return scan.groupBy(F.to_date("l_shipdate").alias("day")).agg(F.count("*").alias("row_count"), F.sum("l_quantity").alias("quantity"))
 
 
+_CUTS = {"l_shipdate": "l_shipdate BETWEEN TIMESTAMP'1997-03-01' AND TIMESTAMP'1997-03-31'", "l_suppkey": "l_suppkey <= 2", "l_extendedprice": "l_extendedprice < 5000"}
+
+
+@query("snk06_curve_layout", " UNION ALL ".join(f"""
+SELECT '{c}' AS filtered, COUNT(*) FILTER ({f}) AS row_count, ROUND(SUM(l_quantity) FILTER ({f}), 2) AS quantity, true AS skips FROM lineitem""" for c, f in _CUTS.items()))
+def curve_layout(t):
+    """One layout for filters on three columns: each leaves out at least a third of the files by their bounds."""
+    path = w.write_clustered(t.lineitem, _new(t, "curve"), list(_CUTS), 64)
+    table = read_table(spark_of(t), path)
+    bounds = materialize(w.file_bounds(table, list(_CUTS)), "bounds")
+    limits = {"l_shipdate": ("TIMESTAMP_NTZ'1997-03-01'", "TIMESTAMP_NTZ'1997-03-31'"), "l_suppkey": ("0", "2"), "l_extendedprice": ("0", "5000")}
+    out = []
+    for c, f in _CUTS.items():
+        lo, hi = limits[c]
+        left = bounds.agg((F.count_if(F.expr(f"max_{c} >= {lo} AND min_{c} <= {hi}")) * 3 <= F.count("*") * 2).alias("skips"))
+        hit = table.filter(f.replace("TIMESTAMP'", "TIMESTAMP_NTZ'")).agg(F.count("*").alias("row_count"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+        out.append(hit.select(F.lit(c).alias("filtered"), "row_count", "quantity", left.scalar().alias("skips")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
 @query("snk07_insert_append", "SELECT o_orderstatus, COUNT(*) AS orders FROM orders GROUP BY 1")
 def insert_append(t):
     path = _new(t, "append")

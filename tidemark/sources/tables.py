@@ -15,14 +15,21 @@ def write_table(
 ) -> str:
     """Write and return ``path``; partitioned writes gather each partition's rows before writing.
 
-    AQE splits a hot partition value into several tasks, each writing its own file.
+    AQE splits a hot partition value into several tasks, each writing its own file. It does not join small partitions here: the
+    cost of a folder is its file, not its bytes, so folders are dealt to as many tasks as the session shuffles to.
     """
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.enabled"
+    before = conf.get(key)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    writer = df.write.format(fmt).mode(mode).options(**(options or {}))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+        conf.set(key, "false")
+    try:
+        writer = df.write.format(fmt).mode(mode).options(**(options or {}))
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.save(path)
+    finally:
+        conf.set(key, before)
     return path
 
 
@@ -35,13 +42,55 @@ def compact(spark: SparkSession, src: str, dst: str, files: int) -> str:
     return write_table(spark.read.parquet(src).repartition(files), dst)
 
 
-def write_clustered(df: DataFrame, path: str, cols: list[str], files: int | None = None) -> str:
-    """Write sorted by ``cols`` in ranges, so row-group statistics can skip blocks.
+SAMPLE_ROWS = 20_000
+
+
+def range_rank(col: Column, bounds: list) -> Column:
+    """Number of the ascending ``bounds`` that lie below the value; 0 for a missing one."""
+    if not bounds:
+        return F.lit(0).cast("long")
+    below = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < col)
+    return F.when(col.isNull(), 0).otherwise(F.size(below)).cast("long")
+
+
+def curve(ranks: list[Column], bits: int) -> Column:
+    """Place on the Z-order curve: the bits of the ranks, interleaved."""
+    place = F.lit(0).cast("long")
+    for bit in range(bits):
+        for j, rank in enumerate(ranks):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(ranks) + j))
+    return place
+
+
+def write_clustered(
+    df: DataFrame, path: str, cols: list[str], files: int | None = None, bits: int = 6, options: dict[str, str] | None = None
+) -> str:
+    """Write in ranges of a space-filling curve over ``cols``, so that statistics skip files and row groups for a filter on any of them.
 
-    Without a file count AQE sizes the ranges by the data.
+    Each column is ranked against quantiles of at most ``SAMPLE_ROWS`` sampled rows (``2 ** bits`` ranges); only the layout rests
+    on the sample. Without a file count AQE sizes the ranges by the data. Equal rows of a frequent value spread over files.
     """
-    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
-    return write_table(ranged.sortWithinPartitions(*cols), path)
+    if bits * len(cols) > 62:
+        raise ValueError("the bits of all columns have to fit in 62")
+    sample = df.select(*cols).orderBy(F.rand(42)).limit(SAMPLE_ROWS).toPandas()
+    ranks = []
+    for c in cols:
+        values = sorted(sample[c].dropna().tolist())
+        cuts = [values[len(values) * k // (1 << bits)] for k in range(1, 1 << bits)] if values else []
+        few = sorted(set(cuts))
+        rank = range_rank(F.col(c), [F.lit(v).cast(df.schema[c].dataType) for v in few])
+        ranks.append(F.shiftleft(rank, bits - len(few).bit_length()))  # few values, too, begin at the highest bit
+    plain = [f.name for f in df.schema.fields if f.dataType.simpleString() not in ("variant", "void") and "map<" not in f.dataType.simpleString()]
+    placed = df.withColumns({"__place": curve(ranks, bits), "__spread": F.xxhash64(*[F.col(c) for c in plain])})
+    order = ["__place", *cols, "__spread"]
+    ranged = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    return write_table(ranged.sortWithinPartitions(*order).drop("__place", "__spread"), path, options=options)
+
+
+def file_bounds(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Least and greatest value of each column in each file of a table: what a scan can skip by."""
+    bounds = [f(c).alias(f"{name}_{c}") for c in cols for name, f in (("min", F.min), ("max", F.max))]
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), *bounds)
 
 
 def delete_where(df: DataFrame, condition: Column) -> DataFrame:
