@@ -74,6 +74,56 @@ def test_profile_estimates_are_close(spark, t):
     assert abs(prof["l_quantity"].quartiles[1] - true) <= 1
 
 
+def test_profiles_add_up(spark, t):
+    parts = q.sketch_profile(t.lineitem.withColumn("month", F.trunc("l_shipdate", "month")), ["month"])
+    merged = {r.column_name: r for r in q.read_profile(q.merge_profiles(parts)).collect()}
+    whole = {r.column_name: r for r in q.read_profile(q.sketch_profile(t.lineitem)).collect()}
+    assert merged.keys() == whole.keys() and q.read_profile(parts, ["month"]).filter("month IS NULL").count() == 0
+    for c, w in whole.items():
+        m = merged[c]
+        assert (m.row_count, m.null_count, m.min_value, m.max_value) == (w.row_count, w.null_count, w.min_value, w.max_value)
+        assert m.distinct_estimate == pytest.approx(w.distinct_estimate, rel=0.03)
+        assert m["mean"] == (pytest.approx(w["mean"]) if w["mean"] is not None else None)
+        assert m["std"] == (pytest.approx(w["std"]) if w["std"] is not None else None)
+
+
+def test_estimates_keep_their_bounds(spark):
+    """A column of far more values than are tracked, some of them frequent, and one number per row."""
+    rows = 60_000
+    df = spark.range(rows, numPartitions=7).select(
+        F.when(F.col("id") % 10 < 3, F.concat(F.lit("hot"), (F.col("id") % 3).cast("string"))).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("name"),
+        F.pow(F.col("id"), 2.0).alias("x"), F.when(F.col("id") % 4 == 0, F.col("id") % 5).alias("few"))
+    prof = {r.column_name: r for r in q.read_profile(q.sketch_profile(df)).collect()}
+    true = {r["name"]: r["count"] for r in df.groupBy("name").count().collect()}
+    bound = prof["name"].top_error
+    found = {v.value: v.n for v in prof["name"].top}
+    assert 0 < bound < rows / 100
+    assert {v for v, n in true.items() if n > bound} <= set(found)
+    assert all(abs(n - true[v]) <= bound for v, n in found.items())
+    assert abs(prof["name"].distinct_estimate / len(true) - 1) < 0.06
+    assert [(v.value, v.n) for v in sorted(prof["few"].top, key=lambda v: v.value)] == [(str(k), 3000) for k in range(5)] and prof["few"].top_error == 0
+    for share, value in zip((0.25, 0.5, 0.75), prof["x"].quartiles):
+        assert abs(df.filter(F.col("x") <= value).count() / rows - share) < 0.017
+    assert prof["few"].null_count == 45_000 and prof["x"].min_value == "0.0"
+
+
+def test_exact_profile(spark, t):
+    prof = {r.column_name: r for r in q.profile(t.lineitem, exact=True).collect()}
+    for c in ("l_partkey", "l_shipdate", "l_extendedprice"):
+        assert prof[c].distinct_estimate == t.lineitem.select(c).distinct().count()
+    want = t.lineitem.agg(F.percentile("l_extendedprice", [0.25, 0.5, 0.75])).first()[0]
+    assert prof["l_extendedprice"].quartiles == pytest.approx(want) and prof["l_returnflag"].quartiles is None
+
+
+def test_profile_of_nothing(spark):
+    schema = "a int, b string, c double, d array<int>"
+    for df in (spark.createDataFrame([], schema), spark.createDataFrame([(None, None, None, None)], schema)):
+        rows = q.profile(df).collect()
+        n = df.count()
+        assert sorted(r.column_name for r in rows) == (["a", "b", "c"] if n else [])
+        assert all((r.row_count, r.null_count, r.min_value, r["mean"], r.quartiles) == (n, n, None, None, None) for r in rows)
+
+
 def test_recommended_rules(spark, t):
     rules = {r.rule for r in q.recommend_rules(t.orders, q.profile(t.orders)).collect()}
     assert {"o_orderkey IS NOT NULL", "unique(o_orderkey)"} <= rules

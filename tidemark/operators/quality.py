@@ -19,37 +19,94 @@ def profilable(df: DataFrame) -> tuple[list[str], list[str]]:
     return kept, [f"{f.name} ({f.dataType.simpleString()})" for f in df.schema.fields if f.name not in kept]
 
 
-def _stack(df: DataFrame, names: list[str], fields: dict[str, str]) -> DataFrame:
-    """One wide row of ``<column>__<field>`` aggregates into one row per column."""
-    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{f}").cast(k).alias(f) for f, k in fields.items()]) for c in names]
-    return df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+# Sizes of the sketches: distinct values (2 ** 12 registers), quantiles, and items tracked for the most frequent values.
+DISTINCT_LOG, QUANTILE_K, ITEMS = 12, 200, 384
+_SPREAD = 32
 
 
-def profile(df: DataFrame, sample_pct: float = 100.0, seed: int = 42) -> DataFrame:
-    """One row per column, from one pass: nulls, distinct estimate, range, mean, deviation, quartiles."""
-    names, _ = profilable(df)
+def _bounds(c: str, numeric: bool) -> Column:
+    """A value with what orders it, so that bounds of several parts can be compared."""
+    number, text = (F.col(c).cast("double"), F.lit(None).cast("string")) if numeric else (F.lit(None).cast("double"), F.col(c).cast("string"))
+    return F.when(F.col(c).isNotNull(), F.struct(number.alias("number"), text.alias("text"), F.col(c).cast("string").alias("value")))
+
+
+def sketch_profile(df: DataFrame, keys: list[str] = (), cols: list[str] | None = None) -> DataFrame:
+    """Profiles that add up: one row per ``keys`` and column, of counts, sums and sketches, which ``merge_profiles`` joins.
+
+    One pass. Each column keeps a sketch of its distinct values, of its quantiles and of its most frequent values, all of fixed
+    size, so no value is shuffled; what many tasks found is joined by 32 tasks, and then column by column.
+    """
+    keys, (names, _) = list(keys), profilable(df)
+    names = [c for c in (cols or names) if c not in keys]
     numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)}
-    src = df.select(*names) if sample_pct >= 100 else df.select(*names).sample(fraction=sample_pct / 100, seed=seed)
     aggs = [F.count("*").alias("__rows")]
     for c in names:
-        num = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        num = F.col(c).cast("double")
         aggs += [
-            F.count_if(F.col(c).isNull()).alias(f"{c}__null_count"),
-            F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"), F.lit(12))).alias(f"{c}__distinct_estimate"),
-            F.min(c).cast("string").alias(f"{c}__min_value"),
-            F.max(c).cast("string").alias(f"{c}__max_value"),
-            F.avg(num).alias(f"{c}__mean"),
-            F.stddev_samp(num).alias(f"{c}__std"),
-        ]
-        if c in numeric:
-            aggs.append(F.percentile_approx(num, [0.25, 0.5, 0.75], 10000).alias(f"{c}__quartiles"))
-        else:
-            aggs.append(F.lit(None).cast("array<double>").alias(f"{c}__quartiles"))
-    wide = src.agg(*aggs).withColumns({f"{c}__row_count": F.col("__rows") for c in names})
-    return _stack(wide, names, {
-        "row_count": "long", "null_count": "long", "distinct_estimate": "long", "min_value": "string",
-        "max_value": "string", "mean": "double", "std": "double", "quartiles": "array<double>",
-    })
+            F.count(c).alias(f"{c}__values"),
+            F.hll_sketch_agg(F.col(c).cast("string"), F.lit(DISTINCT_LOG)).alias(f"{c}__distinct"),
+            F.expr(f"approx_top_k_accumulate(CAST(`{c}` AS STRING), {ITEMS}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"{c}__items"),
+            F.min(_bounds(c, c in numeric)).alias(f"{c}__low"), F.max(_bounds(c, c in numeric)).alias(f"{c}__high"),
+            *([F.avg(num).alias(f"{c}__mean"), F.var_pop(num).alias(f"{c}__variance"), F.expr(f"kll_sketch_agg_double(CAST(`{c}` AS DOUBLE), {QUANTILE_K})").alias(f"{c}__quantiles")]
+              if c in numeric else [F.lit(None).cast(k).alias(f"{c}__{f}") for f, k in (("mean", "double"), ("variance", "double"), ("quantiles", "binary"))]),
+        ]
+    wide = df.withColumn("__spread", F.spark_partition_id() % _SPREAD).groupBy(*keys, "__spread").agg(*aggs)
+    fields = ("values", "distinct", "items", "low", "high", "mean", "variance", "quantiles")
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col("__rows").alias("rows"), *[F.col(f"{c}__{f}").alias(f) for f in fields]) for c in names]
+    parts = wide.select(*keys, F.explode(F.array(*rows)).alias("__part")).select(*keys, "__part.*")
+    return merge_profiles(parts, keys)
+
+
+def merge_profiles(parts: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Profiles of several days, files or tasks as one per ``keys`` and column."""
+    n, mean = F.col("values").cast("double"), F.col("mean")
+    total = F.sum(F.when(mean.isNotNull(), n))
+    centre = F.sum(n * mean) / total
+    spread = F.sum(n * (F.col("variance") + mean * mean)) / total - centre * centre
+    return parts.groupBy(*keys, "column_name").agg(
+        F.sum("rows").alias("rows"), F.sum("values").alias("values"),
+        F.hll_union_agg("distinct").alias("distinct"), F.expr(f"approx_top_k_combine(items, {ITEMS})").alias("items"),
+        F.min("low").alias("low"), F.max("high").alias("high"), centre.alias("mean"), F.when(spread < 0, 0.0).otherwise(spread).alias("variance"),
+        F.expr("kll_merge_agg_double(quantiles) FILTER (WHERE quantiles IS NOT NULL)").alias("quantiles"),
+    )
+
+
+def read_profile(profiles: DataFrame, keys: list[str] = (), most: int = 10) -> DataFrame:
+    """What mergeable profiles say: counts, range, mean, deviation, and estimates with their bounds.
+
+    Distinct values are off by some two per cent; a quartile by 1.7 % of the rows in rank; the count of a frequent value by at
+    most ``top_error``, and none above that is missing. With fewer values than ``ITEMS`` the counts are exact.
+    """
+    n = F.col("values").cast("double")
+    sampled = F.when(n > 1, F.sqrt(F.col("variance") * n / (n - 1)))
+    quartiles = F.when(F.col("mean").isNotNull(), F.expr("kll_sketch_get_quantile_double(quantiles, array(0.25D, 0.5D, 0.75D))"))
+    items = F.expr(f"approx_top_k_estimate(items, {most})")
+    distinct = F.hll_sketch_estimate("distinct")
+    return profiles.select(
+        *keys, "column_name", F.col("rows").alias("row_count"), (F.col("rows") - F.col("values")).alias("null_count"), distinct.alias("distinct_estimate"),
+        F.col("low.value").alias("min_value"), F.col("high.value").alias("max_value"), "mean", sampled.alias("std"), quartiles.alias("quartiles"),
+        F.transform(items, lambda i: F.struct(i["item"].alias("value"), i["count"].alias("n"))).alias("top"),
+        F.when(distinct <= ITEMS // 2, 0).otherwise(F.ceil(n * 3.5 * 0.75 / ITEMS)).cast("long").alias("top_error"),
+    )
+
+
+def profile(df: DataFrame, sample_pct: float = 100.0, seed: int = 42, exact: bool = False) -> DataFrame:
+    """One row per column: nulls, distinct values, range, mean, deviation, quartiles, from one pass and sketches of fixed size.
+
+    With ``exact`` distinct values and quartiles are counted, at the cost of a shuffle of all values. A table without rows has none here.
+    """
+    names, _ = profilable(df)
+    src = df.select(*names) if sample_pct >= 100 else df.select(*names).sample(fraction=sample_pct / 100, seed=seed)
+    out = read_profile(sketch_profile(src)).drop("top", "top_error")
+    if not exact:
+        return out
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC)]
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("number")) for c in names]))
+    counts = src.select(cells.alias("c")).select("c.*").filter("value IS NOT NULL").groupBy("column_name", "value", "number").agg(F.count("*").alias("n"))
+    quartiles = F.expr("percentile(number, array(0.25D, 0.5D, 0.75D), n)")  # over distinct values with their counts
+    known = counts.groupBy("column_name").agg(F.count("*").alias("__distinct"), quartiles.alias("__quartiles"))
+    joined = out.join(known, "column_name", "left")
+    return joined.withColumns({"distinct_estimate": F.coalesce("__distinct", F.lit(0).cast("long")), "quartiles": F.col("__quartiles")}).drop("__distinct", "__quartiles")
 
 
 def top_values(df: DataFrame, cols: list[str], n: int) -> DataFrame:

@@ -33,6 +33,34 @@ def profile_estimates(t):
     return q.profile(t.orders).select("column_name", "distinct_estimate", "quartiles")
 
 
+_BY_MONTH = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS null_count, "
+    + (f"MIN({c})::DOUBLE AS lowest, MAX({c})::DOUBLE AS highest, ROUND(AVG({c}::DOUBLE), 4) AS mean, ROUND(stddev_samp({c}::DOUBLE), 4) AS std, " if num else "NULL AS lowest, NULL AS highest, NULL AS mean, NULL AS std, ")
+    + ("(SELECT string_agg(v || ':' || n, ',' ORDER BY n DESC, v) FROM (SELECT " + f"{c}::VARCHAR AS v, COUNT(*) AS n FROM lineitem GROUP BY 1)) AS top, " if not num else "NULL AS top, ")
+    + "true AS distinct_holds, true AS median_holds FROM lineitem"
+    for c, num in (("l_quantity", True), ("l_extendedprice", True), ("l_returnflag", False), ("l_linestatus", False)))
+
+
+@query("dq01_merged_profile", _BY_MONTH)
+def merged_profile(t):
+    """Profiles of each month are kept and add up to that of the table; estimates are held to their bounds."""
+    cols = ["l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
+    monthly = materialize(q.sketch_profile(t.lineitem.select(F.trunc("l_shipdate", "month").alias("month"), *cols), ["month"]), "monthly-profile")
+    prof = materialize(q.read_profile(q.merge_profiles(monthly)), "profile")
+    exact = q.profile(t.lineitem.select(*cols), exact=True).select("column_name", F.col("distinct_estimate").alias("distinct"))
+    medians = prof.filter("quartiles IS NOT NULL").agg(F.map_from_entries(F.collect_list(F.struct("column_name", F.col("quartiles")[1]))).alias("m"))  # a row a column
+    held = medians.scalar()
+    below = t.lineitem.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in cols[:2]])).alias("v"))
+    ranks = below.groupBy("v.column_name").agg(
+        F.avg((F.col("v.x") <= held[F.col("v.column_name")]).cast("double")).alias("upto"), F.avg((F.col("v.x") < held[F.col("v.column_name")]).cast("double")).alias("under"))
+    top = F.when(F.col("mean").isNull(), F.array_join(F.transform(F.array_sort(F.transform("top", lambda x: F.struct((-x["n"]).alias("less"), x["value"].alias("value")))), lambda x: F.concat_ws(":", x["value"], (-x["less"]).cast("string"))), ","))
+    return prof.join(exact, "column_name").join(ranks, "column_name", "left").select(
+        "column_name", "row_count", "null_count", F.col("min_value").try_cast("double").alias("lowest"), F.col("max_value").try_cast("double").alias("highest"),
+        F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"), top.alias("top"),
+        (F.abs(F.col("distinct_estimate") / F.col("distinct") - 1) <= 0.06).alias("distinct_holds"),
+        F.coalesce((F.col("under") <= 0.52) & (F.col("upto") >= 0.48), F.lit(True)).alias("median_holds"))
+
+
 _TOP_COLS = ["o_orderstatus", "o_orderpriority", "o_custkey"]
 
 
