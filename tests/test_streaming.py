@@ -95,3 +95,55 @@ def test_restart_appends_only_new_files(spark, t):
         for _ in range(2):
             s.write_stream(s.read_stream(spark, landing, EVENT_SCHEMA), sink, ckpt)
     assert spark.read.parquet(sink).count() == t.events.count()
+
+
+def _ordered_files(t, spark, n=6):
+    path = scratch_path(spark, "ordered")
+    t.events.repartitionByRange(n, "ts").sortWithinPartitions("ts").write.parquet(path)
+    return path
+
+
+def test_last_windows_reach_the_sink(spark, t):
+    sink, marks = scratch_path(spark, "buckets"), scratch_path(spark, "marks")
+    aggs = [F.count("*").alias("n")]
+    stream = s.read_stream(spark, t.stream_path("events"), EVENT_SCHEMA)
+    s.write_flushed(stream, "ts", lambda rows: s.tumble(rows, "ts", 3600, ["event_type"], aggs, "1 hour"), sink, scratch_path(spark, "ckpt"), marks, 3 * 3600)
+    assert _rows(spark.read.parquet(sink).select("bucket", "event_type", "n")) == _rows(s.tumble(t.events, "ts", 3600, ["event_type"], aggs))
+
+
+def test_recency_windows_in_batches_and_after_a_restart(spark, t):
+    """Files come in order, some per run; the sink has every tick once."""
+    landing, sink, ckpt, marks = (scratch_path(spark, x) for x in ("landing", "recency", "ckpt", "marks"))
+    spans, slide = {"hour": 3600, "day": 86400}, 1800
+    middle = t.events.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
+    early = t.events.filter(F.col("ts") <= F.lit(middle)).select("event_id", "ts")
+    late = t.events.filter(F.col("ts") > F.lit(middle)).select("event_id", "ts")
+    early.repartitionByRange(3, "ts").write.mode("append").parquet(landing)
+    shape = lambda rows: s.recency_windows(rows, "ts", spans, slide, 600)
+    stream = s.read_stream(spark, landing, early.schema)
+    spark.createDataFrame([], early.schema).write.parquet(marks)
+    s.write_stream(shape(stream.unionByName(s.read_stream(spark, marks, early.schema))), sink, ckpt)
+    late.repartitionByRange(3, "ts").write.mode("append").parquet(landing)
+    s.write_flushed(stream, "ts", shape, sink, ckpt, marks, 3 * 86400)
+    got = {(r.tick, r.span): r.n for r in spark.read.parquet(sink).collect()}
+    assert len(got) == spark.read.parquet(sink).count()
+    import datetime as dt
+    from collections import Counter
+
+    zero, want = dt.datetime(1970, 1, 1), Counter()
+    for (ts,) in t.events.select("ts").collect():
+        micros = (ts - zero) // dt.timedelta(microseconds=1)
+        for name, span in spans.items():
+            k = -(-micros // (slide * 10**6))
+            while k * slide * 10**6 < micros + span * 10**6:
+                want[zero + dt.timedelta(seconds=k * slide), name] += 1
+                k += 1
+    assert got == dict(want)
+
+
+def test_flush_of_an_empty_stream(spark):
+    schema, path = "event_id long, ts timestamp_ntz", scratch_path(spark, "empty")
+    spark.createDataFrame([], schema).write.parquet(path)
+    sink = scratch_path(spark, "sink")
+    s.write_flushed(s.read_stream(spark, path, schema), "ts", lambda rows: s.recency_windows(rows, "ts", {"a": 60}, 60, 0), sink, scratch_path(spark, "ckpt"), scratch_path(spark, "marks"), 999)
+    assert spark.read.schema("tick timestamp_ntz, span string, n long").parquet(sink).count() == 0

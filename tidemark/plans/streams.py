@@ -83,14 +83,29 @@ def parse_landed(t):
 
 @query("st06_tumbling_bucket", """
 SELECT make_timestamp((epoch_us(ts) // 180000000) * 180000000) - INTERVAL 5 HOUR AS bucket, event_type, COUNT(*) AS n, ROUND(SUM(value), 2) AS total
-FROM events GROUP BY 1, 2 HAVING MAX(make_timestamp((epoch_us(ts) // 180000000 + 1) * 180000000)) <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE
+FROM events GROUP BY 1, 2
 """)
 def tumbling_bucket(t):
-    """Three-minute buckets in local time; a bucket is final once the watermark has passed its end."""
-    sink = _new(t, "buckets")
-    out = s.tumble(_stream(t), "ts", 180, ["event_type"], [F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")],
-                   "10 minutes", "America/New_York")
-    s.write_stream(out, sink, _new(t, "ckpt"))
+    """Three-minute buckets in local time; a bucket is final once the watermark has passed its end, the last ones by a flush."""
+    sink, aggs = _new(t, "buckets"), [F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")]
+    s.write_flushed(
+        _stream(t), "ts", lambda rows: s.tumble(rows, "ts", 180, ["event_type"], aggs, "10 minutes", "America/New_York"),
+        sink, _new(t, "ckpt"), _new(t, "marks"), 3600)
+    return read_table(spark_of(t), sink)
+
+
+_SPANS = {"last_6_hours": 21600, "last_hour": 3600, "last_quarter": 900}
+
+
+@query("st07_recency_windows", " UNION ALL ".join(f"""
+SELECT make_timestamp(tick * 900000000) AS tick, '{name}' AS span, COUNT(*) AS n
+FROM (SELECT unnest(generate_series((epoch_us(ts) + 899999999) // 900000000, (epoch_us(ts) + {seconds}000000 - 1) // 900000000)) AS tick FROM events) GROUP BY 1""" for name, seconds in _SPANS.items()))
+def recency_windows(t):
+    """Every quarter of an hour, the events of the last six hours, hour and quarter; the stream's last ticks included."""
+    sink = _new(t, "recency")
+    s.write_flushed(
+        _stream(t).select("event_id", "ts"), "ts", lambda rows: s.recency_windows(rows, "ts", _SPANS, 900, 600),
+        sink, _new(t, "ckpt"), _new(t, "marks"), 3 * 86400)
     return read_table(spark_of(t), sink)
 
 

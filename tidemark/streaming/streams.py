@@ -54,6 +54,56 @@ def tumble(
     return out.withColumn("bucket", local).select("bucket", *[c for c in out.columns if c != "__w"])
 
 
+def recency_windows(stream: DataFrame, ts: str, intervals: dict[str, int], slide: int, lateness: int, keys: list[str] = ()) -> DataFrame:
+    """At every tick (each ``slide`` seconds) the number of events of the last so many seconds, for several spans: ``tick, span, n``.
+
+    An event counts at the ticks from its own time up to, not including, its time plus the span. Ticks are final once events may
+    no longer come ``lateness`` seconds late. Ticks without events have no row. The state holds the open ticks only.
+    """
+    at = F.unix_seconds(F.col(ts).cast("timestamp")) + F.when(F.date_trunc("second", ts) < F.col(ts), 1).otherwise(0)  # the next whole second
+    first = F.ceil(at / slide) * slide
+
+    def ticks(name: str, span: int) -> Column:
+        last = F.floor((F.unix_micros(F.col(ts).cast("timestamp")) + span * 1_000_000 - 1) / 1_000_000)
+        every = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))
+        return F.transform(F.coalesce(every, F.array().cast("array<long>")), lambda x: F.struct(F.lit(name).alias("span"), F.timestamp_seconds(x).alias("tick")))
+
+    spread = stream.filter(F.col(ts).isNotNull()).select(*keys, F.explode(F.flatten(F.array(*[ticks(n, s) for n, s in intervals.items()]))).alias("__t")).select(*keys, "__t.*")
+    delay = f"{max(intervals.values()) + lateness} seconds"  # ticks run ahead of their events by the longest span
+    counted = spread.withWatermark("tick", delay).groupBy(*keys, "span", "tick").agg(F.count("*").alias("n"))
+    return counted.withColumn("tick", F.col("tick").cast("timestamp_ntz"))
+
+
+def write_flushed(
+    stream: DataFrame, ts: str, shape: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, marks: str, beyond: int
+) -> None:
+    """Append what ``shape`` makes of a stream, its last windows included.
+
+    An append sink gets a window only once the watermark has passed it, so those at the end of the input would never come. Here
+    the input is drained, and then a mark is put into a second folder of the same stream: a row with nothing but a time, ``beyond``
+    seconds after the watermark. The watermark moves past all windows, and the same query emits them; the mark's own window stays in the state.
+    ``beyond`` has to exceed the watermark's delay plus the longest window. Events that come after a flush go on from there: those
+    before the mark are late. The mark must not count: ``shape`` sees it like any row, in a window that later input closes, so
+    it filters rows without values where that matters.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("append").parquet(marks)
+    out = shape(stream.unionByName(read_stream(spark, marks, stream.schema)))
+
+    def drain() -> str | None:
+        query = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+        query.awaitTermination()
+        last = query.lastProgress
+        return last["eventTime"].get("watermark") if last and last["eventTime"] else None
+
+    reached = drain()
+    if reached and not reached.startswith("1970-01-01T00:00:00"):
+        at = F.expr(f"timestamp_seconds(unix_seconds(timestamp'{reached.replace('T', ' ')}') + {beyond})")
+        types = {f.name: f.dataType for f in stream.schema}
+        spark.range(1).select(*[(at if c == ts else F.lit(None)).cast(k).alias(c) for c, k in types.items()]).write.mode("append").parquet(marks)
+        drain()
+
+
 def recent_counts(df: DataFrame, ts: str, intervals: dict[str, str], as_of: Column | None = None) -> DataFrame:
     """Row counts of several recency windows, in one pass over a stream's sink."""
     ref = as_of if as_of is not None else df.agg(F.max(ts)).scalar()
