@@ -10,6 +10,7 @@ from tidemark.plans.joins import PAIRS_SQL
 from tidemark.plans.registry import query, spark_of
 from tidemark.plans.sinks import ORDER_STATE_SQL, order_changes
 from tidemark.session import materialize, scratch_path
+from tidemark.sources import topic as tp
 from tidemark.sources.readers import read_table
 from tidemark.sources.tables import write_table
 from tidemark.streaming import streams as s, trips as tr
@@ -33,10 +34,13 @@ def _messages(t, where="true"):
 
 @query("st01_topic_to_rows", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def topic_to_rows(t):
-    spark, sink = spark_of(t), _new(t, "rows")
-    topic = write_table(_messages(t), _new(t, "topic"), "text")
-    raw = s.read_stream(spark, topic, "data string", "text")
-    s.write_stream(s.parse_json(raw, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"), sink, _new(t, "ckpt"))
+    """Messages of a topic, published in two steps; the second run goes on at the offsets of the first."""
+    spark, sink, topic, ckpt = spark_of(t), _new(t, "rows"), _new(t, "topic"), _new(t, "ckpt")
+    body = F.to_json(F.struct("event_id", "ts", "user_id", "event_type", "value"), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    for where in ("event_type <> 'purchase'", "event_type = 'purchase'"):
+        tp.publish(t.events.filter(where), topic, F.col("user_id"), body)
+        raw = tp.read_topic_log(spark, topic).select(F.col("value").alias("data"))
+        s.write_stream(s.parse_json(raw, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"), sink, ckpt)
     return read_table(spark, sink)
 
 
