@@ -54,7 +54,25 @@ def test_search_is_by_whole_tokens(spark, table):
 
 def test_positions_are_places_of_the_token(spark, table):
     index = x.open_index(spark, x.write_index(table.filter("doc_id = 7"), ["text"], scratch_path(spark, "index")))
-    assert [(r.token, r.column, r.positions) for r in index.postings.collect()] == [("ab", "text", [0, 1, 2, 3])]
+    assert [(r.token, r.column, r.ends, r.positions) for r in index.postings.collect()] == [("ab", "text", [4], [0, 1, 2, 3])]
+
+
+def test_blocks_hold_every_place(monkeypatch):
+    import pyarrow as pa
+
+    texts = [["a", "b", "a"], None, [], ["b"], ["a"], ["c"] * 5]
+    batch = pa.RecordBatch.from_pydict({"file": [1, 1, 1, 1, 2, 2], "row": [3, 4, 5, 6, 0, 1], "c0": pa.array(texts, pa.list_(pa.string()))})
+    for most in (1, 3, 100):
+        monkeypatch.setattr(x, "RUN_TOKENS", most)
+        found = set()
+        for block in x._cut([batch], ["text"]):
+            for r in block.to_pylist():
+                start = 0
+                for row, end in zip(r["rows"], r["ends"], strict=True):
+                    found |= {(r["file"], row, r["token"], p) for p in r["positions"][start:end]}
+                    start = end
+                assert start == len(r["positions"])
+        assert found == {(f, n, w, k) for f, n, text in zip([1, 1, 1, 1, 2, 2], [3, 4, 5, 6, 0, 1], texts) for k, w in enumerate(text or [])}
 
 
 def test_kept_index_is_written_once_per_state_of_the_files(spark):

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.search import _terms, tokens
 from tidemark.operators.aggregates import top_per_group
+from tidemark.session import materialize
 from tidemark.sources.readers import latest_by
 
 #: A scorer maps a text column to an answer column; ``batch_fn`` makes one of code that is no column expression.
@@ -117,3 +118,32 @@ def sentiment(col: Column, positive: list[str], negative: list[str]) -> Column:
     words = tokens(col)
     up, down = _count(words, positive), _count(words, negative)
     return F.when(up > down, "positive").when(down > up, "negative").otherwise("neutral")
+
+
+def json_leaves(df: DataFrame, key: str, col: str) -> DataFrame:
+    """Every scalar of nested JSON documents, at any depth: ``key``, its ``path`` (``$.a[0].b``), its last ``name`` and its ``value``.
+
+    Each round opens the objects and arrays of one level with a lateral table function and keeps the rest, so there are as many
+    rounds as levels. JSON nulls are no leaves; a text that is not JSON has none; a name is null for the elements of arrays.
+    """
+    spark = df.sparkSession
+    front = df.select(F.col(key).alias("__key"), F.lit("$").alias("path"), F.lit(None).cast("string").alias("name"), F.try_parse_json(col).alias("v")).filter("v IS NOT NULL")
+    found = []
+    while True:
+        front = materialize(front.withColumn("opens", F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)<")), "json-level")
+        found.append(front.filter(~F.col("opens") & ~F.is_variant_null("v")).select(F.col("__key").alias(key), "path", "name", F.col("v").cast("string").alias("value")))
+        opened = front.filter("opens")
+        if opened.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        inside = opened.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos"), F.col("key").alias("name1"), F.col("value").alias("v1")))
+        step = F.when(F.col("name1").isNull(), F.concat(F.lit("["), F.col("pos"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("name1")))
+        front = inside.select("__key", F.concat("path", step).alias("path"), F.col("name1").alias("name"), F.col("v1").alias("v"))
+
+
+def chunk_json(df: DataFrame, key: str, col: str, fields: list[str], size: int) -> DataFrame:
+    """Chunks of at most ``size`` words of the texts in nested JSON documents, each with the path it comes from.
+
+    ``fields`` names the members that hold text, at whatever depth.
+    """
+    texts = json_leaves(df, key, col).filter(F.col("name").isin(fields)).withColumn("__leaf", F.struct(key, "path"))
+    return chunk(texts, "__leaf", "value", size).select(f"__leaf.{key}", "__leaf.path", "chunk_id", "content")

@@ -1,14 +1,18 @@
 """Positional text index: where each token stands, so words and phrases are found without reading the texts.
 
-A posting says at which places of one column of one row a token stands. Rows are named by their file and their number in it, so
-ids may repeat or be missing, and a search opens only the files that hold a hit. Postings lie in token buckets, sorted by token, with
-a membership filter of the tokens in each file, so a lookup skips files and row groups of the index as well.
+Postings say at which places of one column of which rows a token stands. Rows are named by their file and their number in it, so
+ids may repeat or be missing, and a search opens only the files that hold a hit. The postings of a token are blocks: one per stretch
+of rows that a task read together, so that a frequent token is moved as lists of numbers. Blocks lie in token buckets, sorted by token,
+with a membership filter of the tokens in each file, so a lookup skips files and row groups of the index as well.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,10 +20,16 @@ from tidemark.functions.search import phrase_words, tokens
 from tidemark.session import scratch_path, scratch_root
 
 BUCKETS = 32
+RUN_TOKENS = 1 << 20  # tokens of a block's rows at most, but for a single longer text
+LAYOUT = 2  # goes up when the files of an index change their meaning, so that kept ones are not misread
+_BLOCK = "token string, column string, file long, rows array<int>, ends array<int>, positions array<int>"
 
 
 class TextIndex(NamedTuple):
-    """A written index: ``bucket, token, column, file, row, positions``, and the ``file`` numbers with their paths."""
+    """A written index: ``bucket`` and blocks of postings, and the ``file`` numbers with their paths.
+
+    In a block, ``positions`` lists the places of the token row by row; those of the row ``rows[k]`` stop at ``ends[k]``.
+    """
 
     postings: DataFrame
     files: DataFrame
@@ -35,28 +45,61 @@ def _bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
+def _blocks(file: int, column: str, rows: np.ndarray, texts: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    """Blocks of the tokens of some rows of a file."""
+    sizes = texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    held = texts.flatten().dictionary_encode()
+    codes, words = held.indices.to_numpy(), held.dictionary
+    if not len(codes):
+        return
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.argsort(codes, kind="stable")  # by token, then row, then place
+    code, row, place = codes[order], row[order], place[order].astype(np.int32)
+    new_word = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    new_row = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])])
+    row_starts = np.searchsorted(new_row, new_word)  # rows before each word
+    word_ends, row_ends = np.r_[new_word[1:], len(code)], np.r_[row_starts[1:], len(new_row)]
+    stops = np.r_[new_row[1:], len(code)] - np.repeat(new_word, row_ends - row_starts)
+    lists = lambda starts, n, values: pa.ListArray.from_arrays(pa.array(np.r_[starts, n].astype(np.int32)), pa.array(values.astype(np.int32)))
+    yield pa.RecordBatch.from_arrays(
+        [words.take(pa.array(code[new_word])), pa.array([column] * len(new_word)), pa.array(np.full(len(new_word), file)),
+         lists(row_starts, len(new_row), rows[row[new_row]]), lists(row_starts, len(new_row), stops), lists(new_word, word_ends[-1], place)],
+        names=["token", "column", "file", "rows", "ends", "positions"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch], cols: list[str]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        file, row = batch.column("file").to_numpy(), batch.column("row").to_numpy()
+        for k, column in enumerate(cols):
+            texts = batch.column(f"c{k}")
+            sizes = np.r_[0, np.cumsum(texts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+            a = 0
+            while a < len(batch):
+                b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + RUN_TOKENS, side="right")) - 1)
+                b = min(b, a + int(np.argmax(np.r_[file[a:] != file[a], True])))  # rows of one file
+                yield from _blocks(int(file[a]), column, row[a:b], texts.slice(a, b - a))
+                a = b
+
+
 def write_index(df: DataFrame, cols: list[str], path: str, buckets: int = BUCKETS) -> str:
     """Write the index of text columns of a table read from parquet files, as it is read.
 
-    The positions of a token in one row come together inside the task that cuts the text; rows are then gathered by bucket,
-    where AQE cuts a frequent token into several files.
+    Each task makes blocks of the rows it reads; they are moved once, gathered by bucket, where AQE cuts a frequent token into
+    several files.
     """
     file, row = _place(df)
-
-    def cut(c: str) -> Column:
-        return F.transform(F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")), lambda w, i: F.struct(w.alias("token"), F.lit(c).alias("column"), i.alias("at")))
-
-    words = df.select(F.xxhash64(file).alias("file"), row.alias("row"), F.explode(F.flatten(F.array(*[cut(c) for c in cols]))).alias("w"))
-    grouped = words.groupBy("w.token", "w.column", "file", "row").agg(F.array_sort(F.collect_list("w.at")).alias("positions"))  # of one text
-    tagged = grouped.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
-    writer = tagged.sortWithinPartitions("bucket", "token", "column", "file", "row").write.partitionBy("bucket")
-    writer.option("parquet.bloom.filter.enabled#token", "true").parquet(f"{path}/postings")
+    texts = [F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")).alias(f"c{k}") for k, c in enumerate(cols)]
+    blocks = df.select(F.xxhash64(file).alias("file"), row.alias("row"), *texts).mapInArrow(lambda batches: _cut(batches, cols), _BLOCK)
+    tagged = blocks.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
+    writer = tagged.sortWithinPartitions("bucket", "token", "column", "file").write.partitionBy("bucket")
+    writer.options(**{"parquet.bloom.filter.enabled#token": "true", "compression": "zstd"}).parquet(f"{path}/postings")
     df.select(file.alias("path")).distinct().withColumn("file", F.xxhash64("path")).write.parquet(f"{path}/files")
     return path
 
 
 def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> TextIndex:
-    postings = spark.read.schema("token string, column string, file long, row long, positions array<int>, bucket int").parquet(f"{path}/postings")
+    postings = spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{path}/postings")
     return TextIndex(postings, spark.read.parquet(f"{path}/files"), buckets)
 
 
@@ -70,7 +113,7 @@ def kept_index(df: DataFrame, cols: list[str], buckets: int = BUCKETS) -> TextIn
     files = df.select(*[hidden[c].alias(c) for c in ("file_path", "file_size", "file_modification_time")]).distinct()
     state = files.agg(F.count("*"), F.bit_xor(F.xxhash64(*files.columns))).first()
     mark = "-".join(format(x or 0, "x").replace("-", "m") for x in state) + f"-{buckets}-" + "-".join(c.encode().hex() for c in cols)
-    pointer = f"{scratch_root(spark)}/text-index-{mark}"
+    pointer = f"{scratch_root(spark)}/text-index-{LAYOUT}-{mark}"
     try:
         path = spark.read.schema("path string").parquet(pointer).first()
     except AnalysisException:
@@ -95,13 +138,18 @@ def find_rows(index: TextIndex, term: str, cols: list[str] | None = None) -> Dat
     if cols is not None:
         hits = hits.filter(F.col("column").isin(cols))
     if phrase and len(words) > 1:
+        rows = hits.select("token", "column", "file", "ends", "positions", F.posexplode("rows").alias("k", "row"))
+        before = F.when(F.col("k") > 0, F.col("ends")[F.col("k") - 1]).otherwise(0)
+        mine = F.slice("positions", before + 1, F.col("ends")[F.col("k")] - before)
         offsets = F.filter(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("i")) for i, w in enumerate(words)]), lambda x: x["w"] == F.col("token"))
-        starts = F.flatten(F.transform(offsets, lambda x: F.transform("positions", lambda p: F.struct((p - x["i"]).alias("start"), x["i"].alias("i")))))
-        runs = hits.select("file", "row", "column", F.explode(starts).alias("s")).groupBy("file", "row", "column", "s.start").agg(F.count("*").alias("n"))
-        hits = runs.filter(F.col("n") == len(words))  # each place of a column holds one token
-    elif len(distinct) > 1:
-        hits = hits.groupBy("file", "row", "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(distinct))
-    return hits.select("file", "row").distinct()
+        starts = F.flatten(F.transform(offsets, lambda x: F.transform(mine, lambda p: p - x["i"])))
+        runs = rows.select("file", "row", "column", F.explode(starts).alias("start")).groupBy("file", "row", "column", "start").agg(F.count("*").alias("n"))
+        found = runs.filter(F.col("n") == len(words))  # each place of a column holds one token
+    else:
+        found = hits.select("file", "column", F.explode("rows").alias("row"))
+        if len(distinct) > 1:
+            found = found.groupBy("file", "row", "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(distinct))
+    return found.select("file", F.col("row").cast("long").alias("row")).distinct()
 
 
 def files_opened(index: TextIndex, term: str, cols: list[str] | None = None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
-from tidemark.operators import aggregates as ag, models as m, seasonal as se, text as tx, vectors as v
+from tidemark.operators import aggregates as ag, models as m, seasonal as se, table_functions as tf, text as tx, vectors as v
 from tidemark.plans.registry import query, spark_of
 from tidemark.session import materialize
 from tidemark.sources.readers import latest_by
@@ -428,6 +430,22 @@ def chunk_documents(t):
     return tx.chunk(t.documents, "doc_id", "text", 100)
 
 
+@query("tx04_nested_chunks", r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+s AS (SELECT doc_id, i, unnest(string_split(line, '. ')) AS sentence, generate_subscripts(string_split(line, '. '), 1) - 1 AS j FROM l),
+w AS (SELECT doc_id, '$.sections[' || i || '].body[' || j || '].text' AS path, list_filter(string_split_regex(sentence, '\s+'), lambda x: x <> '') AS w FROM s
+  UNION ALL SELECT doc_id, '$.meta.title', list_filter(string_split_regex(lang || ' from ' || source, '\s+'), lambda x: x <> '') FROM documents),
+c AS (SELECT doc_id, path, w, unnest(range(0, len(w), 20)) AS pos FROM w)
+SELECT doc_id, path, (pos // 20)::INT AS chunk_id, array_to_string(w[pos + 1 : pos + 20], ' ') AS content FROM c
+""")
+def nested_chunks(t):
+    """Documents as nested JSON of sections, bodies and sentences; chunks keep the path they come from."""
+    body = F.transform(F.split("text", "\n"), lambda line: F.struct(F.transform(F.split(line, r"\. "), lambda x: F.struct(x.alias("text"))).alias("body")))
+    meta = F.struct(F.concat_ws(" from ", "lang", "source").alias("title"), F.col("n_chars"))
+    nested = t.documents.select("doc_id", F.to_json(F.struct(meta.alias("meta"), body.alias("sections"))).alias("json"))
+    return tx.chunk_json(nested, "doc_id", "json", ["text", "title"], 20)
+
+
 @query("tx05_label_rollup", f"""
 WITH d AS (SELECT role, {SENTIMENT_SQL} AS s FROM conversations)
 SELECT role, COUNT(*) FILTER (s = 'positive') AS positive_count, COUNT(*) FILTER (s = 'neutral') AS neutral_count, COUNT(*) FILTER (s = 'negative') AS negative_count FROM d GROUP BY 1
@@ -473,6 +491,37 @@ def table_function(t):
     return cols.transform(ag.top_per_group, ["o_custkey"], [F.desc("o_totalprice"), F.asc("o_orderkey")], 2)
 
 
+@query("ud03_sql_top_rows", "SELECT o_custkey, o_orderkey, o_totalprice, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey)::INT AS rank FROM orders QUALIFY rank <= 2")
+def sql_top_rows(t):
+    """A table function called from SQL; twice, so that no customer has to fit in one task."""
+    tf.register(spark_of(t))
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice", F.pmod(F.xxhash64("o_orderkey"), F.lit(8)).alias("spread"))
+    return spark_of(t).sql("""
+SELECT * FROM top_rows(TABLE(SELECT o_custkey, o_orderkey, o_totalprice FROM top_rows(TABLE({orders}) PARTITION BY (o_custkey, spread) ORDER BY (o_totalprice DESC, o_orderkey), 2))
+ PARTITION BY (o_custkey) ORDER BY (o_totalprice DESC, o_orderkey), 2)""", orders=orders)
+
+
+@query("ud03_sql_predict", """
+WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_quantity, ROUND(a + b * l_quantity, 4) AS prediction FROM lineitem, m
+""")
+def sql_predict(t):
+    """A model fitted on the table, handed to a table function as a constant."""
+    tf.register(spark_of(t))
+    fit = t.lineitem.agg(F.regr_slope("l_extendedprice", "l_quantity").alias("b"), F.regr_intercept("l_extendedprice", "l_quantity").alias("a")).first()
+    model = json.dumps({"intercept": fit["a"], "weights": {"l_quantity": fit["b"]}})
+    scored = spark_of(t).sql("SELECT * FROM predict_linear(TABLE({lines}), :model)", {"model": model}, lines=t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"))
+    return scored.withColumn("prediction", F.round("prediction", 4))
+
+
+@query("ud03_sql_forecast", FIT_SQL)
+def sql_forecast(t):
+    """One forecast a partition, from SQL."""
+    tf.register(spark_of(t))
+    fc = spark_of(t).sql("SELECT * FROM forecast_linear(TABLE({series}) PARTITION BY (event_type), 'step', 'y', 7, 'event_type')", series=daily_series(t))
+    return fc.select("event_type", "forecast_step", *[F.round(c, 4).alias(c) for c in ("forecast_value", "interval_lower", "interval_upper")])
+
+
 @query("ud04_row_function", "SELECT event_id, value, 1 + (event_id * 7919) % 29120 AS product_id FROM events")
 def row_function(t):
     """The row function of the stream job: arithmetic, so a column expression."""
