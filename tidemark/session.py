@@ -74,8 +74,32 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, which cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_materialized(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables; they, and all that reads them, are of no use afterwards."""
+    for df in tables:
+        drop_tables(df.sparkSession, [df._scratch])
+
+
+def written_tables() -> list[str]:
+    """Paths of all tables this process has materialized, in order."""
+    return list(_written)
