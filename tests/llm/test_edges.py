@@ -242,7 +242,7 @@ def test_pipeline(spark, edge, empty):
     kept = [(r["doc_id"], r["text"]) for r in good.select("doc_id", "text").collect()]
     assert {r["doc_id"] for r in single.collect()} == {int(c) for _, _, c in components(kept, 5, 80)}
     cut = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_repeats(spark, single, edge).collect()}
-    for i, n, gone, _, digest in repeats([(r["doc_id"], r["text"]) for r in single.collect()], 400):
+    for i, n, gone, _, digest in repeats([(r["doc_id"], r["text"]) for r in single.collect()], corpus_pipeline.PASSAGE_BYTES):
         if n > gone:
             assert hashlib.sha256(cut[int(i)].encode()).hexdigest() == digest
     assert all(tuple(stage(spark, docs, edge).columns) == tuple(corpus_pipeline.COLUMNS) for _, stage in corpus_pipeline.STAGES[:-1])

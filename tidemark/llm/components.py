@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.session import materialize
+from tidemark.session import drop_materialized, materialize
 
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -24,7 +24,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "k")
         tied = large.join(least, F.col("u") == F.col("k"))
         small = tied.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v")))
-        edges = materialize(small.distinct(), "small-star")
+        last, edges = edges, materialize(small.distinct(), "small-star")
+        drop_materialized(last, large)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
