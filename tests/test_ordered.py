@@ -50,6 +50,14 @@ def test_running_sum(spark, skewed):
     assert clean(got) == clean(peers)
 
 
+def test_next_value_comes_from_the_same_blocks(spark, skewed):
+    got = running_sum(_df(spark, skewed), ["k"], ["at"], {"v": "total"}, "next_at").toPandas()
+    peers = skewed.groupby(["k", "at"], dropna=False)["v"].sum().reset_index().sort_values(["k", "at"])
+    peers["next_at"] = peers.groupby("k", dropna=False)["at"].shift(-1)
+    clean = lambda p: sorted((-1 if pd.isna(r.k) else int(r.k), int(r.at), -1 if pd.isna(r.next_at) else int(r.next_at)) for r in p.itertuples())
+    assert clean(got) == clean(peers)
+
+
 def test_running_sum_spans_blocks(spark, skewed, blocks):
     """The hot key really lies in several blocks, so the carried offsets are used."""
     hot = _df(spark, skewed).filter("k = 0")

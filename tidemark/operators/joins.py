@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.geo import distance_m
-from tidemark.operators.ordered import previous_value, running_sum
+from tidemark.operators.ordered import running_sum
 from tidemark.sources.readers import latest_by
 
 _KM_PER_DEGREE = 111.19
@@ -45,7 +45,7 @@ def interval_load(df: DataFrame, keys: list[str], lo: str, hi: str, weight: str)
     """Total ``weight`` of the closed intervals that cover each point, for integer bounds.
 
     A sweep: each interval adds its weight at ``lo`` and takes it back after ``hi``. Those steps
-    are summed per point first, and the running totals and next points are taken in blocks of the
+    are summed per point first, and the running totals and next points are taken in the same blocks of the
     order, so no key has to fit in one task. Intervals without both bounds cover nothing.
     """
     w = F.col(weight).cast("decimal(28,6)")
@@ -57,9 +57,7 @@ def interval_load(df: DataFrame, keys: list[str], lo: str, hi: str, weight: str)
         )).alias("s"),
     )
     deltas = steps.groupBy(*keys, "s.point").agg(F.sum("s.d").alias("d"), F.sum("s.n").alias("n"))
-    levels = running_sum(deltas, keys, ["point"], {"d": "total", "n": "active"})
-    # the next point is the previous one of the reversed order
-    levels = previous_value(levels.withColumn("__back", -F.col("point")), keys, "__back", "__next").withColumn("until", -F.col("__next"))
+    levels = running_sum(deltas, keys, ["point"], {"d": "total", "n": "active"}, "until")
     return levels.filter("active > 0").select(
         *keys, F.explode(F.sequence("point", F.col("until") - 1)).alias("point"), "total", "active"
     )

@@ -47,28 +47,32 @@ def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, (left[c].eqNullSafe(right[c]) for c in cols))
 
 
-def running_sum(df: DataFrame, keys: list[str], order_by: list[str], measures: dict[str, str]) -> DataFrame:
+def running_sum(df: DataFrame, keys: list[str], order_by: list[str], measures: dict[str, str], next_name: str | None = None) -> DataFrame:
     """Running totals per key with peers tied (the default RANGE frame).
 
     Rows of the same key and order value are summed first, so the result has one row per
     ``keys + order_by``: the sum of the peers under its own name and each total under the name
-    given in ``measures`` (column to total name).
+    given in ``measures`` (column to total name). ``next_name`` adds the next value of the one
+    order column, from the same blocks.
     """
     peers = df.groupBy(*keys, *order_by).agg(*[F.sum(c).alias(c) for c in measures])
     cut = _blocks(peers, [F.col(c) for c in keys + order_by], "running")
-    parts = cut.groupBy(_BLOCK, *keys).agg(*[F.sum(c).alias(f"__p_{c}") for c in measures])
+    parts = cut.groupBy(_BLOCK, *keys).agg(*[F.sum(c).alias(f"__p_{c}") for c in measures], F.min(order_by[0]).alias("__least"))
     # a key holds one row per block here; only keys that span blocks keep a row after the filter
-    by_key = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    by_key = Window.partitionBy(*keys).orderBy(_BLOCK)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
-        _BLOCK, *keys, F.count("*").over(by_key).alias("__seen"),
-        *[F.sum(f"__p_{c}").over(by_key).alias(f"__b_{c}") for c in measures],
-    ).filter("__seen > 0")
+        _BLOCK, *keys, F.count("*").over(before).alias("__seen"), F.lead("__least").over(by_key).alias("__ahead"),
+        *[F.sum(f"__p_{c}").over(before).alias(f"__b_{c}") for c in measures],
+    ).filter("__seen > 0 OR __ahead IS NOT NULL" if next_name else "__seen > 0")
     inside = Window.partitionBy(_BLOCK, *keys).orderBy(*order_by)
-    totals = cut.select("*", *[F.sum(c).over(inside).alias(f"__r_{c}") for c in measures])
+    follows = [F.lead(order_by[0]).over(inside).alias("__follows")] if next_name else []
+    totals = cut.select("*", *[F.sum(c).over(inside).alias(f"__r_{c}") for c in measures], *follows)
     joined = totals.join(F.broadcast(carried), _same(totals, carried, [_BLOCK, *keys]), "left")
     return joined.select(
         *[totals[c] for c in [*keys, *order_by, *measures]],
         *[(F.col(f"__r_{c}") + F.coalesce(F.col(f"__b_{c}"), F.lit(0))).alias(n) for c, n in measures.items()],
+        *([F.coalesce("__follows", "__ahead").alias(next_name)] if next_name else []),
     )
 
 

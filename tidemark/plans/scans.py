@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.plans.registry import query, spark_of
 from tidemark.session import scratch_path
 from tidemark.sources import readers as r
+from tidemark.sources.discovery import discover_columns
 from tidemark.sources.tables import write_table
 
 
@@ -166,26 +167,25 @@ def sample_scan(t):
     return r.sample_rows(t.orders, 10, "o_orderkey").unionByName(r.sample_rows(t.orders, 1))
 
 
-_FOUND = [
-    ("customer", "csv", "", 1, "c_custkey", "int"), ("customer", "csv", "", 2, "c_name", "string"), ("customer", "csv", "", 3, "c_nationkey", "int"),
-    ("customer", "csv", "", 4, "c_acctbal", "double"), ("customer", "csv", "", 5, "c_mktsegment", "string"),
-    ("orders", "parquet", "o_orderstatus", 1, "o_orderkey", "bigint"), ("orders", "parquet", "o_orderstatus", 2, "o_custkey", "bigint"),
-    ("orders", "parquet", "o_orderstatus", 3, "o_totalprice", "double"), ("orders", "parquet", "o_orderstatus", 4, "o_orderdate", "timestamp_ntz"),
-    ("orders", "parquet", "o_orderstatus", 5, "o_orderpriority", "string"), ("orders", "parquet", "o_orderstatus", 6, "o_orderstatus", "string"),
-]
-
-
-@query("src16_discover_tables", f"SELECT * FROM (VALUES {', '.join(str(r) for r in _FOUND)}) v(name, format, partition_keys, ordinal, column_name, data_type)")
+@query("src16_discover_tables", """
+WITH c AS (SELECT * FROM information_schema.columns WHERE table_name IN ('customer', 'orders')),
+m AS (SELECT GREATEST(MAX(c_custkey), MAX(c_nationkey)) < 2147483648 AS small FROM customer),
+k AS (SELECT table_name AS name, CASE table_name WHEN 'customer' THEN 'csv' ELSE 'parquet' END AS format, CASE table_name WHEN 'customer' THEN '' ELSE 'o_orderstatus' END AS partition_keys,
+  ROW_NUMBER() OVER (PARTITION BY table_name ORDER BY column_name = 'o_orderstatus', ordinal_position)::INT AS ordinal, column_name,
+  CASE WHEN data_type IN ('BIGINT', 'INTEGER') AND table_name = 'customer' AND small THEN 'int' WHEN data_type = 'BIGINT' THEN 'bigint' WHEN data_type = 'INTEGER' THEN 'int'
+   WHEN data_type = 'DOUBLE' THEN 'double' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' ELSE 'string' END AS data_type FROM c, m)
+SELECT * FROM k
+""")
 def discover(t):
-    """Two folders are written, found again, and described by what the readers infer."""
+    """Two folders are written, found again, and described from footers and samples."""
     spark = spark_of(t)
     root = scratch_path(spark, "lake")
     write_table(t.orders, f"{root}/orders", partition_by=["o_orderstatus"])
     write_table(t.customer, f"{root}/customer", "csv", options={"header": "true"})
-    found = r.discover_tables(spark, root)
-    pairs = [(x["location"], x["format"]) for x in found.collect()]
     name = F.regexp_extract("location", "([^/]+)$", 1).alias("name")
-    return found.join(r.infer_catalog(spark, pairs), "location").select(name, "format", "partition_keys", "ordinal", "column_name", "data_type")
+    keys = r.discover_tables(spark, root).select("location", "partition_keys")
+    found = discover_columns(spark, root).join(keys, "location")
+    return found.select(name, "format", "partition_keys", "ordinal", "column_name", "data_type")
 
 
 @query("src17_column_catalog", """

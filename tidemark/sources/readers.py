@@ -109,16 +109,6 @@ def discover_tables(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def infer_catalog(spark: SparkSession, found: list[tuple[str, str]]) -> DataFrame:
-    """Column list of discovered ``(location, format)`` groups; schemas come from Spark's readers."""
-    rows = []
-    for location, fmt in found:
-        opts = {"header": "true", "inferSchema": "true"} if fmt == "csv" else {}
-        schema = spark.read.format("text" if fmt == "txt" else fmt).options(**opts).load(location).schema
-        rows += [(location, i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(schema.fields)]
-    return inline_rows(spark, rows, "location string, ordinal int, column_name string, data_type string")
-
-
 def read_period(df: DataFrame, ts: str, year: int, month: int | None = None) -> DataFrame:
     """Rows of one year or month, as a range predicate that reaches the scan."""
     lo = f"{year}-{month or 1:02d}-01"
