@@ -35,6 +35,16 @@ def test_explanation_adds_up(spark, t):
     assert row[0] < 1e-4
 
 
+def test_explanation_plan_does_not_grow_with_categories(spark):
+    def plan(n):
+        df = spark.range(400).select("id", F.concat(F.lit("c"), (F.col("id") % n).cast("string")).alias("c"), F.rand(1).alias("x")).withColumn("y", F.col("id") * 1.0)
+        out = m.explain(m.train_linear(df, "y", ["c"], ["x"]), df, "id", 2)
+        assert out.groupBy("id").count().filter("count > 2").count() == 0
+        return out._jdf.queryExecution().optimizedPlan().toString().count("named_struct") + out._jdf.queryExecution().optimizedPlan().toString().count("struct(")
+
+    assert plan(5) == plan(100)
+
+
 def test_anomaly_share(spark, t):
     rows = t.orders.select("o_orderkey", (F.col("o_totalprice") / 1000).alias("x"))
     out = m.detect_anomalies(rows, [[100.0], [300.0]], ["x"], 0.1, "o_orderkey")

@@ -124,6 +124,20 @@ def test_profile_of_nothing(spark):
         assert all((r.row_count, r.null_count, r.min_value, r["mean"], r.quartiles) == (n, n, None, None, None) for r in rows)
 
 
+def test_typed_rules(spark):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, None), (None, "a"), (float("nan"), "c")], "x double, s string")
+    rules = [
+        q.range_rule("closed", "x", 1, 3), q.range_rule("strict", "x", 1, 3, strict_low=True, strict_high=True, threshold=0.2), q.range_rule("ignored", "x", 1, 3, ignore_null=True, threshold=0.75),
+        q.range_rule("open", "x"), q.set_rule("listed", "s", ["a", "b"], 0.7, ignore_null=True), q.set_rule("null fails", "s", ["a", "b"], 0.7), q.not_null_rule("there", "s", 0.8),
+    ]
+    got = {r.rule: (r.evaluated, r.passed_count, r.null_count, r.passed) for r in q.check_rows(df, rules).collect()}
+    assert got == {
+        "closed": (5, 3, 1, False), "strict": (5, 1, 1, True), "ignored": (4, 3, 1, True), "open": (5, 5, 1, True), "listed": (4, 3, 1, True), "null fails": (5, 3, 1, False), "there": (5, 4, 1, True)
+    }
+    none = q.check_rows(df.limit(0), rules[:1]).first()
+    assert (none.evaluated, none.ratio, none.passed) == (0, None, True)
+
+
 def test_recommended_rules(spark, t):
     rules = {r.rule for r in q.recommend_rules(t.orders, q.profile(t.orders)).collect()}
     assert {"o_orderkey IS NOT NULL", "unique(o_orderkey)"} <= rules

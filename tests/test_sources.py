@@ -147,3 +147,26 @@ def test_partitioned_writes_give_one_file_a_folder(spark, t):
     files = spark.read.parquet(path).select("day", F.input_file_name().alias("f")).distinct()
     assert files.count() == files.select("day").distinct().count()
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+
+
+def test_only_live_files_are_opened(spark):
+    path = w.write_table(spark.range(100).select("id", (F.col("id") % 4).alias("part")), scratch_path(spark, "live"), partition_by=["part"])
+    table = spark.read.parquet(path)
+    manifest = table.filter("part IN (1, 3)").select(F.regexp_replace("_metadata.file_path", "^file:", "store:").alias("path"))
+    live = r.read_live_files(spark, path, manifest, ("store:", "file:"))
+    assert sorted(live.columns) == ["id", "part"] and live.count() == 50
+    assert len(live.inputFiles()) == 2 < len(table.inputFiles())
+    assert r.read_live_files(spark, path, manifest.limit(0)).count() == 0
+    nulls = spark.createDataFrame([(None,)], "path string")
+    assert r.read_live_files(spark, path, manifest.unionByName(nulls), ("store:", "file:")).count() == 50
+
+
+def test_rows_without_a_time_are_loaded_once(spark):
+    schema = "id int, ts timestamp_ntz"
+    import datetime as dt
+
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 9)
+    target = spark.createDataFrame([(1, old), (2, None)], schema)
+    src = spark.createDataFrame([(1, old), (2, None), (3, None), (4, new)], schema)
+    assert sorted(x.id for x in ch.run_incremental(src, target, ["id"], "ts", "1 DAY", {}).collect()) == [3, 4]
+    assert ch.run_incremental(src, None, ["id"], "ts", "1 DAY", {}).count() == 4

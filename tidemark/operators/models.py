@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from statistics import NormalDist
 
@@ -94,19 +95,21 @@ def roc_auc(scored: DataFrame, label: str, probability: str) -> DataFrame:
 
 
 def explain(model: PipelineModel, df: DataFrame, key: str, top_n: int) -> DataFrame:
-    """Largest feature attributions per row of a linear model: coefficient times value."""
+    """Largest feature attributions per row of a linear model: coefficient times value; features that add nothing are left out.
+
+    Coefficients and names are two literal arrays, so the plan does not grow with the categories of a column.
+    """
     learner = model.stages[-1]
     out = model.transform(df)
     meta = out.schema["features"].metadata["ml_attr"]["attrs"]
     names = {a["idx"]: a["name"] for group in meta.values() for a in group}
     coefs = learner.coefficients.toArray()
+    labels = F.from_json(F.lit(json.dumps([names[i] for i in range(len(coefs))])), "array<string>")
+    weights = F.from_json(F.lit(json.dumps([float(c) for c in coefs])), "array<double>")
     # the leading field sorts the largest share first without a comparator function
-    parts = F.array(*[
-        F.struct((-F.abs(share)).alias("order"), F.lit(names[i]).alias("feature"), share.alias("attribution"))
-        for i, share in ((i, F.col("__f")[i] * F.lit(float(c))) for i, c in enumerate(coefs))
-    ])
-    ranked = F.slice(F.array_sort(parts), 1, top_n)
-    rows = out.withColumn("__f", vector_to_array("features")).select(key, F.posexplode(ranked).alias("rank", "p"))
+    shares = F.zip_with(F.zip_with("__f", "__w", lambda x, w: x * w), "__n", lambda share, n: F.struct((-F.abs(share)).alias("order"), n.alias("feature"), share.alias("attribution")))
+    ranked = F.slice(F.array_sort(F.filter(shares, lambda s: s["attribution"] != 0)), 1, top_n)
+    rows = out.select(key, vector_to_array("features").alias("__f"), weights.alias("__w"), labels.alias("__n")).select(key, F.posexplode(ranked).alias("rank", "p"))
     return rows.select(key, (F.col("rank") + 1).alias("rank"), "p.feature", "p.attribution")
 
 

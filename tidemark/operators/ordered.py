@@ -93,8 +93,6 @@ def previous_value(df: DataFrame, keys: list[str], order_by: str, name: str) ->
 def batch_slice(df: DataFrame, order_by: list[Column], lo: int, hi: int, name: str = "row_number") -> DataFrame:
     """Rows ``lo`` to ``hi`` of the global order, numbered.
 
-    A distributed top-k keeps ``hi`` rows, so numbering them sees only that many.
+    Rows are numbered in blocks of the order, so a page far down costs no more than the first, and no task holds all before it.
     """
-    top = df.orderBy(*order_by).limit(hi)
-    numbered = top.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("long"))
-    return numbered.filter(F.col(name).between(lo, hi))
+    return number_rows(df, order_by, name).filter(F.col(name).between(lo, hi))

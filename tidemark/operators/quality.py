@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
@@ -187,6 +188,59 @@ def run_rules(
     })
 
 
+class RowRule(NamedTuple):
+    """A rule on single values of a column: the share of the judged rows that has to pass.
+
+    With ``ignore_null`` a missing value is not judged; without, it fails.
+    """
+
+    name: str
+    column: str
+    holds: Column
+    threshold: float = 1.0
+    ignore_null: bool = False
+
+
+def range_rule(
+    name: str, column: str, low=None, high=None, strict_low: bool = False, strict_high: bool = False, threshold: float = 1.0, ignore_null: bool = False
+) -> RowRule:
+    """Values between two bounds, either of which may be missing or, if strict, not reached."""
+    c, holds = F.col(column), F.lit(True)
+    if low is not None:
+        holds = holds & (c > F.lit(low) if strict_low else c >= F.lit(low))
+    if high is not None:
+        holds = holds & (c < F.lit(high) if strict_high else c <= F.lit(high))
+    return RowRule(name, column, holds, threshold, ignore_null)
+
+
+def set_rule(name: str, column: str, values: list, threshold: float = 1.0, ignore_null: bool = False) -> RowRule:
+    """Values out of a list."""
+    return RowRule(name, column, F.col(column).isin(values), threshold, ignore_null)
+
+
+def not_null_rule(name: str, column: str, threshold: float = 1.0) -> RowRule:
+    """Values that are there."""
+    return RowRule(name, column, F.col(column).isNotNull(), threshold)
+
+
+def check_rows(df: DataFrame, rules: list[RowRule]) -> DataFrame:
+    """``rule, column_name, evaluated, passed_count, null_count, ratio, threshold, passed`` of each rule, in one pass.
+
+    Where no row is judged the ratio is missing and the rule has passed.
+    """
+    aggs, rows = [], []
+    for i, rule in enumerate(rules):
+        missing = F.col(rule.column).isNull()
+        judged = ~missing if rule.ignore_null else F.lit(True)
+        good = F.coalesce(rule.holds, F.lit(False)) & (judged if rule.ignore_null else F.lit(True))
+        aggs += [F.count_if(judged).alias(f"{i}_judged"), F.count_if(good).alias(f"{i}_good"), F.count_if(missing).alias(f"{i}_null")]
+        rows.append(F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.column).alias("column_name"), F.col(f"{i}_judged").alias("evaluated"),
+                             F.col(f"{i}_good").alias("passed_count"), F.col(f"{i}_null").alias("null_count"), F.lit(float(rule.threshold)).alias("threshold")))
+    out = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    ratio = F.try_divide(F.col("passed_count").cast("double"), F.col("evaluated").cast("double"))
+    return out.withColumn("ratio", ratio).withColumn("passed", F.coalesce(ratio >= F.col("threshold"), F.lit(True)))
+
+
 def score(results: DataFrame, keys: list[str]) -> DataFrame:
     """Success share over all rules of a key; an empty check counts as passed."""
     ok, checked = F.sum(F.coalesce("success_count", F.lit(0))), F.sum(F.coalesce("rows_validated", F.lit(0)))

@@ -81,9 +81,9 @@ def classify(df: DataFrame, col: str, scorer: Scorer, name: str = "category") ->
     return df.withColumn(name, scorer(F.col(col)))
 
 
-def build_prompt(rows: DataFrame, keys: list[str], template: str, token: str, order_by: str, most: int = 100) -> DataFrame:
-    """Template with its token replaced by the group's first ``most`` rows as JSON lines, in order."""
-    few = top_per_group(rows, keys, [F.asc(order_by)], most)
+def build_prompt(rows: DataFrame, keys: list[str], template: str, token: str, order_by: str, most: int | None = None) -> DataFrame:
+    """Template with its token replaced by the group's rows as JSON lines, in order; only the first ``most``, where the caller says so."""
+    few = top_per_group(rows, keys, [F.asc(order_by)], most if most is not None else (1 << 31) - 1)
     body = F.to_json(F.struct(*[c for c in rows.columns if c not in keys]))
     lines = F.array_sort(F.collect_list(F.struct("rank", body.alias("j"))))
     text = F.array_join(F.transform(lines, lambda x: x["j"]), "\n")

@@ -133,6 +133,31 @@ def set_range_null(t):
     return found.join(bars, "rule_id").select(F.col("rule_id").alias("rule"), (F.col("success_percentage") >= F.col("bar")).alias("passed"))
 
 
+def _ruled(name, column, holds, bar, ignore):
+    judged = f"COUNT(o.{column})" if ignore else "COUNT(*)"
+    return (f"SELECT '{name}' AS rule, '{column}' AS column_name, {judged} AS evaluated, COUNT(*) FILTER ({holds}) AS passed_count, COUNT(*) - COUNT(o.{column}) AS null_count, "
+            f"ROUND(COUNT(*) FILTER ({holds}) / {judged}::DOUBLE, 6) AS ratio, {bar}::DOUBLE AS threshold, COUNT(*) FILTER ({holds}) / {judged}::DOUBLE >= {bar} AS passed FROM o")
+
+
+_HOLED = "WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_totalprice END AS price, o_orderstatus FROM orders) "
+
+
+@query("dq05_typed_rules", _HOLED + " UNION ALL ".join([
+    _ruled("price range", "price", "price > 1000 AND price <= 400000", 0.8, True), _ruled("price range, nulls fail", "price", "price > 1000 AND price <= 400000", 0.8, False),
+    _ruled("status", "o_orderstatus", "o_orderstatus IN ('F', 'O')", 0.9, False), _ruled("price there", "price", "price IS NOT NULL", 0.85, False),
+    _ruled("open below", "price", "price < 500000", 1.0, True)]))
+def typed_rules(t):
+    """Bounds that may be strict, missing values that are ignored or fail, and a share of rows that has to pass."""
+    price = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("price")
+    rules = [
+        q.range_rule("price range", "price", 1000, 400000, strict_low=True, threshold=0.8, ignore_null=True),
+        q.range_rule("price range, nulls fail", "price", 1000, 400000, strict_low=True, threshold=0.8),
+        q.set_rule("status", "o_orderstatus", ["F", "O"], 0.9), q.not_null_rule("price there", "price", 0.85),
+        q.range_rule("open below", "price", high=500000, strict_high=True, ignore_null=True),
+    ]
+    return q.check_rows(t.orders.select("o_orderkey", price, "o_orderstatus"), rules).withColumn("ratio", F.round("ratio", 6))
+
+
 @query("dq06_duplicates", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1) USING (l_orderkey, l_linenumber)
 """)

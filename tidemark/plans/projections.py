@@ -280,6 +280,20 @@ def partition_lookup(t):
     return scan.filter("month = 1 AND day = 17 AND hour = 9").select("event_id", "value")
 
 
+@query("flt09_minute_lookup", """
+SELECT event_id, value, minute(ts)::INT AS minute FROM events WHERE month(ts) = 1 AND day(ts) = 17 AND hour(ts) = 9 AND minute(ts) BETWEEN 0 AND 39
+""")
+def minute_lookup(t):
+    """To the minute: one file a day, sorted by hour and minute, so the filter skips days by folder and the rest by row groups."""
+    parts = {"month": F.month("ts"), "day": F.dayofmonth("ts"), "hour": F.hour("ts"), "minute": F.minute("ts")}
+    daily = t.events.withColumns(parts).repartition("month", "day").sortWithinPartitions("month", "day", "hour", "minute")
+    path = scratch_path(spark_of(t), "minutes")
+    daily.write.partitionBy("month", "day").option("parquet.block.size", str(1 << 16)).parquet(path)
+    scan = read_table(spark_of(t), path, schema="event_id bigint, value double, hour int, minute int, month int, day int")
+    return scan.filter("month = 1 AND day = 17 AND hour = 9 AND minute BETWEEN 0 AND 39").select("event_id", "value", "minute")
+
+
+
 @query("flt10_latest_period", """
 SELECT 'month' AS period, COUNT(*) AS n FROM orders WHERE o_orderdate >= date_trunc('month', (SELECT MAX(o_orderdate) FROM orders))
 UNION ALL SELECT 'quarter', COUNT(*) FROM orders WHERE o_orderdate >= date_trunc('quarter', (SELECT MAX(o_orderdate) FROM orders))

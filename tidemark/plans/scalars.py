@@ -150,6 +150,17 @@ def d8(t):
     return t.events.select("event_id", F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), "ts").alias("local_ts"))
 
 
+@query("fn_d8_clock_changes", """
+SELECT o_orderkey, timezone('America/New_York', timezone('UTC', o_orderdate::TIMESTAMP + INTERVAL (o_orderkey % 24) HOUR)) AS new_york,
+ timezone('Europe/Berlin', timezone('UTC', o_orderdate::TIMESTAMP + INTERVAL (o_orderkey % 24) HOUR)) AS berlin FROM orders
+""")
+def d8_clock_changes(t):
+    """Orders of all seasons at all hours: both sides of every clock change of seven years, in two zones."""
+    at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    zones = {"new_york": "America/New_York", "berlin": "Europe/Berlin"}
+    return t.orders.select("o_orderkey", *[F.convert_timezone(F.lit("UTC"), F.lit(z), at).alias(n) for n, z in zones.items()])
+
+
 @query("fn_d9_parse_format", """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS text, strptime(strftime(ts, '%Y-%m-%d') || ' ' || strftime(ts, '%H:%M'), '%Y-%m-%d %H:%M') AS parsed FROM events
 """)

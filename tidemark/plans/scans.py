@@ -128,7 +128,7 @@ def manifest_scan(t):
     scheme = df.select("_metadata.file_path").first()[0].split(":", 1)[0]
     listed = df.filter("o_orderstatus IN ('F', 'O')").select(F.col("_metadata.file_path").alias("path")).distinct()
     manifest = listed.withColumn("path", F.replace("path", F.lit(f"{scheme}:"), F.lit("store:")))
-    live = r.filter_live_files(df, manifest, ("store:", f"{scheme}:"))
+    live = r.read_live_files(spark, path, manifest, ("store:", f"{scheme}:"))
     return live.groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 

@@ -174,7 +174,7 @@ def materialized_view(t):
     """Built over the older rows, refreshed with the newer ones, then rolled up from days to years."""
     keys = [F.col("l_returnflag"), F.to_date("l_shipdate").alias("day")]
     sums = {"quantity": F.col("l_quantity"), "revenue": F.col("l_extendedprice")}
-    split = "l_shipdate < TIMESTAMP_NTZ'1999-01-01'"
+    split = "coalesce(l_shipdate < TIMESTAMP_NTZ'1999-01-01', false)"
     spark = spark_of(t)
     mv = read_table(spark, w.write_table(ch.create_mv(t.lineitem.filter(split), keys, sums), _new(t, "mv")))
     fresh = ch.create_mv(t.lineitem.filter(f"NOT ({split})"), keys, sums)
@@ -196,7 +196,7 @@ def join_view(t):
     def joined(lines):
         return lines.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
 
-    split = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    split = F.coalesce(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"), F.lit(False))  # lines without a date are new
     view = read_table(spark, w.write_table(ch.create_mv(joined(t.lineitem.filter(split)), keys, sums), _new(t, "mv")))
     fresh = ch.create_mv(joined(t.lineitem.filter(~split)), keys, sums)
     return read_table(spark, w.write_table(ch.refresh_mv(view, fresh, ["p_brand", "s_nationkey", "year"]), _new(t, "mv")))

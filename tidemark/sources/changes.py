@@ -53,13 +53,13 @@ def refresh_mv(mv: DataFrame, fresh: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def new_rows(src: DataFrame, target: DataFrame | None, ts: str, lookback: str = "0 seconds") -> DataFrame:
-    """Rows an incremental run must load: all on the first run, later those past the loaded high mark."""
+    """Rows an incremental run must load: all on the first run, later those past the loaded high mark, and those without a time."""
     if target is None:
         return src
     mark = target.agg(F.max(ts)).first()[0]
     if mark is None:
         return src
-    return src.filter(F.col(ts) > F.lit(mark).cast(dict(src.dtypes)[ts]) - F.expr(f"INTERVAL {lookback}"))
+    return src.filter((F.col(ts) > F.lit(mark).cast(dict(src.dtypes)[ts]) - F.expr(f"INTERVAL {lookback}")) | F.col(ts).isNull())
 
 
 def run_incremental(
@@ -69,7 +69,7 @@ def run_incremental(
 
     Only the stretch of the target inside the lookback is compared with the source, so a run
     costs as much as its new rows, not as the whole table. A key keeps its time: a row loaded
-    before is not loaded again. ``checks`` maps an assertion name to a predicate every row must
+    before is not loaded again. A row without a time lies in every stretch, so it is loaded once. ``checks`` maps an assertion name to a predicate every row must
     meet.
     """
     fresh = new_rows(src, target, ts, lookback)

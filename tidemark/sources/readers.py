@@ -59,17 +59,22 @@ def read_remote_query(spark: SparkSession, url: str, query: str, props: dict[str
     return spark.read.format("jdbc").option("url", url).option("query", query).options(**(props or {})).load()
 
 
-def filter_live_files(df: DataFrame, manifest: DataFrame, rewrite: tuple[str, str] | None = None) -> DataFrame:
-    """Rows whose file is in the manifest's ``path`` column.
+def read_live_files(
+    spark: SparkSession, root: str, manifest: DataFrame, rewrite: tuple[str, str] | None = None, fmt: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
+    """Rows of the files in the manifest's ``path`` column; no other file of the table is opened.
 
-    ``rewrite`` replaces a scheme or prefix in the manifest, e.g. when it was written elsewhere.
+    ``rewrite`` replaces a scheme or prefix in the manifest, e.g. when it was written elsewhere. The driver sees the names of the live
+    files, as it does of every file of a scan. Partition columns below ``root`` are kept; without any live file there are no rows.
     """
     path = F.col("path")
     if rewrite:
         path = F.replace(path, F.lit(rewrite[0]), F.lit(rewrite[1]))
-    live = manifest.select(path.alias("__file"))
-    tagged = df.withColumn("__file", F.col("_metadata.file_path"))
-    return tagged.join(live, "__file", "left_semi").drop("__file")
+    live = [x["path"] for x in manifest.select(path.alias("path")).filter("path IS NOT NULL").distinct().collect()]
+    reader = spark.read.format(fmt).option("basePath", root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(live) if live else reader.load(root).limit(0)
 
 
 # Media types by file suffix.
