@@ -52,9 +52,16 @@ def _set_ids(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return mix(sums[before[1:]] - sums[before[:-1]])
 
 
+def _fine_vectors(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Counts of each row's shingles in ``FINE`` groups."""
+    rows = len(before) - 1
+    cell = row_of(before) * FINE + ((hashes >> U64(8)) % U64(FINE)).astype(np.int64)
+    return np.bincount(cell, minlength=rows * FINE).astype("<u4").reshape(rows, FINE)
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, set size ``n``, set id ``h`` and count ``vector`` of each row; after them, with ``slice`` set, the
-    frequency table of each task in slices."""
+    """``doc_id``, set size ``n``, set id ``h`` and count vectors (``vector``, and the finer ``fine``) of each row; after them,
+    with ``slice`` set, the frequency table of each task in slices."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -66,21 +73,22 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
             np.add(counters, np.bincount((hashes >> U64(20)).astype(np.int64) % COUNTERS, minlength=COUNTERS), out=counters)
             cell = row_of(before) * GROUPS + (hashes % U64(GROUPS)).astype(np.int64)
             vectors = np.bincount(cell, minlength=rows * GROUPS).astype("<u4").reshape(rows, GROUPS)
+            fine = _fine_vectors(hashes, before)
             ids = part.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(np.diff(before).astype(np.int64)), pa.array(signed(_set_ids(hashes, before))),
-                 pa.array([v.tobytes() for v in vectors], pa.binary()), pa.nulls(rows, pa.int32())],
-                names=["doc_id", "n", "h", "vector", "slice"],
+                 pa.array([v.tobytes() for v in vectors], pa.binary()), pa.array([v.tobytes() for v in fine], pa.binary()), pa.nulls(rows, pa.int32())],
+                names=["doc_id", "n", "h", "vector", "fine", "slice"],
             )
         if ids is not None:
             cut = counters.astype("<i8").reshape(SLICES, -1)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(SLICES, ids.type), pa.nulls(SLICES, pa.int64()), pa.nulls(SLICES, pa.int64()),
-                 pa.array([c.tobytes() for c in cut], pa.binary()), pa.array(range(SLICES), pa.int32())],
-                names=["doc_id", "n", "h", "vector", "slice"],
+                 pa.array([c.tobytes() for c in cut], pa.binary()), pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32())],
+                names=["doc_id", "n", "h", "vector", "fine", "slice"],
             )
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n long, h long, vector binary, slice int")
+    return docs.mapInArrow(run, f"doc_id {id_type}, n long, h long, vector binary, fine binary, slice int")
 
 
 def _frequencies(described: DataFrame) -> np.ndarray:
@@ -193,10 +201,11 @@ def box_pairs(n: np.ndarray, vectors: np.ndarray, left: np.ndarray, right: np.nd
 
 
 def _unsettled(percent: int):
-    """Pairs of one block whose components differ and whose bound allows a link."""
+    """Pairs of one block whose components differ and whose bounds allow a link: that of the boxes, and that of the finer vectors."""
 
     def run(table: pa.Table) -> pa.Table:
         h, n, label, block, part = (table.column(c).to_numpy() for c in ("h", "n", "label", "block", "part"))
+        finer = table.column("fine").to_pylist()
         vectors = np.frombuffer(b"".join(table.column("vector").to_pylist()), dtype="<u4").reshape(-1, GROUPS)
         out = [], []
         order = np.argsort(block, kind="stable")
@@ -207,8 +216,18 @@ def _unsettled(percent: int):
             for right in (home, guest):
                 p, q = box_pairs(n, vectors, home, right, percent)
                 ok = label[p] != label[q]
-                out[0].append(h[p[ok]])
-                out[1].append(h[q[ok]])
+                p, q = p[ok], q[ok]
+                if len(p):
+                    met, at = np.unique(np.concatenate([p, q]), return_inverse=True)
+                    fine = np.frombuffer(b"".join(finer[k] for k in met), dtype="<u4").reshape(-1, FINE)
+                    close = np.zeros(len(p), bool)
+                    for k in range(0, len(p), 1 << 13):
+                        x, y = at[: len(p)][k : k + (1 << 13)], at[len(p) :][k : k + (1 << 13)]
+                        overlap = np.minimum(fine[x], fine[y]).sum(axis=1, dtype=np.int64)
+                        close[k : k + len(x)] = _enough(overlap, n[p[k : k + len(x)]], n[q[k : k + len(x)]], percent)
+                    p, q = p[close], q[close]
+                out[0].append(h[p])
+                out[1].append(h[q])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
         a, b = np.minimum(a, b), np.maximum(a, b)
         pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
@@ -223,8 +242,7 @@ def _set_blobs(width: int):
             hashes, before = _sets(data, offsets, width)
             blobs = [hashes[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
             found = pa.array(signed(_set_ids(hashes, before)))
-            cell = row_of(before) * FINE + ((hashes >> U64(8)) % U64(FINE)).astype(np.int64)
-            fine = np.bincount(cell, minlength=part.num_rows * FINE).astype("<u4").reshape(-1, FINE)
+            fine = _fine_vectors(hashes, before)
             columns = [part.column("h"), pa.array(blobs, pa.binary()), pa.array([v.tobytes() for v in fine], pa.binary()), found]
             yield pa.RecordBatch.from_arrays(columns, names=["h", "items", "fine", "found"])
 
@@ -276,7 +294,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     described = materialize(describe(rows, width), "shingle-sets")
     levels = spark.sparkContext.broadcast(_frequencies(described))  # one byte per counter
     owners = described.filter("slice IS NULL")
-    classes = owners.filter("n > 0").groupBy("h").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("vector").alias("vector"))
+    classes = owners.filter("n > 0").groupBy("h").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("vector").alias("vector"), F.min("fine").alias("fine"))
     classes = materialize(classes, "classes")
     shared = first_shingles(rows.select("text"), width, percent, levels, buckets).groupBy("bucket").applyInArrow(_shared, "key long, h long")
     shared = materialize(shared, "shared-shingles")
@@ -286,7 +304,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
 
     # the class that shares most stands for its block
     degree = shared.groupBy("h").agg(F.count("*").alias("degree"))
-    members = materialize(degree.join(classes, "h"), "block-members")
+    members = materialize(degree.join(classes.drop("fine"), "h"), "block-members")
     ranked = shared.join(members.select("h", "degree"), "h")
     centre = ranked.groupBy("key").agg(F.max(F.struct("degree", "h")).alias("c")).select("key", F.col("c.h").alias("centre"))
     star = shared.join(centre, "key").filter("h <> centre").select(F.least("h", "centre").alias("a"), F.greatest("h", "centre").alias("b")).distinct()
@@ -299,7 +317,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     labelled = members.join(labels, F.col("h") == F.col("node"), "left").withColumn("label", F.coalesce("component", "h"))
     placed = shared.join(labelled.select("h", "n", "label"), "h")
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    crossing = placed.join(mixed, "key").join(points.select("h", "vector"), "h")
+    crossing = placed.join(mixed, "key").join(classes.select("h", "vector", "fine"), "h")
     left = materialize(_cross_pairs(crossing, percent, buckets).join(allowed, ["a", "b"], "left_anti"), "cross-pairs")
     links = links.unionByName(_links(left, rows, members, width, percent))
 
@@ -341,9 +359,9 @@ def _cross_pairs(placed: DataFrame, percent: int, buckets: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("segments") - 1))
     spread = cut.withColumn("own", own).withColumn("other", other)
     home_block = F.xxhash64("key", "band", F.least("own", "other"), F.greatest("own", "other"))
-    as_home = spread.filter("visit = 0").select("h", "n", "vector", "label", home_block.alias("block"), F.lit(0).alias("part"))
+    as_home = spread.filter("visit = 0").select("h", "n", "vector", "fine", "label", home_block.alias("block"), F.lit(0).alias("part"))
     guest_block = F.xxhash64("key", "band", "other", "other")
-    as_guest = spread.filter("visit = 1").select("h", "n", "vector", "label", guest_block.alias("block"), F.lit(1).alias("part"))
+    as_guest = spread.filter("visit = 1").select("h", "n", "vector", "fine", "label", guest_block.alias("block"), F.lit(1).alias("part"))
     dealt = as_home.unionByName(as_guest).withColumn("bucket", F.pmod("block", F.lit(buckets * 8)))
     return dealt.groupBy("bucket").applyInArrow(_unsettled(percent), "a long, b long").distinct()
 
