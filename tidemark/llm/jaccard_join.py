@@ -33,6 +33,7 @@ GROUPS, FINE = 32, 256  # coordinates of a point, and of the finer one a pair is
 COUNTERS, SLICES = 1 << 18, 64  # frequency table, and the parts it is added up in
 SEGMENT = 4096  # classes of a block compared at once
 LEAF = 16
+MOST = 255  # of a count kept in one byte
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +60,17 @@ def _fine_vectors(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.bincount(cell, minlength=rows * FINE).astype("<u4").reshape(rows, FINE)
 
 
+def _packed(counts: np.ndarray) -> np.ndarray:
+    """Counts as one byte each; the largest byte stands for itself and all above it."""
+    return np.minimum(counts, MOST).astype(np.uint8)
+
+
+def _unpacked(blobs: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Upper bounds of the counts: exact ones, and the set's size where the byte is at its largest."""
+    counts = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, FINE).astype(np.int64)
+    return np.where(counts == MOST, np.maximum(n, MOST)[:, None], counts)
+
+
 def describe(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id``, set size ``n``, set id ``h`` and count vectors (``vector``, and the finer ``fine``) of each row; after them,
     with ``slice`` set, the frequency table of each task in slices."""
@@ -73,7 +85,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
             np.add(counters, np.bincount((hashes >> U64(20)).astype(np.int64) % COUNTERS, minlength=COUNTERS), out=counters)
             cell = row_of(before) * GROUPS + (hashes % U64(GROUPS)).astype(np.int64)
             vectors = np.bincount(cell, minlength=rows * GROUPS).astype("<u4").reshape(rows, GROUPS)
-            fine = _fine_vectors(hashes, before)
+            fine = _packed(_fine_vectors(hashes, before))
             ids = part.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(np.diff(before).astype(np.int64)), pa.array(signed(_set_ids(hashes, before))),
@@ -205,29 +217,24 @@ def _unsettled(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         h, n, label, block, part = (table.column(c).to_numpy() for c in ("h", "n", "label", "block", "part"))
-        finer = table.column("fine").to_pylist()
-        vectors = np.frombuffer(b"".join(table.column("vector").to_pylist()), dtype="<u4").reshape(-1, GROUPS)
+        blobs = table.column("fine").to_pylist()
         out = [], []
         order = np.argsort(block, kind="stable")
         cuts = np.r_[0, np.flatnonzero(np.diff(block[order])) + 1, len(order)]
         for a, b in zip(cuts[:-1], cuts[1:]):
             rows = order[a:b]
-            home, guest = rows[part[rows] == 0], rows[part[rows] == 1]
+            finer = _unpacked([blobs[k] for k in rows], n[rows])
+            vectors = finer.reshape(len(rows), GROUPS, -1).sum(axis=2)  # the boxes are those of joined groups
+            home, guest = np.flatnonzero(part[rows] == 0), np.flatnonzero(part[rows] == 1)
             for right in (home, guest):
-                p, q = box_pairs(n, vectors, home, right, percent)
-                ok = label[p] != label[q]
+                p, q = box_pairs(n[rows], vectors, home, right, percent)
+                ok = label[rows[p]] != label[rows[q]]
                 p, q = p[ok], q[ok]
-                if len(p):
-                    met, at = np.unique(np.concatenate([p, q]), return_inverse=True)
-                    fine = np.frombuffer(b"".join(finer[k] for k in met), dtype="<u4").reshape(-1, FINE)
-                    close = np.zeros(len(p), bool)
-                    for k in range(0, len(p), 1 << 13):
-                        x, y = at[: len(p)][k : k + (1 << 13)], at[len(p) :][k : k + (1 << 13)]
-                        overlap = np.minimum(fine[x], fine[y]).sum(axis=1, dtype=np.int64)
-                        close[k : k + len(x)] = _enough(overlap, n[p[k : k + len(x)]], n[q[k : k + len(x)]], percent)
-                    p, q = p[close], q[close]
-                out[0].append(h[p])
-                out[1].append(h[q])
+                for k in range(0, len(p), 1 << 13):
+                    x, y = p[k : k + (1 << 13)], q[k : k + (1 << 13)]
+                    close = _enough(np.minimum(finer[x], finer[y]).sum(axis=1), n[rows[x]], n[rows[y]], percent)
+                    out[0].append(h[rows[x[close]]])
+                    out[1].append(h[rows[y[close]]])
         a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
         a, b = np.minimum(a, b), np.maximum(a, b)
         pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
@@ -317,8 +324,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     labelled = members.join(labels, F.col("h") == F.col("node"), "left").withColumn("label", F.coalesce("component", "h"))
     placed = shared.join(labelled.select("h", "n", "label"), "h")
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    crossing = placed.join(mixed, "key").join(classes.select("h", "vector", "fine"), "h")
-    left = materialize(_cross_pairs(crossing, percent, buckets).join(allowed, ["a", "b"], "left_anti"), "cross-pairs")
+    left = materialize(_cross_pairs(placed.join(mixed, "key"), classes.select("h", "fine"), percent, buckets).join(allowed, ["a", "b"], "left_anti"), "cross-pairs")
     links = links.unionByName(_links(left, rows, members, width, percent))
 
     groups = components(materialize(links, "all-links"), "a", "b")
@@ -343,8 +349,8 @@ def _bounded(percent: int, groups: int):
     return run
 
 
-def _cross_pairs(placed: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Bounded pairs of different components in the blocks of ``placed``.
+def _cross_pairs(placed: DataFrame, vectors: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Bounded pairs of different components in the blocks of ``placed``; ``vectors`` has the count vector of each class.
 
     Sizes of linked sets differ by at most the similarity, so a block is cut into bands of sizes, and a class visits its own
     band and, as a guest, the next. A band of many classes is cut into segments, and each pair of segments is a block.
@@ -359,10 +365,10 @@ def _cross_pairs(placed: DataFrame, percent: int, buckets: int) -> DataFrame:
     other = F.explode(F.sequence(F.lit(0), F.col("segments") - 1))
     spread = cut.withColumn("own", own).withColumn("other", other)
     home_block = F.xxhash64("key", "band", F.least("own", "other"), F.greatest("own", "other"))
-    as_home = spread.filter("visit = 0").select("h", "n", "vector", "fine", "label", home_block.alias("block"), F.lit(0).alias("part"))
+    as_home = spread.filter("visit = 0").select("h", "n", "label", home_block.alias("block"), F.lit(0).alias("part"))
     guest_block = F.xxhash64("key", "band", "other", "other")
-    as_guest = spread.filter("visit = 1").select("h", "n", "vector", "fine", "label", guest_block.alias("block"), F.lit(1).alias("part"))
-    dealt = as_home.unionByName(as_guest).withColumn("bucket", F.pmod("block", F.lit(buckets * 8)))
+    as_guest = spread.filter("visit = 1").select("h", "n", "label", guest_block.alias("block"), F.lit(1).alias("part"))
+    dealt = as_home.unionByName(as_guest).join(vectors, "h").withColumn("bucket", F.pmod("block", F.lit(buckets * 8)))
     return dealt.groupBy("bucket").applyInArrow(_unsettled(percent), "a long, b long").distinct()
 
 
