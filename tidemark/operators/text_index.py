@@ -21,6 +21,7 @@ from tidemark.session import scratch_path, scratch_root
 
 BUCKETS = 32
 RUN_TOKENS = 1 << 20  # tokens of a block's rows at most, but for a single longer text
+FILTER_TOKENS = 20_000  # a file's membership filter is sized for; without a number each takes a megabyte
 LAYOUT = 2  # goes up when the files of an index change their meaning, so that kept ones are not misread
 _BLOCK = "token string, column string, file long, rows array<int>, ends array<int>, positions array<int>"
 
@@ -93,7 +94,7 @@ def write_index(df: DataFrame, cols: list[str], path: str, buckets: int = BUCKET
     blocks = df.select(F.xxhash64(file).alias("file"), row.alias("row"), *texts).mapInArrow(lambda batches: _cut(batches, cols), _BLOCK)
     tagged = blocks.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
     writer = tagged.sortWithinPartitions("bucket", "token", "column", "file").write.partitionBy("bucket")
-    writer.options(**{"parquet.bloom.filter.enabled#token": "true", "compression": "zstd"}).parquet(f"{path}/postings")
+    writer.options(**{"parquet.bloom.filter.enabled#token": "true", "parquet.bloom.filter.expected.ndv#token": str(FILTER_TOKENS), "compression": "zstd"}).parquet(f"{path}/postings")
     df.select(file.alias("path")).distinct().withColumn("file", F.xxhash64("path")).write.parquet(f"{path}/files")
     return path
 
