@@ -60,6 +60,27 @@ def test_forgotten_keys_are_corrected_by_late_events(spark, t):
     assert held.count() < t.events.select("user_id").distinct().count()
 
 
+def test_state_is_kept_by_shares_of_the_keys(spark):
+    """One state and one timer per share, however many keys are open; keys of a share are forgotten each in its time."""
+    schema = "user_id long, part string, ts long, event_type string, value double"
+    landing, path, ckpt = (scratch_path(spark, x) for x in ("landing", "pairs", "ckpt"))
+    want = {}
+    for k, (kind, users) in enumerate([("view", range(200)), ("purchase", range(100)), ("purchase", range(50, 300))]):
+        rows = [(u if u else None, "a" if u % 2 else None, 10 * k + u % 7, kind, float("nan") if u % 5 == 0 else 0.5 * u) for u in users]
+        spark.createDataFrame(rows * 2, schema).write.mode("append").parquet(landing)
+        stream = s.read_stream(spark, landing, schema)
+        got = tr.pair_stream(stream, ["user_id", "part"], *PAIRS[1:], path, ckpt, shares=4)
+        held = spark.read.format("statestore").option("path", ckpt).option("stateVarName", "pair").load()
+        for r in rows:
+            side = want.setdefault(r[:2], [[], []])[kind == "purchase"]
+            side.append(r[2])
+    assert held.select("key").distinct().count() <= 4
+    assert spark.read.parquet(path).count() <= 550  # a row twice in a batch changes a key once
+    pairs = [(*k, min(a), max(b)) for k, (a, b) in want.items() if a and b and max(b) >= min(a)]
+    assert sorted(map(tuple, got.select("user_id", "part", "start_ts", "end_ts").collect()), key=str) == sorted(pairs, key=str)
+    assert len(pairs) == 200
+
+
 def test_pairs_of_null_times_and_values(spark):
     rows = [(1, 1, "view", 5.0), (1, None, "view", 1.0), (1, 9, "purchase", None), (1, 9, "purchase", 2.0), (2, 3, "view", 1.0), (3, 4, "purchase", 1.0), (4, 9, "view", 1.0), (4, 2, "purchase", 1.0), (None, 1, "view", 0.0), (None, 2, "purchase", 7.0)]
     schema = "user_id long, ts long, event_type string, value double"
