@@ -63,6 +63,25 @@ def test_compaction_and_partition_pruning(spark, t):
     assert "PartitionFilters: [isnotnull(o_orderstatus" in plan
 
 
+def test_compaction_moves_no_rows(spark, t):
+    """Whole files are dealt to as many tasks as files come out; uneven files are dealt out by rows. Either way every row arrives once."""
+    even, uneven, folders = (scratch_path(spark, x) for x in ("even", "uneven", "folders"))
+    w.write_table(t.orders.repartition(13), even)
+    w.write_table(t.orders.repartition(1), uneven)
+    w.write_table(t.orders.limit(5).repartition(5), uneven, mode="append")
+    w.write_table(t.orders, folders, partition_by=["o_orderstatus"])
+    placed = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    for src, files in ((even, 4), (even, 1), (even, 13), (uneven, 4), (folders, 2)):
+        few = w.compact(spark, src, scratch_path(spark, "few"), files)
+        old, new = spark.read.parquet(src), spark.read.parquet(few)
+        assert len(new.inputFiles()) == files and new.schema == old.schema
+        assert new.exceptAll(old).count() == old.exceptAll(new).count() == 0
+        if src == even:  # rows that lay in one file still follow each other in one file
+            was = old.groupBy("o_orderkey").agg(F.min(placed["f"]).alias("was"))
+            now = new.select("o_orderkey", placed.alias("now")).join(was, "o_orderkey")
+            assert now.groupBy("was").agg(F.count_distinct("now.f").alias("n")).filter("n > 1").count() == 0
+
+
 def test_sample_is_repeatable(spark, t):
     a, b = r.sample_rows(t.orders, 20, "o_orderkey"), r.sample_rows(t.orders, 20, "o_orderkey")
     assert a.count() == b.count() == a.join(b, "o_orderkey").count()
