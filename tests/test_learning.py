@@ -4,6 +4,7 @@ import math
 
 import pandas as pd
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import models as m, text as tx, vectors as v
@@ -161,6 +162,15 @@ def test_rows_out_of_blocks_do_not_grow_with_partitions(spark, t, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_equal_distances_do_not_pile_up():
+    """Of many base rows at one distance a block keeps ``k`` a query, those of the smallest ids, and its matrices stay small."""
+    q, b, ids = np.ones((300, 4)), np.zeros((5_000, 4)), np.arange(5_000)[::-1].copy()
+    near = v._nearest(np.arange(300), q, ids, b, 3, "euclidean")
+    assert len(near) == 900 and sorted(near.base_id.unique()) == [0, 1, 2]
+    assert near.groupby("place").base_id.apply(sorted).tolist() == [[0, 1, 2]] * 300
+    assert 8 * v.MATRIX_CELLS <= 16 << 20
+
+
 def test_embedding_finds_the_right_column(spark, t):
     values = v.distinct_values({"customer": t.customer, "part": t.part})
     model = v.fit_embedder(values, "text_content")

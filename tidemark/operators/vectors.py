@@ -25,7 +25,7 @@ BLOCK_BYTES = 2 << 20
 # Vectors an index is fitted on at most, and codes of a block whose vectors are measured exactly.
 TRAIN_ROWS, RERANK = 16_384, 64
 # Distances one step computes at a time.
-MATRIX_CELLS = 10_000_000
+MATRIX_CELLS = 1_000_000
 _DIGITS = 9
 
 
@@ -76,9 +76,9 @@ def _vectors(column: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _nearest(places: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
-    """The ``k`` nearest base rows per query, a slice of queries at a time to bound the distance matrix."""
+    """The ``k`` nearest base rows per query, a slice of queries at a time to bound the distance matrix and the rows of equal distance."""
     step = max(1, MATRIX_CELLS // max(len(bid), 1))
-    return pd.concat([_nearest_slice(places[i:i + step], q[i:i + step], bid, b, k, kind) for i in range(0, len(places), step)])
+    return pd.concat([_first([_nearest_slice(places[i:i + step], q[i:i + step], bid, b, k, kind)], k) for i in range(0, len(places), step)])
 
 
 def _nearest_slice(places: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int, kind: str) -> pd.DataFrame:
