@@ -365,8 +365,8 @@ def text_embedding(t):
 
 @query("vs09_best_column")
 def best_column(t):
-    """The column that holds the value nearest to a search text."""
-    values = v.distinct_values(named_tables(t))
+    """The column that holds the value nearest to a search text. The values are read twice, to fit and to embed."""
+    values = materialize(v.distinct_values(named_tables(t)), "values")
     model = v.fit_embedder(values, "text_content")
     probe = v.embed(spark_of(t).createDataFrame([("machinery",)], "text string"), "text", model)
     return v.best_column(v.embed(values, "text_content", model), probe, "embedding", 3)
