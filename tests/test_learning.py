@@ -171,6 +171,17 @@ def test_equal_distances_do_not_pile_up():
     assert 8 * v.MATRIX_CELLS <= 16 << 20
 
 
+def test_one_text_does_not_cut_the_values_into_tiny_tasks(spark, monkeypatch):
+    monkeypatch.setattr(v, "BLOCK_BYTES", 64)  # four vectors of two numbers
+    meta = spark.createDataFrame([("t", "c", f"{k:03}", [float(k), 1.0]) for k in range(160)], "table_name string, column_name string, text_content string, embedding array<double>")
+    probe = spark.createDataFrame([([3.2, 1.0],)], "embedding array<double>")
+    near = v.best_column(meta, probe, "embedding", 2)
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [block" in plan and "], 5" in plan  # 40 blocks, eight a task
+    assert sum(line.count("LocalRelation") + line.count("LogicalRDD") for line in plan.splitlines()) == 1  # the probe; the values were written
+    assert [r.text_content for r in near.orderBy("rank").collect()] == ["003", "004"]
+
+
 def test_embedding_finds_the_right_column(spark, t):
     values = v.distinct_values({"customer": t.customer, "part": t.part})
     model = v.fit_embedder(values, "text_content")

@@ -22,7 +22,7 @@ from tidemark.session import materialize
 
 # Bytes of vectors one block holds in memory.
 BLOCK_BYTES = 2 << 20
-# Blocks of base vectors a task streams at least, where there are so many; fewer do not pay for its start.
+# Blocks of base vectors that a task streams in a search for one text; fewer do not pay for its start.
 TASK_BLOCKS = 8
 # Vectors an index is fitted on at most, and codes of a block whose vectors are measured exactly.
 TRAIN_ROWS, RERANK = 16_384, 64
@@ -148,17 +148,17 @@ def _as_list(vec: str) -> Column:
 
 def vector_search(
     base: DataFrame, queries: DataFrame, k: int, kind: str = "cosine",
-    b_id: str = "base_id", b_vec: str = "embedding", q_id: str = "query_id", q_vec: str = "embedding",
+    b_id: str = "base_id", b_vec: str = "embedding", q_id: str = "query_id", q_vec: str = "embedding", task_blocks: int = 1,
 ) -> DataFrame:
     """Exact top ``k`` base vectors per query, as (query_id, base_id, distance, rank).
 
     Queries are cut into blocks of bounded bytes; a task holds one block, and base vectors stream past it, so it gives ``k``
     rows a query however many there are. Where there are few blocks of queries, the base is cut as well, so that tasks read
-    about as many base vectors as there are queries to share them, or ``TASK_BLOCKS`` blocks. Only vectors of equal length meet, whatever other lengths
+    about as many base vectors as there are queries to share them, or ``task_blocks`` blocks. Only vectors of equal length meet, whatever other lengths
     there are. Missing vectors match nothing, and neither do distances that are no number.
     """
     shares = _blocks(_values(queries, q_vec))
-    pieces = max(1, -(-_blocks(_values(base, b_vec)) // max(shares, TASK_BLOCKS)))
+    pieces = max(1, -(-_blocks(_values(base, b_vec)) // max(shares, task_blocks)))
     base_type, query_type = dict(base.dtypes)[b_id], dict(queries.dtypes)[q_id]
     spread = F.pmod(F.xxhash64("base_id"), F.lit(pieces)) * shares
     b = base.filter(F.col(b_vec).isNotNull()).select(F.col(b_id).alias("base_id"), _as_list(b_vec).alias("vec"))
@@ -427,6 +427,6 @@ def best_column(meta: DataFrame, probe: DataFrame, vec: str, k: int = 1) -> Data
     """
     place = F.to_json(F.struct("table_name", "column_name", "text_content"))
     named = materialize(meta.select(place.alias("base_id"), vec), "named-values")
-    near = vector_search(named, probe.select(F.lit(0).alias("query_id"), F.col(vec).alias("q")), k, "cosine", b_vec=vec, q_vec="q")
+    near = vector_search(named, probe.select(F.lit(0).alias("query_id"), F.col(vec).alias("q")), k, "cosine", b_vec=vec, q_vec="q", task_blocks=TASK_BLOCKS)
     back = F.from_json("base_id", "table_name string, column_name string, text_content string")
     return near.select(back.alias("m"), F.round("distance", 6).alias("distance"), "rank").select("m.*", "distance", "rank")
