@@ -89,3 +89,38 @@ def test_kept_index_is_written_once_per_state_of_the_files(spark):
 def test_index_of_an_empty_table(spark, table):
     index = x.open_index(spark, x.write_index(table.filter("doc_id = 99"), ["text"], scratch_path(spark, "index")))
     assert x.indexed_search(table, index, "the").count() == 0
+
+
+def test_tokens_of_a_token_text(spark):
+    import pyarrow as pa
+    from tidemark.functions.search import token_text
+
+    odd = [None, "", " ", "a", "A1_b-\u00c9t\u00e9", "\u00bfQu\u00e9? \u2014 no\u2026", "\u0130x \u03a3\u03a3", "\x00a\x7fb\u00a0c", "\u65e5\u672c\u3002\u8a9e\U0001f642x", "e\u0301a", "\u0661\u00b2\u2167", "z"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select(tokens(F.col("t")), F.coalesce(token_text(F.col("t")), F.lit(""))).collect()
+    texts = pa.array(["x", *[r[1] for r in rows]])
+    want = [r[0] or [] for r in rows]
+    assert x._token_lists(texts.slice(1)).to_pylist() == want
+    batch = pa.RecordBatch.from_pydict({"file": [1] * len(odd), "row": [*range(len(odd))], "c0": texts.slice(1)})
+    assert [v for part in x._tokenized([batch], 1) for v in part.column("c0").to_pylist()] == want
+
+
+def test_lists_are_packed_and_read_back(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    lists = [[0, 3], [65_536], [], [1, 2_000_000_000, 5]]
+    held = pa.array([[7], *lists], pa.list_(pa.int32())).slice(1)
+    packed = next(x._packed([pa.RecordBatch.from_pydict(dict.fromkeys(x._LISTS, pa.concat_arrays([held])))]))
+    pq.write_table(pa.Table.from_batches([packed]), tmp_path / "packed.parquet")
+    for c in x._LISTS:
+        assert [r[0] for r in spark.read.parquet(str(tmp_path / "packed.parquet")).select(x._numbers(c)).collect()] == lists
+
+
+def test_rows_of_one_row_group_are_dealt_to_many_tasks(spark):
+    path = scratch_path(spark, "texts")
+    spark.range(5_000).selectExpr("id", "concat('w', id % 7, ' ', repeat('long text ', 20)) AS text").coalesce(1).write.parquet(path)
+    table = spark.read.parquet(path)
+    hidden = table.metadataColumn("_metadata")
+    rows = x._dealt(table, table.select(F.xxhash64(hidden["file_path"]).alias("file"), hidden["row_index"].alias("row")))
+    tasks = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in tasks) == 5_000 and max(r[1] for r in tasks) < 2_500

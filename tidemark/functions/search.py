@@ -15,6 +15,11 @@ def tokens(col: Column) -> Column:
     return F.filter(F.split(F.lower(col), TOKEN_BREAK), lambda w: w != "")
 
 
+def token_text(col: Column) -> Column:
+    """Lower-cased text in which a run of bytes of ASCII letters, ASCII digits and other characters than ASCII is a token."""
+    return F.regexp_replace(F.lower(col), r"[^\x00-\x7F\p{L}\p{N}]+", " ")
+
+
 def _terms(term: str) -> list[str]:
     import regex
 

@@ -2,8 +2,9 @@
 
 Postings say at which places of one column of which rows a token stands. Rows are named by their file and their number in it, so
 ids may repeat or be missing, and a search opens only the files that hold a hit. The postings of a token are blocks: one per stretch
-of rows that a task read together, so that a frequent token is moved as lists of numbers. Blocks lie in token buckets, sorted by token,
-with a membership filter of the tokens in each file, so a lookup skips files and row groups of the index as well.
+of rows that a task cuts together, so that a frequent token is moved as lists of numbers, each list as the bytes of its 32-bit numbers.
+Blocks lie in token buckets, sorted by token, with a membership filter of the tokens in each file, so a lookup skips files and row
+groups of the index as well.
 """
 
 from __future__ import annotations
@@ -13,17 +14,23 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
-from tidemark.functions.search import phrase_words, tokens
+from tidemark.functions.search import phrase_words, token_text
 from tidemark.session import scratch_path, scratch_root
 
 BUCKETS = 32
-RUN_TOKENS = 1 << 20  # tokens of a block's rows at most, but for a single longer text
+RUN_TOKENS = 1 << 22  # tokens of a block's rows at most, but for a single longer text
+RUN_BYTES = 24 << 20  # of text that is cut at once, but for a single longer text
+CHUNK_BYTES = 12 << 20  # of the table's files, whose rows are dealt to one task
 FILTER_TOKENS = 20_000  # a file's membership filter is sized for; without a number each takes a megabyte
-LAYOUT = 2  # goes up when the files of an index change their meaning, so that kept ones are not misread
-_BLOCK = "token string, column string, file long, rows array<int>, ends array<int>, positions array<int>"
+LAYOUT = 3  # goes up when the files of an index change their meaning, so that kept ones are not misread
+_BLOCK = "token string, column string, file long, rows binary, ends binary, positions binary"
+_LISTS = ("rows", "ends", "positions")
+_IN_TOKEN = np.array([b > 127 or chr(b).isalnum() for b in range(256)])  # of the bytes of a ``token_text``
 
 
 class TextIndex(NamedTuple):
@@ -55,7 +62,7 @@ def _blocks(file: int, column: str, rows: np.ndarray, texts: pa.ListArray) -> It
         return
     row = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    order = np.argsort(codes, kind="stable")  # by token, then row, then place
+    order = np.sort(codes.astype(np.int64) << 32 | np.arange(len(codes))) & 0xFFFFFFFF  # by token, then row, then place
     code, row, place = codes[order], row[order], place[order].astype(np.int32)
     new_word = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
     new_row = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (row[1:] != row[:-1])])
@@ -83,25 +90,90 @@ def _cut(batches: Iterator[pa.RecordBatch], cols: list[str]) -> Iterator[pa.Reco
                 a = b
 
 
+def _token_lists(texts: pa.Array) -> pa.ListArray:
+    """Tokens of each ``token_text``."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    inside = _IN_TOKEN[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    begins = ends[:-1][np.diff(ends) > 0]  # a token ends with its text
+    first[begins] = inside[begins]
+    held, starts = data[inside], np.flatnonzero(first[inside]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.r_[starts, np.int32(len(held))]), pa.py_buffer(held))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(np.flatnonzero(first), ends).astype(np.int32)), words)
+
+
+def _tokenized(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.RecordBatch]:
+    """The same rows with the tokens of their texts, a bounded number of bytes at once."""
+    for batch in batches:
+        texts = [batch.column(f"c{k}") for k in range(columns)]
+        sizes = np.r_[0, np.cumsum(sum(pc.binary_length(t).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts))]
+        a = 0
+        while a < len(batch):
+            b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + RUN_BYTES, side="right")) - 1)
+            lists = [_token_lists(t.slice(a, b - a)) for t in texts]
+            part = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([part.column("file"), part.column("row"), *lists], names=["file", "row", *[f"c{k}" for k in range(columns)]])
+            a = b
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with each list as the bytes of its numbers: one value in place of one per number in all that follows."""
+    for batch in batches:
+        columns = {c: batch.column(c) for c in batch.schema.names}
+        for c in _LISTS:
+            ends, numbers = columns[c].offsets.to_numpy() * np.int32(4), columns[c].values.to_numpy()
+            columns[c] = pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+@F.arrow_udf(ArrayType(IntegerType()))
+def _numbers(packed: pa.Array) -> pa.Array:
+    """The lists of ``_packed``."""
+    ends = np.cumsum(pc.binary_length(packed).to_numpy(zero_copy_only=False) // 4)
+    numbers = np.frombuffer(b"".join(packed.to_pylist()), np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(numbers))
+
+
+def _dealt(df: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows dealt to tasks in chunks of neighbours, in order, if the row groups of the files leave more than half as much again as a core's share to one task."""
+    hidden = df.metadataColumn("_metadata")
+    read = df.groupBy(hidden["file_path"].alias("path"), hidden["file_size"].alias("size"), F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"))
+    tasks = read.groupBy("task").agg(F.sum("n").alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("n"))
+    size = read.select("path", "size").distinct().agg(F.sum("size").alias("size"))
+    most, n, size = tasks.select("most", "n", size.scalar().alias("size")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not n or 2 * cores * most <= 3 * n:
+        return rows
+    chunks = max(2 * cores, -(-size // CHUNK_BYTES))
+    chunk = F.floor(F.col("row") / max(1, n // chunks))
+    return rows.repartition(chunks, F.col("file"), chunk).sortWithinPartitions("file", "row")
+
+
 def write_index(df: DataFrame, cols: list[str], path: str, buckets: int = BUCKETS) -> str:
     """Write the index of text columns of a table read from parquet files, as it is read.
 
-    Each task makes blocks of the rows it reads; they are moved once, gathered by bucket, where AQE cuts a frequent token into
-    several files.
+    A row group is read by one task, so the rows of few row groups are dealt out first. Each task makes blocks of its rows; they are
+    moved once, gathered by bucket, where AQE cuts a frequent token into several files.
     """
     file, row = _place(df)
-    texts = [F.coalesce(tokens(F.col(c)), F.array().cast("array<string>")).alias(f"c{k}") for k, c in enumerate(cols)]
-    blocks = df.select(F.xxhash64(file).alias("file"), row.alias("row"), *texts).mapInArrow(lambda batches: _cut(batches, cols), _BLOCK)
+    names = [f"c{k}" for k in range(len(cols))]
+    rows = _dealt(df, df.select(F.xxhash64(file).alias("file"), row.alias("row"), *[F.col(c).alias(n) for c, n in zip(cols, names)]))
+    texts = rows.select("file", "row", *[F.coalesce(token_text(F.col(n)), F.lit("")).alias(n) for n in names])
+    blocks = texts.mapInArrow(lambda batches: _packed(_cut(_tokenized(batches, len(cols)), cols)), _BLOCK)
     tagged = blocks.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
     writer = tagged.sortWithinPartitions("bucket", "token", "column", "file").write.partitionBy("bucket")
-    writer.options(**{"parquet.bloom.filter.enabled#token": "true", "parquet.bloom.filter.expected.ndv#token": str(FILTER_TOKENS), "compression": "zstd"}).parquet(f"{path}/postings")
+    options = {"parquet.bloom.filter.enabled#token": "true", "parquet.bloom.filter.expected.ndv#token": str(FILTER_TOKENS), "compression": "zstd", "parquet.compression.codec.zstd.level": "1"}
+    writer.options(**options, **{f"parquet.enable.dictionary#{c}": "false" for c in _LISTS}).parquet(f"{path}/postings")
     df.select(file.alias("path")).distinct().withColumn("file", F.xxhash64("path")).write.parquet(f"{path}/files")
     return path
 
 
 def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> TextIndex:
     postings = spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{path}/postings")
-    return TextIndex(postings, spark.read.parquet(f"{path}/files"), buckets)
+    return TextIndex(postings.withColumns({c: _numbers(c) for c in _LISTS}), spark.read.parquet(f"{path}/files"), buckets)
 
 
 def kept_index(df: DataFrame, cols: list[str], buckets: int = BUCKETS) -> TextIndex:
