@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -150,6 +151,30 @@ def test_repeats_are_cut(spark, edge, length):
     assert sorted((str(r[0]), *r[1:]) for r in got) == repeats([r for r in documents() if r[0] != 9], length)
 
 
+def test_shorter_passages_are_reported(spark, tmp_path):
+    rng = random.Random(7)
+
+    def words(size):
+        return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 8))) for _ in range(size // 3))[:size]
+
+    fifty, long, least = words(310), words(700), words(240)
+    rows = [(k, words(900)) for k in range(8)]
+    rows += [(10, words(500) + fifty + words(300)), (11, fifty + words(90)), (12, words(77) + fifty + words(400) + fifty)]
+    rows += [(20, words(130) + long + words(200)), (21, words(350) + long[100:650] + fifty + words(20)), (22, words(50) + least), (23, least[:239] + words(300))]
+    rows += [(30, rows[0][1]), (31, "é" * 700), (32, None), (32, ""), (None, fifty), (33, words(60)), (33, words(60) + least)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((str(r[0]), *r[1:]) for r in QUERIES["op7_suffix_dedup"](spark, str(tmp_path)).collect())
+    assert [r[:5] for r in got] == repeats(rows, 400)
+    assert [(r[0], r[1], r[5]) for r in got] == sorted(r[:3] for r in repeats(rows, 240))
+    assert ("11", 400, 0, 310) in [(*r[:3], r[5]) for r in got]
+
+
+def test_parts_of_open_windows_follow_their_number():
+    from tidemark.llm.suffix_dedup import CHUNK_WINDOWS, _parts
+
+    assert [_parts(n, 211) for n in (0, 5, 300 * CHUNK_WINDOWS - 1)] == [211, 211, 300]
+
+
 def test_leaks(spark, edge):
     got = {(r["doc_id"], r["item_id"]): r["n_changed"] for r in QUERIES["op6_decontamination"](spark, edge).collect()}
     assert got == {(13, 2): 3, (10, 3): 0, (11, 3): 0, (12, 3): 0}  # the first name stands in no window with enough plain words
