@@ -1,11 +1,14 @@
 """The parts the operators are made of, and results on the given tables."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
+from tests.llm.conftest import documents
 from tidemark.llm import QUERIES
 from tidemark.llm.arrays import column_bytes, prefix_hash, runs, sliding_min, span_hash, word_spans
 from tidemark.llm.packing import best_fit, plan
@@ -135,3 +138,42 @@ def test_held_out_toxicity(spark):
     toxic, clean = ([r["score"] for r in rows if r["toxic"] == k] for k in (1, 0))
     wins = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean)
     assert wins / (len(toxic) * len(clean)) >= 0.85
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from tidemark.session import materialize
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {n for k in range(disk.getAllFiles().size()) if (n := disk.getAllFiles().apply(k).getName()).startswith("shuffle_")}
+    before = shuffles()
+    out = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "groups")
+    for _ in range(50):  # they go in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before and out.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"  # of the caller's queries
+
+
+def test_near_copies_keep_only_tables_that_are_read(spark, edge):
+    import os
+
+    from tidemark.llm.jaccard_join import jaccard_components
+    from tidemark.session import written_tables
+
+    before = len(written_tables())
+    got = jaccard_components(spark.read.parquet(f"{edge}/documents.parquet"), 5, 80)
+    left = {os.path.basename(p).rsplit("-", 1)[0] for p in written_tables()[before:] if os.path.isdir(p.removeprefix("file://"))}
+    assert left <= {"shingle-sets", "classes", "small-star", "star-links", "cross-links"}
+    assert got.count() == len(documents())
+
+
+def test_near_copies_move_only_rows_that_may_go(spark, edge):
+    """Rows of one key and rows that are not the least of their group are grouped, others pass by."""
+    import corpus_pipeline as cp
+
+    rows = [(1, "a b c d e f", "en", "s2", 11), (1, "a b c d e f", "en", "s1", 11), (2, "a b c d e f", "en", "s0", 11), (3, "u v w x y z", "en", "s", 11), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    single = cp.one_of_each(spark, docs, edge)
+    assert sorted(map(tuple, single.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+    assert single._jdf.queryExecution().optimizedPlan().toString().startswith("Union")

@@ -26,7 +26,7 @@ from tidemark.llm.arrays import LOWER, U64, mix, prefix_hash, row_of, shingles,
 from tidemark.llm.bitmap import bitmap, may_hold
 from tidemark.llm.components import components
 from tidemark.llm.registry import query, task_count
-from tidemark.session import Tables, materialize
+from tidemark.session import Tables, drop_materialized, materialize
 
 WIDTH, PERCENT = 4, 85
 GROUPS, FINE = 32, 256  # coordinates of a point, and of the finer one a pair is held to before its sets are fetched
@@ -249,9 +249,7 @@ def _set_blobs(width: int):
             hashes, before = _sets(data, offsets, width)
             blobs = [hashes[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
             found = pa.array(signed(_set_ids(hashes, before)))
-            fine = _fine_vectors(hashes, before)
-            columns = [part.column("h"), pa.array(blobs, pa.binary()), pa.array([v.tobytes() for v in fine], pa.binary()), found]
-            yield pa.RecordBatch.from_arrays(columns, names=["h", "items", "fine", "found"])
+            yield pa.RecordBatch.from_arrays([part.column("h"), pa.array(blobs, pa.binary()), found], names=["h", "items", "found"])
 
     return run
 
@@ -270,9 +268,12 @@ def _verified(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs that are links, by the whole sets of the classes in them; ``pairs`` is read several times."""
-    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, percent: int, label: str) -> DataFrame:
+    """The pairs that are links, written: those that the finer count vectors allow, by the whole sets of the classes in them."""
+    points = classes.select("h", "n", "fine")
+    sides = pairs.join(points.toDF("a", "n_a", "v_a"), "a").join(points.toDF("b", "n_b", "v_b"), "b")
+    close = materialize(sides.mapInArrow(_bounded_finely(percent), "a long, b long"), "close-pairs")
+    ends = close.select(F.col("a").alias("h")).unionByName(close.select(F.col("b").alias("h"))).distinct()
     wanted = materialize(ends.join(classes.select("h", "rep"), "h").withColumn("hash", F.xxhash64("rep")), "pair-ends")
     bits = rows.sparkSession.sparkContext.broadcast(bitmap(wanted, "hash"))
 
@@ -283,14 +284,13 @@ def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame, width: int, pe
     texts = rows.withColumn("hash", F.xxhash64("doc_id"))
     texts = texts.mapInArrow(likely, texts.schema).join(wanted.select(F.col("rep").alias("doc_id"), "h"), "doc_id").select("h", "text")
     # rows of one id may hold other texts
-    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary, fine binary, found long").filter("h = found")
-    sets = materialize(sets.groupBy("h").agg(F.min("items").alias("items"), F.min("fine").alias("fine")), "pair-sets")
-    fine = sets.select("h", (F.octet_length("items") / 8).cast("long").alias("n"), "fine")
-    sides = pairs.join(fine.toDF("a", "n_a", "v_a"), "a").join(fine.toDF("b", "n_b", "v_b"), "b")
-    pairs = materialize(sides.mapInArrow(_bounded(percent, FINE), "a long, b long"), "close-pairs")
-    right = pairs.join(sets.select(F.col("h").alias("b"), F.col("items").alias("right")), "b")
+    sets = texts.mapInArrow(_set_blobs(width), "h long, items binary, found long").filter("h = found")
+    sets = materialize(sets.groupBy("h").agg(F.min("items").alias("items")), "pair-sets")
+    right = close.join(sets.select(F.col("h").alias("b"), F.col("items").alias("right")), "b")
     both = right.join(sets.select(F.col("h").alias("a"), F.col("items").alias("left")), "a")
-    return both.select("a", "b", "left", "right").mapInArrow(_verified(percent), "a long, b long")
+    links = materialize(both.select("a", "b", "left", "right").mapInArrow(_verified(percent), "a long, b long"), label)
+    drop_materialized(close, wanted, sets)
+    return links
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,10 +304,11 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     classes = owners.filter("n > 0").groupBy("h").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("vector").alias("vector"), F.min("fine").alias("fine"))
     classes = materialize(classes, "classes")
     shared = first_shingles(rows.select("text"), width, percent, levels, buckets).groupBy("bucket").applyInArrow(_shared, "key long, h long")
-    shared = materialize(shared, "shared-shingles")
+    every = materialize(shared, "shared-shingles")
     # shingles that the same classes share make one block
-    content = shared.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
-    shared = materialize(shared.join(content.groupBy("n", "x", "y").agg(F.min("key").alias("key")), "key").select("key", "h"), "blocks")
+    content = every.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("h")).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
+    shared = materialize(every.join(content.groupBy("n", "x", "y").agg(F.min("key").alias("key")), "key").select("key", "h"), "blocks")
+    drop_materialized(every)
 
     # the class that shares most stands for its block
     degree = shared.groupBy("h").agg(F.count("*").alias("degree"))
@@ -318,16 +319,17 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCE
     points = members.select("h", "n", "vector")
     sides = star.join(points.toDF("a", "n_a", "v_a"), "a").join(points.toDF("b", "n_b", "v_b"), "b")
     allowed = materialize(sides.mapInArrow(_bounded(percent, GROUPS), "a long, b long"), "star-pairs")
-    links = materialize(_links(allowed, rows, members, width, percent), "star-links")
+    links = _links(allowed, rows, classes, width, percent, "star-links")
 
     labels = materialize(components(links, "a", "b"), "labels")
     labelled = members.join(labels, F.col("h") == F.col("node"), "left").withColumn("label", F.coalesce("component", "h"))
     placed = shared.join(labelled.select("h", "n", "label"), "h")
     mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
     left = materialize(_cross_pairs(placed.join(mixed, "key"), classes.select("h", "fine"), percent, buckets).join(allowed, ["a", "b"], "left_anti"), "cross-pairs")
-    links = links.unionByName(_links(left, rows, members, width, percent))
+    links = links.unionByName(_links(left, rows, classes, width, percent, "cross-links"))
+    drop_materialized(shared, members, allowed, labels, left)
 
-    groups = components(materialize(links, "all-links"), "a", "b")
+    groups = components(links, "a", "b")
     joined = classes.select("h", "rep").join(groups, F.col("h") == F.col("node"), "left").withColumn("component", F.coalesce("component", "h"))
     least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
     of = joined.join(least, "component").select("h", "component_id")
@@ -349,6 +351,19 @@ def _bounded(percent: int, groups: int):
     return run
 
 
+def _bounded_finely(percent: int):
+    """Pairs whose finer count vectors allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            a, b = (_unpacked(batch.column(c).to_pylist(), n) for c, n in (("v_a", n_a), ("v_b", n_b)))
+            keep = pa.array(_enough(np.minimum(a, b).sum(axis=1), n_a, n_b, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    return run
+
+
 def _cross_pairs(placed: DataFrame, vectors: DataFrame, percent: int, buckets: int) -> DataFrame:
     """Bounded pairs of different components in the blocks of ``placed``; ``vectors`` has the count vector of each class.
 
