@@ -124,3 +124,26 @@ def test_rows_of_one_row_group_are_dealt_to_many_tasks(spark):
     rows = x._dealt(table, table.select(F.xxhash64(hidden["file_path"]).alias("file"), hidden["row_index"].alias("row")))
     tasks = rows.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r[1] for r in tasks) == 5_000 and max(r[1] for r in tasks) < 2_500
+
+
+def test_places_leave_in_bounded_pieces(spark, table, monkeypatch):
+    """Lists of a block are cut in Python: no row of the search carries the lists of its block along."""
+    import numpy as np
+    import pyarrow as pa
+
+    pack = lambda *numbers: np.array(numbers, np.int32).tobytes()
+    blocks = pa.RecordBatch.from_pydict({
+        "token": ["a", "b", "c"], "column": ["text"] * 3, "file": [7, 7, 8], "rows": [pack(*range(100)), pack(0, 3), pack(5)],
+        "ends": [pack(*range(2, 202, 2)), pack(1, 3), pack(1)], "positions": [pack(*range(200)), pack(1, 7, 9), pack(4)],
+    })
+    monkeypatch.setattr(x, "PLACES", 16)
+    rows = list(x._places(iter([blocks]), None))
+    assert max(map(len, rows)) < 32 and len(rows) > 3
+    want = [(7, "text", r, 0) for r in [*range(100), 0, 3]] + [(8, "text", 5, 0)]
+    assert [tuple(r.values()) for b in rows for r in b.to_pylist()] == want
+    starts = [tuple(r.values()) for b in x._places(iter([blocks]), ["b", "a", "b"]) for r in b.to_pylist()]
+    assert starts[:2] == [(7, "text", 0, -1), (7, "text", 0, 0)] and starts[200:] == [(7, "text", r, p - s) for s in (0, 2) for r, p in ((0, 1), (3, 7), (3, 9))]
+
+    index = x.open_index(spark, x.write_index(table, ["text"], scratch_path(spark, "index"), 4), 4)
+    assert "Generate" not in x.find_rows(index, "`of the`")._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= x.RUN_BYTES

@@ -25,6 +25,8 @@ from tidemark.session import scratch_path, scratch_root
 BUCKETS = 32
 RUN_TOKENS = 1 << 22  # tokens of a block's rows at most, but for a single longer text
 RUN_BYTES = 24 << 20  # of text that is cut at once, but for a single longer text
+BATCH_BYTES = 8 << 20  # of blocks that leave a Python worker at once, but for a single longer block
+PLACES = 1 << 16  # found places that do
 CHUNK_BYTES = 12 << 20  # of the table's files, whose rows are dealt to one task
 FILTER_TOKENS = 20_000  # a file's membership filter is sized for; without a number each takes a megabyte
 LAYOUT = 3  # goes up when the files of an index change their meaning, so that kept ones are not misread
@@ -42,6 +44,12 @@ class TextIndex(NamedTuple):
     postings: DataFrame
     files: DataFrame
     buckets: int
+    packed: DataFrame  # the blocks as they are written, each list as the bytes of its numbers
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Texts and blocks go to a Python worker by their bytes: ten thousand rows of them may be any number."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(RUN_BYTES))
 
 
 def _place(df: DataFrame) -> tuple[Column, Column]:
@@ -126,7 +134,45 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in _LISTS:
             ends, numbers = columns[c].offsets.to_numpy() * np.int32(4), columns[c].values.to_numpy()
             columns[c] = pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(numbers)])
-        yield pa.RecordBatch.from_pydict(columns)
+        sizes = np.r_[0, np.cumsum(sum(pc.binary_length(columns[c]).to_numpy().astype(np.int64) for c in _LISTS))]
+        a, whole = 0, pa.RecordBatch.from_pydict(columns)
+        while a < len(whole):
+            b = max(a + 1, int(np.searchsorted(sizes, sizes[a] + BATCH_BYTES, side="right")) - 1)
+            yield whole.slice(a, b - a)
+            a = b
+
+
+def _places(batches: Iterator[pa.RecordBatch], words: list[str] | None) -> Iterator[pa.RecordBatch]:
+    """``file``, ``column`` and ``row`` of the places of packed blocks, a bounded number at once, read block by block.
+
+    With the ``words`` of a phrase, ``start`` is where the phrase would have to start for its word to stand there, else each row
+    comes once with 0.
+    """
+    held, size = [], 0
+
+    def flush():
+        file, column, row, start = zip(*held)
+        n = [len(r) for r in row]
+        columns = [np.repeat(np.array(file, np.int64), n), pa.array(column, pa.string()).take(pa.array(np.repeat(np.arange(len(n)), n))), np.concatenate(row), np.concatenate(start)]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["file", "column", "row", "start"])
+
+    for batch in batches:
+        tokens, names, files = (batch.column(c).to_pylist() for c in ("token", "column", "file"))
+        for k, token in enumerate(tokens):
+            rows, ends, positions = (np.frombuffer(batch.column(c)[k].as_buffer(), np.int32) for c in _LISTS)
+            if words is not None:
+                rows = np.repeat(rows, np.diff(np.r_[0, ends]))
+            for shift in [0] if words is None else [i for i, w in enumerate(words) if w == token]:
+                for a in range(0, len(rows), PLACES):
+                    part = rows[a : a + PLACES]
+                    held.append((files[k], names[k], part.astype(np.int64), np.zeros(len(part), np.int32) if words is None else positions[a : a + PLACES] - np.int32(shift)))
+                    size += len(part)
+                    if size >= PLACES:
+                        yield flush()
+                        size = 0
+    if held:
+        yield flush()
 
 
 @F.arrow_udf(ArrayType(IntegerType()))
@@ -158,6 +204,7 @@ def write_index(df: DataFrame, cols: list[str], path: str, buckets: int = BUCKET
     A row group is read by one task, so the rows of few row groups are dealt out first. Each task makes blocks of its rows; they are
     moved once, gathered by bucket, where AQE cuts a frequent token into several files.
     """
+    _bounded(df.sparkSession)
     file, row = _place(df)
     names = [f"c{k}" for k in range(len(cols))]
     rows = _dealt(df, df.select(F.xxhash64(file).alias("file"), row.alias("row"), *[F.col(c).alias(n) for c, n in zip(cols, names)]))
@@ -173,7 +220,7 @@ def write_index(df: DataFrame, cols: list[str], path: str, buckets: int = BUCKET
 
 def open_index(spark: SparkSession, path: str, buckets: int = BUCKETS) -> TextIndex:
     postings = spark.read.schema(f"{_BLOCK}, bucket int").parquet(f"{path}/postings")
-    return TextIndex(postings.withColumns({c: _numbers(c) for c in _LISTS}), spark.read.parquet(f"{path}/files"), buckets)
+    return TextIndex(postings.withColumns({c: _numbers(c) for c in _LISTS}), spark.read.parquet(f"{path}/files"), buckets, postings)
 
 
 def kept_index(df: DataFrame, cols: list[str], buckets: int = BUCKETS) -> TextIndex:
@@ -205,24 +252,19 @@ def find_rows(index: TextIndex, term: str, cols: list[str] | None = None) -> Dat
     """
     words, phrase = phrase_words(term)
     distinct = sorted(set(words))
-    hits = index.postings.filter(F.col("token").isin(distinct))
+    hits = index.packed.filter(F.col("token").isin(distinct))
     if distinct:
         hits = hits.filter(F.col("bucket").isin([_bucket(F.lit(w), index.buckets) for w in distinct]))
     if cols is not None:
         hits = hits.filter(F.col("column").isin(cols))
-    if phrase and len(words) > 1:
-        rows = hits.select("token", "column", "file", "ends", "positions", F.posexplode("rows").alias("k", "row"))
-        before = F.when(F.col("k") > 0, F.col("ends")[F.col("k") - 1]).otherwise(0)
-        mine = F.slice("positions", before + 1, F.col("ends")[F.col("k")] - before)
-        offsets = F.filter(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(i).alias("i")) for i, w in enumerate(words)]), lambda x: x["w"] == F.col("token"))
-        starts = F.flatten(F.transform(offsets, lambda x: F.transform(mine, lambda p: p - x["i"])))
-        runs = rows.select("file", "row", "column", F.explode(starts).alias("start")).groupBy("file", "row", "column", "start").agg(F.count("*").alias("n"))
-        found = runs.filter(F.col("n") == len(words))  # each place of a column holds one token
-    else:
-        found = hits.select("file", "column", F.explode("rows").alias("row"))
-        if len(distinct) > 1:
-            found = found.groupBy("file", "row", "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(distinct))
-    return found.select("file", F.col("row").cast("long").alias("row")).distinct()
+    run = words if phrase and len(words) > 1 else None
+    _bounded(hits.sparkSession)
+    found = hits.drop("bucket").mapInArrow(lambda batches: _places(batches, run), "file long, column string, row long, start int")
+    if run:  # each place of a column holds one token
+        found = found.groupBy("file", "row", "column", "start").agg(F.count("*").alias("n")).filter(F.col("n") == len(words))
+    elif len(distinct) > 1:
+        found = found.groupBy("file", "row", "column").agg(F.count("*").alias("n")).filter(F.col("n") == len(distinct))
+    return found.select("file", "row").distinct()
 
 
 def files_opened(index: TextIndex, term: str, cols: list[str] | None = None) -> DataFrame:
